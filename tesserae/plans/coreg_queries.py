@@ -33,12 +33,12 @@ def l2_score_surface(spark, sf_dir):
     f"{_SURFACE}, b0 AS (SELECT tile_id, sx AS bx, sy AS \"by\", score AS bs FROM (SELECT *, row_number() OVER (PARTITION BY tile_id ORDER BY score DESC) AS n FROM s) r WHERE n = 1), "
     "f AS (SELECT s.tile_id, bx, \"by\", bs, max(CASE WHEN sx = bx - 1 AND sy = \"by\" THEN score END) AS l, max(CASE WHEN sx = bx + 1 AND sy = \"by\" THEN score END) AS r, max(CASE WHEN sx = bx AND sy = \"by\" - 1 THEN score END) AS u, max(CASE WHEN sx = bx AND sy = \"by\" + 1 THEN score END) AS d, "
     "avg(CASE WHEN NOT (abs(sx - bx) <= 1 AND abs(sy - \"by\") <= 1) THEN score END) AS m, stddev_pop(CASE WHEN NOT (abs(sx - bx) <= 1 AND abs(sy - \"by\") <= 1) THEN score END) AS s, avg(CASE WHEN abs(sx - bx) <= 1 AND abs(sy - \"by\") <= 1 THEN score END) AS p FROM s JOIN b0 ON b0.tile_id = s.tile_id GROUP BY s.tile_id, bx, \"by\", bs) "
-    "SELECT tile_id, round(round(bx + coalesce(sign(r - l) * greatest(l, r) / nullif(bs + greatest(l, r), 0), 0.0), 3), 2) + 0.0 AS x_offset, round(round(\"by\" + coalesce(sign(d - u) * greatest(u, d) / nullif(bs + greatest(u, d), 0), 0.0), 3), 2) + 0.0 AS y_offset, round(greatest(least(100 - 100 * (m + 2 * s) / p, 100.0), 0.0), 3) AS shift_reliability FROM f"
+    "SELECT tile_id, round(bx + coalesce(sign(r - l) * greatest(l, r) / nullif(bs + greatest(l, r), 0), 0.0), 3) + 0.0 AS x_offset, round(\"by\" + coalesce(sign(d - u) * greatest(u, d) / nullif(bs + greatest(u, d), 0), 0.0), 3) + 0.0 AS y_offset, round(greatest(least(100 - 100 * (m + 2 * s) / p, 100.0), 0.0), 3) AS shift_reliability FROM f"
 )
 def l3_l4_shift_and_reliability(spark, sf_dir):
     a, b = _pair(spark, sf_dir)
     p = coreg.peak(coreg.score_surface(a, b, "dem", 4))
-    return p.select("tile_id", r6("x_offset", 2).alias("x_offset"), r6("y_offset", 2).alias("y_offset"), r6("shift_reliability", 3).alias("shift_reliability"))
+    return p.select("tile_id", r6("x_offset", 3).alias("x_offset"), r6("y_offset", 3).alias("y_offset"), r6("shift_reliability", 3).alias("shift_reliability"))
 
 
 

@@ -130,9 +130,11 @@ def matches(index: Index, data: np.ndarray, ends: np.ndarray) -> dict[tuple[int,
         start = int(band[k]) * 2 * widest - widest * (1 + int(half[k]))
         low = max(0, start)
         part = data[low : start + 2 * widest + len(index.windows[w]) + 1]
+        if start < 0:  # diagonals before the first text
+            part = np.concatenate([np.zeros(-start, np.uint8), part])
         edits = banded_distance(index.windows[w], part, 2 * widest, int(index.edits[w]))
         if edits <= index.edits[w]:
-            text = int(np.searchsorted(ends, low + len(part) // 2, "right"))
+            text = int(np.searchsorted(ends, max(0, start + widest) + len(index.windows[w]) // 2, "right"))
             key = (text, int(index.items[w]))
             old = found.get(key, (0, edits))
             found[key] = (old[0] + 1, min(old[1], edits))

@@ -52,8 +52,10 @@ def templates(rows: DataFrame, seen: DataFrame, depth: int, min_tokens: int, min
     )
     members = cut(wanted.join(words, ["leaf", "line_hash"]).withColumn("tokens", _tokens(F.col("line"))).drop("line"))
     places = members.select("leaf", "n", F.posexplode("tokens").alias("place", "token"))
-    counted = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n")).join(leaves.select("leaf", "total"), "leaf")
-    fixed = counted.where(F.col("n") >= F.col("total") * constant).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
+    counted = places.groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
+    most = counted.groupBy("leaf", "place").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("total"))
+    shared = most.where(F.col("top.n") >= F.col("total") * constant).select("leaf", "place", "top.token")
+    fixed = shared.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
     agree = F.aggregate(F.transform("tokens", lambda t, i: F.when(F.col("fixed")[i] == t, 1).otherwise(0)), F.lit(0), lambda a, b: a + b)
     inside = members.join(fixed, "leaf").where(agree >= F.size("tokens") * similar)
     groups = inside.groupBy("leaf").agg(F.sum("n").alias("n"), F.min("least").alias("least")).where(F.col("n") >= min_docs)

@@ -92,18 +92,31 @@ def _terms(text: Column, least: int) -> Column:
     return F.filter(F.split(F.lower(plain), r"[^\p{L}]+", -1), lambda t: F.length(t) >= least)
 
 
+def _entity(s: Column) -> Column:
+    return F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"]))
+
+
 def _contexts(found: DataFrame, window: int, least: int) -> DataFrame:
-    """``entity, kind, term, context``: each term within ``window`` terms of an entity, once for each row."""
-    entity = lambda s: F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"]))
-    one = found.select("text", F.explode(F.concat(*(F.col(f"spans_{k}") for k in KINDS))).alias("s"))
-    around = one.select(
-        F.col("s.kind").alias("kind"),
-        entity(F.col("s")).alias("entity"),
-        F.slice(F.reverse(_terms(F.substring(F.col("text"), F.greatest(F.col("s.start") - 40 * window, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(40 * window))), least)), 1, window).alias("before"),
-        F.slice(_terms(F.substring(F.col("text"), F.col("s.end") + 1, F.lit(40 * window)), least), 1, window).alias("after"),
-    )
-    both = F.array_distinct(F.concat("before", "after"))
-    return around.select("kind", "entity", F.xxhash64("before", "after").alias("context"), F.explode(both).alias("term"))
+    """``kind, entity, term, context`` of each term within ``window`` terms of an entity, once for each row.
+
+    Two more kinds of rows come along, so that one pass counts all: kind ``any`` once for each row and term near any
+    entity, and an empty term once for each row and entity.
+    """
+    width = 40 * window
+    spans = F.concat(*(F.col(f"spans_{k}") for k in KINDS))
+    text = F.col("text")
+
+    def near(s: Column) -> Column:
+        before = F.slice(F.reverse(_terms(F.substring(text, F.greatest(s["start"] - width, F.lit(0)) + 1, F.least(s["start"], F.lit(width))), least)), 1, window)
+        after = F.slice(_terms(F.substring(text, s["end"] + 1, F.lit(width)), least), 1, window)
+        return F.struct(s["kind"].alias("kind"), _entity(s).alias("entity"), F.xxhash64(before, after).alias("context"), F.array_distinct(F.concat(before, after)).alias("terms"))
+
+    rows = found.select(F.transform(spans, near).alias("near"))
+    once = F.array_distinct(F.transform("near", lambda n: F.struct(n["kind"].alias("kind"), n["entity"].alias("entity"))))
+    whole = F.transform(once, lambda e: F.struct(e["kind"].alias("kind"), e["entity"].alias("entity"), F.lit(0).cast("long").alias("context"), F.array(F.lit("")).alias("terms")))
+    every = F.struct(F.lit("any").alias("kind"), F.lit("").alias("entity"), F.lit(0).cast("long").alias("context"), F.array_distinct(F.flatten(F.transform("near", lambda n: n["terms"]))).alias("terms"))
+    one = rows.select(F.explode(F.concat("near", whole, F.array(every))).alias("n"))
+    return one.select("n.kind", "n.entity", "n.context", F.explode("n.terms").alias("term"))
 
 
 def _semi(rows: DataFrame, terms: DataFrame, size: int) -> DataFrame:
@@ -119,19 +132,18 @@ def revealing_terms(found: DataFrame, window: int = 8, least: int = 4, support:
     """
     there = F.exists(F.array(*(F.size(f"spans_{k}") > 0 for k in KINDS)), lambda x: x)
     near = cut(_contexts(found.where(there), window, least).groupBy("kind", "entity", "term", "context").agg(F.count("*").alias("n")))
-    pairs = near.groupBy("kind", "entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts")).where(F.col("contexts") >= support)
-    pairs = cut(pairs)
+    total = found.count()
+    by_entity = near.where("term = ''").select("kind", "entity", (F.col("n") / F.lit(float(max(total, 1)))).alias("prior")).where("prior < 1")
+    near_any = near.where("kind = 'any'").select("term", F.col("n").alias("n_near"))
+    pairs = near.where("kind <> 'any' AND term <> ''").groupBy("kind", "entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts")).where(F.col("contexts") >= support)
+    # a term is in at least as many rows as it is near an entity in: pairs that cannot reach the threshold go early
+    disclosure = lambda n: F.log(F.least(F.col("n_both") / F.col(n), F.lit(1.0)) / F.col("prior")) / -F.log("prior")
+    pairs = cut(pairs.join(by_entity, ["kind", "entity"]).join(near_any, "term").where(disclosure("n_near") >= generalise).drop("n_near"))
     wanted = pairs.select("term").distinct()
     size = wanted.count()
-    total = found.count()
     rows = found.select(F.explode(F.array_distinct(_terms(F.col("text"), least))).alias("term"))
     by_term = _semi(rows, wanted, size).groupBy("term").agg(F.count("*").alias("n_term"))
-    values = F.array_distinct(F.transform(F.concat(*(F.col(f"spans_{k}") for k in KINDS)), lambda s: F.struct(s["kind"].alias("kind"), F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"])).alias("entity"))))
-    by_entity = found.where(there).select(F.explode(values).alias("x")).groupBy("x.kind", "x.entity").agg(F.count("*").alias("n_entity"))
-    scored = pairs.join(by_term, "term").join(by_entity, ["kind", "entity"])
-    ratio = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
-    prior = F.col("n_entity") / F.lit(float(max(total, 1)))
-    scored = scored.where(prior < 1).withColumn("disclosure", F.log(ratio / prior) / -F.log(prior)).where(F.col("disclosure") >= generalise)
+    scored = pairs.join(by_term, "term").withColumn("disclosure", disclosure("n_term")).where(F.col("disclosure") >= generalise)
     best = scored.groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("x"))
     return best.select("term", "x.kind", "x.disclosure", F.when(F.col("x.disclosure") >= remove, "remove").otherwise("generalise").alias("action"))
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; in plain local mode a temporary one if that is unset."""
@@ -24,5 +26,10 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again: short lineage, no lost blocks."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # the written table stands for the shuffles that made it
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -140,37 +140,38 @@ def least_of_windows(segments: list[bytes], least: list[int], windows: list[int]
 
 
 def _find_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in cuts(batches, "text", 2 << 20):
+        data, starts = utf8(block.column("text"))
+        text, _, _, _, h = owners(data, starts)
+        order = np.lexsort((h, text))  # an owner counts once in a text
+        text, h = text[order], h[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])] if len(h) else np.zeros(0, bool)
+        yield pa.RecordBatch.from_arrays([pa.array(h[new].view(np.int64)), block.column("key").take(pa.array(text[new]))], names=["h", "key"])
+
+
+def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["h", "key", "version", "start", "windows", "offset", "segment"]
     for block in cuts(batches, "text", 2 << 20):
         data, starts = utf8(block.column("text"))
         text, first, last, owner, h = owners(data, starts)
+        keep = np.zeros(len(h), bool)
+        edges = np.searchsorted(text, np.arange(block.num_rows + 1))
+        for row, shared in enumerate(block.column("shared")):
+            lo, hi = edges[row], edges[row + 1]
+            keep[lo:hi] = np.isin(h[lo:hi], shared.values.to_numpy().view(np.uint64))
+        text, first, last, owner, h = (v[keep] for v in (text, first, last, owner, h))
+        raw = data.tobytes()
+        rows = pa.array(text)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(h.view(np.int64)),
-                block.column("key").take(pa.array(text)),
-                block.column("version").take(pa.array(text)),
+                block.column("key").take(rows),
+                block.column("version").take(rows),
                 pa.array((first - starts[text]).astype(np.int32)),
                 pa.array((last - first + 1).astype(np.int32)),
                 pa.array((owner - first).astype(np.int32)),
+                pa.array([raw[a:b] for a, b in zip(first.tolist(), (last + LENGTH).tolist())], pa.binary()),
             ],
-            names=["h", "key", "version", "start", "windows", "offset"],
-        )
-
-
-def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["near", "key", "version", "start", "windows", "segment"]
-    for block in cuts(batches, "text", 2 << 20):
-        rows: list[list] = [[] for _ in names]
-        for key, version, text, runs in zip(*(block.column(c).to_pylist() for c in ("key", "version", "text", "runs"))):
-            data = text.encode()
-            for run in runs:
-                a, b, p = run["start"], run["start"] + run["windows"], run["start"] + run["offset"]
-                border = min(max(p - _LEFT, a), b)  # windows before it are compared by their left side
-                for lo, hi, near in ((a, border, data[p - _LEFT - 1 : p + GRAM]), (border, b, data[p : p + GRAM + _LEFT])):
-                    if hi > lo:
-                        for column, value in zip(rows, ((b"<" if lo == a and hi == border else b">") + near, key, version, lo, hi - lo, data[lo : hi - 1 + LENGTH])):
-                            column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[0], pa.binary()), pa.array(rows[1], block.schema.field("key").type), pa.array(rows[2], pa.int64()), pa.array(rows[3], pa.int32()), pa.array(rows[4], pa.int32()), pa.array(rows[5], pa.binary())],
             names=names,
         )
 
@@ -179,29 +180,63 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by ``near``; groups are compared in batches of whole groups of a bounded size."""
 
     def judged(rows: pd.DataFrame) -> pd.DataFrame:
-        found = least_of_windows(list(rows["segment"]), list(rows["rank"]), list(rows["windows"]))
-        return pd.DataFrame({"near": rows["near"], "name": rows["name"], "least": [sorted(set(f)) if len(set(f)) == 1 else f for f in found]})
+        found = least_of_windows(list(rows["part"]), list(rows["rank"]), list(rows["windows"]))
+        return pd.DataFrame({"near": rows["near"], "part_name": rows["part_name"], "least": found})
 
     held: list[pd.DataFrame] = []
     size = 0
     for batch in batches:
-        batch = batch.reset_index(drop=True)
-        while len(batch):
-            held.append(batch)
-            size += int(batch["segment"].str.len().sum())
-            batch = batch.iloc[:0]
+        for at in range(0, len(batch), 2000):
+            held.append(batch.iloc[at : at + 2000])
+            size += int(held[-1]["part"].str.len().sum())
             if size > 1 << 18:
                 rows = pd.concat(held, ignore_index=True)
-                last = rows["near"].iloc[-1]
-                whole = rows["near"] != last
+                whole = rows["near"] != rows["near"].iloc[-1]
                 if whole.any():
                     yield judged(rows[whole].reset_index(drop=True))
                 held = [rows[~whole]]
-                size = int(held[0]["segment"].str.len().sum())
+                size = int(held[0]["part"].str.len().sum())
     if held and sum(map(len, held)):
         yield judged(pd.concat(held, ignore_index=True))
 
 
+def _sides(kinds: DataFrame) -> DataFrame:
+    """Segments in two parts: windows that begin far before their owner, with the 34 bytes about its left, and the rest."""
+    border = F.greatest(F.least(F.col("offset") - _LEFT, F.col("windows")), F.lit(0))
+    part = lambda lo, n: F.expr(f"substring(segment, {lo}, {n})")
+    cutup = kinds.withColumn("border", border)
+    left = F.struct(F.lit(0).alias("first"), F.col("border").alias("windows"), F.xxhash64("h", F.lit("l"), part(f"offset - {_LEFT}", _LEFT + 1 + GRAM)).alias("near"), part("1", f"border - 1 + {LENGTH}").alias("part"))
+    right = F.struct(F.col("border").alias("first"), (F.col("windows") - F.col("border")).alias("windows"), F.xxhash64("h", F.lit("r"), part("offset + 1", GRAM + _LEFT)).alias("near"), part("border + 1", "length(segment)").alias("part"))
+    both = F.filter(F.array(left, right), lambda x: x["windows"] > 0)
+    return cutup.select("h", "name", "rank", "most", F.explode(both).alias("s")).select("h", "name", "rank", "most", "s.*").withColumn("part_name", F.xxhash64("part"))
+
+
+def verdicts(kinds: DataFrame) -> DataFrame:
+    """``h, name, least``: for each segment the smallest key with the same bytes, of all windows or of each one.
+
+    ``kinds`` has the distinct segments of each owner. Owners with one segment are done; else the parts of segments
+    that agree about the owner are compared by suffix arrays.
+    """
+    alone = kinds.where("variants = 1").select("h", "name", F.array("rank").alias("least"))
+    parts = cut(_sides(kinds.where("variants > 1")))
+    distinct = parts.groupBy("near", "part_name").agg(F.min("rank").alias("rank"), F.max("most").alias("most"), F.first("windows").alias("windows"), F.first("part").alias("part"))
+    group = Window.partitionBy("near")
+    distinct = distinct.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
+    distinct = cut(distinct.select("near", "part_name", "rank", "windows", "part", "variants"))
+    same = distinct.where("variants = 1").select("near", "part_name", F.array_repeat("rank", F.col("windows")).alias("least"))
+    compared = (
+        distinct.where("variants > 1")
+        .select("near", "part_name", "rank", "windows", "part")
+        .repartition("near")
+        .sortWithinPartitions("near")
+        .mapInPandas(_compare, "near long, part_name long, least array<long>")
+    )
+    found = parts.select("h", "name", "rank", "first", "windows", "near", "part_name").join(same.union(compared), ["near", "part_name"], "left")
+    least = F.coalesce("least", F.array_repeat("rank", F.col("windows")))
+    joined = found.groupBy("h", "name").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first", least.alias("least")))), lambda x: x["least"])).alias("least"))
+    return alone.union(joined)
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in cuts(batches, "text", 2 << 20):
         removed, spans, kept, sizes = [], [], [], []
@@ -232,27 +267,19 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("version", F.xxhash64("text"))
     able = rows.where(F.col("key").isNotNull() & (F.octet_length("text") >= LENGTH))
-    runs = able.mapInArrow(_find_owners, "h long, key long, version long, start int, windows int, offset int")
+    runs = able.select("key", "text").mapInArrow(_find_owners, "h long, key long")
     same = Window.partitionBy("h")
     shared = runs.withColumns({"lo": F.min("key").over(same), "hi": F.max("key").over(same)}).where("lo < hi")
-    by_row = shared.groupBy("key", "version").agg(F.collect_list(F.struct("start", "windows", "offset")).alias("runs"))
-    once = able.join(by_row.hint("shuffle_hash"), ["key", "version"])
-    places = cut(once.mapInArrow(_cut_segments, "near binary, key long, version long, start int, windows int, segment binary").withColumn("name", F.xxhash64("segment")))
-    kinds = places.groupBy("near", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("segment").alias("segment"))
-    group = Window.partitionBy("near")
+    by_row = shared.groupBy(F.col("key").alias("of")).agg(F.collect_set("h").alias("shared"))
+    once = able.join(by_row.hint("shuffle_hash"), F.col("key") == F.col("of")).drop("of")
+    places = once.mapInArrow(_cut_segments, "h long, key long, version long, start int, windows int, offset int, segment binary")
+    places = cut(places.withColumn("name", F.xxhash64("segment", "offset")))
+    kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
+    group = Window.partitionBy("h")
     kinds = kinds.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
-    kinds = cut(kinds.select("near", "name", "rank", "windows", "segment", "variants"))
-    alone = kinds.where("variants = 1").select("near", "name", F.array("rank").alias("least"))
-    compared = (
-        kinds.where("variants > 1")
-        .select("near", "name", "rank", "windows", "segment")
-        .repartition("near")
-        .sortWithinPartitions("near")
-        .mapInPandas(_compare, "near binary, name long, least array<long>")
-    )
-    verdict = alone.union(compared)
-    found = places.select("near", "name", "key", "version", "start", "windows").join(verdict, ["near", "name"])
-    every = F.when((F.size("least") == 1) & (F.col("least")[0] < F.col("key")), F.array(F.struct(F.col("start").alias("start"), F.col("windows").alias("n"))))
+    verdict = cut(verdicts(cut(kinds.drop("lowest", "highest"))))
+    found = places.select("h", "name", "key", "version", "start", "windows").join(verdict, ["h", "name"])
+    every = F.when(F.col("least")[0] < F.col("key"), F.array(F.struct(F.col("start").alias("start"), F.col("windows").alias("n"))))
     some = F.filter(F.transform("least", lambda k, i: F.when(k < F.col("key"), F.struct((F.col("start") + i).alias("start"), F.lit(1).alias("n")))), lambda x: x.isNotNull())
     spans = found.select("key", "version", F.explode(F.when(F.size("least") == 1, every).otherwise(some)).alias("gone"))
     gone = spans.groupBy("key", "version").agg(F.collect_list("gone").alias("gone"))

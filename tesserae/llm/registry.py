@@ -61,7 +61,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_reputation.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    """Outcomes are the quality labels of pages, by id: 0 is a bad page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    outcomes = pages.join(labels, "page_id").select(url_reputation.url_parts(F.col("url"))[0].alias("host"), "bad")
+    return url_reputation.judge(pages, URL_RULES, outcomes)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -22,11 +23,13 @@ def ingest(stream: DataFrame, work: Callable[[DataFrame], DataFrame], out: str,
     again overwrites its own part, so nothing is written twice."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        spark = rows.sparkSession
         fresh = rows
-        if spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)):
-            done = spark.read.parquet(ledger).where(F.col("batch") != number)
+        try:
+            done = rows.sparkSession.read.parquet(ledger).where(F.col("batch") != number)
             fresh = rows.join(done.select(key), key, "left_anti")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
         fresh = fresh.persist()
         work(fresh).write.mode("overwrite").parquet(f"{out}/batch={number}")
         fresh.select(key, F.lit("success").alias("status")).write.mode("overwrite").parquet(f"{ledger}/batch={number}")

@@ -65,7 +65,7 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
     outcomes = pages.join(labels, "page_id").select(url_reputation.url_parts(F.col("url"))[0].alias("host"), "bad")
-    return url_reputation.judge(pages, URL_RULES, outcomes)
+    return url_reputation.judge(pages, URL_RULES, outcomes).withColumn("bound", F.round("bound", 6))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,5 +108,46 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in made}
 
 
+def _strength_sql(name: str, groups: str) -> str:
+    """A level's prior strength; ``groups`` selects n, bad and the parent's pn, pb."""
+    return (
+        f"{name} AS (SELECT CASE WHEN coalesce(weighted, 0) = 0 THEN 200.0 WHEN (spread - binomial) / greatest(weighted - binomial, 1e-9) <= 0 THEN 200.0 ELSE least(200.0, greatest(1.0, greatest(weighted - binomial, 1e-9) / (spread - binomial) - 1)) END AS k "
+        f"FROM (SELECT sum(n * power(bad / n - pb / pn, 2)) AS spread, sum(pb / pn * (1 - pb / pn)) AS binomial, sum(n * (pb / pn) * (1 - pb / pn)) AS weighted FROM ({groups}) g) m)"
+    )
+
+
+def _posterior_sql(name: str, columns: str, source: str, prior: str, k: str) -> str:
+    return f"{name} AS (SELECT *, m - sqrt(m * (1 - m) / (n + k + 1)) AS bound FROM (SELECT {columns}, t.n, t.bad, {k}.k AS k, (t.bad + {prior} * {k}.k) / (t.n + {k}.k) AS m FROM {source} CROSS JOIN {k}) p)"
+
+
+def _url_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ranked = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
+    chain = lambda pick: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{pick(v, h + p)}'" for v, h, p in ranked) + " END"
+    above = lambda t, key, up: f"SELECT t.n, t.bad, u.n AS pn, u.bad AS pb FROM {t} t JOIN {up} u ON u.{key} = t.{key}"
+    return (
+        "WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages), "
+        f"h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{upper.lower()}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r), "
+        f"f AS (SELECT *, {chain(lambda v, r: r)} AS rule, {chain(lambda v, r: v)} AS ruled, list_extract(string_split(host, '.'), -1) AS suffix, array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 1, 1), len(string_split(host, '.'))), '.') AS domain FROM h), "
+        "hosts AS (SELECT host, domain, suffix, count(*) AS n, sum(1 - quality) AS bad FROM f JOIN labels l ON l.doc_id = f.page_id WHERE quality IS NOT NULL GROUP BY host, domain, suffix), "
+        "domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix), "
+        "total AS (SELECT coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad FROM hosts), "
+        + ", ".join(
+            [
+                _strength_sql("ks", "SELECT s.n, s.bad, greatest(t.n, 1) AS pn, t.bad AS pb FROM suffixes s CROSS JOIN total t"),
+                _strength_sql("kd", above("domains", "suffix", "suffixes")),
+                _strength_sql("kh", above("hosts", "domain", "domains")),
+                _posterior_sql("ps", "t.suffix", "suffixes t CROSS JOIN total a", "(a.bad + 1) / (a.n + 2)", "ks"),
+                _posterior_sql("pd", "t.domain", "domains t JOIN ps u ON u.suffix = t.suffix", "u.m", "kd"),
+                _posterior_sql("ph", "t.host", "hosts t JOIN pd u ON u.domain = t.domain", "u.m", "kh"),
+            ]
+        )
+        + ", j AS (SELECT f.page_id, f.host, f.path, f.rule, f.ruled, coalesce(ph.bound, pd.bound, ps.bound, (t.bad + 1) / (t.n + 2) - sqrt((t.bad + 1) / (t.n + 2) * (1 - (t.bad + 1) / (t.n + 2)) / (t.n + 3))) AS bound "
+        "FROM f LEFT JOIN ph ON ph.host = f.host LEFT JOIN pd ON pd.domain = f.domain LEFT JOIN ps ON ps.suffix = f.suffix CROSS JOIN total t) "
+        "SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, round(bound, 6) AS bound FROM j"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_reputation": _url_sql()}

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tesserae.functions.storage import cut
+from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, utf8
 
 LENGTH = 50
@@ -25,6 +25,7 @@ GRAM = 16
 _REACH = LENGTH - GRAM + 1  # grams of a window
 #: Windows that begin more than this many bytes before their owner are compared by what is left of it.
 _LEFT = 17
+RUNS = "array<struct<first:int,n:int,least:long>>"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -59,22 +60,23 @@ def owners(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[begins], window[begins], window[ends], owner[begins], h[owner[begins]]
 
 
-def suffix_array(texts: list[bytes]) -> list[tuple[int, int]]:
-    """All suffixes of the texts in lexicographic order, as (text, place); a text's end sorts before any byte.
+def suffix_array(texts: list) -> list[tuple[int, int]]:
+    """All suffixes of the texts (bytes or strings) in lexicographic order, as (text, place); a text's end sorts before any byte.
 
     Equal suffixes are ordered by the place of what follows them, at last by text.
     """
-    groups: dict[bytes, list[int]] = {}
+    groups: dict = {}
     base, at = [], 0
     for text in texts:
         base.append(at)
         at += len(text) + 1
     n = at
-    name: list[bytes] = [b""] * n
+    none = texts[0][:0] if texts else ""
+    name = [none] * n
     smaller = [-1] * n  # previous place whose suffix is smaller than all between
     for offset, text in zip(base, texts):
         # right to left: a stack of Lyndon words; the word at i takes in those after it that are greater
-        words: list[bytes] = []
+        words: list = []
         places: list[int] = []
         for i in range(len(text) - 1, -1, -1):
             word = text[i : i + 1]
@@ -86,7 +88,7 @@ def suffix_array(texts: list[bytes]) -> list[tuple[int, int]]:
             name[offset + i] = word
     for i, word in enumerate(name):
         groups.setdefault(word, []).append(i)
-    head: dict[bytes, int] = {}
+    head: dict = {}
     total = 0
     for word in sorted(groups):
         head[word] = total
@@ -116,11 +118,11 @@ def suffix_array(texts: list[bytes]) -> list[tuple[int, int]]:
     return [(int(t), i - base[t]) for t, i in zip(owner, order)]
 
 
-def least_of_windows(segments: list[bytes], least: list[int], windows: list[int]) -> list[list[int]]:
-    """For each window of each segment (those that begin at 0 to ``windows``), the smallest key with the same bytes."""
+def least_of_windows(segments: list[str], least: list[int], windows: list[int], length: list[int]) -> list[list[tuple[int, int, int]]]:
+    """``first, n, key`` of runs of windows of each segment (those that begin at 0 to ``windows``): the smallest key with the same string."""
     found = [[k] * w for k, w in zip(least, windows)]
     group: list[tuple[int, int]] = []
-    now = b""
+    now = ""
 
     def close() -> None:
         if len(group) > 1:
@@ -130,13 +132,21 @@ def least_of_windows(segments: list[bytes], least: list[int], windows: list[int]
 
     for t, i in suffix_array(segments):
         if i < windows[t]:
-            string = segments[t][i : i + LENGTH]
+            string = segments[t][i : i + length[t]]
             if string != now:
                 close()
                 group, now = [], string
             group.append((t, i))
     close()
-    return found
+    runs = []
+    for keys in found:
+        at, own = 0, []
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i] != keys[at]:
+                own.append((at, i - at, keys[at]))
+                at = i
+        runs.append(own)
+    return runs
 
 
 def _find_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,8 +190,13 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by ``near``; groups are compared in batches of whole groups of a bounded size."""
 
     def judged(rows: pd.DataFrame) -> pd.DataFrame:
-        found = least_of_windows(list(rows["part"]), list(rows["rank"]), list(rows["windows"]))
-        return pd.DataFrame({"near": rows["near"], "part_name": rows["part_name"], "least": found})
+        # what the whole group has in common is one symbol of its own that no byte has
+        symbol = [chr(256 + g) for g in (rows["near"] != rows["near"].shift()).cumsum()]
+        short = [part[:c].decode("latin-1") + x + part[c + n :].decode("latin-1") for x, part, c, n in zip(symbol, rows["part"], rows["common"], rows["n_common"])]
+        length = [LENGTH + 1 - n for n in rows["n_common"]]
+        found = least_of_windows(short, list(rows["rank"]), list(rows["windows"]), length)
+        runs = [[{"first": f, "n": n, "least": k} for f, n, k in x] for x in found]
+        return pd.DataFrame({"near": rows["near"], "part_name": rows["part_name"], "runs": runs})
 
     held: list[pd.DataFrame] = []
     size = 0
@@ -205,36 +220,40 @@ def _sides(kinds: DataFrame) -> DataFrame:
     border = F.greatest(F.least(F.col("offset") - _LEFT, F.col("windows")), F.lit(0))
     part = lambda lo, n: F.expr(f"substring(segment, {lo}, {n})")
     cutup = kinds.withColumn("border", border)
-    left = F.struct(F.lit(0).alias("first"), F.col("border").alias("windows"), F.xxhash64("h", F.lit("l"), part(f"offset - {_LEFT}", _LEFT + 1 + GRAM)).alias("near"), part("1", f"border - 1 + {LENGTH}").alias("part"))
-    right = F.struct(F.col("border").alias("first"), (F.col("windows") - F.col("border")).alias("windows"), F.xxhash64("h", F.lit("r"), part("offset + 1", GRAM + _LEFT)).alias("near"), part("border + 1", "length(segment)").alias("part"))
+    left = F.struct(F.lit(0).alias("first"), F.col("border").alias("windows"), F.xxhash64("h", F.lit("l"), part(f"offset - {_LEFT}", _LEFT + 1 + GRAM)).alias("near"), part("1", f"border - 1 + {LENGTH}").alias("part"), (F.col("offset") - _LEFT - 1).alias("common"), F.lit(_LEFT + 1 + GRAM).alias("n_common"))
+    right = F.struct(F.col("border").alias("first"), (F.col("windows") - F.col("border")).alias("windows"), F.xxhash64("h", F.lit("r"), part("offset + 1", GRAM + _LEFT)).alias("near"), part("border + 1", "length(segment)").alias("part"), (F.col("offset") - F.col("border")).alias("common"), F.lit(GRAM + _LEFT).alias("n_common"))
     both = F.filter(F.array(left, right), lambda x: x["windows"] > 0)
     return cutup.select("h", "name", "rank", "most", F.explode(both).alias("s")).select("h", "name", "rank", "most", "s.*").withColumn("part_name", F.xxhash64("part"))
 
 
 def verdicts(kinds: DataFrame) -> DataFrame:
-    """``h, name, least``: for each segment the smallest key with the same bytes, of all windows or of each one.
+    """``h, name, runs``: for runs of windows of each segment the smallest key with the same bytes.
 
     ``kinds`` has the distinct segments of each owner. Owners with one segment are done; else the parts of segments
     that agree about the owner are compared by suffix arrays.
     """
-    alone = kinds.where("variants = 1").select("h", "name", F.array("rank").alias("least"))
+    run = lambda first, n, least: F.array(F.struct(first.alias("first"), n.alias("n"), least.alias("least")))
+    alone = kinds.where("variants = 1").select("h", "name", run(F.lit(0), F.col("windows"), F.col("rank")).alias("runs"))
     parts = cut(_sides(kinds.where("variants > 1")))
-    distinct = parts.groupBy("near", "part_name").agg(F.min("rank").alias("rank"), F.max("most").alias("most"), F.first("windows").alias("windows"), F.first("part").alias("part"))
+    columns = ("windows", "part", "common", "n_common")
+    distinct = parts.groupBy("near", "part_name").agg(F.min("rank").alias("rank"), F.max("most").alias("most"), *(F.first(c).alias(c) for c in columns))
     group = Window.partitionBy("near")
     distinct = distinct.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
-    distinct = cut(distinct.select("near", "part_name", "rank", "windows", "part", "variants"))
-    same = distinct.where("variants = 1").select("near", "part_name", F.array_repeat("rank", F.col("windows")).alias("least"))
+    distinct = cut(distinct.drop("most", "lowest", "highest"))
+    same = distinct.where("variants = 1").select("near", "part_name", run(F.lit(0), F.col("windows"), F.col("rank")).alias("runs"))
     compared = (
         distinct.where("variants > 1")
-        .select("near", "part_name", "rank", "windows", "part")
+        .select("near", "part_name", "rank", *columns)
         .repartition("near")
         .sortWithinPartitions("near")
-        .mapInPandas(_compare, "near long, part_name long, least array<long>")
+        .mapInPandas(_compare, f"near long, part_name long, runs {RUNS}")
     )
-    found = parts.select("h", "name", "rank", "first", "windows", "near", "part_name").join(same.union(compared), ["near", "part_name"], "left")
-    least = F.coalesce("least", F.array_repeat("rank", F.col("windows")))
-    joined = found.groupBy("h", "name").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("first", least.alias("least")))), lambda x: x["least"])).alias("least"))
-    return alone.union(joined)
+    found = parts.select("h", "name", "first", "near", "part_name").join(same.union(compared), ["near", "part_name"])
+    moved = F.transform("runs", lambda r: F.struct((r["first"] + F.col("first")).alias("first"), r["n"].alias("n"), r["least"].alias("least")))
+    joined = found.groupBy("h", "name").agg(F.flatten(F.collect_list(moved)).alias("runs"))
+    out = cut(alone.union(joined))
+    discard([parts, distinct])
+    return out
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,11 +296,12 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
     group = Window.partitionBy("h")
     kinds = kinds.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
-    verdict = cut(verdicts(cut(kinds.drop("lowest", "highest"))))
-    found = places.select("h", "name", "key", "version", "start", "windows").join(verdict, ["h", "name"])
-    every = F.when(F.col("least")[0] < F.col("key"), F.array(F.struct(F.col("start").alias("start"), F.col("windows").alias("n"))))
-    some = F.filter(F.transform("least", lambda k, i: F.when(k < F.col("key"), F.struct((F.col("start") + i).alias("start"), F.lit(1).alias("n")))), lambda x: x.isNotNull())
-    spans = found.select("key", "version", F.explode(F.when(F.size("least") == 1, every).otherwise(some)).alias("gone"))
+    kinds = cut(kinds.drop("lowest", "highest"))
+    verdict = verdicts(kinds)
+    discard([kinds])
+    found = places.select("h", "name", "key", "version", "start").join(verdict, ["h", "name"])
+    less = F.filter("runs", lambda r: r["least"] < F.col("key"))
+    spans = found.select("key", "version", "start", F.explode(less).alias("r")).select("key", "version", F.struct((F.col("start") + F.col("r.first")).alias("start"), F.col("r.n").alias("n")).alias("gone"))
     gone = spans.groupBy("key", "version").agg(F.collect_list("gone").alias("gone"))
     marked = rows.join(gone.hint("shuffle_hash"), ["key", "version"], "left").select("key", "text", "gone")
     out = marked.mapInArrow(_remove, "key long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -142,7 +142,8 @@ def revealing_terms(found: DataFrame, window: int = 8, least: int = 4, support:
     wanted = pairs.select("term").distinct()
     size = wanted.count()
     rows = found.select(F.explode(F.array_distinct(_terms(F.col("text"), least))).alias("term"))
-    by_term = _semi(rows, wanted, size).groupBy("term").agg(F.count("*").alias("n_term"))
+    # all terms are counted before the join: a row for each term and task, not for each occurrence of a wanted one
+    by_term = _semi(rows.groupBy("term").agg(F.count("*").alias("n_term")), wanted, size)
     scored = pairs.join(by_term, "term").withColumn("disclosure", disclosure("n_term")).where(F.col("disclosure") >= generalise)
     best = scored.groupBy("term").agg(F.max(F.struct("disclosure", "kind")).alias("x"))
     return best.select("term", "x.kind", "x.disclosure", F.when(F.col("x.disclosure") >= remove, "remove").otherwise("generalise").alias("action"))

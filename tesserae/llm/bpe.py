@@ -35,7 +35,7 @@ def _byte_names() -> dict[str, int]:
 class TrieEncoder:
     """Encodes and decodes with a byte-level BPE file of the tokenizers library."""
 
-    def __init__(self, path: str, keep_words: int = 1_200_000):
+    def __init__(self, path: str, keep_words: int = 900_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         names = _byte_names()

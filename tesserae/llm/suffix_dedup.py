@@ -1,9 +1,9 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that a document with a smaller key has too.
 
-Where equal strings can be is found by content: each 50-byte window is owned by the smallest hash among its 16-byte
-grams, so equal windows have owners with equal grams at the same offset. Grams that one document alone has are done
-with. Around the others, the windows of one owner are a segment; equal segments are one row with their smallest key.
-Segments that share 33 bytes about the owner are compared by a suffix array, built linearly: the longest Lyndon word
+Of equal texts only the one with the smallest key is compared; the others go whole. Where equal strings can be is
+found by content: each 50-byte window is owned by the smallest hash among its 32-byte grams, so equal windows have
+owners with equal grams at the same offset. Grams that one document alone has are done with. Around the others, the windows of one owner are a segment; equal segments are one row with their smallest key.
+Segments that share 41 bytes about the owner are compared by a suffix array, built linearly: the longest Lyndon word
 at each place names its group, and walking the previous-smaller pointers from the suffixes already placed emits each
 group in order, without renaming and recursion.
 """
@@ -21,17 +21,26 @@ from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, utf8
 
 LENGTH = 50
-GRAM = 16
+GRAM = 32
 _REACH = LENGTH - GRAM + 1  # grams of a window
 #: Windows that begin more than this many bytes before their owner are compared by what is left of it.
-_LEFT = 17
+_LEFT = (LENGTH - GRAM) // 2
+BLOCK = 1 << 19
 RUNS = "array<struct<first:int,n:int,least:long>>"
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).ravel()
-    h = (eight[:-8] * np.uint64(0x9E3779B97F4A7C15)) ^ ((eight[8:] ^ (eight[8:] >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    n = len(data) - GRAM + 1
+    padded = np.r_[data, np.zeros(16, np.uint8)]
+    eight = np.empty(len(data) // 8 * 8 + 8, np.uint64)
+    for at in range(8):
+        eight[at::8] = padded[at : at + len(eight)].view(np.uint64)
+    h = np.zeros(n, np.uint64)
+    for at in range(0, GRAM, 8):
+        h ^= eight[at : at + n]
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return h * np.uint64(0xD6E8FEB86659FD93)
 
 
 def owners(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -40,13 +49,11 @@ def owners(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < LENGTH:
         return none, none, none, none, none.astype(np.uint64)
     h = gram_hashes(data)
-    # leftmost smallest of _REACH hashes, by doubling; hashes give way to ranks only in ties, which go left
-    value, place, span = h, np.arange(len(h), dtype=np.int32), 1
+    # leftmost smallest of _REACH hashes (their upper halves; below is the place), by doubling
+    value, span = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64), 1
     while span < _REACH:
         step = min(span, _REACH - span)
-        a, b = value[: len(value) - step], value[step:]
-        left = a <= b
-        value, place = np.where(left, a, b), np.where(left, place[: len(place) - step], place[step:])
+        value = np.minimum(value[: len(value) - step], value[step:])
         span += step
     lengths = np.diff(starts)
     text = np.repeat(np.arange(len(lengths)), np.maximum(lengths - LENGTH + 1, 0))
@@ -54,7 +61,7 @@ def owners(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         return none, none, none, none, none.astype(np.uint64)
     first = np.cumsum(np.r_[0, np.maximum(lengths - LENGTH + 1, 0)])[:-1]
     window = np.arange(len(text)) - first[text] + starts[text]
-    owner = place[window].astype(np.int64)
+    owner = (value[window] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     begins = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (text[1:] != text[:-1])])
     ends = np.r_[begins[1:], len(owner)] - 1
     return text[begins], window[begins], window[ends], owner[begins], h[owner[begins]]
@@ -150,7 +157,7 @@ def least_of_windows(segments: list[str], least: list[int], windows: list[int],
 
 
 def _find_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in cuts(batches, "text", 2 << 20):
+    for block in cuts(batches, "text", BLOCK):
         data, starts = utf8(block.column("text"))
         text, _, _, _, h = owners(data, starts)
         order = np.lexsort((h, text))  # an owner counts once in a text
@@ -161,7 +168,7 @@ def _find_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["h", "key", "version", "start", "windows", "offset", "segment"]
-    for block in cuts(batches, "text", 2 << 20):
+    for block in cuts(batches, "text", BLOCK):
         data, starts = utf8(block.column("text"))
         text, first, last, owner, h = owners(data, starts)
         keep = np.zeros(len(h), bool)
@@ -216,7 +223,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _sides(kinds: DataFrame) -> DataFrame:
-    """Segments in two parts: windows that begin far before their owner, with the 34 bytes about its left, and the rest."""
+    """Segments in two parts: windows that begin far before their owner, with the bytes about its left, and the rest."""
     border = F.greatest(F.least(F.col("offset") - _LEFT, F.col("windows")), F.lit(0))
     part = lambda lo, n: F.expr(f"substring(segment, {lo}, {n})")
     cutup = kinds.withColumn("border", border)
@@ -257,7 +264,7 @@ def verdicts(kinds: DataFrame) -> DataFrame:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in cuts(batches, "text", 2 << 20):
+    for block in cuts(batches, "text", BLOCK):
         removed, spans, kept, sizes = [], [], [], []
         for text, gone in zip(block.column("text").to_pylist(), block.column("gone").to_pylist()):
             data = text.encode()
@@ -284,14 +291,16 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     are smaller or greater than none: such rows stay whole and remove nothing. Rows with equal keys do not remove
     each other's bytes. Other columns are left out.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("version", F.xxhash64("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("version", F.unhex(F.md5("text")))
     able = rows.where(F.col("key").isNotNull() & (F.octet_length("text") >= LENGTH))
+    first = cut(able.groupBy("version").agg(F.min("key").alias("key")))  # of equal texts only the first is compared
+    able = cut(able.join(first.hint("shuffle_hash"), ["key", "version"], "left_semi"))
     runs = able.select("key", "text").mapInArrow(_find_owners, "h long, key long")
     same = Window.partitionBy("h")
     shared = runs.withColumns({"lo": F.min("key").over(same), "hi": F.max("key").over(same)}).where("lo < hi")
     by_row = shared.groupBy(F.col("key").alias("of")).agg(F.collect_set("h").alias("shared"))
     once = able.join(by_row.hint("shuffle_hash"), F.col("key") == F.col("of")).drop("of")
-    places = once.mapInArrow(_cut_segments, "h long, key long, version long, start int, windows int, offset int, segment binary")
+    places = once.mapInArrow(_cut_segments, "h long, key long, version binary, start int, windows int, offset int, segment binary")
     places = cut(places.withColumn("name", F.xxhash64("segment", "offset")))
     kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
     group = Window.partitionBy("h")
@@ -303,6 +312,9 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     less = F.filter("runs", lambda r: r["least"] < F.col("key"))
     spans = found.select("key", "version", "start", F.explode(less).alias("r")).select("key", "version", F.struct((F.col("start") + F.col("r.first")).alias("start"), F.col("r.n").alias("n")).alias("gone"))
     gone = spans.groupBy("key", "version").agg(F.collect_list("gone").alias("gone"))
-    marked = rows.join(gone.hint("shuffle_hash"), ["key", "version"], "left").select("key", "text", "gone")
+    judged = first.withColumn("first", F.lit(True)).join(gone.hint("shuffle_hash"), ["key", "version"], "left")
+    whole = F.col("first").isNull() & F.col("key").isNotNull() & (F.octet_length("text") >= LENGTH)
+    copy = F.array(F.struct(F.lit(0).alias("start"), (F.octet_length("text") - LENGTH + 1).alias("n")))
+    marked = rows.join(judged.hint("shuffle_hash"), ["key", "version"], "left").select("key", "text", F.when(whole, copy).otherwise(F.col("gone")).alias("gone"))
     out = marked.mapInArrow(_remove, "key long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.col("key").cast(docs.schema[key].dataType).alias(key), "n_bytes", "n_removed", "n_spans", "kept")

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, utf8
@@ -233,6 +233,12 @@ def _sides(kinds: DataFrame) -> DataFrame:
     return cutup.select("h", "name", "rank", "most", F.explode(both).alias("s")).select("h", "name", "rank", "most", "s.*").withColumn("part_name", F.xxhash64("part"))
 
 
+def _differing(rows: DataFrame, by: str) -> DataFrame:
+    """Rows of groups that keys differ in, with the group's size as ``variants``; no group comes to one task whole."""
+    groups = rows.groupBy(by).agg(F.count("*").alias("variants"), F.min("rank").alias("lowest"), F.max("most").alias("highest"))
+    return rows.join(groups.where("lowest < highest").select(by, "variants"), by)
+
+
 def verdicts(kinds: DataFrame) -> DataFrame:
     """``h, name, runs``: for runs of windows of each segment the smallest key with the same bytes.
 
@@ -240,13 +246,13 @@ def verdicts(kinds: DataFrame) -> DataFrame:
     that agree about the owner are compared by suffix arrays.
     """
     run = lambda first, n, least: F.array(F.struct(first.alias("first"), n.alias("n"), least.alias("least")))
+    kinds = _differing(kinds, "h")
     alone = kinds.where("variants = 1").select("h", "name", run(F.lit(0), F.col("windows"), F.col("rank")).alias("runs"))
     parts = cut(_sides(kinds.where("variants > 1")))
     columns = ("windows", "part", "common", "n_common")
     distinct = parts.groupBy("near", "part_name").agg(F.min("rank").alias("rank"), F.max("most").alias("most"), *(F.first(c).alias(c) for c in columns))
-    group = Window.partitionBy("near")
-    distinct = distinct.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
-    distinct = cut(distinct.drop("most", "lowest", "highest"))
+    whole = cut(distinct)
+    distinct = _differing(whole, "near")
     same = distinct.where("variants = 1").select("near", "part_name", run(F.lit(0), F.col("windows"), F.col("rank")).alias("runs"))
     compared = (
         distinct.where("variants > 1")
@@ -259,7 +265,7 @@ def verdicts(kinds: DataFrame) -> DataFrame:
     moved = F.transform("runs", lambda r: F.struct((r["first"] + F.col("first")).alias("first"), r["n"].alias("n"), r["least"].alias("least")))
     joined = found.groupBy("h", "name").agg(F.flatten(F.collect_list(moved)).alias("runs"))
     out = cut(alone.union(joined))
-    discard([parts, distinct])
+    discard([parts, whole])
     return out
 
 
@@ -296,16 +302,15 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     first = cut(able.groupBy("version").agg(F.min("key").alias("key")))  # of equal texts only the first is compared
     able = cut(able.join(first.hint("shuffle_hash"), ["key", "version"], "left_semi"))
     runs = able.select("key", "text").mapInArrow(_find_owners, "h long, key long")
-    same = Window.partitionBy("h")
-    shared = runs.withColumns({"lo": F.min("key").over(same), "hi": F.max("key").over(same)}).where("lo < hi")
+    # a gram may be in a third of all rows: its bounds are aggregated on the map side, and the join can split it
+    bounds = runs.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("h")
+    shared = runs.join(bounds, "h", "left_semi")
     by_row = shared.groupBy(F.col("key").alias("of")).agg(F.collect_set("h").alias("shared"))
     once = able.join(by_row.hint("shuffle_hash"), F.col("key") == F.col("of")).drop("of")
     places = once.mapInArrow(_cut_segments, "h long, key long, version binary, start int, windows int, offset int, segment binary")
     places = cut(places.withColumn("name", F.xxhash64("segment", "offset")))
     kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
-    group = Window.partitionBy("h")
-    kinds = kinds.withColumns({"variants": F.count("*").over(group), "lowest": F.min("rank").over(group), "highest": F.max("most").over(group)}).where("lowest < highest")
-    kinds = cut(kinds.drop("lowest", "highest"))
+    kinds = cut(kinds)
     verdict = verdicts(kinds)
     discard([kinds])
     found = places.select("h", "name", "key", "version", "start").join(verdict, ["h", "name"])

@@ -1,9 +1,9 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that a document with a smaller key has too.
 
 Of equal texts only the one with the smallest key is compared; the others go whole. Where equal strings can be is
-found by content: each 50-byte window is owned by the smallest hash among its 32-byte grams, so equal windows have
+found by content: each 50-byte window is owned by the smallest hash among its 24-byte grams, so equal windows have
 owners with equal grams at the same offset. Grams that one document alone has are done with. Around the others, the windows of one owner are a segment; equal segments are one row with their smallest key.
-Segments that share 41 bytes about the owner are compared by a suffix array, built linearly: the longest Lyndon word
+Segments that share 37 bytes about the owner are compared by a suffix array, built linearly: the longest Lyndon word
 at each place names its group, and walking the previous-smaller pointers from the suffixes already placed emits each
 group in order, without renaming and recursion.
 """
@@ -21,7 +21,7 @@ from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, utf8
 
 LENGTH = 50
-GRAM = 32
+GRAM = 24
 _REACH = LENGTH - GRAM + 1  # grams of a window
 #: Windows that begin more than this many bytes before their owner are compared by what is left of it.
 _LEFT = (LENGTH - GRAM) // 2
@@ -302,17 +302,16 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     first = cut(able.groupBy("version").agg(F.min("key").alias("key")))  # of equal texts only the first is compared
     able = cut(able.join(first.hint("shuffle_hash"), ["key", "version"], "left_semi"))
     runs = able.select("key", "text").mapInArrow(_find_owners, "h long, key long")
-    # a gram may be in a third of all rows: its bounds are aggregated on the map side, and the join can split it
-    bounds = runs.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("h")
-    shared = runs.join(bounds, "h", "left_semi")
-    by_row = shared.groupBy(F.col("key").alias("of")).agg(F.collect_set("h").alias("shared"))
+    # a gram may be in a third of all rows: it is counted on the map side, and the join can split it
+    often = runs.groupBy("h").count().where("count > 1").select("h")
+    by_row = cut(runs.join(often, "h", "left_semi").groupBy(F.col("key").alias("of")).agg(F.collect_set("h").alias("shared")))
     once = able.join(by_row.hint("shuffle_hash"), F.col("key") == F.col("of")).drop("of")
     places = once.mapInArrow(_cut_segments, "h long, key long, version binary, start int, windows int, offset int, segment binary")
     places = cut(places.withColumn("name", F.xxhash64("segment", "offset")))
     kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
     kinds = cut(kinds)
     verdict = verdicts(kinds)
-    discard([kinds])
+    discard([kinds, by_row])
     found = places.select("h", "name", "key", "version", "start").join(verdict, ["h", "name"])
     less = F.filter("runs", lambda r: r["least"] < F.col("key"))
     spans = found.select("key", "version", "start", F.explode(less).alias("r")).select("key", "version", F.struct((F.col("start") + F.col("r.first")).alias("start"), F.col("r.n").alias("n")).alias("gone"))

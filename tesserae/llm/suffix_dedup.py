@@ -308,10 +308,11 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     once = able.join(by_row.hint("shuffle_hash"), F.col("key") == F.col("of")).drop("of")
     places = once.mapInArrow(_cut_segments, "h long, key long, version binary, start int, windows int, offset int, segment binary")
     places = cut(places.withColumn("name", F.xxhash64("segment", "offset")))
+    discard([able, by_row])
     kinds = places.groupBy("h", "name").agg(F.min("key").alias("rank"), F.max("key").alias("most"), F.first("windows").alias("windows"), F.first("offset").alias("offset"), F.first("segment").alias("segment"))
     kinds = cut(kinds)
     verdict = verdicts(kinds)
-    discard([kinds, by_row])
+    discard([kinds])
     found = places.select("h", "name", "key", "version", "start").join(verdict, ["h", "name"])
     less = F.filter("runs", lambda r: r["least"] < F.col("key"))
     spans = found.select("key", "version", "start", F.explode(less).alias("r")).select("key", "version", F.struct((F.col("start") + F.col("r.first")).alias("start"), F.col("r.n").alias("n")).alias("gone"))

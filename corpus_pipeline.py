@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages; each reads what the one before it wrote.
 
-Language ID keeps documents whose language is recognised; line dedup takes recurring lines out of texts; SimHash keeps
-one document of each near-duplicate group; decontamination takes out documents with benchmark passages; BPE gives the
+Language ID keeps documents whose language is recognised; line dedup takes recurring lines out of texts; near-dedup
+keeps one document of each group of five-word similarity 0.8 or more; decontamination takes out documents with benchmark passages; BPE gives the
 token ids of what is left.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tesserae.functions.storage import cut
-from tesserae.llm import bpe, decontaminate, langid, line_templates, simhash
+from tesserae.llm import bpe, decontaminate, langid, line_templates, shingle_dedup
 from tesserae.llm.registry import table, tokenizer_path
 
 
@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id."""
-    return simhash.drop_near_duplicates(docs)
+    return shingle_dedup.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 Benchmark items are cut into overlapping windows. A window of m characters that occurs in a text with at most k edits
 shares at least m + 1 - q (k + 1) of its q-grams with it, all on diagonals that differ by at most k. The q-grams of a
 text are looked up in an index of the items; hits are counted in overlapping diagonal bands; windows that meet the
-bound are aligned within the band.
+bound are aligned within the band, all of a block of texts at once.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tesserae.llm.blocks import cuts, texts
 
-Q = 12
+Q = 10
 TABLE_BITS = 22
 
 
@@ -28,117 +28,137 @@ def normalised(text: bytes) -> bytes:
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the ``Q`` bytes at each place (``Q`` is between 8 and 16)."""
-    if len(data) < Q:
+    n = len(data) - Q + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, 8)).view(np.uint64).ravel()
-    first, second = eight[: len(data) - Q + 1], eight[Q - 8 :]
-    h = (first * np.uint64(0x9E3779B97F4A7C15)) ^ ((second * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(5))
+    padded = np.r_[data, np.zeros(16, np.uint8)]
+    eight = np.empty(len(data) // 8 * 8 + 8, np.uint64)
+    for at in range(8):
+        eight[at::8] = padded[at : at + len(eight)].view(np.uint64)
+    h = (eight[:n] * np.uint64(0x9E3779B97F4A7C15)) ^ ((eight[Q - 8 :][:n] * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(5))
     return (h ^ (h >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
 
 
+def budget(length: int, rate: float) -> int:
+    """Edits that a window may have: its share, and few enough that the q-gram bound is 1 or more."""
+    return max(0, min(int(length * rate), length // Q - 1))
+
+
 @dataclass
 class Index:
-    """Windows of benchmark items and their q-grams, sorted by hash."""
+    """Benchmark items end to end, their windows and their q-grams, sorted by hash."""
 
-    items: np.ndarray  # item of each window
-    windows: list[np.ndarray]
+    data: np.ndarray
+    starts: np.ndarray  # of windows
+    sizes: np.ndarray
     edits: np.ndarray  # budget of each window
+    items: np.ndarray  # item of each window
     hashes: np.ndarray
-    window_of: np.ndarray
-    place_of: np.ndarray
+    places: np.ndarray  # of the q-grams, in ``data``
     present: np.ndarray
+    whole: dict[bytes, list[int]]  # items that only a text as a whole can be
 
     @classmethod
-    def build(cls, items: list[tuple[object, bytes]], window: int, rate: float, least: int) -> Index:
-        owner, windows, edits, h, w, p = [], [], [], [], [], []
+    def build(cls, items: list[tuple[object, bytes]], window: int, stride: int, rate: float, least: int) -> Index:
+        data, starts, sizes, owner, grams, whole, at = [], [], [], [], [], {}, 0
         for n, (_, text) in enumerate(items):
-            data = np.frombuffer(normalised(text), np.uint8)
-            if len(data) < least:
+            clean = normalised(text)
+            if len(clean) < max(least, Q):
+                if clean:
+                    whole.setdefault(clean, []).append(n)
                 continue
-            starts = sorted({*range(0, max(1, len(data) - window + 1), window // 2), max(0, len(data) - window)})
-            for at in starts:
-                part = data[at : at + window]
-                hashes = gram_hashes(part)
-                h.append(hashes)
-                w.append(np.full(len(hashes), len(windows)))
-                p.append(np.arange(len(hashes)))
-                owner.append(n)
-                windows.append(part)
-                edits.append(int(len(part) * rate))
-        empty = np.zeros(0, np.int64)
-        hashes = np.concatenate(h) if h else empty.astype(np.uint64)
+            last = max(0, len(clean) - window)
+            own = sorted({*range(0, last + 1, stride), last})
+            starts += [at + s for s in own]
+            sizes += [min(window, len(clean))] * len(own)
+            owner += [n] * len(own)
+            grams.append(np.arange(at, at + len(clean) - Q + 1))
+            data.append(clean)
+            at += len(clean)
+        every = np.frombuffer(b"".join(data), np.uint8)
+        places = np.concatenate(grams) if grams else np.zeros(0, np.int64)
+        hashes = gram_hashes(every)[places] if len(places) else np.zeros(0, np.uint64)
         order = np.argsort(hashes, kind="stable")
         present = np.zeros(1 << TABLE_BITS, bool)
         present[hashes >> np.uint64(64 - TABLE_BITS)] = True
-        cat = lambda x: (np.concatenate(x) if x else empty)[order]
-        return cls(np.array(owner, np.int64), windows, np.array(edits, np.int64), hashes[order], cat(w), cat(p), present)
-
-
-def banded_distance(a: np.ndarray, b: np.ndarray, band: int, limit: int) -> int:
-    """Least edits that turn ``a`` into some part of ``b``, along diagonals 0 to ``band``; over ``limit``: limit + 1."""
-    big = limit + 1
-    width = band + 1
-    row = np.zeros(width, np.int64)  # free start anywhere in the band
-    steps = np.arange(width)
-    for i, x in enumerate(a):
-        at = i + steps  # place in b that diagonal d meets
-        inside = (at >= 0) & (at < len(b))
-        same = np.zeros(width, bool)
-        same[inside] = b[at[inside]] == x
-        change = row + ~same
-        change[~inside] = big
-        drop = np.r_[row[1:], big] + 1  # a's character is left out
+        edits = [budget(s, rate) for s in sizes]
+        ints = lambda x: np.array(x, np.int64)
+        return cls(every, ints(starts), ints(sizes), ints(edits), ints(owner), hashes[order], places[order].astype(np.int32), present, whole)
+
+
+def banded_distances(a: np.ndarray, lengths: np.ndarray, b: np.ndarray, band: int, limits: np.ndarray) -> np.ndarray:
+    """Least edits that turn each row of ``a`` (its first ``lengths``) into some part of the row of ``b``, along diagonals
+    0 to ``band``; over the row's limit: limit + 1. Zeros in ``b`` are no characters."""
+    big = limits[:, None] + 1
+    steps = np.arange(band + 1)
+    row = np.zeros((len(a), band + 1), np.int64)  # free start anywhere in the band
+    b = np.pad(b, ((0, 0), (0, max(0, a.shape[1] + band - b.shape[1]))))
+    for i in range(a.shape[1]):
+        met = b[:, i : i + band + 1]
+        change = np.where(met == 0, big, row + (met != a[:, i : i + 1]))
+        drop = np.concatenate([row[:, 1:], big], axis=1) + 1  # a's character is left out
         best = np.minimum(change, drop)
-        row = np.minimum.accumulate(best - steps) + steps  # b's characters are left out
-        if row.min() > limit:
-            return big
-    return int(min(row.min(), big))
+        best = np.minimum.accumulate(best - steps, axis=1) + steps  # b's characters are left out
+        row = np.where((i < lengths)[:, None], best, row)
+    return np.minimum(row.min(1), limits + 1)
 
 
-def matches(index: Index, data: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
-    """(text, item) -> (windows found, fewest edits), for texts laid end to end with a gap between them."""
+def matches(index: Index, data: np.ndarray, ends: np.ndarray, batch: int = 4096) -> dict[tuple[int, int], tuple[int, int]]:
+    """(text, item) -> (windows found, fewest edits), for texts laid end to end with a gap of zeros between them."""
     found: dict[tuple[int, int], tuple[int, int]] = {}
     if not len(index.hashes) or len(data) < Q:
         return found
     h = gram_hashes(data)
     at = np.flatnonzero(index.present[h >> np.uint64(64 - TABLE_BITS)])
-    lo = np.searchsorted(index.hashes, h[at], "left")
-    hi = np.searchsorted(index.hashes, h[at], "right")
-    at, lo, n = at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+    h = h[at]
+    lo = np.searchsorted(index.hashes, h, "left")
+    there = index.hashes[np.minimum(lo, len(index.hashes) - 1)] == h
+    at, lo, h = at[there], lo[there], h[there]
     if not len(at):
         return found
+    n = np.searchsorted(index.hashes, h, "right") - lo
     pick = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-    place, window, offset = np.repeat(at, n), index.window_of[pick], index.place_of[pick]
-    diagonal = place - offset
-    widest = int(index.edits.max()) + 1
-    most = int(diagonal.max()) + widest * 2 + 2
-    keys = []
+    place, where = np.repeat(at, n), index.places[pick].astype(np.int64)
+    wide = int(index.edits.max()) + 1
+    total = len(index.data) + 1
+    diagonal = place - where + total  # over 0
+    least = int((index.sizes + 1 - Q * (index.edits + 1)).min())
+    span = int(index.sizes.max()) - Q
     for half in (0, 1):  # bands of twice the width, each shifted by half: a match lies whole in one of them
-        band = (diagonal + widest * (1 + half)) // (2 * widest)
-        code = (window * (most // widest + 4) + band) * 2 + half
-        keys.append(np.stack([code, offset]))
-    code, offset = np.concatenate(keys, axis=1)
-    pairs = np.unique(code * 1024 + offset)  # each q-gram of a window counts once in a band
-    bands, counts = np.unique(pairs // 1024, return_counts=True)
-    half, rest = bands % 2, bands // 2
-    per = most // widest + 4
-    window, band = rest // per, rest % per
-    sizes = np.array([len(w) for w in index.windows])
-    need = np.maximum(1, sizes[window] + 1 - Q * (index.edits[window] + 1))
-    for k in np.flatnonzero(counts >= need):
-        w = int(window[k])
-        start = int(band[k]) * 2 * widest - widest * (1 + int(half[k]))
-        low = max(0, start)
-        part = data[low : start + 2 * widest + len(index.windows[w]) + 1]
-        if start < 0:  # diagonals before the first text
-            part = np.concatenate([np.zeros(-start, np.uint8), part])
-        edits = banded_distance(index.windows[w], part, 2 * widest, int(index.edits[w]))
-        if edits <= index.edits[w]:
-            text = int(np.searchsorted(ends, max(0, start + widest) + len(index.windows[w]) // 2, "right"))
-            key = (text, int(index.items[w]))
-            old = found.get(key, (0, edits))
-            found[key] = (old[0] + 1, min(old[1], edits))
-    return found
+        band = (diagonal + wide * half) // (2 * wide)
+        code = np.unique(band * total + where)  # each q-gram of an item counts once in a band
+        # hits from which a window's worth of places holds enough others, and the windows about them
+        dense = np.flatnonzero(np.searchsorted(code, code + span, "right") - np.arange(len(code)) >= max(1, least))
+        if not len(dense):
+            continue
+        band, where_ = code[dense] // total, code[dense] % total
+        first = np.searchsorted(index.starts, where_ - span, "left")
+        last = np.searchsorted(index.starts, where_, "right")
+        many = last - first
+        window = np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+        pairs = np.unique(np.repeat(band, many) * len(index.starts) + window)
+        band, window = pairs // len(index.starts), pairs % len(index.starts)
+        begin = band * total + index.starts[window]
+        count = np.searchsorted(code, begin + index.sizes[window] - Q, "right") - np.searchsorted(code, begin, "left")
+        able = count >= np.maximum(1, index.sizes[window] + 1 - Q * (index.edits[window] + 1))
+        band, window = band[able], window[able]
+        for k in range(0, len(band), batch):
+            w = window[k : k + batch]
+            sizes, limits = index.sizes[w], index.edits[w]
+            start = band[k : k + batch] * 2 * wide - wide * half - total + index.starts[w]  # of the band's first diagonal
+            most = int(sizes.max())
+            rows = index.data[np.minimum(index.starts[w][:, None] + np.arange(most), len(index.data) - 1)]
+            cells = start[:, None] + np.arange(most + 2 * wide)
+            inside = (cells >= 0) & (cells < len(data))
+            part = np.where(inside, data[np.clip(cells, 0, len(data) - 1)], 0)
+            edits = banded_distances(rows, sizes, part, 2 * wide - 1, limits)
+            ok = np.flatnonzero(edits <= limits)
+            text = np.searchsorted(ends, np.clip(start[ok] + wide + sizes[ok] // 2, 0, len(data) - 1), "right")
+            for t, i, e, s in zip(text.tolist(), index.items[w[ok]].tolist(), edits[ok].tolist(), w[ok].tolist()):
+                seen = found.setdefault((t, i), (set(), e))
+                seen[0].add(s)
+                found[t, i] = (seen[0], min(seen[1], e))
+    return {key: (len(windows), edits) for key, (windows, edits) in found.items()}
 
 
 def blocks_of(benchmark: DataFrame, text: str, key: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
@@ -162,31 +182,37 @@ def contaminated(
     key: str = "doc_id",
     item_text: str = "text",
     item_key: str = "item_id",
-    window: int = 96,
-    rate: float = 0.0625,
-    least: int = 40,
+    window: int = 64,
+    stride: int = 8,
+    rate: float = 0.08,
+    least: int = 16,
     block_bytes: int = 4 << 20,
 ) -> DataFrame:
     """``key, item_key, n_regions, edits`` for each row and benchmark item of which a window occurs in the text.
 
-    Items are cut into windows of ``window`` characters (bytes of the normalised text), a shorter item is one; a
-    window may differ in ``rate`` of its characters. Items below ``least`` characters cannot be told from chance and
-    are left out. The benchmark is sent to the tasks in blocks of ``block_bytes``; each block is one pass over the
-    texts. Null and empty texts match nothing, equal rows each get their results, and an empty benchmark gives none.
+    Items are cut into windows of ``window`` characters (bytes of the normalised text) that begin every ``stride``
+    characters, so an excerpt of ``window + stride - 1`` characters holds a whole one; a shorter item is one window. A
+    window may differ in ``rate`` of its characters, but not in so many that no q-gram need be left. An item below
+    ``least`` characters cannot be told from chance inside a text and is found where the whole text is equal to it.
+    ``n_regions`` counts windows, ``edits`` is the fewest of one. The benchmark goes to the tasks in blocks of
+    ``block_bytes`` (about 20 bytes for each, and a table of 4 MB); each block is one pass over the texts. Null and
+    empty texts match nothing, equal rows each get their results, and an empty benchmark gives none.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
     kind, item_kind = rows.schema["key"].dataType, benchmark.schema[item_key].dataType
     schema = f"key {kind.simpleString()}, item int, n_regions long, edits long"
     out = None
     for block in blocks_of(benchmark, item_text, item_key, block_bytes):
-        index = docs.sparkSession.sparkContext.broadcast(Index.build(block, window, rate, least))
+        index = docs.sparkSession.sparkContext.broadcast(Index.build(block, window, stride, rate, least))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             gap = b"\0" * (2 * window)
             for part in cuts(batches, "text", 1 << 20):
-                clean = [normalised(t) + gap for t in texts(part.column("text"))]
-                ends = np.cumsum([len(t) for t in clean])
-                hits = matches(index.value, np.frombuffer(b"".join(clean), np.uint8), ends)
+                clean = [normalised(t) for t in texts(part.column("text"))]
+                ends = np.cumsum([len(t) + len(gap) for t in clean])
+                hits = matches(index.value, np.frombuffer(gap.join([*clean, b""]), np.uint8), ends)
+                if index.value.whole:
+                    hits |= {(t, i): (1, 0) for t, c in enumerate(clean) for i in index.value.whole.get(c, ())}
                 which = sorted(hits)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -27,7 +27,7 @@ def suffix_ranks(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     order = np.argsort(ids, kind="stable")
     rank = np.empty(n, np.int64)
     rank[order] = np.cumsum(np.r_[False, ids[order][1:] != ids[order][:-1]]) if n else 0
-    levels, step = [rank], 1
+    levels, step = [rank.astype(np.int32)], 1
     while n and (rank.max() < n - 1 or len(levels) <= WINDOW_LOG):
         ahead = np.full(n, -1, np.int64)
         ahead[:-step] = rank[step:] if step < n else ahead[:-step]
@@ -41,7 +41,7 @@ def suffix_ranks(ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
         new = np.empty(n, np.int64)
         new[order] = np.cumsum(np.r_[False, sorted_pair[1:] != sorted_pair[:-1]])
         rank = new
-        levels.append(rank)
+        levels.append(rank.astype(np.int32))
         step *= 2
     return order, levels
 
@@ -71,7 +71,7 @@ def _covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def measure(block: list[bytes], min_words: int = 8) -> dict[str, np.ndarray]:
+def measure(block: list[bytes], min_words: int = 5) -> dict[str, np.ndarray]:
     """Counts of each text; see ``repetition``."""
     split = [t.split() for t in block]
     counts = np.array([len(w) for w in split], np.int64)
@@ -129,15 +129,15 @@ def repetition(
     docs: DataFrame,
     text: str = "text",
     key: str = "doc_id",
-    min_words: int = 8,
+    min_words: int = 5,
     max_covered: float = 0.3,
-    max_longest: float = 0.25,
-    least_longest: int = 50,
+    max_longest: float = 0.08,
+    least_longest: int = 30,
 ) -> DataFrame:
     """Counts, base verdict and verdict of every text, in words between ASCII white space.
 
     ``n_covered`` is the union of the maximal repeated substrings of at least ``min_words`` words (every occurrence
-    counts), ``longest_repeat`` the longest. A text is kept if the base rules hold (20 words; at most 30 % of words
+    counts; shorter ones than the base rule's windows, so the limit is stricter), ``longest_repeat`` the longest. A text is kept if the base rules hold (20 words; at most 30 % of words
     in repeated 8-word windows), at most ``max_covered`` of its words are covered, and its longest repeat is within
     ``max_longest`` of its words or below ``least_longest`` words. Null and empty texts have no words, fail the base
     and are not kept. Repeated rows are each judged alone; other columns are left out.

@@ -88,7 +88,7 @@ def test_line_templates(spark):
     assert got[1]["text"] == texts[1] and got[1]["n_dropped"] == 0  # the smallest key keeps its line
     for k in range(2, 9):
         lines = texts[k].split("\n")
-        assert got[k]["text"] == "\n".join([lines[0], lines[2], lines[3]]) and got[k]["n_dropped"] == 1
+        assert got[k]["text"] == "\n".join([lines[0], lines[2]]) and got[k]["n_dropped"] == 2  # the template and the short line
     assert got[22]["text"] == "" and got[20]["text"] == "" and got[20]["n_lines"] == 1
 
 
@@ -121,14 +121,20 @@ def remove_brute(texts):
     return out
 
 
-def test_suffix_array():
+def test_suffix_order():
     rnd = random.Random(2)
-    for _ in range(200):
-        texts = [bytes(rnd.choice(b"ab" if rnd.random() < 0.5 else b"abcd") for _ in range(rnd.randint(0, 14))) for _ in range(rnd.randint(1, 5))]
-        order = suffix_dedup.suffix_array(texts)
-        assert sorted(order) == [(t, i) for t in range(len(texts)) for i in range(len(texts[t]) + 1)]
-        strings = [texts[t][i:] for t, i in order]
-        assert strings == sorted(strings)
+    for _ in range(600):
+        letters = rnd.choice([[2], [2, 3], [2, 3, 4, 5], list(range(2, 300))])
+        text = [rnd.choice(letters) for _ in range(rnd.randint(0, 60))]
+        if rnd.random() < 0.3:
+            text = text[: rnd.randint(1, 5)] * rnd.randint(1, 12)
+        text = [*text, 0]
+        assert suffix_dedup.suffix_order(text) == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+def test_suffix_order_of_a_rising_text():
+    text = [*range(2, 20_002), 0]
+    assert suffix_dedup.suffix_order(text) == [20_000, *range(20_000)]
 
 
 def test_suffix_dedup(spark):
@@ -286,6 +292,7 @@ def edit_brute(a, b):
 
 def test_banded_alignment():
     rnd = random.Random(12)
+    rows = []
     for _ in range(200):
         a = [rnd.choice(b"abcd") for _ in range(rnd.randint(5, 30))]
         b = list(a)
@@ -293,10 +300,11 @@ def test_banded_alignment():
             p = rnd.randrange(len(b))
             rnd.choice([lambda: b.pop(p), lambda: b.insert(p, 97), lambda: b.__setitem__(p, 100)])()
         pad = rnd.randint(4, 8)
-        b = [120] * pad + b + [120] * 3
-        limit = 4
-        got = decontaminate.banded_distance(np.array(a, np.uint8), np.array(b, np.uint8), 12, limit)
-        assert got == min(edit_brute(a, b), limit + 1)
+        rows.append((a, [120] * pad + b + [120] * 3))
+    wide = lambda xs: np.array([x + [0] * (max(map(len, xs)) - len(x)) for x in xs], np.uint8)
+    limits = np.full(len(rows), 4)
+    got = decontaminate.banded_distances(wide([a for a, _ in rows]), np.array([len(a) for a, _ in rows]), wide([b for _, b in rows]), 12, limits)
+    assert got.tolist() == [min(edit_brute(a, b), 5) for a, b in rows]
 
 
 FR = "le la les des une avec pour dans que qui est sont mais leur nous vous".split()
@@ -340,12 +348,16 @@ def test_quality_model(spark):
     assert all(r["score"] > 0.5 for r in quality_model.score(docs(spark, texts), one).collect())
 
 
+def covered_brute(w, n):
+    places = {}
+    for i in range(len(w) - n + 1):
+        places.setdefault(tuple(w[i : i + n]), []).append(i)
+    return {j for v in places.values() if len(v) > 1 for i in v for j in range(i, i + n)}
+
+
 def repeats_brute(t):
     w = re.findall(rb"[^\x20\x09-\x0D]+", t)
-    places = {}
-    for i in range(len(w) - 7):
-        places.setdefault(tuple(w[i : i + 8]), []).append(i)
-    covered = {j for v in places.values() if len(v) > 1 for i in v for j in range(i, i + 8)}
+    covered = covered_brute(w, 8)
     lines, seen, dup = t.split(b"\n"), set(), 0
     for x in lines:
         if re.search(rb"[^\x20\x09-\x0D]", x):
@@ -373,7 +385,19 @@ def test_repetition(spark):
         r, want = got[k], repeats_brute((t or "").encode())
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["longest_repeat"]) == want
         assert r["base_failed"] == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r["base_failed"] and r["kept"])
-        assert r["n_covered"] == want[4]
+        assert r["n_covered"] == len(covered_brute(re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()), 5))
+
+
+def test_repetition_verdicts(spark):
+    rnd = random.Random(25)
+    plain = words(rnd, 300).split()
+    five = " ".join(f"one two three four five {w}{i}" for i, w in enumerate(plain[:60]))
+    block = " ".join(f"w{i}" for i in range(50))
+    clean = " ".join(f"{w}{i}" for i, w in enumerate(plain))
+    texts = [five, f"{block} {clean} {block}", clean, f"{clean} {' '.join(f'x{i}' for i in range(9000))} {block} and {block}"]
+    got = {r["doc_id"]: r for r in repetition.repetition(docs(spark, texts)).collect()}
+    assert [got[k]["base_failed"] for k in range(4)] == [False] * 4
+    assert [got[k]["kept"] for k in range(4)] == [False, False, True, True]
 
 
 @pytest.mark.parametrize("make", [lambda d: repetition.repetition(d), lambda d: simhash.near_duplicates(d), lambda d: line_templates.drop_recurring_lines(d), lambda d: bpe.encode(d, tokenizer_path())])

@@ -1,13 +1,15 @@
 """Personal data: patterns with checks, and terms that give a protected entity away.
 
-An entity is the value of a base match. A term that stands near it is scored by how much of the entity's information
+An entity is the value of a match. A term that stands near it is scored by how much of the entity's information
 it reveals: pointwise mutual information over the entity's information content, both from row counts over the whole
 corpus (1: whoever reads the term knows the entity). Terms over a threshold are removed, those over a lower one are
-replaced by what kind of entity they point at. Everything is DataFrame functions.
+replaced by what kind of entity they point at. Beside the base kinds, long tokens whose characters carry as much
+information as random ones are secrets. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,9 +25,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
+#: Kinds that the method adds: tokens of letters and digits with many different characters.
+ADDED = {"secret": r"(?<![A-Za-z0-9+=_-])[A-Za-z0-9+=_-]{20,}+"}
+_DISTINCT = 10
+ALL = (*KINDS, *ADDED)
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}+"
-SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 #: Terms that are sent whole to every executor at most; beyond that the joins shuffle.
 BROADCAST_TERMS = 50_000
 
@@ -52,38 +57,77 @@ def _passes(kind: str, value: Column) -> Column:
         return _luhn(value)
     if kind == "phone":
         return F.length(_digits(value)).between(8, 15)
+    if kind == "secret":
+        return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= _DISTINCT)
     return F.lit(True)
 
 
 def _maybe(kind: str, text: Column) -> Column:
     """Whether a text can match at all, found out cheaply."""
-    return {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, text.rlike("[0-9]"))
+    return {"email": text.contains("@"), "phone": text.contains("+"), **{k: text.rlike(p) for k, p in ADDED.items()}}.get(kind, text.rlike("[0-9]"))
 
 
-def _positions(matches: Column, gaps: Column, kind: str, keep, found: Column | None = None) -> Column:
-    """Spans of the matches: each starts where the gaps and matches before it end. Counted in code points."""
-    none = F.array().cast(SPAN)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once; a column would be put into its place wherever it is named."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.when(keep(pair["value"], start, end), F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
 
-    pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
+def _before(lengths: Column, part: int = 128) -> Column:
+    """For each of some numbers the sum of those before it. Sums of parts keep the work near linear."""
+    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, b: a + b)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
 
+    def sums(parts: Column) -> Column:
+        starts = F.aggregate(F.transform(parts, lambda x: add(x)), begin, lambda s, v: F.struct((s["at"] + v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+        return F.flatten(F.zip_with(parts, starts, lambda xs, start: F.transform(xs, lambda _, i: start + add(F.slice(xs, F.lit(1), i)))))
 
-def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with one column of spans for each kind: ``spans_email`` and so on. Null texts have none."""
-    parts = {}
-    for kind, pattern in PATTERNS.items():
-        maybe = _maybe(kind, F.col(text))
-        parts[f"_m_{kind}"] = F.when(maybe, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-        parts[f"_g_{kind}"] = F.when(F.size(f"_m_{kind}") > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-    wide = docs.withColumns({k: v for k, v in parts.items() if k.startswith("_m")}).withColumns({k: v for k, v in parts.items() if k.startswith("_g")})
-    spans = {f"spans_{kind}": _positions(F.col(f"_m_{kind}"), F.col(f"_g_{kind}"), kind, lambda v, s, e, kind=kind: _passes(kind, v)) for kind in KINDS}
-    return wide.withColumns(spans).drop(*parts)
+    cut_up = lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / part).cast("int")), lambda i: F.slice(n, i * part + 1, F.lit(part)))
+    return F.when(F.size(lengths) > 0, _let(cut_up(lengths), sums)).otherwise(F.array().cast("array<int>"))
+
+
+def _positions(matches: Column, gaps: Column, kind: str, keep: Callable[[Column], Column]) -> Column:
+    """Spans of the matches: each starts where the gaps and matches before it end, in code points.
+
+    ``keep`` says of a span whether it stays; ``at`` is the number of its match.
+    """
+
+    def placed(pairs: Column, before: Column) -> Column:
+        def span(pair: Column, i: Column) -> Column:
+            start = before[i] + pair["gap"]
+            return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(pair["value"])).alias("end"), pair["value"].alias("value"), i.alias("at"))
+
+        return F.filter(F.transform(pairs, span), lambda s: keep(s))
+
+    pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda v, g: F.struct(v.alias("value"), F.length(g).alias("gap"), (F.length(g) + F.length(v)).alias("both")))
+    return _let(pairs, lambda p: _let(_before(F.transform(p, lambda x: x["both"])), lambda b: placed(p, b)))
+
+
+def _spans_of(text: Column, kind: str, pattern: str, near: int) -> Column:
+    """Spans of a kind with the text about them."""
+
+    def about(s: Column, gaps: Column) -> Column:
+        gap = lambda i: F.coalesce(F.get(gaps, s["at"] + i), F.lit(""))
+        whole = [F.concat_ws(" ", *(gap(i) for i in way)) for way in ((-2, -1, 0), (1, 2, 3))]
+        left = _let(whole[0], lambda x: F.when(F.length(x) > near, F.regexp_replace(F.substring(x, -near, near), r"^\S++", "")).otherwise(x))
+        right = _let(whole[1], lambda x: F.when(F.length(x) > near, F.regexp_replace(F.substring(x, 1, near), r"(?<!\S)\S++$", "")).otherwise(x))
+        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), left.alias("left"), right.alias("right"))
+
+    def spans(matches: Column, gaps: Column) -> Column:
+        found = _positions(matches, gaps, kind, lambda s: _passes(kind, s["value"]))
+        return F.transform(found, lambda s: about(s, gaps))
+
+    none = F.array().cast("array<string>")
+    matches = F.when(_maybe(kind, text), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+    return _let(matches, lambda m: _let(F.when(F.size(m) > 0, F.split(text, pattern, -1)).otherwise(none), lambda g: spans(m, g)))
+
+
+def base_spans(docs: DataFrame, text: str = "text", near: int = 320) -> DataFrame:
+    """``docs`` with one column of spans for each kind: ``spans_email`` and so on. Null texts have none.
+
+    A span also has ``left`` and ``right``: up to ``near`` code points of text about it, whole words, across one or two
+    other matches of its kind, whose values are left out.
+    """
+    return docs.withColumns({f"spans_{kind}": _spans_of(F.col(text), kind, pattern, near) for kind, pattern in (PATTERNS | ADDED).items()})
 
 
 def _terms(text: Column, least: int) -> Column:
@@ -99,24 +143,26 @@ def _entity(s: Column) -> Column:
 def _contexts(found: DataFrame, window: int, least: int) -> DataFrame:
     """``kind, entity, term, context`` of each term within ``window`` terms of an entity, once for each row.
 
-    Two more kinds of rows come along, so that one pass counts all: kind ``any`` once for each row and term near any
-    entity, and an empty term once for each row and entity.
+    A row's context of an entity and a term is what stands about one of the entity's places in it. Two more kinds of
+    rows come along, so that one pass counts all: kind ``any`` once for each row and term near any entity, and an
+    empty term once for each row and entity.
     """
-    width = 40 * window
-    spans = F.concat(*(F.col(f"spans_{k}") for k in KINDS))
-    text = F.col("text")
+    spans = F.concat(*(F.col(f"spans_{k}") for k in ALL))
 
     def near(s: Column) -> Column:
-        before = F.slice(F.reverse(_terms(F.substring(text, F.greatest(s["start"] - width, F.lit(0)) + 1, F.least(s["start"], F.lit(width))), least)), 1, window)
-        after = F.slice(_terms(F.substring(text, s["end"] + 1, F.lit(width)), least), 1, window)
+        before = F.slice(F.reverse(_terms(s["left"], least)), 1, window)
+        after = F.slice(_terms(s["right"], least), 1, window)
         return F.struct(s["kind"].alias("kind"), _entity(s).alias("entity"), F.xxhash64(before, after).alias("context"), F.array_distinct(F.concat(before, after)).alias("terms"))
 
     rows = found.select(F.transform(spans, near).alias("near"))
-    once = F.array_distinct(F.transform("near", lambda n: F.struct(n["kind"].alias("kind"), n["entity"].alias("entity"))))
-    whole = F.transform(once, lambda e: F.struct(e["kind"].alias("kind"), e["entity"].alias("entity"), F.lit(0).cast("long").alias("context"), F.array(F.lit("")).alias("terms")))
-    every = F.struct(F.lit("any").alias("kind"), F.lit("").alias("entity"), F.lit(0).cast("long").alias("context"), F.array_distinct(F.flatten(F.transform("near", lambda n: n["terms"]))).alias("terms"))
-    one = rows.select(F.explode(F.concat("near", whole, F.array(every))).alias("n"))
-    return one.select("n.kind", "n.entity", "n.context", F.explode("n.terms").alias("term"))
+    item = lambda kind, entity, term, context: F.struct(kind.alias("kind"), entity.alias("entity"), term.alias("term"), context.cast("long").alias("context"))
+    each = F.flatten(F.transform("near", lambda n: F.transform(n["terms"], lambda t: item(n["kind"], n["entity"], t, n["context"]))))
+    zero = F.lit(0).cast("long")
+    whole = F.transform("near", lambda n: item(n["kind"], n["entity"], F.lit(""), zero))
+    every = F.transform(F.flatten(F.transform("near", lambda n: n["terms"])), lambda t: item(F.lit("any"), F.lit(""), t, zero))
+    same = lambda a, b: (a["kind"] == b["kind"]) & (a["entity"] == b["entity"]) & (a["term"] == b["term"])
+    once = _let(F.array_sort(F.concat(each, whole, every)), lambda all_: F.filter(all_, lambda x, i: (i == 0) | ~same(F.get(all_, i - 1), x)))
+    return rows.select(F.explode(once).alias("n")).select("n.*")
 
 
 def _semi(rows: DataFrame, terms: DataFrame, size: int) -> DataFrame:
@@ -124,13 +170,13 @@ def _semi(rows: DataFrame, terms: DataFrame, size: int) -> DataFrame:
     return rows.join(F.broadcast(terms) if size <= BROADCAST_TERMS else terms, "term")
 
 
-def revealing_terms(found: DataFrame, window: int = 8, least: int = 4, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+def revealing_terms(found: DataFrame, window: int = 8, least: int = 2, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """``term, kind, disclosure, action`` of the terms that reveal an entity.
 
-    ``found`` has ``text`` and the base spans. A pair counts once it is seen in ``support`` different contexts, so
-    that copies of one passage are no evidence. Disclosure is log(P(entity | term) / P(entity)) / log(1 / P(entity)).
+    ``found`` has ``text`` and the spans. A pair counts once it is seen in ``support`` different contexts of different
+    rows, so that copies of one passage are no evidence. Terms below ``least`` letters are not judged. Disclosure is log(P(entity | term) / P(entity)) / log(1 / P(entity)).
     """
-    there = F.exists(F.array(*(F.size(f"spans_{k}") > 0 for k in KINDS)), lambda x: x)
+    there = F.exists(F.array(*(F.size(f"spans_{k}") > 0 for k in ALL)), lambda x: x)
     near = cut(_contexts(found.where(there), window, least).groupBy("kind", "entity", "term", "context").agg(F.count("*").alias("n")))
     total = found.count()
     by_entity = near.where("term = ''").select("kind", "entity", (F.col("n") / F.lit(float(max(total, 1)))).alias("prior")).where("prior < 1")
@@ -162,16 +208,17 @@ def _sanitised(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) == 0, text).otherwise(done)
 
 
-def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = 8, least: int = 4, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
+def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = 8, least: int = 2, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
     """``key, text, spans_<kind>..., spans_term, sanitised`` of every row.
 
     Spans are ``kind, start, end`` (code points, end exclusive) and ``value``; for terms the value is what replaces
-    them. Base matches are leftmost and do not overlap within a kind; matches that fail their check are dropped.
-    Terms inside a base span are left to it. Null texts count as empty; rows may repeat and keys may be null: equal
-    keys share the terms found for any of them, each in its own text. Other columns are left out.
+    them. Base matches are leftmost and do not overlap within a kind; matches that fail their check are dropped. The
+    kind ``secret`` is added to the base kinds. Terms inside another span are left to it. Null texts count as empty;
+    rows may repeat and keys may be null: equal keys share the terms found for any of them, each in its own text.
+    Other columns are left out.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = base_spans(rows)
+    found = base_spans(rows, near=40 * window)
     terms = cut(revealing_terms(found, window, least, support, generalise, remove))
     size = terms.count()
     seen = found.select("key", F.explode(F.array_distinct(_terms(F.col("text"), least))).alias("term"))
@@ -181,15 +228,19 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", window: i
         joined = found.withColumn("hits", F.lit(None).cast("map<string,string>"))
     else:
         joined = found.join(hits.withColumnRenamed("key", "hit_key").hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("hit_key")), "left").drop("hit_key")
-    base = F.concat(*(F.col(f"spans_{k}") for k in KINDS))
-    joined = joined.withColumn("_m", F.when(F.col("hits").isNotNull(), F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    joined = joined.withColumn("_g", F.when(F.col("hits").isNotNull(), F.split("text", TERM, -1)).otherwise(F.array().cast("array<string>")))
-    keep = lambda v, s, e: F.map_contains_key(F.col("hits"), F.lower(v)) & ~F.exists(base, lambda b: (b["start"] < e) & (b["end"] > s))
-    spans = _positions(F.col("_m"), F.col("_g"), "term", lambda v, s, e: F.coalesce(keep(v, s, e), F.lit(False)))
-    spans = F.transform(spans, lambda s: s.withField("value", F.col("hits")[F.lower(s["value"])]))
-    out = joined.withColumn("spans_term", F.when(F.col("hits").isNotNull(), spans).otherwise(F.array().cast(SPAN)))
-    out = out.withColumn("sanitised", _sanitised(F.col("text"), F.concat(base, F.col("spans_term"))))
-    return out.select(F.col("key").alias(key), "text", *(f"spans_{k}" for k in (*KINDS, "term")), "sanitised")
+    plain = lambda c: F.transform(c, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    joined = joined.withColumns({f"spans_{k}": plain(F.col(f"spans_{k}")) for k in ALL}).withColumn("_base", F.concat(*(F.col(f"spans_{k}") for k in ALL)))
+
+    def terms_of(base: Column) -> Column:
+        free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+        keep = lambda s: F.when(F.map_contains_key(F.col("hits"), F.lower(s["value"])), free(s)).otherwise(False)
+        found = _let(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda m: _positions(m, F.split("text", TERM, -1), "term", keep))
+        return F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.col("hits")[F.lower(s["value"])].alias("value")))
+
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
+    out = joined.withColumn("spans_term", F.when(F.col("hits").isNotNull(), _let(F.col("_base"), terms_of)).otherwise(none))
+    out = out.withColumn("sanitised", _sanitised(F.col("text"), F.concat("_base", F.col("spans_term"))))
+    return out.select(F.col("key").alias(key), "text", *(f"spans_{k}" for k in (*ALL, "term")), "sanitised")
 
 
 def joined(*spans: str) -> Column:

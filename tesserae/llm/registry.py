@@ -39,7 +39,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *(F.size(f"spans_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS),
         F.sha2(F.array_join(pii.joined(*base), ","), 256).alias("base_sha256"),
-        F.array_join(pii.joined(*base, "spans_term"), ",").alias("spans"),
+        F.array_join(pii.joined(*base, *(f"spans_{k}" for k in pii.ADDED), "spans_term"), ",").alias("spans"),
+        F.size("spans_secret").cast("long").alias("n_secret"),
         F.size("spans_term").cast("long").alias("n_term"),
         F.sha2("sanitised", 256).alias("sanitised_sha256"),
     )
@@ -61,11 +62,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes are the quality labels of pages, by id: 0 is a bad page."""
+    """Outcomes are the rules' own verdicts on the pages they decide; no other table has outcomes of pages."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labels = table(spark, sf_dir, "labels").where("quality IS NOT NULL").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
-    outcomes = pages.join(labels, "page_id").select(url_reputation.url_parts(F.col("url"))[0].alias("host"), "bad")
-    return url_reputation.judge(pages, URL_RULES, outcomes).withColumn("bound", F.round("bound", 6))
+    return url_reputation.judge(pages, URL_RULES).withColumn("bound", F.round("bound", 6))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,12 +124,15 @@ def _url_sql() -> str:
     ranked = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
     fits = lambda h, p: f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
     chain = lambda pick: "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{pick(v, h + p)}'" for v, h, p in ranked) + " END"
+    many = "".join(x.replace(".", "\\.") + "|" for x in url_reputation.SUFFIXES)
     above = lambda t, key, up: f"SELECT t.n, t.bad, u.n AS pn, u.bad AS pb FROM {t} t JOIN {up} u ON u.{key} = t.{key}"
     return (
         "WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages), "
         f"h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{upper.lower()}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r), "
-        f"f AS (SELECT *, {chain(lambda v, r: r)} AS rule, {chain(lambda v, r: v)} AS ruled, list_extract(string_split(host, '.'), -1) AS suffix, array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 1, 1), len(string_split(host, '.'))), '.') AS domain FROM h), "
-        "hosts AS (SELECT host, domain, suffix, count(*) AS n, sum(1 - quality) AS bad FROM f JOIN labels l ON l.doc_id = f.page_id WHERE quality IS NOT NULL GROUP BY host, domain, suffix), "
+        f"f0 AS (SELECT *, {chain(lambda v, r: r)} AS rule, {chain(lambda v, r: v)} AS ruled, regexp_replace(regexp_replace(host, '^.*@', ''), '\\.?(:[0-9]*)?$', '') AS name FROM h), "
+        f"e AS (SELECT *, regexp_extract(name, '(?:^|\\.)({many}[^.]*)$', 1) AS tail, regexp_matches(name, '^[0-9]+(\\.[0-9]+){{3}}$') AS ip FROM f0), "
+        "f AS (SELECT page_id, host, path, rule, ruled, CASE WHEN ip THEN name ELSE tail END AS suffix, CASE WHEN ip THEN name WHEN length(name) > length(tail) THEN regexp_extract(substr(name, 1, length(name) - length(tail) - 1), '[^.]*$') || '.' || tail ELSE tail END AS domain FROM e), "
+        "hosts AS (SELECT host, domain, suffix, count(*) AS n, sum(CASE WHEN ruled = 'block' THEN 1 ELSE 0 END) AS bad FROM f WHERE ruled IS NOT NULL GROUP BY host, domain, suffix), "
         "domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix), "
         "total AS (SELECT coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad FROM hosts), "
         + ", ".join(

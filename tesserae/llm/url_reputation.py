@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tesserae.llm.joins import spread
+
 
 def url_parts(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a URL; both empty without ``://``."""
@@ -48,29 +50,43 @@ def _strength(counts: DataFrame, parent: str, weakest: float = 1.0, strongest: f
     return float(min(strongest, max(weakest, 1 / extra - 1)))
 
 
-def host_reputation(outcomes: DataFrame, block_at: float = 0.5, z: float = 1.0) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
+#: Public suffixes of more than one label; a parameter of ``judge``. Others are the last label.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "co.nz", "com.br", "com.cn", "co.in", "co.kr", "co.za", "com.mx", "com.tr")
+
+
+def host_levels(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column, Column]:
+    """Suffix and registered domain (one label more) of a host, without user and port; an IP address is both itself."""
+    name = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"\.?(:[0-9]*)?$", "")
+    many = "".join(s.replace(".", r"\.") + "|" for s in suffixes)
+    suffix = F.regexp_extract(name, rf"(?:^|\.)({many}[^.]*)$", 1)
+    rest = F.substring(name, F.lit(1), F.length(name) - F.length(suffix) - 1)
+    domain = F.when(F.length(name) > F.length(suffix), F.concat_ws(".", F.regexp_extract(rest, r"[^.]*$", 0), suffix)).otherwise(suffix)
+    ip = name.rlike(r"^[0-9]+(\.[0-9]+){3}$")
+    return F.when(ip, name).otherwise(suffix), F.when(ip, name).otherwise(domain)
+
+
+def host_reputation(outcomes: DataFrame, z: float = 1.0, suffixes: Sequence[str] = SUFFIXES) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
     """Posterior share of bad pages of every suffix, registered domain and host.
 
     ``outcomes`` has ``host`` and ``bad`` (0 or 1; null rows do not count). Each level's counts are shrunk towards its
-    parent's posterior mean: all pages, then suffix (last label), registered domain (last two), host. Returns tables
+    parent's posterior mean: all pages, then suffix, registered domain, host. Returns tables
     by suffix, domain and host with ``mean`` and ``bound`` (mean less ``z`` posterior standard deviations), and the
     overall values for what is in none of them. A level's strength is estimated from the spread of its groups.
     """
-    labels = F.split("host", r"\.")
+    suffix, domain = host_levels(F.col("host"), suffixes)
     seen = (
         outcomes.where(F.col("bad").isNotNull() & F.col("host").isNotNull())
         .groupBy("host")
         .agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-        .withColumn("suffix", F.element_at(labels, -1))
-        .withColumn("domain", F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)))
+        .withColumns({"suffix": suffix, "domain": domain})
     )
     total = seen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     mean = (total["bad"] + 1) / (total["n"] + 2)
-    suffixes = seen.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    by_suffix = seen.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = seen.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    k_suffix = _strength(suffixes.withColumns({"parent_n": F.lit(float(max(1, total["n"]))), "parent_bad": F.lit(float(total["bad"]))}), "all")
+    k_suffix = _strength(by_suffix.withColumns({"parent_n": F.lit(float(max(1, total["n"]))), "parent_bad": F.lit(float(total["bad"]))}), "all")
     above = lambda t, key: t.select(key, F.col("n").alias("parent_n"), F.col("bad").alias("parent_bad"))
-    k_domain = _strength(domains.join(above(suffixes, "suffix"), "suffix"), "suffix")
+    k_domain = _strength(domains.join(above(by_suffix, "suffix"), "suffix"), "suffix")
     k_host = _strength(seen.join(above(domains, "domain"), "domain"), "domain")
 
     def posterior(t: DataFrame, prior: Column, k: float) -> DataFrame:
@@ -78,11 +94,11 @@ def host_reputation(outcomes: DataFrame, block_at: float = 0.5, z: float = 1.0)
         m = a / (a + b)
         return t.withColumn("mean", m).withColumn("bound", m - z * F.sqrt(m * (1 - m) / (a + b + 1)))
 
-    suffixes = posterior(suffixes, F.lit(mean), k_suffix)
+    by_suffix = posterior(by_suffix, F.lit(mean), k_suffix)
     prior = lambda t, key: t.select(key, F.col("mean").alias("prior"))
-    domains = posterior(domains.join(prior(suffixes, "suffix"), "suffix"), F.col("prior"), k_domain)
+    domains = posterior(domains.join(prior(by_suffix, "suffix"), "suffix"), F.col("prior"), k_domain)
     hosts = posterior(seen.join(prior(domains, "domain"), "domain"), F.col("prior"), k_host)
-    return suffixes, domains, hosts, {"mean": mean, "bound": mean - z * (mean * (1 - mean) / (total["n"] + 3)) ** 0.5}
+    return by_suffix, domains, hosts, {"mean": mean, "bound": mean - z * (mean * (1 - mean) / (total["n"] + 3)) ** 0.5}
 
 
 def judge(
@@ -92,6 +108,7 @@ def judge(
     url: str = "url",
     key: str = "page_id",
     block_at: float = 0.5,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """``key, host, path, rule, verdict, bound`` of every row.
 
@@ -107,16 +124,16 @@ def judge(
     parts = parts.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
     if outcomes is None:
         outcomes = parts.where("found IS NOT NULL").select("host", (F.col("found.verdict") == "block").cast("int").alias("bad"))
-    suffixes, domains, hosts, overall = host_reputation(outcomes)
-    labels = F.split("host", r"\.")
-    known = parts.select("host").distinct().withColumn("suffix", F.element_at(labels, -1)).withColumn("domain", F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)))
+    by_suffix, domains, hosts, overall = host_reputation(outcomes, suffixes=suffixes)
+    suffix, domain = host_levels(F.col("host"), suffixes)
+    known = parts.select("host").distinct().withColumns({"suffix": suffix, "domain": domain})
     best = (
         known.join(hosts.select("host", F.col("bound").alias("by_host")), "host", "left")
         .join(domains.select("domain", F.col("bound").alias("by_domain")), "domain", "left")
-        .join(suffixes.select("suffix", F.col("bound").alias("by_suffix")), "suffix", "left")
+        .join(by_suffix.select("suffix", F.col("bound").alias("by_suffix")), "suffix", "left")
         .select("host", F.coalesce("by_host", "by_domain", "by_suffix", F.lit(overall["bound"])).alias("bound"))
     )
-    return parts.join(best, "host", "left").select(
+    return spread(parts, best, ["host"], "left").select(
         F.col("page_key").alias(key),
         "host",
         "path",

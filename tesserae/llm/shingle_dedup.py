@@ -1,10 +1,12 @@
-"""Near-duplicates by exact shingle similarity: prefix filtering, stars about one member, then what is left.
-
-Two sets of Jaccard similarity t or more share an element among the first n - ceil(t n) + 1 of each, in any order of
-all elements that both follow. Here shingles that a bounded sample finds frequent come last, by their count, and the
-rest go by hash, so that what many texts have in common brings few of them together; the sample bears on speed alone.
-Texts that meet in a shingle are first compared with one of them, so that a large group of copies is joined without
-all its pairs; only pairs that meet and are not yet joined are compared after that. No pair is left out.
+"""Near-duplicates by shingle similarity: SimHash links first, then an exact join for the pairs that they miss.
+
+Fingerprints within a few bits are linked by the vantage-point trees of ``simhash`` and checked by the sets of
+shingles. A pair of Jaccard similarity 0.8 differs in about 10 of 64 bits, too many for any tree over them, so an exact
+join finds the others: two sets of Jaccard t or more share an element among the first n - ceil(t n) + 1 of each, in
+any order of all elements that both follow. Here shingles that a bounded sample finds frequent come last, by their
+count, and the rest go by hash, so that what many texts have in common brings few of them together; the sample bears
+on speed alone. Texts that meet in a shingle are first compared with one of them, so that a large group of copies is
+joined without all its pairs; only pairs that meet and are not yet joined are compared after that. No pair is left out.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from tesserae.functions.graph import components
 from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, texts
+from tesserae.llm.simhash import link_edges, majority
 
 SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -77,27 +80,19 @@ def _frequent(docs: DataFrame, words_per_shingle: int, sample_rows: int, least:
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, similarity: float, words_per_shingle: int) -> DataFrame:
     """The pairs ``u, v`` whose sets have the similarity, from the texts themselves."""
     wanted = cut(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct())
-    keys = nodes.join(wanted, "node", "left_semi").select(F.col("least").alias("key")).distinct()
-    chosen = docs.join(keys, "key", "left_semi").select("text")
+    chosen = nodes.join(wanted, "node", "left_semi").select(F.col("least").alias("key"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in cuts(batches, "text", 1 << 20):
-            found = [shingles(t, words_per_shingle) for t in texts(block.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "data"])
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for a, b in zip(batch.column("a"), batch.column("b")):
-                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("u").filter(keep), batch.column("v").filter(keep)], names=["u", "v"])
-
-    data = cut(chosen.mapInArrow(sets, "node long, data binary").join(wanted, "node", "left_semi"))
+            found = [shingles(t, words_per_shingle).view(np.int64) for t in texts(block.column("text"))]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate(found), pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in found], pa.int64()), lists], names=["node", "data"])
+
+    given = docs.join(chosen.select("key").distinct(), "key", "left_semi").select("text").mapInArrow(sets, "node long, data array<long>")
+    data = cut(given.join(wanted, "node", "left_semi").dropDuplicates(["node"]))
     both = pairs.join(data.select(F.col("node").alias("u"), F.col("data").alias("a")), "u").join(data.select(F.col("node").alias("v"), F.col("data").alias("b")), "v")
-    found = cut(both.select("u", "v", "a", "b").mapInArrow(check, "u long, v long").distinct())
+    shared = F.size(F.array_intersect("a", "b"))
+    found = cut(both.where(shared >= similarity * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v").distinct())
     discard([data])
     return found
 
@@ -116,6 +111,13 @@ def _near_in_size(similarity: float):
     return F.least("size", "other_size") >= F.greatest("size", "other_size") * similarity - 1e-9
 
 
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs that are not joined yet."""
+    of = lambda name: groups.select(F.col("node").alias(name), F.col("component").alias(f"{name}_group"))
+    both = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    return both.where(F.col("u_group").isNull() | F.col("v_group").isNull() | (F.col("u_group") != F.col("v_group"))).select("u", "v")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = 0.8, words_per_shingle: int = 5, sample_rows: int = 10_000) -> DataFrame:
     """``key, component_id`` of every row with a key: the smallest key that links of Jaccard ``similarity`` reach.
 
@@ -130,13 +132,25 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
         for block in cuts(batches, "text", 4 << 20):
             found = [shingles(t, words_per_shingle) for t in texts(block.column("text"))]
             first = [prefix(s, hashes, counts, similarity).view(np.int64) for s in found]
+            fps = np.array([majority(s) for s in found], np.uint64).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, first)]), pa.int32()), pa.array(np.concatenate(first), pa.int64()))
-            yield pa.RecordBatch.from_arrays([block.column("key"), pa.array([node_of(s) for s in found], pa.int64()), pa.array([len(s) for s in found], pa.int32()), lists], names=["key", "node", "size", "first"])
+            yield pa.RecordBatch.from_arrays(
+                [block.column("key"), pa.array([node_of(s) for s in found], pa.int64()), pa.array(fps), pa.array([len(s) for s in found], pa.int32()), lists],
+                names=["key", "node", "fp", "size", "first"],
+            )
 
-    wide = cut(given.mapInArrow(run, f"key {given.schema['key'].dataType.simpleString()}, node long, size int, first array<long>"))
+    wide = cut(given.mapInArrow(run, f"key {given.schema['key'].dataType.simpleString()}, node long, fp long, size int, first array<long>"))
     rows = cut(wide.select("key", "node"))
-    nodes = cut(rows.groupBy("node").agg(F.min("key").alias("least")))
-    single = wide.join(nodes.select("node", F.col("least").alias("key")), ["node", "key"], "left_semi")
+    nodes = cut(wide.groupBy("node").agg(F.min("key").alias("least"), F.min("fp").alias("fp")))
+    # SimHash links: every node to the least of its fingerprint, and that one along the trees' edges
+    by_fp = cut(nodes.groupBy("fp").agg(F.min("node").alias("lead")))
+    tree = link_edges(by_fp.select("fp"))
+    lead = lambda name: by_fp.select(F.col("fp").alias(name), F.col("lead").alias(f"{name}_lead"))
+    along = tree.join(lead("u"), "u").join(lead("v"), "v").select(F.col("u_lead").alias("u"), F.col("v_lead").alias("v"))
+    equal = nodes.join(by_fp, "fp").where("node <> lead").select(F.col("node").alias("u"), F.col("lead").alias("v"))
+    linked = _similar(cut(along.union(equal)), given, nodes, similarity, words_per_shingle)
+    groups = cut(components(linked))
+    single = wide.join(nodes.select("node", F.col("least").alias("key")), ["node", "key"], "left_semi").dropDuplicates(["node"])
     # one exchange serves both sides: the columns of the one are all used in the other
     dealt = single.select("node", "size", F.explode("first").alias("h")).repartition("h")
     shared = dealt.groupBy("h").agg(F.min("node").alias("lead"), F.max("node").alias("last"), F.max("size").alias("most")).where("lead <> last AND most > 0")
@@ -146,8 +160,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", si
     # a pair counts only where one of the two leads; those that this leaves out come after
     stars = meet.where("node <> lead").join(sizes, "h").where(_near_in_size(similarity))
     stars = stars.groupBy(F.col("node").alias("u"), F.col("lead").alias("v"), "size", "other_size").agg(F.count("*").alias("n")).where(_enough(similarity))
-    stars = cut(stars.select("u", "v"))
-    linked = _similar(stars, given, nodes, similarity, words_per_shingle)
+    stars = cut(_apart(stars.select("u", "v"), groups))
+    linked = linked.union(_similar(stars, given, nodes, similarity, words_per_shingle))
     groups = cut(components(linked))
     labelled = meet.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_ = labelled.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")

@@ -20,13 +20,22 @@ from pyspark.sql import DataFrame, functions as F
 from tesserae.functions.graph import components
 from tesserae.functions.storage import cut
 from tesserae.llm.blocks import cuts, texts
+from tesserae.llm.joins import spread
 
 SEED = 42
 BITS = 64
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Bit i is set if it is set in over half of the hashes."""
+    set_bits = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        set_bits += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
-    """Bit i is set if it is set in over half of the shingles' hashes; no words: 0."""
+    """The majority of the shingles' hashes; no words: 0."""
     words = text.lower().split()
     if not words:
         return 0
@@ -34,10 +43,7 @@ def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
         return xxhash.xxh64_intdigest(b" ".join(words), SEED)
     digest, join = xxhash.xxh64_intdigest, b" ".join
     hashes = np.array([digest(join(s), SEED) for s in zip(*(words[i:] for i in range(words_per_shingle)))], "<u8")
-    set_bits = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        set_bits += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id", words_per_shingle: int = 4) -> DataFrame:
@@ -107,7 +113,7 @@ class VantageTrees:
         return (np.concatenate(index), np.concatenate(found)) if index else (np.zeros(0, int), np.zeros(0, int))
 
 
-def local_links(points: np.ndarray, radius: int, rows: int = 256) -> np.ndarray:
+def linked_roots(points: np.ndarray, radius: int, rows: int = 256) -> np.ndarray:
     """For each distinct fingerprint of a shard, the index of its group's root under links within ``radius`` bits.
 
     Sorted by the distance to one of them, only those whose distances differ by at most ``radius`` can be linked.
@@ -139,12 +145,12 @@ def local_links(points: np.ndarray, radius: int, rows: int = 256) -> np.ndarray:
     return out
 
 
-def link_groups(fps: DataFrame, radius: int = 4, shard: int = 2048, sample_rows: int = 20_000) -> DataFrame:
-    """``fp, group_fp`` for every fingerprint of ``fps`` (distinct, column ``fp``) that has a link.
+def link_edges(fps: DataFrame, radius: int = 4, shard: int = 2048, sample_rows: int = 20_000, most: int = 1 << 15) -> DataFrame:
+    """Edges ``u, v`` within ``radius`` bits that join the fingerprints of ``fps`` (distinct, column ``fp``) as all links do.
 
-    A shard gives each linked fingerprint one edge to a root, never all pairs; groups across shards are joined as
-    connected components. The trees come from a sample of at most ``sample_rows`` fingerprints, every fingerprint is
-    routed, so the sample bears on speed alone.
+    A shard gives each linked fingerprint one edge to a root, never all pairs. The trees come from a sample of at most
+    ``sample_rows`` fingerprints, every fingerprint is routed, so the sample bears on speed alone. A shard of more than
+    ``most`` fingerprints is split by its data: of ``radius`` + 1 parts of the bits, linked ones have one in common.
     """
     there = fps.count()
     few = fps.orderBy(F.xxhash64("fp")).limit(sample_rows).collect()
@@ -158,12 +164,22 @@ def link_groups(fps: DataFrame, radius: int = 4, shard: int = 2048, sample_rows:
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         points = np.unique(rows["fp"].to_numpy(np.int64)).view(np.uint64)
-        root = local_links(points, radius)
+        root = linked_roots(points, radius)
         linked = root != np.arange(len(points))
         return pd.DataFrame({"u": points[linked].view(np.int64), "v": points[root[linked]].view(np.int64)})
 
-    edges = fps.select("fp").mapInArrow(route, "shard long, fp long").groupBy("shard").applyInPandas(join, "u long, v long")
-    return components(edges).select(F.col("node").alias("fp"), F.col("component").alias("group_fp"))
+    routed = cut(fps.select("fp").mapInArrow(route, "shard long, fp long"))
+    large = routed.groupBy("shard").count().where(F.col("count") > most).select("shard", F.lit(True).alias("large"))
+    width = BITS // (radius + 1) + 1
+    bits = lambda i: F.shiftrightunsigned("fp", i * width).bitwiseAND((1 << width) - 1)
+    parts = F.when(F.col("large"), F.array(*(bits(i) * (radius + 1) + i for i in range(radius + 1)))).otherwise(F.array(F.lit(-1).cast("long")))
+    dealt = spread(routed, large, ["shard"], "left").select("shard", F.explode(parts).alias("part"), "fp")
+    return dealt.groupBy("shard", "part").applyInPandas(join, "u long, v long")
+
+
+def link_groups(fps: DataFrame, radius: int = 4, **options) -> DataFrame:
+    """``fp, group_fp`` for every fingerprint of ``fps`` (distinct, column ``fp``) that has a link."""
+    return components(link_edges(fps, radius, **options)).select(F.col("node").alias("fp"), F.col("component").alias("group_fp"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4, words_per_shingle: int = 4) -> DataFrame:
@@ -182,8 +198,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ra
     return rows.join(label, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = 4, words_per_shingle: int = 4) -> DataFrame:
     """``docs`` without the rows whose group has a smaller key; rows without a key stay, as nothing names them."""
-    found = near_duplicates(docs, text, key, radius)
+    found = near_duplicates(docs, text, key, radius, words_per_shingle)
     gone = found.where(F.col(key) > F.col("component_id")).select(key).distinct()
     return docs.join(gone, key, "left_anti")

@@ -76,6 +76,27 @@ def test_pii_terms_that_give_an_entity_away(spark):
     assert found[40]["spans_term"] == [] and found[40]["sanitised"] == texts[40]
 
 
+def test_pii_of_many_matches_in_one_text(spark):
+    text = " ".join(f"user{k}@mail.example.com 10.0.{k % 256}.{k // 256}" for k in range(5_000))
+    row = pii.sanitise(docs(spark, [text])).select(F.array_join(pii.joined("spans_email", "spans_ip"), ",").alias("s"), F.length("sanitised").alias("n")).first()
+    assert row["s"] == base_spans(text) and row["n"] == len(" ".join(["<email> <ip>"] * 5_000))
+
+
+def test_pii_counts_rows_once(spark):
+    rnd = random.Random(35)
+    texts = [words(rnd, 40) + " contact us" for _ in range(80)]
+    texts[0] = " ".join(f"{words(rnd, 3)} contact root@corp.example {words(rnd, 3)}" for _ in range(30))
+    for k in (1, 2):
+        texts[k] += f" {words(rnd, 6)} contact root@corp.example {words(rnd, 6)}"
+    assert all(r["spans_term"] == [] for r in pii.sanitise(docs(spark, texts)).collect() if r["doc_id"] > 2)
+
+
+def test_pii_secrets(spark):
+    secret = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    row = pii.sanitise(docs(spark, [f'token = "{secret}" and averyveryverylongwordwithoutdigits 00000000000000000000001a'])).first()
+    assert [(s["start"], s["end"], s["value"]) for s in row["spans_secret"]] == [(9, 49, secret)] and secret not in row["sanitised"]
+
+
 def test_pii_of_an_empty_table(spark):
     assert pii.sanitise(docs(spark, [])).count() == 0
 

@@ -20,9 +20,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines whose template recurs; ``n_chars`` follows the text."""
+    """Every document, without the lines that recur in five documents; ``n_chars`` follows the text.
+
+    Long lines that only two documents share stay: copies of documents are the next stage's, which needs their lines.
+    """
     also = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = line_templates.drop_recurring_lines(docs, also=also)
+    found = line_templates.drop_recurring_lines(docs, min_docs_long=5, also=also)
     if "n_chars" in also:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)

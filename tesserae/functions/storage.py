@@ -35,6 +35,21 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_parts(df: DataFrame, by: str, values: list[int]) -> list[DataFrame]:
+    """``cut`` with the rows of each value of the integer ``by`` in a folder of their own, as tables without ``by``."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    for value in values:  # a value without rows is an empty table
+        spark.createDataFrame([], df.drop(by).schema).coalesce(1).write.parquet(f"{path}/{by}={value}")
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.select("*").write.mode("append").option("compression", "zstd").partitionBy(by).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return [spark.read.schema(df.drop(by).schema).parquet(f"{path}/{by}={value}") for value in values]
+
+
 def discard(tables: list[DataFrame]) -> None:
     """Free the space of tables made by ``cut`` that nothing reads any more: empty ones take their place."""
     for df in tables:

@@ -119,12 +119,17 @@ def completeness(scenes: DataFrame, stored: DataFrame, required: Sequence[str],
     return scenes.select(item).distinct().join(got, item, "left").select(item, (n > 0).alias("is_there"), (n == len(required)).alias("complete"))
 
 
-def upsert_bands(stored: DataFrame, new: DataFrame, keys: Sequence[str], bands: Sequence[str]) -> DataFrame:
-    """Stored values with new ones in their place; rows of either side stay."""
-    old = stored.select(*keys, *(F.col(b).alias(f"_{b}") for b in bands if b in stored.columns))
+def upsert_bands(stored: DataFrame, new: DataFrame, keys: Sequence[str], bands: Sequence[str], coordinates: Sequence[str] = ()) -> DataFrame:
+    """Stored values with new ones in their place; rows of either side stay.
+
+    Where both sides have a row, their ``coordinates`` must agree; else the job fails.
+    """
+    old = stored.select(*keys, *(F.col(b).alias(f"_{b}") for b in (*bands, *coordinates) if b in stored.columns))
     joined = old.join(new, list(keys), "full_outer")
     value = lambda b: F.coalesce(*([F.col(b)] if b in new.columns else []), *([F.col(f"_{b}")] if b in stored.columns else []))
-    return joined.select(*keys, *(value(b).alias(b) for b in bands))
+    apart = lambda c: F.col(c) != F.col(f"_{c}")
+    agreed = lambda c: F.when(apart(c), F.raise_error(F.lit(f"{c} of the new bands is not that of the stored ones"))).otherwise(F.coalesce(c, f"_{c}"))
+    return joined.select(*keys, *(agreed(c).alias(c) for c in coordinates), *(value(b).alias(b) for b in bands))
 
 
 def discover(files: DataFrame, pattern: str, ids: Sequence[str] | None = None) -> DataFrame:

@@ -42,6 +42,14 @@ CODECS = (
     Codec("binarized_segmentation", "bool", 0, 1),
     Codec("binarized_segmentation-*", "bool", 0, 1),
     Codec("dem", "int16", -100.0, 3000.0, 0.1, -100.0, -1),
+    Codec("relative_elevation", "int16", -50.0, 50.0, 100 / 30000, -50.0, -1),
+    Codec("slope", "int16", 0.0, 90.0, 1e-2, 0.0, -1),
+    Codec("aspect", "int16", 0.0, 360.0, 1e-1, 0.0, -1),
+    Codec("hillshade", "int16", 0.0, 1.0, 1e-4, 0.0, -1),
+    Codec("curvature", "int16", -1.0, 1.0, 1e-4, -1.0, -1),
+    Codec("planet_udm", "uint8", 0, 8),
+    Codec("arcticdem_data_mask", "bool", 0, 1),
+    Codec("extent", "bool", 0, 1),
 )
 
 
@@ -57,9 +65,9 @@ def as_table(spark: SparkSession, codecs=CODECS) -> DataFrame:
 
 def lookup_table(bands: DataFrame, codecs: DataFrame) -> DataFrame:
     """Each band's codec; an exact name goes before a wildcard."""
-    plain = F.regexp_replace("band", r"\*", "%")
-    named = codecs.select(F.col("band").alias("pattern"), plain.alias("like"), F.struct(*codecs.columns).alias("codec"))
-    hit = bands.join(F.broadcast(named), F.expr("name LIKE like"), "left")  # codecs: one row for each known band
+    named = codecs.select(F.col("band").alias("pattern"), F.rtrim(F.col("band"), F.lit("*")).alias("start"), F.col("band").endswith("*").alias("open"))
+    fits = (F.col("name") == F.col("pattern")) | (F.col("open") & F.col("name").startswith(F.col("start")))
+    hit = bands.join(F.broadcast(named), fits, "left")  # codecs: one row for each known band
     return hit.groupBy("name").agg(F.min(F.struct(F.col("pattern").contains("*").alias("wild"), F.col("pattern"))).alias("best")).select("name", F.col("best.pattern").alias("codec"))
 
 

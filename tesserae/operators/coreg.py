@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 TILE = "tile_id"
@@ -13,12 +15,14 @@ def shift_table(spark: SparkSession, most: int) -> DataFrame:
     return side.select(F.col("id").cast("int").alias("sx")).crossJoin(side.select(F.col("id").cast("int").alias("sy")))
 
 
-def spiral(spark: SparkSession, steps: int) -> DataFrame:
-    """``step, dx, dy`` of a square spiral from the centre."""
+def spiral(spark: SparkSession, steps: int, inside: Callable[[int, int], bool] = lambda dx, dy: True) -> DataFrame:
+    """``step, dx, dy`` of a square spiral from the centre; it ends before the first place that is not ``inside``."""
     x = y = 0
     dx, dy = 0, -1
     rows = []
     for step in range(steps):
+        if not inside(x, y):
+            break
         rows.append((step, x, y))
         if x == y or (x < 0 and x == -y) or (x > 0 and x == 1 - y):
             dx, dy = -dy, dx
@@ -27,8 +31,9 @@ def spiral(spark: SparkSession, steps: int) -> DataFrame:
 
 
 def valid_window(cells: DataFrame, width: int, height: int, size: int, usable: Column, max_masked: float = 0.01, missing: Column | None = None, steps: int = 1000) -> DataFrame:
-    """First window along the spiral that has no missing value and few masked cells: ``tile_id, step, y0, x0``.
+    """First window along the spiral that has no missing value and few masked cells: ``tile_id, step, y0, x0, rows, cols``.
 
+    The spiral ends where it would leave the tile; a tile without such a window gives the whole image, with no step.
     Windows are scored by their row and column frames; the spiral is a table of at most ``steps`` rows.
     """
     rows = Window.partitionBy(TILE, "y").orderBy("x").rangeBetween(0, size - 1)
@@ -36,15 +41,29 @@ def valid_window(cells: DataFrame, width: int, height: int, size: int, usable: C
     gone = missing if missing is not None else F.lit(False)
     scored = cells.withColumns({"_m": F.sum((~usable).cast("int")).over(rows), "_g": F.sum(gone.cast("int")).over(rows), "_c": F.count("*").over(rows)})
     scored = scored.withColumns({"masked": F.sum("_m").over(cols), "gone": F.sum("_g").over(cols), "there": F.sum("_c").over(cols)})
-    y0, x0 = (height - size) // 2, (width - size) // 2
-    table = spiral(cells.sparkSession, steps).select("step", (F.col("dy") + y0).alias("y"), (F.col("dx") + x0).alias("x"))
+    y0, x0 = height // 2 - size // 2, width // 2 - size // 2
+    inside = lambda dx, dy: 0 <= x0 + dx <= width - size and 0 <= y0 + dy <= height - size
+    table = spiral(cells.sparkSession, steps, inside).select("step", (F.col("dy") + y0).alias("y"), (F.col("dx") + x0).alias("x"))
     good = scored.where((F.col("there") == size * size) & (F.col("gone") == 0) & (F.col("masked") <= max_masked * size * size))
-    hit = good.join(F.broadcast(table), ["y", "x"])
-    return hit.groupBy(TILE).agg(F.min_by(F.struct("step", F.col("y").alias("y0"), F.col("x").alias("x0")), "step").alias("b")).select(TILE, "b.*")
+    hit = good.join(F.broadcast(table), ["y", "x"]).groupBy(TILE).agg(F.min_by(F.struct("step", F.col("y").alias("y0"), F.col("x").alias("x0")), "step").alias("b"))
+    every = cells.select(TILE).distinct().join(hit, TILE, "left")
+    found = F.col("b").isNotNull()
+    side = lambda whole: F.when(found, size).otherwise(whole)
+    return every.select(TILE, "b.step", F.coalesce("b.y0", F.lit(0)).alias("y0"), F.coalesce("b.x0", F.lit(0)).alias("x0"), side(height).alias("rows"), side(width).alias("cols"))
+
+
+def in_window(cells: DataFrame, windows: DataFrame) -> DataFrame:
+    """Cells inside their tile's window of ``valid_window``."""
+    near = cells.join(windows.select(TILE, "y0", "x0", "rows", "cols"), TILE)
+    y, x = F.col("y") - F.col("y0"), F.col("x") - F.col("x0")
+    return near.where((y >= 0) & (y < F.col("rows")) & (x >= 0) & (x < F.col("cols"))).select(cells.columns)
 
 
 def score_surface(reference: DataFrame, target: DataFrame, value: str, most: int) -> DataFrame:
-    """``tile_id, sx, sy, score``: correlation of the reference with the target moved by every shift."""
+    """``tile_id, sx, sy, score``: correlation of the reference with the target moved by every shift.
+
+    Take the reference ``in_window``: each of its cells meets (2 most + 1)^2 of the target.
+    """
     shifts = F.broadcast(shift_table(reference.sparkSession, most))
     moved = reference.select(TILE, "y", "x", F.col(value).alias("_r")).join(shifts).withColumns({"_y": F.col("y") + F.col("sy"), "_x": F.col("x") + F.col("sx")})
     other = target.select(TILE, F.col("y").alias("_y"), F.col("x").alias("_x"), F.col(value).alias("_t"))
@@ -68,9 +87,9 @@ def peak(surface: DataFrame) -> DataFrame:
 
 def similarity(pairs: DataFrame, a: str, b: str, half: int = 3) -> DataFrame:
     """Structural similarity of two bands of each tile, scaled to [0, 1] first, over windows of 2 half + 1 cells."""
-    tile = Window.partitionBy(TILE)
-    unit = lambda c: F.try_divide(F.col(c) - F.min(c).over(tile), F.max(c).over(tile) - F.min(c).over(tile))
-    scaled = pairs.select(TILE, "y", "x", unit(a).alias("a"), unit(b).alias("b"))
+    ends = pairs.groupBy(TILE).agg(*(f(c).alias(f"{name}_{side}") for side, c in (("a", a), ("b", b)) for name, f in (("low", F.min), ("high", F.max))))
+    unit = lambda c, side: F.try_divide(F.col(c) - F.col(f"low_{side}"), F.col(f"high_{side}") - F.col(f"low_{side}"))
+    scaled = pairs.join(ends, TILE).select(TILE, "y", "x", unit(a, "a").alias("a"), unit(b, "b").alias("b"))
     scaled = scaled.withColumns({"aa": F.col("a") * F.col("a"), "bb": F.col("b") * F.col("b"), "ab": F.col("a") * F.col("b")})
     rows = Window.partitionBy(TILE, "y").orderBy("x").rangeBetween(-half, half)
     cols = Window.partitionBy(TILE, "x").orderBy("y").rangeBetween(-half, half)

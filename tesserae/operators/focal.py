@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -27,8 +28,12 @@ def neighbours(df: DataFrame, band: str) -> DataFrame:
     return wide.withColumns({"w": F.col("_w"), "e": F.col("_e")}).drop("_w", "_e")
 
 
-def terrain(df: DataFrame, band: str = "dem", resolution: float = 10.0, azimuth: float = 225.0, altitude: float = 25.0) -> DataFrame:
-    """``slope`` and ``aspect`` (degrees), ``hillshade`` (0 to 1) and ``curvature``, sharing one neighbourhood."""
+def terrain(df: DataFrame, band: str = "dem", resolution: float = 10.0, azimuth: Column | float = 225.0, altitude: Column | float = 25.0) -> DataFrame:
+    """``slope`` and ``aspect`` (degrees), ``hillshade`` (0 to 1) and ``curvature``, sharing one neighbourhood.
+
+    The sun's angles are numbers or columns, so that tiles can have their own; see ``with_sun``.
+    """
+    azimuth, altitude = (v if isinstance(v, Column) else F.lit(float(v)) for v in (azimuth, altitude))
     a, b, c, d, f, g, h, i = (F.col(k) for k in ("nw", "n", "ne", "w", "e", "sw", "s", "se"))
     z = F.col(band)
     dzdx = ((c + f * 2 + i) - (a + d * 2 + g)) / (8 * resolution)
@@ -39,7 +44,7 @@ def terrain(df: DataFrame, band: str = "dem", resolution: float = 10.0, azimuth:
     facing = F.atan2(dy, -dx)
     flat = (dx == 0) & (dy == 0)
     compass = F.pmod(F.lit(90.0) - F.degrees(facing), F.lit(360.0))
-    light, height = F.radians(F.lit(90.0 - azimuth)), F.radians(F.lit(altitude))
+    light, height = F.radians(F.lit(90.0) - azimuth), F.radians(altitude)
     shade = F.sin(height) * F.cos(steep) + F.cos(height) * F.sin(steep) * F.cos(light - facing)
     area = (d + f) / 2 - z, (b + h) / 2 - z
     return out.withColumns(
@@ -62,6 +67,17 @@ def sun_correction(tiles: DataFrame, x: str, y: str) -> DataFrame:
     return tiles.groupBy(TILE).agg(F.degrees(F.atan2(F.avg(x), F.avg(y))).alias("_m")).select(TILE, (F.col("_m") + 90).alias("correction"))
 
 
+def with_sun(cells: DataFrame, tiles: DataFrame, x: str, y: str) -> DataFrame:
+    """Cells with ``azimuth`` (turned to the tile's grid) and ``elevation`` of their tile's own sun, for ``terrain``.
+
+    ``tiles`` has those angles, one row for each tile; ``x, y`` are the cells' positions on a polar grid. The table of
+    angles is small beside the cells; Spark decides by its size how it is joined.
+    """
+    turned = tiles.select(TILE, "azimuth", "elevation").join(sun_correction(cells, x, y), TILE)
+    angle = F.pmod(F.col("azimuth") + F.col("correction"), F.lit(360.0))
+    return cells.join(turned.select(TILE, angle.alias("azimuth"), "elevation"), TILE)
+
+
 def square(df: DataFrame, band: str, half: int, how: dict[str, object]) -> DataFrame:
     """Separable statistics over a square of ``2 * half + 1`` cells: ``how`` is name -> aggregate function."""
     rows, cols = along_row().rangeBetween(-half, half), along_column().rangeBetween(-half, half)
@@ -73,16 +89,17 @@ def square(df: DataFrame, band: str, half: int, how: dict[str, object]) -> DataF
 
 
 def disk_sum(df: DataFrame, band: str, radius: int) -> DataFrame:
-    """``tile_id, y, x, total, cells`` over a disk: one row frame for each width, then shifted rows are added up."""
+    """``df`` with ``total`` and ``cells`` over a disk: one row frame for each width, then one column frame for each row of the disk."""
     widths = {dy: isqrt(radius * radius - dy * dy) for dy in range(-radius, radius + 1)}
     frames = {}
     for w in sorted(set(widths.values())):
         frame = along_row().rangeBetween(-w, w)
         frames |= {f"_s{w}": F.sum(band).over(frame), f"_c{w}": F.count(band).over(frame)}
-    framed = df.select(TILE, "y", "x", band).withColumns(frames)
-    parts = F.array(*(F.struct((F.col("y") + dy).alias("y"), F.col(f"_s{w}").alias("s"), F.col(f"_c{w}").alias("c")) for dy, w in widths.items()))
-    spread = framed.select(TILE, "x", F.explode(parts).alias("p"))
-    return spread.groupBy(TILE, F.col("p.y").alias("y"), "x").agg(F.sum("p.s").alias("total"), F.sum("p.c").alias("cells"))
+    framed = df.withColumns(frames)
+    at = lambda name, dy: F.coalesce(F.sum(name).over(along_column().rangeBetween(dy, dy)), F.lit(0))
+    rows = framed.withColumns({f"_t{dy + radius}": at(f"_s{w}", dy) for dy, w in widths.items()} | {f"_n{dy + radius}": at(f"_c{w}", dy) for dy, w in widths.items()})
+    add = lambda name: reduce(lambda x, y: x + y, [F.col(f"{name}{k}") for k in range(2 * radius + 1)])
+    return rows.withColumns({"total": add("_t"), "cells": add("_n")}).select(*df.columns, "total", "cells")
 
 
 def disk_size(radius: int) -> int:
@@ -91,13 +108,12 @@ def disk_size(radius: int) -> int:
 
 def tpi(df: DataFrame, band: str = "dem", outer: int = 3, inner: int = 0) -> DataFrame:
     """Height over the mean of a disk, or of the ring between two radii if ``inner`` is over 0."""
-    ring = disk_sum(df, band, outer)
+    joined = disk_sum(df, band, outer)
     size = disk_size(outer)
-    joined = df.join(ring, [TILE, "y", "x"])
     whole = F.col("cells") == size
     if inner > 0:
-        hole = disk_sum(df, band, inner).withColumnsRenamed({"total": "_t", "cells": "_c"})
-        joined = joined.join(hole, [TILE, "y", "x"])
+        ring = joined.withColumnsRenamed({"total": "_outer", "cells": "_all"})
+        joined = disk_sum(ring, band, inner).withColumnsRenamed({"total": "_t", "cells": "_c"}).withColumnsRenamed({"_outer": "total", "_all": "cells"})
         mean = (F.col("total") - F.col("_t")) / (size - disk_size(inner))
     else:
         mean = F.col("total") / size
@@ -135,7 +151,7 @@ def dissection(df: DataFrame, band: str = "dem", size: int = 3) -> DataFrame:
 def erode_disk(df: DataFrame, mask: str, radius: int) -> DataFrame:
     """Cells of the mask with no invalid cell within a disk; what is outside the tile counts as valid."""
     bad = disk_sum(df.withColumn("_bad", F.when(F.col(mask), 0).otherwise(1)), "_bad", radius)
-    return df.join(bad.select(TILE, "y", "x", "total"), [TILE, "y", "x"]).withColumn("eroded", F.col("total") == 0).drop("total")
+    return bad.withColumn("eroded", F.col("total") == 0).drop("_bad", "total", "cells")
 
 
 def drop_edge(mask: Column, width: int, height: int, edge: int) -> Column:

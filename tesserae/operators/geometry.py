@@ -70,6 +70,25 @@ def to_utm(lat: Column, lon: Column, epsg: Column) -> tuple[Column, Column]:
     return east * (UTM_SCALE * big) + 500000.0, north * (UTM_SCALE * big) + shift
 
 
+def from_utm(east: Column, north: Column, epsg: Column) -> tuple[Column, Column]:
+    """Latitude and longitude of an easting and northing: the series of ``to_utm`` turned round, to the third order."""
+    n = FLATTENING / (2 - FLATTENING)
+    big = AXIS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi = (north - F.when(epsg >= 32700, 1e7).otherwise(0.0)) / (UTM_SCALE * big)
+    eta = (east - 500000.0) / (UTM_SCALE * big)
+    up, over = xi, eta
+    for j, b in enumerate(beta, 1):
+        up = up - F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b
+        over = over - F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b
+    chi = F.asin(F.sin(up) / F.cosh(over))
+    phi = chi
+    for j, d in enumerate(delta, 1):
+        phi = phi + F.sin(chi * (2 * j)) * d
+    return F.degrees(phi), F.degrees(F.atan2(F.sinh(over), F.cos(up))) + ((epsg % 100) * 6 - 183)
+
+
 def to_polar(lat: Column, lon: Column, true_lat: float = 70.0, centre: float = -45.0) -> tuple[Column, Column]:
     """North polar stereographic x and y."""
     from math import radians, sin, sqrt, tan
@@ -106,6 +125,19 @@ def grid_rows(spark: SparkSession, d: float) -> DataFrame:
     return rows.select(row.alias("row"), lat.alias("lat"), cols.alias("n_cols"), F.concat(F.abs(row), F.when(row < 0, "D").otherwise("U")).alias("row_name"))
 
 
+def grid_row_of(lat: Column, d: float) -> Column:
+    """Row of the cell of ``d`` km that a latitude lies in."""
+    from math import ceil
+
+    n = ceil(pi * RADIUS / d)
+    return (F.floor((lat + 90) / (180.0 / n)) - (n // 2 if n % 2 == 0 else n // 2 + 1)).cast("int")
+
+
+def grid_col_of(lon: Column, n_cols: Column) -> Column:
+    """Column of the cell that a longitude lies in, in a row of ``n_cols`` cells."""
+    return (F.floor((lon + 180) / (F.lit(360.0) / n_cols)) - F.floor(n_cols / 2)).cast("int")
+
+
 def grid_cells(rows: DataFrame) -> DataFrame:
     """Cells of grid rows: ``row, col, name, lat, lon``; the prime meridian is 0L."""
     half = F.floor(F.col("n_cols") / 2).cast("int")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tesserae.functions.storage import cut
 from tesserae.operators.focal import boundary
 from tesserae.operators.objects import label
 
@@ -78,10 +79,32 @@ def overlaps(targets: DataFrame, predictions: DataFrame) -> DataFrame:
     return inter.join(nt, [TILE, "t"]).join(np_, [TILE, "p"]).withColumn("iou", F.col("inter") / (F.col("nt") + F.col("np") - F.col("inter")))
 
 
-def instance_counts(images: DataFrame, targets: DataFrame, predictions: DataFrame, threshold: float = 0.5, pairs: DataFrame | None = None) -> DataFrame:
-    """``tp, fp, fn`` of each image (column ``tile_id`` of ``images``); a pair matches at IoU >= ``threshold``."""
+def one_to_one(pairs: DataFrame) -> DataFrame:
+    """Pairs in which every target and every prediction stands once: greatest IoU first, ties by target, then prediction.
+
+    Each round takes the pairs that are the best of both their sides; there are as many rounds as the longest chain
+    of ever better pairs.
+    """
+    taken, left = None, cut(pairs)
+    rank = F.struct((-F.col("iou")).alias("a"), "t", "p")
+    while True:
+        best = lambda side: left.groupBy(TILE, side).agg(F.min(rank).alias(f"best_{side}"))  # noqa: E731,B023
+        ranked = left.join(best("t"), [TILE, "t"]).join(best("p"), [TILE, "p"])
+        now = cut(ranked.where((rank == F.col("best_t")) & (rank == F.col("best_p"))).select(pairs.columns))
+        taken = now if taken is None else taken.unionByName(now)
+        left = cut(left.join(now.select(TILE, "t"), [TILE, "t"], "left_anti").join(now.select(TILE, "p"), [TILE, "p"], "left_anti").select(pairs.columns))
+        if left.isEmpty():
+            return taken
+
+
+def instance_counts(images: DataFrame, targets: DataFrame, predictions: DataFrame, threshold: float = 0.5, pairs: DataFrame | None = None, single: bool = False) -> DataFrame:
+    """``tp, fp, fn`` of each image (column ``tile_id`` of ``images``); a pair matches at IoU >= ``threshold``.
+
+    Below 0.5 an object may match several and counts go wrong; ``single`` lets each match once.
+    """
     pairs = overlaps(targets, predictions) if pairs is None else pairs
-    tp = pairs.where(F.col("iou") >= threshold).groupBy(TILE).agg(F.count("*").alias("tp"))
+    pairs = pairs.where(F.col("iou") >= threshold)
+    tp = (one_to_one(pairs) if single else pairs).groupBy(TILE).agg(F.count("*").alias("tp"))
     n = lambda df, name: df.groupBy(TILE).agg(F.count_distinct("region_id").alias(name))
     joined = images.select(TILE).distinct().join(tp, TILE, "left").join(n(targets, "nt"), TILE, "left").join(n(predictions, "np"), TILE, "left").na.fill(0)
     return joined.select(TILE, "tp", (F.col("np") - F.col("tp")).alias("fp"), (F.col("nt") - F.col("tp")).alias("fn"))
@@ -102,16 +125,36 @@ def instance_confusion(counts: DataFrame, normalise: bool = True) -> DataFrame:
 
 
 def instance_curve(pixels: DataFrame, target: str, score: str, thresholds: Sequence[float], matching: float = 0.5, ignore: int = 2) -> DataFrame:
-    """Precision and recall of instances for each score threshold; ignored cells are taken out of both first."""
+    """``threshold, precision, recall`` of instances; ignored cells are taken out of both first.
+
+    Predictions of all thresholds are labelled at once: a tile and a threshold together are a tile.
+    """
     valid = pixels.where(F.col(target) != ignore)
     targets = label(valid.withColumn("_m", F.col(target) == 1), "_m")
-    out = None
-    for v in thresholds:
-        found = label(valid.withColumn("_m", F.coalesce(F.col(score), F.lit(0.0)) >= v), "_m")
-        counts = instance_counts(pixels, targets, found, matching).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
-        row = instance_metrics(counts).select(F.lit(float(v)).alias("threshold"), "precision", "recall")
-        out = row if out is None else out.union(row)
-    return out
+    levels = F.array(*(F.lit(float(v)) for v in thresholds))
+    reached = valid.select(TILE, "y", "x", F.explode(F.filter(levels, lambda v: F.coalesce(F.col(score), F.lit(0.0)) >= v)).alias("threshold"))
+    both = F.struct(F.col(TILE).alias("tile"), "threshold")
+    found = label(reached.select(both.alias(TILE), "y", "x", F.lit(True).alias("_m")), "_m")
+    found = found.select(F.col(f"{TILE}.tile").alias(TILE), F.col(f"{TILE}.threshold").alias("threshold"), "y", "x", F.col("region_id").alias("p"))
+    t = targets.select(TILE, "y", "x", F.col("region_id").alias("t"))
+    inter = t.join(found, [TILE, "y", "x"]).groupBy("threshold", TILE, "t", "p").agg(F.count("*").alias("inter"))
+    nt = t.groupBy(TILE, "t").agg(F.count("*").alias("nt"))
+    np_ = found.groupBy("threshold", TILE, "p").agg(F.count("*").alias("np"))
+    iou = F.col("inter") / (F.col("nt") + F.col("np") - F.col("inter"))
+    tp = inter.join(nt, [TILE, "t"]).join(np_, ["threshold", TILE, "p"]).where(iou >= matching).groupBy("threshold").agg(F.count("*").alias("tp"))
+    n = np_.groupBy("threshold").agg(F.count("*").alias("n_p"))
+    every = pixels.sparkSession.createDataFrame([(float(v),) for v in thresholds], "threshold double")
+    total = nt.agg(F.count("*").alias("n_t"))  # one row
+    joined = every.join(tp, "threshold", "left").join(n, "threshold", "left").na.fill(0).join(F.broadcast(total))
+    counts = joined.select("threshold", "tp", (F.col("n_p") - F.col("tp")).alias("fp"), (F.col("n_t") - F.col("tp")).alias("fn"))
+    return instance_metrics(counts).select("threshold", "precision", "recall")
+
+
+def instance_average_precision(curve: DataFrame) -> DataFrame:
+    """``average_precision`` of an instance curve: precision times the gain of recall, from the highest threshold down."""
+    down = Window.orderBy(F.col("threshold").desc())  # as many rows as thresholds
+    gain = F.col("recall") - F.coalesce(F.lag("recall").over(down), F.lit(0.0))
+    return curve.withColumn("_g", gain * F.col("precision")).agg(F.sum("_g").alias("average_precision"))
 
 
 def boundary_iou(pixels: DataFrame, target: Column, predicted: Column, keep: Column, width: int, height: int, ratio: float | int = 0.02, by: Sequence[str] = (TILE,)) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator, Mapping
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tesserae.functions.graph import components
+from tesserae.functions.storage import cut
 
 TILE = "tile_id"
-_SHIFT = 1 << 20  # cells of a tile's side at most
 
 
 def _runs(cells: DataFrame) -> DataFrame:
@@ -16,15 +19,14 @@ def _runs(cells: DataFrame) -> DataFrame:
     row = Window.partitionBy(TILE, "y").orderBy("x")
     run = Window.partitionBy(TILE, "y", "_g")
     found = cells.withColumn("_g", F.col("x") - F.row_number().over(row)).withColumns({"x0": F.min("x").over(run), "x1": F.max("x").over(run)}).drop("_g")
-    node = F.col(TILE).cast("long") * (_SHIFT * _SHIFT) + F.col("y").cast("long") * _SHIFT + F.col("x0").cast("long")
-    return found.withColumn("node", node)
+    return found.withColumn("node", F.struct(TILE, "y", "x0"))  # tiles of any type; order is that of the raster
 
 
 def label(pixels: DataFrame, mask: str, neighbours: int = 8, bucket: int = 64) -> DataFrame:
     """``tile_id, y, x, region_id`` of the set cells; regions of a tile are numbered in raster order from 1.
 
     Cells become runs of their row; runs of following rows meet in buckets of x; runs are joined by connected
-    components over all tiles at once.
+    components over all tiles at once. The labels are written once, however often they are used.
     """
     cells = _runs(pixels.where(F.col(mask)).select(TILE, "y", "x"))
     reach = 1 if neighbours == 8 else 0
@@ -37,7 +39,7 @@ def label(pixels: DataFrame, mask: str, neighbours: int = 8, bucket: int = 64) -
     roots = joined.select(TILE, "root").distinct()
     # a component's smallest node is its first cell in raster order
     numbered = roots.withColumn("region_id", F.row_number().over(Window.partitionBy(TILE).orderBy("root")))
-    return joined.join(numbered, [TILE, "root"]).select(TILE, "y", "x", "region_id")
+    return cut(joined.join(numbered, [TILE, "root"]).select(TILE, "y", "x", "region_id"))
 
 
 def sizes(labels: DataFrame) -> DataFrame:
@@ -81,33 +83,58 @@ def outline_edges(labels: DataFrame) -> DataFrame:
     return alone.select(TILE, "region_id", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
 
-def _chain(edges: pd.DataFrame) -> pd.DataFrame:
-    """Rings of one region; where two outlines touch at a corner, the walk turns so that they stay apart."""
+def _rings(edges: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int]]]:
+    """Rings of one region; where two outlines touch at a corner, the walk turns so that they stay apart.
+
+    A ring starts at its first corner in raster order, and has no corner on a straight line.
+    """
     out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for ax, ay, bx, by in edges[["ax", "ay", "bx", "by"]].sort_values(["ay", "ax", "by", "bx"]).itertuples(index=False):
+    ordered = sorted(edges, key=lambda e: (e[1], e[0], e[3], e[2]))
+    for ax, ay, bx, by in ordered:
         out.setdefault((ax, ay), []).append((bx, by))
+
+    def after(a: tuple[int, int], b: tuple[int, int]) -> tuple[int, int]:
+        ends = out[b]
+        return ends[0] if len(ends) == 1 else max(ends, key=lambda c: (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]))
+
+    walked: set[tuple] = set()
     rings = []
-    while out:
-        start = min(out, key=lambda p: (p[1], p[0]))
-        ring, at, way = [start], start, None
-        while True:
-            ends = out[at]
-            turn = lambda b: 0 if way is None else -(way[0] * (b[1] - at[1]) - way[1] * (b[0] - at[0]))  # noqa: E731,B023
-            to = min(ends, key=turn)
-            ends.remove(to)
-            if not ends:
-                del out[at]
-            now = (to[0] - at[0], to[1] - at[1])
-            if now == way:
-                ring[-1] = to
-            else:
-                ring.append(to)
-            way, at = now, to
-            if at == start:
-                break
-        rings.append(ring)
-    first = edges.iloc[0]
-    return pd.DataFrame({"tile_id": [first[TILE]] * len(rings), "region_id": [first["region_id"]] * len(rings), "ring_id": range(1, len(rings) + 1), "ring": [[{"x": int(x), "y": int(y)} for x, y in r] for r in rings]})
+    for ax, ay, bx, by in ordered:
+        a, b = (ax, ay), (bx, by)
+        ring = [a]
+        while (a, b) not in walked:
+            walked.add((a, b))
+            c = after(a, b)
+            if (c[0] - b[0], c[1] - b[1]) != (b[0] - a[0], b[1] - a[1]):
+                ring.append(b)
+            a, b = b, c
+        if len(ring) > 1:
+            rings.append(ring if ring[-1] == ring[0] else [*ring, ring[0]])
+    return rings
+
+
+def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rings of regions whose edges follow each other; a region at a time is held."""
+    corner = pa.list_(pa.struct([("x", pa.int32()), ("y", pa.int32())]))
+    names = ["tile_id", "region_id", "ring_id", "ring"]
+
+    def made(done: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        rows = [(*key, k, [{"x": x, "y": y} for x, y in ring]) for key, edges in done for k, ring in enumerate(_rings(edges), 1)]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate([*kinds, pa.int32(), corner])], names=names)
+
+    held: list[tuple] = []
+    kinds: list[pa.DataType] = []
+    for batch in batches:
+        kinds = [batch.schema.field(i).type for i in (0, 1)]
+        for tile, region, *edge in zip(*(c.to_pylist() for c in batch.columns)):
+            if not held or held[-1][0] != (tile, region):
+                if len(held) >= 500:
+                    yield made(held, kinds)
+                    held = []
+                held.append(((tile, region), []))
+            held[-1][1].append(tuple(edge))
+    if held:
+        yield made(held, kinds)
 
 
 def polygons(labels: DataFrame) -> DataFrame:
@@ -115,10 +142,21 @@ def polygons(labels: DataFrame) -> DataFrame:
     edges = outline_edges(labels)
     kinds = {f.name: f.dataType.simpleString() for f in edges.schema}
     schema = f"tile_id {kinds[TILE]}, region_id {kinds['region_id']}, ring_id int, ring array<struct<x:int,y:int>>"
-    return edges.groupBy(TILE, "region_id").applyInPandas(_chain, schema)
+    dealt = edges.repartition(TILE, "region_id").sortWithinPartitions(TILE, "region_id")
+    return dealt.select(TILE, "region_id", "ax", "ay", "bx", "by").mapInArrow(_trace, schema)
 
 
 def vectorise(pixels: DataFrame, mask: str, value: str, neighbours: int = 8) -> DataFrame:
     """Regions with rings and zonal statistics, one row for each ring."""
     found = label(pixels, mask, neighbours)
     return polygons(found).join(zonal(found, pixels, value), [TILE, "region_id"])
+
+
+def polygon_products(pixels: DataFrame, subsets: Mapping[str, tuple[str, str]], extent: str | None = None) -> DataFrame:
+    """Polygons with statistics of each ensemble subset (name -> mask and value column), as ``product`` segments, and of
+    the valid extent; written with ``partitionBy("product", "subset")`` they are one file set for each."""
+    parts = [vectorise(pixels, mask, value).select(F.lit("segments").alias("product"), F.lit(name).alias("subset"), "*") for name, (mask, value) in subsets.items()]
+    if extent is not None:
+        inside = pixels.withColumn("_one", F.col(extent).cast("int"))
+        parts.append(vectorise(inside, extent, "_one").select(F.lit("extent").alias("product"), F.lit("").alias("subset"), "*"))
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -7,7 +7,9 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tesserae.functions.rank import numbered
 
 TILE = "tile_id"
 
@@ -109,14 +111,21 @@ def training_patches(cells: DataFrame, bands: Sequence[str], label: str, size: i
     return kept
 
 
-def patch_metadata(kept: DataFrame, patches: DataFrame, first: int = 0) -> DataFrame:
-    """Training rows numbered on from ``first``, with place and emptiness."""
+def patch_metadata(kept: DataFrame, patches: DataFrame, first: int = 0, samples: DataFrame | None = None, size: int | None = None) -> DataFrame:
+    """Training rows numbered on from ``first``, with place and emptiness.
+
+    ``samples`` adds ``region`` and ``sample_id`` of each tile, ``size`` the extent of the patch in cells.
+    """
     joined = kept.join(patches, [TILE, "patch_id"])
-    counts = joined.groupBy(TILE).agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(TILE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inner = F.row_number().over(Window.partitionBy(TILE).orderBy("patch_id"))
-    out = joined.withColumn("_k", inner).join(before, TILE)
-    return out.select((F.col("_before") + F.col("_k") - 1 + first).alias("z_idx"), TILE, "patch_id", "patch_idx_y", "patch_idx_x", (F.col("positives") == 0).alias("is_empty"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    more: list[Column | str] = []
+    if samples is not None:
+        joined = joined.join(samples.select(TILE, "region", "sample_id"), TILE, "left")
+        more += ["region", "sample_id"]
+    if size is not None:
+        x, y = F.col("x0"), F.col("y0")
+        more += [x.alias("xmin"), y.alias("ymin"), (x + size).alias("xmax"), (y + size).alias("ymax")]
+    out = numbered(joined, [TILE, "patch_id"], "z_idx", first)
+    return out.select("z_idx", TILE, "patch_id", "patch_idx_y", "patch_idx_x", (F.col("positives") == 0).alias("is_empty"), F.col("x0").alias("x"), F.col("y0").alias("y"), *more)
 
 
 def augment(cells: DataFrame, size: int) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tesserae.functions.rank import numbered
+
 
 def _order(seed: int, *keys: str) -> Column:
     return F.xxhash64(F.lit(seed), *keys)
@@ -73,7 +75,7 @@ def group_folds(meta: DataFrame, group: str, k: int, seed: int = 0, stratum: Col
     """Whole groups go to folds: by size of the group (of its stratum cells if given), then hash, dealt in turn."""
     weight = F.sum(stratum.cast("long")) if stratum is not None else F.count("*")
     groups = meta.groupBy(group).agg(weight.alias("_w"))
-    dealt = groups.withColumn("fold", ((F.row_number().over(Window.orderBy(F.col("_w").desc(), _order(seed, group))) - 1) % k).cast("int"))
+    dealt = numbered(groups, [-F.col("_w"), _order(seed, group), group], "_k").withColumn("fold", (F.col("_k") % k).cast("int"))
     return meta.join(dealt.select(group, "fold"), group)
 
 

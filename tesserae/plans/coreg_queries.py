@@ -20,13 +20,19 @@ def _pair(spark, sf_dir):
     return p.select(*CELL, "dem"), p.select("tile_id", (F.col("y") + 2).alias("y"), (F.col("x") - 1).alias("x"), (F.col("dem") + F.col("prob_a") * 3).alias("dem"))
 
 
-_SURFACE = f"{_P}, {_MOVED}, s AS (SELECT a.tile_id, CAST(h.sx AS INT) AS sx, CAST(v.sy AS INT) AS sy, corr(a.dem, b.dem) AS score FROM pixels a CROSS JOIN range(-4, 5) h(sx) CROSS JOIN range(-4, 5) v(sy) JOIN b ON b.tile_id = a.tile_id AND b.y = a.y + v.sy AND b.x = a.x + h.sx GROUP BY a.tile_id, h.sx, v.sy)"
+def _surface(spark, sf_dir):
+    """Shifts up to 10 cells over the middle window of each tile."""
+    a, b = _pair(spark, sf_dir)
+    window = coreg.valid_window(a, WIDTH, HEIGHT, 15, F.lit(True))
+    return coreg.score_surface(coreg.in_window(a, window), b, "dem", 10)
+
+
+_SURFACE = f"{_P}, {_MOVED}, s AS (SELECT a.tile_id, CAST(h.sx AS INT) AS sx, CAST(v.sy AS INT) AS sy, corr(a.dem, b.dem) AS score FROM pixels a CROSS JOIN range(-10, 11) h(sx) CROSS JOIN range(-10, 11) v(sy) JOIN b ON b.tile_id = a.tile_id AND b.y = a.y + v.sy AND b.x = a.x + h.sx WHERE a.y BETWEEN {HEIGHT // 2 - 7} AND {HEIGHT // 2 + 7} AND a.x BETWEEN {WIDTH // 2 - 7} AND {WIDTH // 2 + 7} GROUP BY a.tile_id, h.sx, v.sy)"
 
 
 @query(f"{_SURFACE} SELECT tile_id, sx, sy, round(score, 5) + 0.0 AS score FROM s")
 def l2_score_surface(spark, sf_dir):
-    a, b = _pair(spark, sf_dir)
-    return coreg.score_surface(a, b, "dem", 4).withColumn("score", r6("score", 5))
+    return _surface(spark, sf_dir).withColumn("score", r6("score", 5))
 
 
 @query(
@@ -36,20 +42,32 @@ def l2_score_surface(spark, sf_dir):
     "SELECT tile_id, round(bx + coalesce(sign(r - l) * greatest(l, r) / nullif(bs + greatest(l, r), 0), 0.0), 3) + 0.0 AS x_offset, round(\"by\" + coalesce(sign(d - u) * greatest(u, d) / nullif(bs + greatest(u, d), 0), 0.0), 3) + 0.0 AS y_offset, round(greatest(least(100 - 100 * (m + 2 * s) / p, 100.0), 0.0), 3) AS shift_reliability FROM f"
 )
 def l3_l4_shift_and_reliability(spark, sf_dir):
-    a, b = _pair(spark, sf_dir)
-    p = coreg.peak(coreg.score_surface(a, b, "dem", 4))
+    p = coreg.peak(_surface(spark, sf_dir))
     return p.select("tile_id", r6("x_offset", 3).alias("x_offset"), r6("y_offset", 3).alias("y_offset"), r6("shift_reliability", 3).alias("shift_reliability"))
 
 
 
 
+def _steps(size: int) -> str:
+    """The spiral as rows of SQL: runs of 1, 1, 2, 2, 3, 3, ... steps right, down, left and up, up to the border."""
+    y, x, rows, way, run = HEIGHT // 2 - size // 2, WIDTH // 2 - size // 2, [], 0, 0
+    while True:
+        for _ in range(run // 2 + 1):
+            if not (0 <= y <= HEIGHT - size and 0 <= x <= WIDTH - size):
+                return ", ".join(map(str, rows))
+            rows.append((len(rows), y, x))
+            dy, dx = ((0, 1), (1, 0), (0, -1), (-1, 0))[way % 4]
+            y, x = y + dy, x + dx
+        way, run = way + 1, run + 1
+
+
 @query(
-    f"{_P}, w AS (SELECT a.tile_id, a.y AS y0, a.x AS x0, count(*) AS n, sum(CASE WHEN b.s2_scl = 0 THEN 1 ELSE 0 END) AS masked FROM pixels a JOIN pixels b ON b.tile_id = a.tile_id AND b.y BETWEEN a.y AND a.y + 4 AND b.x BETWEEN a.x AND a.x + 4 WHERE a.y BETWEEN {(HEIGHT - 5) // 2 - 1} AND {(HEIGHT - 5) // 2 + 1} AND a.x BETWEEN {(WIDTH - 5) // 2 - 1} AND {(WIDTH - 5) // 2 + 1} GROUP BY a.tile_id, a.y, a.x), "
-    f"t AS (SELECT * FROM (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1), (4, -1, 1), (5, -1, 0), (6, -1, -1), (7, 0, -1), (8, 1, -1)) v(step, dx, dy)), g AS (SELECT w.*, t.step FROM w JOIN t ON w.y0 = {(HEIGHT - 5) // 2} + t.dy AND w.x0 = {(WIDTH - 5) // 2} + t.dx WHERE n = 25 AND masked <= 0.08 * 25) "
-    "SELECT tile_id, CAST(step AS INT) AS step, y0, x0 FROM (SELECT *, row_number() OVER (PARTITION BY tile_id ORDER BY step) AS k FROM g) r WHERE k = 1"
+    f"{_P}, t AS (SELECT * FROM (VALUES {_steps(5)}) v(step, y, x)), w AS (SELECT t.step, a.tile_id, t.y AS y0, t.x AS x0, count(*) AS n, sum(CASE WHEN a.s2_scl = 0 THEN 1 ELSE 0 END) AS masked FROM t JOIN pixels a ON a.y BETWEEN t.y AND t.y + 4 AND a.x BETWEEN t.x AND t.x + 4 GROUP BY t.step, a.tile_id, t.y, t.x), "
+    "g AS (SELECT *, row_number() OVER (PARTITION BY tile_id ORDER BY step) AS k FROM w WHERE n = 25 AND masked = 0) "
+    f"SELECT d.tile_id, CAST(g.step AS INT) AS step, CAST(coalesce(y0, 0) AS INT) AS y0, CAST(coalesce(x0, 0) AS INT) AS x0, CASE WHEN g.step IS NULL THEN {HEIGHT} ELSE 5 END AS \"rows\", CASE WHEN g.step IS NULL THEN {WIDTH} ELSE 5 END AS cols FROM (SELECT DISTINCT tile_id FROM pixels) d LEFT JOIN g ON g.tile_id = d.tile_id AND g.k = 1"
 )
 def l1_valid_window(spark, sf_dir):
-    return coreg.valid_window(pixels(spark, sf_dir), WIDTH, HEIGHT, 5, F.col("s2_scl") != 0, max_masked=0.08, steps=9)
+    return coreg.valid_window(pixels(spark, sf_dir), WIDTH, HEIGHT, 5, F.col("s2_scl") != 0)
 
 
 _SSIM = (
@@ -114,7 +132,7 @@ def a18_ledger(spark, sf_dir):
             raise ValueError("too high")
         return f"/out/{rows['tile_id'].iloc[0]}"
 
-    return products.with_ledger(pixels(spark, sf_dir).select("tile_id", "dem"), work)
+    return products.with_ledger(pixels(spark, sf_dir).select("tile_id", "y", "x", "dem"), work)
 
 
 @query("SELECT o_orderkey, 11 + row_number() OVER (ORDER BY o_orderkey) - 1 AS z_idx FROM orders")
@@ -124,12 +142,12 @@ def a19_number_rows(spark, sf_dir):
 
 
 @query(
-    f"{DECODED}, {cte('scenes', 'footprints').removeprefix('WITH ')}, c AS (SELECT f.image_id, count(*) AS n FROM footprints f JOIN scenes s ON s.cloud <= 20 AND s.xmin <= f.xmax AND f.xmin <= s.xmax AND s.ymin <= f.ymax AND f.ymin <= s.ymax WHERE (least(f.xmax, s.xmax) - greatest(f.xmin, s.xmin)) * (least(f.ymax, s.ymax) - greatest(f.ymin, s.ymin)) / 600 >= 0.7 GROUP BY f.image_id), m AS (SELECT f.image_id, coalesce(c.n, 0) AS n FROM footprints f LEFT JOIN c ON c.image_id = f.image_id WHERE f.image_id < 1500), "
+    f"{DECODED}, {cte('scenes', 'footprints').removeprefix('WITH ')}, c AS (SELECT f.image_id, count(*) AS n FROM footprints f JOIN scenes s ON s.cloud <= 20 AND s.xmin <= f.xmax AND f.xmin <= s.xmax AND s.ymin <= f.ymax AND f.ymin <= s.ymax WHERE (least(f.xmax, s.xmax) - greatest(f.xmin, s.xmin)) * (least(f.ymax, s.ymax) - greatest(f.ymin, s.ymin)) / 600 >= 0.7 GROUP BY f.image_id), m AS (SELECT f.image_id, coalesce(c.n, 0) AS n FROM footprints f LEFT JOIN c ON c.image_id = f.image_id), "
     "t AS (SELECT tile_id, count(*) AS cells, sum(CASE WHEN quality = 2 AND target = 1 THEN 1 ELSE 0 END) AS positives FROM decoded GROUP BY tile_id) SELECT m.image_id, CASE WHEN m.n = 0 THEN 'no match' WHEN t.cells IS NULL THEN 'no pixels' WHEN t.positives = 0 THEN 'empty' ELSE 'ready' END AS status, coalesce(t.positives, 0) AS positives FROM m LEFT JOIN t ON t.tile_id = m.image_id"
 )
 def g32_training_build(spark, sf_dir):
     """Footprints through matching, pixels and labels, with the state of each."""
-    f = load(spark, sf_dir, "footprints").where("image_id < 1500")
+    f = load(spark, sf_dir, "footprints")
     pairs = catalog.candidates(f, load(spark, sf_dir, "scenes").where("cloud <= 20")).groupBy("image_id").agg(F.count("*").alias("n"))
     d = decoded(spark, sf_dir)
     tiles = d.groupBy(F.col("tile_id").cast("long").alias("image_id")).agg(F.count("*").alias("cells"), F.sum(((F.col("quality") == 2) & (F.col("target") == 1)).cast("long")).alias("positives"))

@@ -33,6 +33,18 @@ def e4_e7_e16_terrain(spark, sf_dir):
     return t.select(*CELL, r6("slope").alias("slope"), r6("aspect", 4).alias("aspect"), r6("hillshade").alias("hillshade"), r6("curvature").alias("curvature"))
 
 
+_OWN = _SHADE.replace("radians(25)", "radians(20 + tile_id % 30)").replace("radians(90 - 225)", "radians(90 - ((180 + tile_id * 10 + m.c) % 360 + 360) % 360)")
+
+
+@query(f"{_N}, m AS (SELECT tile_id, degrees(atan2(avg(x + tile_id * 50 + 1), avg(y + 1))) + 90 AS c FROM z GROUP BY tile_id) SELECT s.tile_id, y, x, round(CASE WHEN dx IS NOT NULL THEN least(greatest({_OWN.replace('tile_id', 's.tile_id')}, 0.0), 1.0) END, 5) + 0.0 AS hillshade FROM s JOIN m ON m.tile_id = s.tile_id")
+def e5_hillshade_of_own_sun(spark, sf_dir):
+    """Each tile under its own sun, whose azimuth is turned to the tile's grid."""
+    p = pixels(spark, sf_dir).select(*CELL, "dem").withColumns({"px": F.col("x") + F.col("tile_id") * 50 + 1, "py": F.col("y") + 1})
+    tiles = p.select("tile_id").distinct().select("tile_id", (F.col("tile_id") * 10 + 180.0).alias("azimuth"), (F.col("tile_id") % 30 + 20.0).alias("elevation"))
+    t = focal.terrain(focal.with_sun(p, tiles, "px", "py"), azimuth=F.col("azimuth"), altitude=F.col("elevation"))
+    return t.select(*CELL, r6("hillshade", 5).alias("hillshade"))
+
+
 @query(f"{_TERRAIN}, m AS (SELECT tile_id, degrees(atan2(avg(x + tile_id * 50 + 1), avg(y + 1))) + 90 AS c FROM t GROUP BY tile_id) SELECT t.tile_id, y, x, round(CASE WHEN aspect = -1 THEN -1.0 ELSE (aspect + m.c) % 360 END, 4) + 0.0 AS aspect FROM t JOIN m ON m.tile_id = t.tile_id")
 def e6_true_north(spark, sf_dir):
     t = focal.terrain(pixels(spark, sf_dir).select(*CELL, "dem"))

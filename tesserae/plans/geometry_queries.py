@@ -60,7 +60,7 @@ def f5_snap_coordinates(spark, sf_dir):
     return c.select("c_custkey", F.bround((F.col("c_custkey") * 10 + 0.0004) / 10).cast("long").alias("i"))
 
 
-_BOXES = "b AS (SELECT c_custkey % 10 AS tile_id, c_custkey % 40 AS x0, c_custkey % 20 AS y0, c_custkey % 40 + 4 AS x1, c_custkey % 20 + 3 AS y1 FROM customer WHERE c_custkey % 9 = 0)"
+_BOXES = "b AS (SELECT c_custkey % 10 AS tile_id, c_custkey % 40 AS x0, c_custkey % 20 AS y0, c_custkey % 40 + 4 AS x1, c_custkey % 20 + 3 AS y1 FROM customer)"
 
 
 @query(
@@ -69,7 +69,7 @@ _BOXES = "b AS (SELECT c_custkey % 10 AS tile_id, c_custkey % 40 AS x0, c_custke
 )
 def f12_rasterise_labels(spark, sf_dir):
     k = F.col("c_custkey")
-    b = table(spark, sf_dir, "customer").where(k % 9 == 0)
+    b = table(spark, sf_dir, "customer")
     rings = b.select((k % 10).cast("int").alias("tile_id"), geometry.box_ring(k % 40, k % 20, k % 40 + 4, k % 20 + 3).alias("ring"))
     d = decoded(spark, sf_dir).withColumn("extent", F.col("clear_sky") != 0)
     return geometry.rasterise(d, rings, "extent", "quality").select(*CELL, "label")
@@ -82,9 +82,9 @@ def k3_k4_area_and_contains(spark, sf_dir):
     return f.select("image_id", geometry.area(F.col("ring")).alias("area"), inside.alias("inside"))
 
 
-@query(f"{cte('footprints', 'scenes')} SELECT f.image_id, s.scene_id, (least(f.xmax, s.xmax) - greatest(f.xmin, s.xmin)) * (least(f.ymax, s.ymax) - greatest(f.ymin, s.ymin)) AS area FROM footprints f JOIN scenes s ON s.scene_id % 20 = 3 AND s.xmin <= f.xmax AND f.xmin <= s.xmax AND s.ymin <= f.ymax AND f.ymin <= s.ymax")
+@query(f"{cte('footprints', 'scenes')} SELECT f.image_id, s.scene_id, (least(f.xmax, s.xmax) - greatest(f.xmin, s.xmin)) * (least(f.ymax, s.ymax) - greatest(f.ymin, s.ymin)) AS area FROM footprints f JOIN scenes s ON s.xmin <= f.xmax AND f.xmin <= s.xmax AND s.ymin <= f.ymax AND f.ymin <= s.ymax")
 def k3_intersection_area(spark, sf_dir):
-    pairs = catalog.intersecting(load(spark, sf_dir, "footprints"), load(spark, sf_dir, "scenes").where("scene_id % 20 = 3"))
+    pairs = catalog.intersecting(load(spark, sf_dir, "footprints"), load(spark, sf_dir, "scenes"))
     return pairs.select("image_id", F.col("r_scene_id").alias("scene_id"), catalog.overlap_area().alias("area"))
 
 
@@ -131,27 +131,50 @@ def k10_k12_grid_index(spark, sf_dir):
     return o.select("o_orderkey", row.alias("grid_row"), col.alias("grid_col"))
 
 
+#: Points of orders: every order has a place on the globe.
+_POINTS = "p AS (SELECT o_orderkey, o_orderkey % 179 - 89 + 0.25 AS plat, o_orderkey * 7 % 360 - 180 + 0.25 AS plon FROM orders)"
+
+
 def _grid_sql() -> str:
     return (
-        "WITH d AS (SELECT 500.0 + count(*) % 7 AS d FROM nation), n AS (SELECT d, CAST(ceil(pi() * 6378.137 / d) AS BIGINT) AS n FROM d), r AS (SELECT i, n, d, i * (180.0 / n) - 90.0 AS lat, i - CASE WHEN n % 2 = 0 THEN n // 2 ELSE n // 2 + 1 END AS grid_row FROM n, range(0, 100) t(i) WHERE i < n), "
-        "c AS (SELECT *, greatest(CAST(ceil(cos(radians(lat)) * (2 * pi() * 6378.137 / d)) AS BIGINT), 1) AS nc FROM r), k AS (SELECT *, unnest(range(0, nc)) AS k FROM c), x AS (SELECT *, k - nc // 2 AS grid_col FROM k) "
+        f"WITH {_POINTS}, n AS (SELECT 50.0 AS d, CAST(ceil(pi() * 6378.137 / 50.0) AS BIGINT) AS n), r AS (SELECT i, n, d, i * (180.0 / n) - 90.0 AS lat, i - CASE WHEN n % 2 = 0 THEN n // 2 ELSE n // 2 + 1 END AS grid_row FROM n, range(0, 500) t(i) WHERE i < n), "
+        "c AS (SELECT *, greatest(CAST(ceil(cos(radians(lat)) * (2 * pi() * 6378.137 / d)) AS BIGINT), 1) AS nc FROM r), k AS (SELECT *, unnest(range(0, nc)) AS k FROM c), "
+        "x AS (SELECT i, k, grid_row, k - nc // 2 AS grid_col, lat, k * (360.0 / nc) - 180.0 AS lon, abs(grid_row) || CASE WHEN grid_row < 0 THEN 'D' ELSE 'U' END || abs(k - nc // 2) || CASE WHEN k - nc // 2 <= 0 THEN 'L' ELSE 'R' END AS name FROM k), "
+        "a AS (SELECT o_orderkey, CAST(floor((plat + 90) / (180.0 / n)) AS BIGINT) AS i, plon FROM p, n), q AS (SELECT a.o_orderkey, a.i, CAST(floor((plon + 180) / (360.0 / nc)) AS BIGINT) AS k FROM a JOIN c ON c.i = a.i) "
     )
 
 
-@query(_grid_sql() + "SELECT CAST(grid_row AS INT) AS grid_row, CAST(grid_col AS INT) AS grid_col, abs(grid_row) || CASE WHEN grid_row < 0 THEN 'D' ELSE 'U' END || abs(grid_col) || CASE WHEN grid_col <= 0 THEN 'L' ELSE 'R' END AS name, round(lat, 6) + 0.0 AS lat, round(k * (360.0 / nc) - 180.0, 6) + 0.0 AS lon FROM x")
-def k11_grid_cells(spark, sf_dir):
-    cells = _cells(spark, sf_dir)
-    return cells.select(F.col("row").alias("grid_row"), F.col("col").alias("grid_col"), "name", r6("lat").alias("lat"), r6("lon").alias("lon"))
+def _cells_of_points(spark, sf_dir):
+    """Each order's grid cell, by the cell's row and column."""
+    rows = geometry.grid_rows(spark, 50.0)
+    k = F.col("o_orderkey")
+    points = table(spark, sf_dir, "orders").select("o_orderkey", (k % 179 - 89 + 0.25).cast("double").alias("plat"), (k * 7 % 360 - 180 + 0.25).cast("double").alias("plon"))
+    placed = points.select("o_orderkey", "plon", geometry.grid_row_of(F.col("plat"), 50.0).alias("row"))
+    placed = placed.join(rows.select("row", "n_cols"), "row").select("o_orderkey", "row", geometry.grid_col_of(F.col("plon"), F.col("n_cols")).alias("col"))
+    return placed.join(geometry.grid_cells(rows), ["row", "col"])
 
 
-def _cells(spark, sf_dir):
-    d = 500.0 + table(spark, sf_dir, "nation").count() % 7
-    return geometry.grid_cells(geometry.grid_rows(spark, d))
+@query(_grid_sql() + "SELECT o_orderkey, CAST(grid_row AS INT) AS grid_row, CAST(grid_col AS INT) AS grid_col, name, round(lat, 6) + 0.0 AS lat, round(lon, 6) + 0.0 AS lon FROM q JOIN x ON x.i = q.i AND x.k = q.k")
+def k11_grid_cells(spark, sf_dir):
+    cells = _cells_of_points(spark, sf_dir)
+    return cells.select("o_orderkey", F.col("row").alias("grid_row"), F.col("col").alias("grid_col"), "name", r6("lat").alias("lat"), r6("lon").alias("lon"))
 
 
-@query(_grid_sql() + "SELECT abs(grid_row) || CASE WHEN grid_row < 0 THEN 'D' ELSE 'U' END || abs(grid_col) || CASE WHEN grid_col <= 0 THEN 'L' ELSE 'R' END AS name FROM x WHERE lat BETWEEN 50 - 5 AND 75 AND k * (360.0 / nc) - 180.0 BETWEEN -150 - 5 AND -100")
+@query(_grid_sql() + "SELECT name, count(*) AS n FROM q JOIN x ON x.i = q.i AND x.k = q.k WHERE lat BETWEEN 50 - 5 AND 75 AND lon BETWEEN -150 - 5 AND -100 GROUP BY name")
 def k13_grid_within(spark, sf_dir):
-    return geometry.grid_within(_cells(spark, sf_dir), 50, -150, 75, -100, 5).select("name")
+    return geometry.grid_within(_cells_of_points(spark, sf_dir), 50, -150, 75, -100, 5).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey % 80 + 0.25 AS DOUBLE) AS lat, CAST(o_orderkey * 7 % 360 - 180 + 0.25 AS DOUBLE) AS lon FROM orders")
+def k9_round_trip(spark, sf_dir):
+    """Latitude and longitude through their UTM zone and back."""
+    k = F.col("o_orderkey")
+    lat, lon = (k % 80).cast("double") + 0.25, (k * 7 % 360 - 180).cast("double") + 0.25
+    zoned = table(spark, sf_dir, "orders").select("o_orderkey", lat.alias("lat"), lon.alias("lon"), geometry.utm_zone(lat, lon).alias("epsg"))
+    east, north = geometry.to_utm(F.col("lat"), F.col("lon"), F.col("epsg"))
+    placed = zoned.select("o_orderkey", "epsg", east.alias("east"), north.alias("north"))
+    back = geometry.from_utm(F.col("east"), F.col("north"), F.col("epsg"))
+    return placed.select("o_orderkey", r6(back[0], 5).alias("lat"), r6(back[1], 5).alias("lon"))
 
 
 @query("SELECT c_custkey AS tile_id, 500000.0::DOUBLE + c_custkey * 10 AS xmin, 4500000.0::DOUBLE + c_custkey - 300 AS ymin, 500000.0::DOUBLE + c_custkey * 10 + 500 AS xmax, 4500000.0::DOUBLE + c_custkey AS ymax FROM customer")

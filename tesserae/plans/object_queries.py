@@ -98,19 +98,33 @@ def k1_outline_edges(spark, sf_dir):
     return objects.outline_edges(_target(spark, sf_dir))
 
 
-@query(f"{_W}, {_walk('t', _T)} SELECT tile_id, region_id, count(*) * 1.0::DOUBLE AS area FROM t GROUP BY tile_id, region_id")
+#: Corners of the rings, from pairs of edges that meet: where two outlines touch, each turns right.
+_TURNS = (
+    "g AS (SELECT DISTINCT f.* FROM f LEFT JOIN f g ON g.tile_id = f.tile_id AND g.region_id = f.region_id AND g.ax = f.bx AND g.ay = f.\"by\" AND g.bx = f.ax AND g.\"by\" = f.ay WHERE g.ax IS NULL), "
+    "d AS (SELECT tile_id, region_id, ax, ay, count(*) AS k FROM g GROUP BY tile_id, region_id, ax, ay), "
+    "u AS (SELECT a.tile_id, a.region_id, (a.bx - a.ax) * (b.\"by\" - b.ay) - (a.\"by\" - a.ay) * (b.bx - b.ax) AS turn FROM g a JOIN g b ON b.tile_id = a.tile_id AND b.region_id = a.region_id AND b.ax = a.bx AND b.ay = a.\"by\" JOIN d ON d.tile_id = b.tile_id AND d.region_id = b.region_id AND d.ax = b.ax AND d.ay = b.ay "
+    "WHERE d.k = 1 OR (a.bx - a.ax) * (b.\"by\" - b.ay) - (a.\"by\" - a.ay) * (b.bx - b.ax) = 1), "
+    "c AS (SELECT tile_id, region_id, sum(CASE WHEN turn <> 0 THEN 1 ELSE 0 END) AS corners, sum(turn) AS net FROM u GROUP BY tile_id, region_id), n AS (SELECT tile_id, region_id, count(*) AS npixel FROM t GROUP BY tile_id, region_id) "
+)
+
+
+@query(f"{_W}, {_walk('t', _T)}, {_EDGES}, {_TURNS} SELECT c.tile_id, c.region_id, n.npixel * 1.0::DOUBLE AS area, CAST(corners AS BIGINT) AS corners, CAST(net // 4 AS BIGINT) AS outer_less_holes FROM c JOIN n ON n.tile_id = c.tile_id AND n.region_id = c.region_id")
 def k1_a14_polygons(spark, sf_dir):
-    """Rings of each region; their signed areas add up to the number of cells."""
+    """Rings of each region: their signed areas, their corners, and outer rings less holes."""
     rings = objects.polygons(_target(spark, sf_dir))
     pairs = geometry._pairs(F.col("ring"))
     signed = F.aggregate(pairs, F.lit(0.0), lambda s, p: s + (p["a"]["x"] * p["b"]["y"] - p["b"]["x"] * p["a"]["y"])) / 2
-    return rings.groupBy("tile_id", "region_id").agg(F.sum(signed).alias("area"))
+    return rings.withColumn("s", signed).groupBy("tile_id", "region_id").agg(F.sum("s").alias("area"), F.sum(F.size("ring") - 1).alias("corners"), F.sum(F.signum("s").cast("long")).alias("outer_less_holes"))
 
 
-@query()
+@query(
+    f"{_W}, {_walk('t', _T)}, {_EDGES}, {_TURNS}, s AS (SELECT t.tile_id, t.region_id, min(CAST(trunc(p.prob_a * 100) AS INT)) AS min, max(CAST(trunc(p.prob_a * 100) AS INT)) AS max, count(*) AS npixel FROM t JOIN pixels p ON p.tile_id = t.tile_id AND p.y = t.y AND p.x = t.x GROUP BY t.tile_id, t.region_id) "
+    "SELECT s.*, CAST(corners AS BIGINT) AS corners FROM s JOIN c ON c.tile_id = s.tile_id AND c.region_id = s.region_id"
+)
 def k2_vectorise(spark, sf_dir):
     p = pixels(spark, sf_dir).withColumns({"v": (F.col("prob_a") * 100).cast("int"), "m": F.col("target") == 1})
-    return objects.vectorise(p, "m", "v").select("tile_id", "region_id", "ring_id", F.size("ring").alias("n_points"), "min", "max", "npixel")
+    rings = objects.vectorise(p, "m", "v")
+    return rings.groupBy("tile_id", "region_id", "min", "max", "npixel").agg(F.sum(F.size("ring") - 1).alias("corners"))
 
 
 _PAIRS = (
@@ -153,12 +167,22 @@ def _curve_part(v: float, k: int) -> str:
 _THRESHOLDS = (0.7, 0.8, 0.9)
 
 
-@query(
+_CURVE = (
     f"{_W}, {_walk('t', _T)}, st AS (SELECT tile_id, region_id AS t, count(*) AS n FROM t GROUP BY tile_id, region_id), "
     + ", ".join(_curve_part(v, k) for k, v in enumerate(_THRESHOLDS))
-    + " "
+    + ", z AS ("
     + " UNION ALL ".join(f"SELECT CAST({v} AS DOUBLE) AS threshold, round(coalesce(tp / nullif(np, 0), 0.0), 6) AS precision, round(coalesce(tp / nullif(nt, 0), 0.0), 6) AS recall FROM k{k}" for k, v in enumerate(_THRESHOLDS))
+    + ") "
 )
+
+
+@query(_CURVE + "SELECT round(sum((recall - before) * precision), 5) AS average_precision FROM (SELECT *, coalesce(lag(recall) OVER (ORDER BY threshold DESC), 0.0) AS before FROM z) y")
+def g13_instance_average_precision(spark, sf_dir):
+    c = metrics.instance_curve(pixels(spark, sf_dir), "target", "prob_b", _THRESHOLDS, matching=0.3)
+    return metrics.instance_average_precision(c).withColumn("average_precision", r6("average_precision", 5))
+
+
+@query(_CURVE + "SELECT * FROM z")
 def g13_instance_curve(spark, sf_dir):
     c = metrics.instance_curve(pixels(spark, sf_dir), "target", "prob_b", _THRESHOLDS, matching=0.3)
     return c.select("threshold", r6("precision").alias("precision"), r6("recall").alias("recall"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tesserae.operators import patches
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6
 from tesserae.sources import products
-from tesserae.sources.adapters import HEIGHT, WIDTH, cte
+from tesserae.sources.adapters import HEIGHT, WIDTH, cte, table
 
 _P = cte("pixels")
 SIZE, OVERLAP = 16, 4
@@ -84,10 +84,11 @@ def h7_training_patches(spark, sf_dir):
     return _kept(spark, sf_dir)[2].withColumn("labelled", r6("labelled"))
 
 
-@query(f"{_C}, {_KEPT} SELECT 7 + row_number() OVER (ORDER BY k.tile_id, k.patch_id) - 1 AS z_idx, k.tile_id, k.patch_id, o.patch_idx_y, o.patch_idx_x, k.positives = 0 AS is_empty, o.x0 AS x, o.y0 AS y FROM k JOIN o ON o.tile_id = k.tile_id AND o.patch_id = k.patch_id")
+@query(f"{_C}, {_KEPT} SELECT 7 + row_number() OVER (ORDER BY k.tile_id, k.patch_id) - 1 AS z_idx, k.tile_id, k.patch_id, o.patch_idx_y, o.patch_idx_x, k.positives = 0 AS is_empty, o.x0 AS x, o.y0 AS y, CAST(s.c_nationkey AS BIGINT) AS region, CAST(s.c_custkey * 3 AS BIGINT) AS sample_id, o.x0 AS xmin, o.y0 AS ymin, o.x0 + 16 AS xmax, o.y0 + 16 AS ymax FROM k JOIN o ON o.tile_id = k.tile_id AND o.patch_id = k.patch_id LEFT JOIN customer s ON s.c_custkey = k.tile_id")
 def h8_patch_metadata(spark, sf_dir):
     _, o, kept = _kept(spark, sf_dir)
-    return patches.patch_metadata(kept, o, first=7)
+    samples = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tile_id"), F.col("c_nationkey").cast("long").alias("region"), (F.col("c_custkey") * 3).cast("long").alias("sample_id"))
+    return patches.patch_metadata(kept, o, first=7, samples=samples, size=SIZE)
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import bands, codecs, indices, patches
+from tesserae.operators import bands, codecs, focal, indices, patches
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6, rounded
 from tesserae.sources import products
 from tesserae.sources.adapters import cte, table
@@ -17,10 +17,10 @@ def a1_b14a_load_scene(spark, sf_dir):
     return rounded(decoded(spark, sf_dir), bands.OPTICAL).select(*CELL, *bands.OPTICAL, "quality")
 
 
-@query("SELECT s_suppkey % 10 AS block_y, s_suppkey AS cell, 200 + s_suppkey / 8 AS dem FROM supplier WHERE s_suppkey BETWEEN 20 - 3 AND 40 + 3")
+@query(f"{_P} SELECT tile_id, y, x, dem FROM pixels WHERE x BETWEEN 10 - 5 AND 29 + 5 AND y BETWEEN 8 - 5 AND 21 + 5")
 def a2_load_terrain_with_buffer(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 10).alias("block_y"), F.col("s_suppkey").alias("cell"), (F.col("s_suppkey") / 8 + 200).alias("dem"))
-    return s.where(F.col("cell").between(20 - 3, 40 + 3))
+    """Every tile's terrain in a box of cells and in the buffer that focal steps of 30 metres need about it."""
+    return focal.halo(pixels(spark, sf_dir).select(*CELL, "dem"), (10, 8, 30, 22), focal.buffer_cells(30, 10))
 
 
 @query(f"{_P} SELECT tile_id, y, x, red_dn AS red, nir_dn AS nir, s2_scl FROM pixels")
@@ -167,13 +167,13 @@ def c5_codec_faults(spark, sf_dir):
 
 
 @query(
-    "SELECT DISTINCT CASE WHEN p_size % 3 = 0 THEN 'probabilities-' || p_size WHEN p_size % 3 = 1 THEN 'ndvi' ELSE 'nothing' END AS name, CASE WHEN p_size % 3 = 0 THEN 'probabilities-*' WHEN p_size % 3 = 1 THEN 'ndvi' END AS codec FROM part"
+    "SELECT DISTINCT CASE p_size % 6 WHEN 0 THEN 'probabilities-' || p_size WHEN 1 THEN 'ndvi' WHEN 2 THEN 's2-scl' WHEN 3 THEN 'tcXwetness' WHEN 4 THEN 's2_scl' ELSE 'slope' END AS name, "
+    "CASE p_size % 6 WHEN 0 THEN 'probabilities-*' WHEN 1 THEN 'ndvi' WHEN 4 THEN 's2_scl' WHEN 5 THEN 'slope' END AS codec FROM part"
 )
 def c6_codec_lookup(spark, sf_dir):
     size = F.col("p_size")
-    name = F.when(size % 3 == 0, F.concat(F.lit("probabilities-"), size.cast("string"))).when(size % 3 == 1, "ndvi").otherwise("nothing")
-    names = table(spark, sf_dir, "part").select(name.alias("name")).distinct()
-    return codecs.lookup_table(names, codecs.as_table(spark))
+    names = F.array(F.concat(F.lit("probabilities-"), size.cast("string")), *map(F.lit, ("ndvi", "s2-scl", "tcXwetness", "s2_scl", "slope")))
+    return codecs.lookup_table(table(spark, sf_dir, "part").select(F.get(names, size % 6).alias("name")).distinct(), codecs.as_table(spark))
 
 
 _NAMES = ["ndvi", "gndvi", "grvi", "vigreen", "rvi", "nrvi", "tvi", "ctvi", "ttvi", "savi", "evi", "vari", "gli", "vdvi", "tgi", "exg"]
@@ -184,26 +184,37 @@ _I = (
 )
 
 
+_FREE = {
+    "evi": "2.5 * (n - r) / nullif(n + r * 6 - b * 7.5 + 1, 0)",
+    "vari": "(g - r) / nullif(g + r - b, 0)",
+    "gli": "(2 * green - red - blue) / nullif(2 * green + red + blue, 0)",
+    "vdvi": "(2 * green - red - blue) / nullif(2 * green + red + blue, 0)",
+}
+
+
 @query(
     f"{_I} SELECT tile_id, y, x, round(v, 6) + 0.0 AS ndvi, round((n - g) / nullif(n + g, 0), 6) + 0.0 AS gndvi, round((g - r) / nullif(g + r, 0), 6) + 0.0 AS grvi, round((g - r) / nullif(g + r, 0), 6) + 0.0 AS vigreen, "
     "round(r / nullif(n, 0), 6) + 0.0 AS rvi, round((r / nullif(n, 0) - 1) / nullif(r / nullif(n, 0) + 1, 0), 6) + 0.0 AS nrvi, round(CASE WHEN v + 0.5 >= 0 THEN sqrt(abs(v + 0.5)) END, 6) + 0.0 AS tvi, "
     "round((v + 0.5) / nullif(abs(v + 0.5), 0) * sqrt(abs(v + 0.5)), 6) + 0.0 AS ctvi, round(sqrt(abs(v) + 0.5), 6) + 0.0 AS ttvi, round(v * 1.5, 6) + 0.0 AS savi, "
-    "round(2.5 * (n - r) / nullif(n + r * 6 - b * 7.5 + 1, 0), 5) + 0.0 AS evi, round((g - r) / nullif(g + r - b, 0), 4) + 0.0 AS vari, "
-    "round((2 * green - red - blue) / nullif(2 * green + red + blue, 0), 4) + 0.0 AS gli, round((2 * green - red - blue) / nullif(2 * green + red + blue, 0), 4) + 0.0 AS vdvi, "
-    "round(((r - g) * 190 - (r - b) * 120) * -0.5, 6) + 0.0 AS tgi, round(g * 2 - r - b, 6) + 0.0 AS exg FROM v WHERE abs(g + r - b) > 0.0001 AND abs(2 * green + red + blue) > 0.0001"
+    + ", ".join(f"round({x} / (1 + abs({x})), 6) + 0.0 AS {k}" for k, x in _FREE.items())
+    + ", round(((r - g) * 190 - (r - b) * 120) * -0.5, 6) + 0.0 AS tgi, round(g * 2 - r - b, 6) + 0.0 AS exg FROM v"
 )
 def d1_d16_spectral_indices(spark, sf_dir):
+    """All cells; indices without bounds are shown as x / (1 + abs(x)), so that near-zero denominators compare."""
     d = indices.add_indices(decoded(spark, sf_dir), _NAMES)
-    c = lambda k: F.least(F.greatest(F.col(k), F.lit(0.0)), F.lit(1.0))
-    d = d.where((F.abs(c("green") + c("red") - c("blue")) > 0.0001) & (F.abs(F.col("green") * 2 + F.col("red") + F.col("blue")) > 0.0001))
-    coarse = {"evi": 5, "vari": 4, "gli": 4, "vdvi": 4}
-    return d.select(*CELL, *(r6(k, coarse.get(k, 6)).alias(k) for k in _NAMES))
+    return d.select(*CELL, *(r6(F.col(k) / (F.abs(k) + 1) if k in _FREE else k).alias(k) for k in _NAMES))
 
 
-@query(f"{_I} SELECT tile_id, y, x, round(1.5 * (n - r) / nullif(n + r + 0.5, 0), 6) + 0.0 AS savi2 FROM v")
+@query(
+    f"{_I} SELECT tile_id, y, x, round((1 + 0.5) * (n - r) / nullif(n + r + 0.5, 0), 6) + 0.0 AS savi, round((1 + 0.25) * (n - r) / nullif(n + r + 0.25, 0), 6) + 0.0 AS savi_quarter, round((g - n) / nullif(g + n, 0), 6) + 0.0 AS ndwi, "
+    "round(1.5 * (n - r) / nullif(n + r + 0.5, 0), 6) + 0.0 AS own FROM v"
+)
 def d17_named_index(spark, sf_dir):
-    d = indices.named_index(decoded(spark, sf_dir), "savi2", "1.5 * (nir - red) / (nir + red + lll)", {"lll": 0.5})
-    return d.select(*CELL, r6("savi2").alias("savi2"))
+    """From the registry, from the registry with an operand in place of a constant, and from a formula."""
+    d = indices.registered_index(decoded(spark, sf_dir), "SAVI", L=0.25).withColumnRenamed("savi", "savi_quarter")
+    d = indices.registered_index(indices.registered_index(d, "SAVI"), "NDWI")
+    d = indices.named_index(d, "own", "try_divide(1.5 * (nir - R), nir + R + L)", {"L": 0.5})
+    return d.select(*CELL, *(r6(c).alias(c) for c in ("savi", "savi_quarter", "ndwi", "own")))
 
 
 @query(f"{_P} SELECT tile_id, y, x, round((coalesce(CASE WHEN s2_scl <> 2 THEN prob_a END, 0.0) + prob_b) / (1 + CASE WHEN s2_scl <> 2 THEN 1 ELSE 0 END), 6) AS probabilities FROM pixels")

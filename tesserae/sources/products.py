@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tesserae.functions.rank import numbered
 
 TILE = "tile_id"
 #: Products by name and the bands of the composite ones.
@@ -15,7 +16,7 @@ COMPOSITES = {"optical": ("red", "green", "blue", "nir"), "dem": ("slope", "rela
 
 def read_all(spark: SparkSession, paths: Sequence[str], kind: str = "parquet") -> DataFrame:
     """Several files as one table; columns that a file lacks are NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.format(kind).load(p) for p in paths])
+    return spark.read.format(kind).option("mergeSchema", True).load(list(paths))
 
 
 def probability_product(p: Column) -> Column:
@@ -57,26 +58,33 @@ def output_state(tiles: DataFrame, listing: DataFrame, products: Sequence[str])
     return got.groupBy(TILE).agg(F.when(n == len(products), "all").when(n > 0, "some").otherwise("none").alias("state"), (F.lit(len(products)) - n).alias("missing"))
 
 
-def with_ledger(tiles: DataFrame, work: Callable[[pd.DataFrame], object]) -> DataFrame:
-    """Run ``work`` on each tile's rows; a failing tile becomes a ledger row with its error, the rest go on."""
+def with_ledger(tiles: DataFrame, work: Callable[[pd.DataFrame], object], block: int = 1024) -> DataFrame:
+    """Run ``work`` on each tile's rows; a failing tile becomes a ledger row with its error, the rest go on.
+
+    Rows with ``y`` and ``x`` come in blocks of ``block`` cells a side, so that no tile has to fit into one task: a
+    tile fails with the first of its blocks that fails, else its path is that of its first block.
+    """
+    place = [F.floor(F.col(c) / block).cast("int") if c in tiles.columns else F.lit(0) for c in ("y", "x")]
+    kind = tiles.schema[TILE].dataType.simpleString()
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         try:
-            path, status, error = str(work(rows)), "success", None
+            path, error = str(work(rows.drop(columns=["_by", "_bx"]))), None
         except Exception as e:  # noqa: BLE001  a tile's failure is a result
-            path, status, error = None, "failed", f"{type(e).__name__}: {e}"
-        return pd.DataFrame({TILE: [rows[TILE].iloc[0]], "output_path": [path], "status": [status], "error": [error]})
+            path, error = None, f"{type(e).__name__}: {e}"
+        return pd.DataFrame({TILE: [rows[TILE].iloc[0]], "by": [rows["_by"].iloc[0]], "bx": [rows["_bx"].iloc[0]], "path": [path], "error": [error]})
 
-    return tiles.groupBy(TILE).applyInPandas(run, f"{TILE} {tiles.schema[TILE].dataType.simpleString()}, output_path string, status string, error string")
+    blocks = tiles.withColumns({"_by": place[0], "_bx": place[1]}).groupBy(TILE, "_by", "_bx").applyInPandas(run, f"{TILE} {kind}, by int, bx int, path string, error string")
+    at = F.struct("by", "bx")
+    found = blocks.groupBy(TILE).agg(F.min_by("path", F.when(F.col("path").isNotNull(), at)).alias("path"), F.min_by("error", F.when(F.col("error").isNotNull(), at)).alias("error"))
+    failed = F.col("error").isNotNull()
+    return found.select(TILE, F.when(~failed, F.col("path")).alias("output_path"), F.when(failed, "failed").otherwise("success").alias("status"), "error")
 
 
 def number_rows(new: DataFrame, old: DataFrame | None, order: str) -> DataFrame:
-    """``z_idx`` of new training rows, going on from the stored ones; ``order`` is unique and the rows few (one a patch)."""
+    """``z_idx`` of new training rows, going on from the stored ones; ``order`` is unique."""
     first = 0 if old is None else old.agg(F.coalesce(F.max("z_idx") + 1, F.lit(0)).alias("n")).first()["n"]
-    spread = new.repartitionByRange(order).withColumn("_p", F.spark_partition_id())
-    counts = spread.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return spread.join(F.broadcast(before), "_p").withColumn("z_idx", F.col("_before") + F.row_number().over(Window.partitionBy("_p").orderBy(order)) - 1 + F.lit(first)).drop("_p", "_before")
+    return numbered(new, [order], "z_idx", first)
 
 
 def training_tables(cells: DataFrame, kept: DataFrame, bands: Sequence[str], label: str, size: int) -> tuple[DataFrame, DataFrame]:

@@ -37,7 +37,8 @@ def normal_lines(text: Column, min_tokens: int) -> Column:
 
 def _seen(rows: DataFrame, depth: int, min_tokens: int, long_chars: int) -> DataFrame:
     """``row, key, line, leaf, line_hash, long`` of the distinct normal lines with a letter of each row."""
-    lines = rows.select(F.monotonically_increasing_id().alias("row"), "key", F.explode(F.array_distinct(normal_lines(F.col("text"), min_tokens))).alias("line"))
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())  # below the explode: one number for each row
+    lines = numbered.select("row", "key", F.explode(F.array_distinct(normal_lines(F.col("text"), min_tokens))).alias("line"))
     tokens = _tokens(F.col("line"))
     leaf = F.when(F.size(tokens) >= min_tokens, F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth))).otherwise(F.xxhash64(F.lit("short"), F.lit(0), "line"))
     long = (F.size(tokens) >= min_tokens) & (F.length("line") >= long_chars)

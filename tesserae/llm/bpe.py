@@ -38,6 +38,10 @@ class TrieEncoder:
     def __init__(self, path: str, keep_words: int = 900_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        if spec.get("normalizer") or not plain or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+            raise ValueError(f"{path} is no plain byte-level BPE file: its ids would come out wrong")
         names = _byte_names()
         as_bytes = lambda s: bytes(names[c] for c in s)
         vocab = {as_bytes(token): i for token, i in spec["model"]["vocab"].items()}

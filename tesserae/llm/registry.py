@@ -28,8 +28,9 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def _bucket(key: str, of: int):
-    return F.crc32(F.col(key).cast("string")) % of
+def _held_out(key: str, of: int, part: int):
+    """Whether a row's key falls into a part; a null key is not held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % of == part, F.lit(False))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,14 +85,14 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held = _bucket("doc_id", 4) == 2
+    held = _held_out("doc_id", 4, 2)
     model = langid.fit(docs.where(~held))
     return langid.identify(docs, model).withColumn("held_out", held).select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
 def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held = _bucket("doc_id", 3) == 1
+    held = _held_out("doc_id", 3, 1)
     model = quality_model.fit(docs, table(spark, sf_dir, "labels").where(~held))
     found = quality_model.score(docs, model)
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tesserae.functions.storage import cut
+from tesserae.functions.storage import cut, discard
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -30,12 +30,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     ``edges`` has two comparable columns ``u`` and ``v``; loops are ignored and order within a pair is free.
     Returns ``node, component`` where the component is the smallest node reached. Each round is written to the
-    shared folder; the number of rounds grows with the logarithm of the longest path.
+    shared folder and the one before it is emptied; the number of rounds grows with the logarithm of the longest path.
     """
     now = cut(edges.where("u <> v").distinct())
     mark = None
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now).distinct()).where("u <> v").distinct())
+        before, now = now, cut(_small_star(_large_star(now).distinct()).where("u <> v").distinct())
+        discard([before])
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark:
             break

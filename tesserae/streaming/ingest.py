@@ -19,14 +19,14 @@ def unique_scenes(stream: DataFrame, key: str = "scene_id", time: str = "ts", la
 
 
 def ingest(stream: DataFrame, work: Callable[[DataFrame], DataFrame], out: str, ledger: str, checkpoint: str, key: str = "scene_id"):
-    """Handle every new scene that is there, then stop. Results and ledger are written by batch; a batch that runs
+    """Handle every new scene (a row each) that is there, then stop; of rows with one key one is taken. Results and ledger are written by batch; a batch that runs
     again overwrites its own part, so nothing is written twice."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        fresh = rows
+        fresh = rows.dropDuplicates([key])
         try:
             done = rows.sparkSession.read.parquet(ledger).where(F.col("batch") != number)
-            fresh = rows.join(done.select(key), key, "left_anti")
+            fresh = fresh.join(done.select(key), key, "left_anti")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -256,3 +256,95 @@ def test_volume_thresholds_are_cumulative(spark):
     s = spark.createDataFrame([(2020, 5, 3), (2020, 5, 30), (2020, 6, 100)], "year int, month int, cloud int")
     got = {(r["month"], r["threshold"]): r["n"] for r in volume.under_cloud(s, [10, 50, 100]).collect()}
     assert got == {(5, 10): 1, (5, 50): 2, (5, 100): 2, (6, 10): 0, (6, 50): 0, (6, 100): 1}
+
+
+def test_tiles_with_names(spark):
+    a = np.zeros((6, 8), int)
+    a[1:3, 1:3] = a[4, 6] = 1
+    df = grid(spark, a).withColumn("tile_id", F.lit("T32VXK")).withColumn("m", F.col("v") == 1)
+    rows = objects.vectorise(df, "m", "v").orderBy("region_id").collect()
+    assert [(r["tile_id"], r["region_id"], r["npixel"], len(r["ring"])) for r in rows] == [("T32VXK", 1, 4, 5), ("T32VXK", 2, 1, 5)]
+    assert back(objects.remove_small(df, "m", 2), "m", a.shape).sum() == 4
+
+
+def test_rings_of_holes_and_touching_corners(spark):
+    a = np.zeros((9, 9), int)
+    a[1:7, 1:7] = 1
+    a[2:4, 2:4] = a[4, 4] = 0  # holes that touch at a corner
+    a[7, 7] = 1  # touches the block at a corner
+    df = grid(spark, a).withColumn("m", F.col("v") == 1)
+    rings = [[(p["x"], p["y"]) for p in r["ring"]] for r in objects.polygons(objects.label(df, "m")).collect()]
+    area = lambda r: sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(r, r[1:])) / 2
+    assert sum(map(area, rings)) == a.sum() and all(r[0] == r[-1] and len(set(r)) >= 4 for r in rings)
+    assert sorted(map(area, rings)) == [-5, 1, 36]
+    assert all((p[0] == q[0]) != (p[1] == q[1]) for r in rings for p, q in zip(r, r[1:]))
+
+
+def test_polygon_products_by_subset(spark):
+    a = np.zeros((5, 5), int)
+    a[1:3, 1:3] = 60
+    df = grid(spark, a, "p").withColumns({"m1": F.col("p") > 50, "m2": F.col("p") >= 0, "extent": F.lit(True)})
+    rows = objects.polygon_products(df, {"all": ("m1", "p"), "wide": ("m2", "p")}, "extent").collect()
+    assert sorted((r["product"], r["subset"], r["npixel"]) for r in rows) == [("extent", "", 25), ("segments", "all", 4), ("segments", "wide", 25)]
+
+
+def test_one_to_one_matching(spark):
+    pairs = spark.createDataFrame([(0, 1, 1, 0.4), (0, 1, 2, 0.35), (0, 2, 2, 0.3), (0, 2, 1, 0.39)], "tile_id int, t int, p int, iou double")
+    assert {(r["t"], r["p"]) for r in metrics.one_to_one(pairs).collect()} == {(1, 1), (2, 2)}
+
+
+def test_stored_and_new_coordinates_must_agree(spark):
+    old = spark.createDataFrame([(1, 10.0, 5)], "k int, x0 double, red int")
+    good = spark.createDataFrame([(1, 10.0, 6), (2, 20.0, 7)], "k int, x0 double, nir int")
+    rows = catalog.upsert_bands(old, good, ["k"], ["red", "nir"], ["x0"]).orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [(1, 10.0, 5, 6), (2, 20.0, None, 7)]
+    with pytest.raises(Exception, match="x0 of the new bands"):
+        catalog.upsert_bands(old, good.withColumn("x0", F.col("x0") + 1), ["k"], ["red", "nir"], ["x0"]).collect()
+
+
+def test_ledger_by_blocks(spark):
+    df = grid(spark, np.arange(16).reshape(4, 4))
+
+    def work(rows):
+        if rows["v"].max() == 15:
+            raise ValueError("last block")
+        return f"/out/{rows['y'].min()}"
+
+    assert [tuple(r) for r in products.with_ledger(df, work, block=2).collect()] == [(0, None, "failed", "ValueError: last block")]
+    assert [tuple(r) for r in products.with_ledger(df.where("v < 15"), work, block=2).collect()] == [(0, "/out/0", "success", None)]
+
+
+def test_registered_indices(spark):
+    df = spark.createDataFrame([(0.1, 0.2, 0.3, 0.6), (None, 0.0, 0.0, 0.0)], "blue double, green double, red double, nir double")
+    first, second = indices.registered_index(indices.registered_index(df, "EVI"), "SAVI", L=0.0).collect()
+    assert first["evi"] == pytest.approx(2.5 * 0.3 / (0.6 + 6 * 0.3 - 7.5 * 0.1 + 1)) and first["savi"] == pytest.approx(0.3 / 0.9)
+    assert second["evi"] is None and second["savi"] is None
+    own = indices.registry_table(spark, [("Mine", "(n - r) / (n + r + r_)", {"r_": 1.0})])
+    assert indices.registered_index(df, "Mine", own, n=F.col("nir"), r=F.col("red")).first()["mine"] == pytest.approx(0.3 / 1.9)
+    with pytest.raises(ValueError):
+        indices.registered_index(df, "DVI", N=1.0, R=0.5)
+    with pytest.raises(ValueError):
+        indices.registered_index(df, "nothing")
+
+
+def test_codec_names(spark):
+    names = spark.createDataFrame([("s2-scl",), ("tcXwetness",), ("probabilities-a_b",), ("hillshade",)], "name string")
+    got = dict(map(tuple, codecs.lookup_table(names, codecs.as_table(spark)).collect()))
+    assert got == {"s2-scl": None, "tcXwetness": None, "probabilities-a_b": "probabilities-*", "hillshade": "hillshade"}
+
+
+def test_window_search_ends_at_the_border(spark):
+    a = np.zeros((7, 9), int)
+    a[0:3, 0:3] = 1  # a good window that the spiral would reach only after leaving the tile
+    a[4:7, 5:8] = 1
+    row = coreg.valid_window(grid(spark, a), 9, 7, 3, F.col("v") == 1).first()
+    assert (row["step"], row["y0"], row["x0"], row["rows"], row["cols"]) in [(None, 0, 0, 7, 9), (12, 4, 5, 3, 3)]
+    whole = coreg.valid_window(grid(spark, np.zeros((7, 9), int)), 9, 7, 3, F.col("v") == 1).first()
+    assert (whole["step"], whole["rows"], whole["cols"]) == (None, 7, 9)
+
+
+def test_a_scene_twice_in_a_batch(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "scene_id string, v int").write.parquet(f"{tmp_path}/in")
+    schema = spark.read.parquet(f"{tmp_path}/in").schema
+    ingest.ingest(ingest.scene_stream(spark, f"{tmp_path}/in", schema), lambda rows: rows, f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/state")
+    assert sorted(r["scene_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]

@@ -11,6 +11,7 @@ order is emitted by walking the same pointers from the suffixes already placed,
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
-from tesserae.functions.storage import cut, discard
+from tesserae.functions.storage import cut, cut_parts, discard
 from tesserae.llm.blocks import cuts, utf8
 
 LENGTH = 50
@@ -249,12 +250,13 @@ def _owner_counts(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return r[at], np.add.reduceat(fresh.astype(np.int64), at) if len(at) else at
 
 
-OWNERS = "array<struct<share:int,r:binary,n:binary>>"
-BLOCKS = f"keys array<long>, sizes array<long>, data binary, owners {OWNERS}"
+BLOCKS = "kind int, block long, keys array<long>, sizes array<long>, data binary, owners array<struct<share:int,r:binary,n:binary>>"
+#: Bytes of an owner's hash that are enough to count it: two that agree in them count as shared, and are compared later.
+SHORT = 6
 
 
 def _pack(shares: int):
-    """Texts to blocks, each with its distinct owners by share."""
+    """Texts to blocks: a row of kind 0 with the texts, and one of kind 1 with the distinct owners by share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("share", pa.int32()), ("r", pa.binary()), ("n", pa.binary())]))
@@ -263,12 +265,13 @@ def _pack(shares: int):
             r, n = _owner_counts(data, starts)
             share = _by_share(r, shares)
             edges = np.flatnonzero(np.r_[True, share[1:] != share[:-1]]) if len(r) else np.zeros(0, np.int64)
-            n = np.minimum(n, 65535).astype("<u2")
-            cut_up = [{"share": int(share[a]), "r": r[a:b].tobytes(), "n": n[a:b].tobytes()} for a, b in zip(edges, [*edges[1:], len(r)])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block.column("key").to_numpy()]), pa.array([np.diff(starts)]), pa.array([data.tobytes()], pa.binary()), pa.array([cut_up], kind)],
-                names=["keys", "sizes", "data", "owners"],
-            )
+            short = r.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - SHORT :]
+            n = np.minimum(n, 255).astype(np.uint8)
+            cut_up = [{"share": int(share[a]), "r": short[a:b].tobytes(), "n": n[a:b].tobytes()} for a, b in zip(edges, [*edges[1:], len(r)])]
+            number = secrets.randbits(63)
+            columns = ([0, 1], [number] * 2, [block.column("key").to_numpy(), None], [np.diff(starts), None], [data.tobytes(), None], [None, cut_up])
+            kinds = (pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), kind)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["kind", "block", "keys", "sizes", "data", "owners"])
 
     return run
 
@@ -277,15 +280,20 @@ def _numbers(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
 
-def _shared(rows: pa.Table) -> pa.Table:
-    """One share of owners, a row for each block: 1 for every owner that two texts have, 2 if it is hot."""
-    r, n = _numbers(rows["r"], "<u8"), _numbers(rows["n"], "<u2")
+def _shared(rows: pa.Table, hot: int) -> pa.Table:
+    """One share of owners, a row for each block: 1 for every owner that two texts have, 2 if over ``hot`` have it."""
+    n = _numbers(rows["n"], "u1")
+    r = []
+    for x in rows["r"].to_pylist():
+        wide = np.zeros((len(x) // SHORT, 8), np.uint8)
+        wide[:, 8 - SHORT :] = np.frombuffer(x, np.uint8).reshape(-1, SHORT)
+        r.append(wide.view("<u8").ravel())
     every, count = np.concatenate(r), np.concatenate(n).astype(np.int64)
     order = np.argsort(every, kind="stable")
     at = np.flatnonzero(np.r_[True, every[order[1:]] != every[order[:-1]]])
     total = np.add.reduceat(count[order], at)
     flag = np.empty(len(every), np.uint8)
-    flag[order] = np.repeat(np.where(total < 2, 0, np.where(total <= HOT, 1, 2)).astype(np.uint8), np.diff(np.r_[at, len(every)]))
+    flag[order] = np.repeat(np.where(total < 2, 0, np.where(total <= hot, 1, 2)).astype(np.uint8), np.diff(np.r_[at, len(every)]))
     flags = np.split(flag, np.cumsum([len(x) for x in r])[:-1])
     keep = pa.array([i for i, f in enumerate(flags) if f.any()], pa.int64())
     return pa.table({"block": rows["block"].take(keep), "share": rows["share"].take(keep), "flags": pa.array([flags[i].tobytes() for i in keep.to_pylist()], pa.binary())})
@@ -459,13 +467,13 @@ def _remove(block: pa.Table, verdicts: pa.Table) -> pa.Table:
     )
 
 
-def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", hot: int = HOT) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept`` of every row.
 
     ``kept`` holds the bytes of the UTF-8 text that no 50-byte string covers which also starts in a row with a
     smaller key; keys are integers. Strings are judged on the input and never cross rows. Null texts are empty. Null
     keys are smaller or greater than none: such rows stay whole and remove nothing. Rows with equal keys do not remove
-    each other's bytes. Other columns are left out.
+    each other's bytes. Other columns are left out. ``hot`` bears on how the work is dealt out alone.
     """
     if not isinstance(docs.schema[key].dataType, IntegralType):
         raise TypeError(f"{key} has to be an integer column: the smaller key keeps what two rows share")
@@ -476,13 +484,14 @@ def drop_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     total = first.agg(F.sum("n_bytes")).first()[0] or 0
     shares = max(8, total // SHARE)
     once = able.join(first.select("version", "key"), ["version", "key"], "left_semi").select("key", "text")
-    blocks = cut(once.mapInArrow(_pack(shares), BLOCKS).withColumn("block", F.monotonically_increasing_id()))
-    counts = blocks.select("block", F.explode("owners").alias("o")).select("block", "o.*")
-    flags = counts.groupBy("share").applyInArrow(_shared, "block long, share int, flags binary")
+    blocks, owned = cut_parts(once.mapInArrow(_pack(shares), BLOCKS), "kind", [0, 1])
+    counts = owned.select("block", F.explode("owners").alias("o")).select("block", "o.*")
+    flags = cut(counts.groupBy("share").applyInArrow(lambda t: _shared(t, hot), "block long, share int, flags binary"))
+    discard([owned])
     segments = cut(blocks.drop("owners").groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(_segments(shares), SEGMENTS))
     discard([blocks])
     parts = segments.select("block", F.explode("parts").alias("p")).select("block", "p.*")
-    verdicts = parts.groupBy("share").applyInArrow(_judge, "block long, entry binary, `from` binary, many binary, least binary")
+    verdicts = cut(parts.groupBy("share").applyInArrow(_judge, "block long, entry binary, `from` binary, many binary, least binary"))
     judged = segments.drop("parts").groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_remove, "key long, n_bytes long, n_removed long, n_spans long, kept binary")
     copies = able.select("version", "key", "n_bytes").join(first.select("version", "key"), ["version", "key"], "left_anti")
     gone = copies.select("key", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept"))

@@ -58,14 +58,14 @@ def a7_scene_completeness(spark, sf_dir):
 
 @query(
     f"{cte('pixels')}, o AS (SELECT tile_id, y, x, red_dn AS red, nir_dn AS nir FROM pixels WHERE x % 3 <> 0), n AS (SELECT tile_id, y, x, green_dn AS green, nir_dn + 1 AS nir FROM pixels WHERE x % 2 = 0) "
-    "SELECT coalesce(o.tile_id, n.tile_id) AS tile_id, coalesce(o.y, n.y) AS y, coalesce(o.x, n.x) AS x, o.red, n.green, coalesce(n.nir, o.nir) AS nir FROM o FULL JOIN n ON o.tile_id = n.tile_id AND o.y = n.y AND o.x = n.x"
+    "SELECT coalesce(o.tile_id, n.tile_id) AS tile_id, coalesce(o.y, n.y) AS y, coalesce(o.x, n.x) AS x, coalesce(o.x, n.x) * 10 + 5 AS px, o.red, n.green, coalesce(n.nir, o.nir) AS nir FROM o FULL JOIN n ON o.tile_id = n.tile_id AND o.y = n.y AND o.x = n.x"
 )
 def a8_upsert_bands(spark, sf_dir):
-    p = load(spark, sf_dir, "pixels")
+    p = load(spark, sf_dir, "pixels").withColumn("px", F.col("x") * 10 + 5)
     keys = ["tile_id", "y", "x"]
-    old = p.where(F.col("x") % 3 != 0).select(*keys, F.col("red_dn").alias("red"), F.col("nir_dn").alias("nir"))
-    new = p.where(F.col("x") % 2 == 0).select(*keys, F.col("green_dn").alias("green"), (F.col("nir_dn") + 1).alias("nir"))
-    return catalog.upsert_bands(old, new, keys, ["red", "green", "nir"])
+    old = p.where(F.col("x") % 3 != 0).select(*keys, "px", F.col("red_dn").alias("red"), F.col("nir_dn").alias("nir"))
+    new = p.where(F.col("x") % 2 == 0).select(*keys, "px", F.col("green_dn").alias("green"), (F.col("nir_dn") + 1).alias("nir"))
+    return catalog.upsert_bands(old, new, keys, ["red", "green", "nir"], ["px"])
 
 
 @query("SELECT c_custkey, c_acctbal, NULL AS s_suppkey FROM customer UNION ALL SELECT NULL, s_acctbal, s_suppkey FROM supplier")

@@ -127,6 +127,19 @@ def k2_vectorise(spark, sf_dir):
     return rings.groupBy("tile_id", "region_id", "min", "max", "npixel").agg(F.sum(F.size("ring") - 1).alias("corners"))
 
 
+def _product(name: str, of: str) -> str:
+    return f"SELECT tile_id, 'segments' AS product, '{name}' AS subset, max(region_id) AS regions, count(*) AS npixel FROM {of} GROUP BY tile_id"
+
+
+@query(f"{_W}, {_walk('t', _T)}, {_walk('q', _PR)} {_product('target', 't')} UNION ALL {_product('predicted', 'q')}")
+def a14_polygon_products(spark, sf_dir):
+    """Polygons of two subsets, counted with their cells by tile."""
+    p = pixels(spark, sf_dir).withColumns({"v": (F.col("prob_a") * 100).cast("int"), "t": F.col("target") == 1, "q": _predicted_mask()})
+    found = objects.polygon_products(p, {"target": ("t", "v"), "predicted": ("q", "v")})
+    once = found.select("tile_id", "product", "subset", "region_id", "npixel").distinct()  # a row for each ring
+    return once.groupBy("tile_id", "product", "subset").agg(F.count("*").cast("int").alias("regions"), F.sum("npixel").alias("npixel"))
+
+
 _PAIRS = (
     f"{_W}, {_walk('t', _T)}, {_walk('q', _PR)}, i AS (SELECT t.tile_id, t.region_id AS t, q.region_id AS p, count(*) AS n FROM t JOIN q ON q.tile_id = t.tile_id AND q.y = t.y AND q.x = t.x GROUP BY t.tile_id, t.region_id, q.region_id), "
     "st AS (SELECT tile_id, region_id AS t, count(*) AS n FROM t GROUP BY tile_id, region_id), sp AS (SELECT tile_id, region_id AS p, count(*) AS n FROM q GROUP BY tile_id, region_id), "

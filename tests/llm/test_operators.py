@@ -235,6 +235,35 @@ def test_vantage_trees_find_all_links():
     assert all(where[int(a)] & where[int(b)] for a, b in zip(r, c))
 
 
+def test_large_shards_are_split_by_their_data(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    near = base[:100].copy()
+    for i in range(len(near)):
+        for b in rng.choice(64, rng.integers(1, 7), replace=False):
+            near[i] ^= np.uint64(1) << np.uint64(b)
+    points = np.unique(np.concatenate([base, near]))
+    label = np.arange(len(points))
+    linked = np.bitwise_count(points[:, None] ^ points[None]) <= 4
+    for _ in points:
+        label = np.array([label[row].min() for row in linked])
+    fps = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    for most in (1 << 15, 5):
+        got = {r["fp"]: r["group_fp"] for r in simhash.link_groups(fps, most=most, shard=64).collect()}
+        groups = {}
+        for k, p in zip(label.tolist(), points.view(np.int64).tolist()):
+            groups.setdefault(k, set()).add(p)
+        assert got == {p: min(g) for g in groups.values() if len(g) > 1 for p in g}
+
+
+def test_simhash_of_a_long_text_and_equal_keys(spark):
+    text = words(random.Random(4), 60_000)
+    rows = [(1, text), (1, text), (2, text), (None, "other text of some words"), (3, "x")]
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 5 and [r["component_id"] for r in got if r["doc_id"] in (1, 2)] == [1, 1, 1]
+    assert {r["fp"] & (1 << 64) - 1 for r in got if r["doc_id"] == 2} == {fingerprint_brute(text)}
+
+
 def url_brute(url):
     if url is None or "://" not in url:
         return "", ""

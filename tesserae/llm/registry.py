@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import bpe, decontaminate, langid, line_templates, pii, quality_model, repetition, simhash, suffix_dedup, url_reputation
+from tesserae.llm import bpe, decontaminate, langid, line_templates, periodic_runs, pii, quality_model, repetition, simhash, suffix_dedup, url_reputation
 
 #: The rules of the URL query, ``(verdict, host, path)``.
 URL_RULES = (
@@ -103,8 +103,38 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered", "longest_repeat")
 
 
+def _with_planted_periods(docs: DataFrame) -> DataFrame:
+    """The query's own rule: of documents whose key has a CRC that ends in 0, the words from one place on repeat."""
+    h, n = F.crc32(F.col("doc_id").cast("string")), F.col("n")
+    g = F.floor(h / 10)
+    a = F.pmod(g, n)
+    p = F.floor((n - a) / (F.pmod(g, F.lit(8)) + 3)) + 1
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, F.filter(F.split("text", "[ \t-\r]+"), lambda w: w != "")).alias("words"))
+    sized = chosen.withColumn("n", F.size("words")).withColumns({"a": F.when(n > 0, a), "p": F.when(n > 0, p)})
+    word = lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p"))).cast("int"))
+    planted = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")
+    return sized.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(F.col("best.length") * 1000 / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition)
+    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition, op12_periodic_runs)
     return {f.__name__: f for f in made}
 
 

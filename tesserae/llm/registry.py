@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import bpe, decontaminate, langid, line_templates, periodic_runs, pii, quality_model, repetition, simhash, suffix_dedup, url_reputation
+from tesserae.llm import bpe, decontaminate, langid, line_templates, periodic_runs, pii, quality_model, ranked_search, repetition, simhash, suffix_dedup, url_reputation
 
 #: The rules of the URL query, ``(verdict, host, path)``.
 URL_RULES = (
@@ -103,6 +103,10 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered", "longest_repeat")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _with_planted_periods(docs: DataFrame) -> DataFrame:
     """The query's own rule: of documents whose key has a CRC that ends in 0, the words from one place on repeat."""
     h, n = F.crc32(F.col("doc_id").cast("string")), F.col("n")
@@ -134,7 +138,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition, op12_periodic_runs)
+    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition, op11_ranked_search, op12_periodic_runs)
     return {f.__name__: f for f in made}
 
 
@@ -182,5 +186,20 @@ def _url_sql() -> str:
     )
 
 
+def _search_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = f"regexp_extract_all(translate(text, '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return (
+        f"WITH t AS (SELECT doc_id, unnest({split}) AS term FROM documents), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term), "
+        "n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id), g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n), "
+        "w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN g GROUP BY term, docs), "
+        "m AS (SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM n CROSS JOIN g), "
+        f"q AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest({split}) AS term FROM benchmark) x GROUP BY item_id, term), "
+        "s AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id), "
+        "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0) "
+        "SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_reputation": _url_sql()}
+    return {"op5_url_reputation": _url_sql(), "op11_ranked_search": _search_sql()}

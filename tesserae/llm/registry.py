@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tesserae.llm import bpe, decontaminate, langid, line_templates, periodic_runs, pii, quality_model, ranked_search, repetition, simhash, suffix_dedup, url_reputation
+from tesserae.llm import bottom_k, bpe, decontaminate, langid, line_templates, periodic_runs, pii, quality_model, ranked_search, repetition, simhash, suffix_dedup, url_reputation
 
 #: The rules of the URL query, ``(verdict, host, path)``.
 URL_RULES = (
@@ -137,8 +137,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition, op11_ranked_search, op12_periodic_runs)
+    made = (op1_pii, op2_line_templates, op3_suffix_dedup, op4_simhash, op5_url_reputation, op6_bpe, op7_decontaminate, op8_language, op9_quality_model, op10_repetition, op11_ranked_search, op12_periodic_runs, op13_bottom_k)
     return {f.__name__: f for f in made}
 
 
@@ -201,5 +205,20 @@ def _search_sql() -> str:
     )
 
 
+def _similar_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+')"
+    return (
+        f"WITH RECURSIVE w AS (SELECT doc_id, {split} AS w FROM documents), "
+        "s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] for i in range(1, len(w) - 2)] END) AS g FROM w), "
+        "n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), "
+        "p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id), "
+        "e AS MATERIALIZED (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)), "
+        "r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.v FROM r JOIN e ON e.u = r.other), "
+        "m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) "
+        "SELECT m.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, m.doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_reputation": _url_sql(), "op11_ranked_search": _search_sql()}
+    return {"op5_url_reputation": _url_sql(), "op11_ranked_search": _search_sql(), "op13_bottom_k": _similar_sql()}

@@ -77,7 +77,7 @@ def test_union_sketch_bound():
             for _ in range(200):
                 union = np.unique(rnd.integers(0, 1 << 62, 1000))
                 part = rnd.permutation(len(union))
-                both, rest = (800, 200) if similar else (300, 700)
+                both, rest = (800, 200) if similar else (100, 900)
                 a, b = union[np.sort(part[: both + rest // 2])], union[np.sort(np.r_[part[:both], part[both + rest // 2 :]])]
                 shared = np.isin(union[:k], a) & np.isin(union[:k], b)
                 assert (shared.sum() >= c) == similar

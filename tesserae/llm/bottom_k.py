@@ -6,7 +6,8 @@ them but for one pair in 10^9 (``miss``); a sketch that is the whole set is exac
 values that two sets and more have. A set goes to the lists of its rarest values, by exact counts, and only to so many
 that any similar one has to meet it there; sets that have too few shared values at all go to none. In a list all are
 first compared with one of them, which joins groups of copies without all their pairs; pairs that meet and are not
-joined by then are compared after that. Sketches of the union filter pairs, the whole sets confirm them.
+joined by then are compared after that, those of large lists once they meet in the lists of their whole sets, too.
+Sketches of the union filter pairs, the whole sets confirm them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from tesserae.functions.storage import cut, discard
 from tesserae.llm.blocks import cuts, texts
 from tesserae.llm.shingle_dedup import shingles
 
+#: Nodes of a list from which on they are listed anew by their whole sets.
+LARGE = 100
+
 
 def needed(k: int, percent: int, miss: float = 1e-9) -> int:
     """Values of a union's sketch that two sets of the similarity share at least, but with the probability ``miss``."""
@@ -64,20 +68,27 @@ def sketches(rows: DataFrame, k: int, words_per_shingle: int) -> DataFrame:
     return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, digest binary, n long, sketch array<long>")
 
 
-def _least_shared(n: Column, k: int, c: int, percent: int) -> Column:
-    """Sketch values that a set of size ``n`` shares with any similar set at least."""
-    own = F.ceil(n * percent / 100)
-    return F.when(n * 100 <= percent * k, own).otherwise(F.least(own, F.lit(c)))
+def _least_shared(n: Column, k: int, c: int, percent: int) -> tuple[Column, Column]:
+    """Sketch values that a set of size ``n`` shares at least with a similar one, and with one that is not smaller."""
+    any_, not_smaller = F.ceil(n * percent / 100), F.ceil(n * (2 * percent) / (100 + percent))
+    alone = n * 100 <= percent * k  # no similar set is larger than its sketch
+    return F.when(alone, any_).otherwise(F.least(any_, F.lit(c))), F.when(alone, not_smaller).otherwise(F.least(not_smaller, F.lit(c)))
 
 
 def _memberships(nodes: DataFrame, k: int, c: int, percent: int) -> DataFrame:
-    """``h, node, n, rest, least`` of the lists that a node goes to; ``rest``: shared values from this one on."""
+    """``h, node, n, rest, least, small, own`` of the lists that a node goes to.
+
+    ``rest``: shared values from this one on; ``small``: whether a set that is not smaller can be met first here;
+    ``own``: values that no other node has.
+    """
     values = nodes.select("node", "n", F.explode("sketch").alias("h"))
     counts = cut(values.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"))
     held = values.join(counts, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("values"))
-    able = held.withColumns({"least": _least_shared(F.col("n"), k, c, percent), "m": F.size("values")}).where("m >= least")
-    listed = able.select("node", "n", "least", "m", F.posexplode(F.slice("values", F.lit(1), (F.col("m") - F.col("least") + 1).cast("int"))).alias("place", "v"))
-    return cut(listed.select(F.col("v.h").alias("h"), "node", "n", (F.col("m") - F.col("place")).alias("rest"), "least"))
+    least, least_small = _least_shared(F.col("n"), k, c, percent)
+    able = held.withColumns({"least": least, "least_small": least_small, "m": F.size("values")}).where("m >= least")
+    listed = able.select("node", "n", "least", "least_small", "m", F.posexplode(F.slice("values", F.lit(1), (F.col("m") - F.col("least") + 1).cast("int"))).alias("place", "v"))
+    rest = F.col("m") - F.col("place")
+    return cut(listed.select(F.col("v.h").alias("h"), "node", "n", rest.alias("rest"), "least", (rest >= F.col("least_small")).alias("small"), (F.least("n", F.lit(k)) - F.col("m")).alias("own")))
 
 
 def _possible(k: int, percent: int) -> Column:
@@ -85,7 +96,25 @@ def _possible(k: int, percent: int) -> Column:
     n, o = F.col("n"), F.col("other_n")
     whole = F.greatest(n, o) <= k
     least = F.greatest("least", "other_least", F.when(whole, F.ceil((n + o) * percent / (100 + percent))).otherwise(F.lit(0)))
-    return (F.least(n, o) * 100 >= F.greatest(n, o) * percent) & (F.least("rest", "other_rest") >= least)
+    role = ((n > o) | F.col("small")) & ((n < o) | F.col("other_small"))
+    return role & (F.least(n, o) * 100 >= F.greatest(n, o) * percent) & (F.least("rest", "other_rest") >= least)
+
+
+def _other(lists: DataFrame, *more: str) -> DataFrame:
+    return lists.select("h", F.col("node").alias("v"), *(F.col(x).alias(f"other_{x}") for x in ("n", "rest", "least", "small", *more)))
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, words_per_shingle: int) -> DataFrame:
+    """``node, data``: the whole sets of these nodes, from the texts of their least keys."""
+    wanted = cut(nodes.select("node", "digest", F.col("least").alias("key")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in cuts(batches, "text", 1 << 20):
+            found = [hashed(t, words_per_shingle) for t in texts(part.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in found], pa.binary()), _lists(found)], names=["digest", "data"])
+
+    given = docs.join(wanted.select("key").distinct(), "key", "left_semi").select("text").mapInArrow(run, "digest binary, data array<long>")
+    return cut(given.join(wanted.select("digest", "node"), "digest").select("node", "data").dropDuplicates(["node"]))
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, c: int, percent: int, words_per_shingle: int) -> DataFrame:
@@ -94,21 +123,13 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, c: int
     both = pairs.join(of("u"), "u").join(of("v"), "v").withColumn("shared", F.array_intersect("s_u", "s_v"))
     total = F.col("n_u") + F.col("n_v")
     whole = F.greatest("n_u", "n_v") <= k  # then the sketches are the sets
-    last = F.element_at(F.slice(F.array_sort(F.array_union("s_u", "s_v")), 1, k), -1)
-    in_union = F.size(F.filter("shared", lambda h: h <= F.col("last")))
+    in_union = F.size(F.array_intersect("shared", F.slice(F.sort_array(F.array_union("s_u", "s_v")), 1, k)))
     exact = F.size("shared") * 100 >= (total - F.size("shared")) * percent
-    judged = both.withColumn("last", F.when(~whole, last)).select("u", "v", whole.alias("whole"), F.when(whole, exact).otherwise(in_union >= c).alias("may")).where("may")
+    judged = both.select("u", "v", whole.alias("whole"), F.when(whole, exact).otherwise(in_union >= c).alias("may")).where("may")
     judged = cut(judged.select("u", "v", "whole"))
     open_ = judged.where("NOT whole").select("u", "v")
-    wanted = cut(nodes.join(open_.select(F.col("u").alias("node")).union(open_.select(F.col("v").alias("node"))).distinct(), "node", "left_semi").select("node", "digest", F.col("least").alias("key")))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in cuts(batches, "text", 1 << 20):
-            found = [hashed(t, words_per_shingle) for t in texts(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in found], pa.binary()), _lists(found)], names=["digest", "data"])
-
-    given = docs.join(wanted.select("key").distinct(), "key", "left_semi").select("text").mapInArrow(sets, "digest binary, data array<long>")
-    data = cut(given.join(wanted.select("digest", "node"), "digest").select("node", "data").dropDuplicates(["node"]))
+    ends = open_.select(F.col("u").alias("node")).union(open_.select(F.col("v").alias("node"))).distinct()
+    data = _sets(docs, nodes.join(ends, "node", "left_semi"), words_per_shingle)
     full = open_.join(data.select(F.col("node").alias("u"), F.col("data").alias("a")), "u").join(data.select(F.col("node").alias("v"), F.col("data").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
     confirmed = full.where(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("u", "v")
@@ -117,25 +138,52 @@ def _similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, k: int, c: int
     return found
 
 
+def _apart(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Lists with nodes of several components, with each node's ``component``, and their sizes ``many``."""
+    labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = labelled.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).where("lo <> hi").select("h", "many")
+    return cut(labelled.join(open_, "h"))
+
+
+def _met(lists: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs ``u, v`` of different components that meet in a list and can be similar."""
+    both = lists.join(_other(lists, "component"), "h").where((F.col("node") > F.col("v")) & (F.col("component") != F.col("other_component")) & _possible(k, percent))
+    return both.select(F.col("node").alias("u"), "v").distinct()
+
+
+def _stars(lists: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs ``u, v`` of nodes and the lead of a list that they are in: the node with the fewest values of its own, as
+    copies lie about what they were copied from."""
+    leads = lists.groupBy("h").agg(F.min(F.struct("own", "node", "n", "rest", "least", "small")).alias("lead"), F.count("*").alias("many")).where("many > 1").select("h", "lead.*")
+    met = lists.join(_other(leads), "h").where((F.col("node") != F.col("v")) & _possible(k, percent))
+    return cut(met.select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct())
+
+
 def _links(nodes: DataFrame, docs: DataFrame, k: int, c: int, percent: int, words_per_shingle: int) -> DataFrame:
     """Pairs ``u, v`` of similar nodes that connect whatever similar nodes connect."""
-    lists = _memberships(nodes, k, c, percent)
     judge = lambda pairs: _similar(pairs, docs, nodes, k, c, percent, words_per_shingle)
-    other = lambda df, *more: df.select("h", F.col("node").alias("v"), F.col("n").alias("other_n"), F.col("rest").alias("other_rest"), F.col("least").alias("other_least"), *more)
-    leads = lists.groupBy("h").agg(F.min(F.struct("node", "n", "rest", "least")).alias("lead"), F.count("*").alias("many")).where("many > 1").select("h", "lead.*")
-    stars = lists.join(other(leads), "h").where((F.col("node") != F.col("v")) & _possible(k, percent))
-    stars = cut(stars.select(F.col("node").alias("u"), "v").distinct())
+    lists = _memberships(nodes, k, c, percent)
+    stars = _stars(lists, k, percent)
     linked = judge(stars)
     groups = cut(components(linked))
-    labelled = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = labelled.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("many")).where("lo <> hi AND many > 2").select("h")
-    left = cut(labelled.join(open_, "h", "left_semi"))
+    left = _apart(lists, groups)
     discard([lists])
-    met = left.join(other(left, F.col("component").alias("other_component")), "h")
-    met = met.where((F.col("node") > F.col("v")) & (F.col("component") != F.col("other_component")) & _possible(k, percent))
-    pairs = cut(met.select(F.col("node").alias("u"), "v").distinct().join(stars, ["u", "v"], "left_anti"))
+    few = cut(_met(left.where(F.col("many") <= LARGE), k, percent))
+    # what meets in large lists is listed anew by whole sets, which leave nothing to chance and so fewer pairs
+    large = cut(left.where(F.col("many") > LARGE).select("node").distinct())
     discard([left])
-    return linked.union(judge(pairs))
+    whole = _sets(docs, nodes.join(large, "node", "left_semi"), words_per_shingle).select("node", F.size("data").cast("long").alias("n"), F.col("data").alias("sketch"))
+    most = (1 << 31) - 1
+    anew = _memberships(whole, most, c, percent)
+    again = _stars(_apart(anew, groups).drop("component", "many"), most, percent)
+    linked = linked.union(judge(cut(few.union(again).distinct().join(stars, ["u", "v"], "left_anti"))))
+    groups = cut(components(linked))
+    pairs = _met(_apart(anew, groups), most, percent)
+    for done in (stars, few, again):
+        pairs = pairs.join(done, ["u", "v"], "left_anti")
+    found = linked.union(judge(cut(pairs)))
+    discard([anew])
+    return found
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = 80, words_per_shingle: int = 4, k: int = 128) -> DataFrame:

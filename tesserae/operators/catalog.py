@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tesserae.functions.storage import cut
+from tesserae.operators import geometry, polygons
+
 BOX = ("xmin", "ymin", "xmax", "ymax")
 YEARS = tuple(range(2017, 2026))
 LANDSAT_YEARS = tuple(range(1997, 2024))
@@ -138,23 +141,43 @@ def discover(files: DataFrame, pattern: str, ids: Sequence[str] | None = None) -
     return (found.where(F.col("id").isin(list(ids))) if ids is not None else found).orderBy("id", "path")
 
 
-def _cells(boxes: DataFrame, size: int) -> DataFrame:
-    """One row for each grid cell that a box touches."""
-    steps = lambda lo, hi: F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))
-    return boxes.withColumn("cell_x", F.explode(steps("xmin", "xmax"))).withColumn("cell_y", F.explode(steps("ymin", "ymax")))
+#: Levels of cells, each twice as wide as the one before.
+LEVELS = 40
+
+
+def _level(xmin: Column, ymin: Column, xmax: Column, ymax: Column, cell: float) -> Column:
+    """Level whose cells are at least as wide as a box, so that it touches four of them at most."""
+    side = F.greatest(xmax - xmin, ymax - ymin, F.lit(cell)) / cell
+    return F.least(F.ceil(F.log2(side) - 1e-9), F.lit(LEVELS)).cast("int")
+
+
+def _cells(boxes: DataFrame, cell: float, levels: Sequence[int] | None = None, above: bool = False) -> DataFrame:
+    """``at_level, at_x, at_y`` of the cells that a box touches, four at most on a level: on its own level, or on those
+    of ``levels`` that are not below it (``above``: that are above it)."""
+    own = F.col("level")
+    levelled = boxes.withColumn("level", _level(*(F.col(c) for c in BOX), cell))
+    at = F.array(own) if levels is None else F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda x: x > own if above else x >= own)
+    wide = F.pow(F.lit(2.0), F.col("at_level")) * cell
+    steps = lambda lo, hi: F.sequence(F.floor(F.col(lo) / wide), F.floor(F.col(hi) / wide))
+    return levelled.withColumn("at_level", F.explode(at)).withColumn("at_x", F.explode(steps("xmin", "xmax"))).withColumn("at_y", F.explode(steps("ymin", "ymax"))).drop("level")
 
 
-def intersecting(left: DataFrame, right: DataFrame, cell: int = 100) -> DataFrame:
-    """Pairs of boxes that share area or an edge. Boxes meet in cells; a pair counts in its first common cell only.
+def intersecting(left: DataFrame, right: DataFrame, cell: float = 100) -> DataFrame:
+    """Pairs of boxes that share area or an edge; columns of ``right`` come with the prefix ``r_``.
 
-    Columns of ``right`` come with the prefix ``r_``.
+    A box stands in the cells of the level whose cells are as wide as it is, and meets larger boxes in the cells of
+    their level; a pair counts in the one cell that has the lower corner of what both share. What is made of a box does
+    not grow with its size: at most four cells for each level that the other table has (read first, a number each).
     """
-    a = _cells(left, cell)
-    b = _cells(right, cell).select(*(F.col(c).alias(c if c.startswith("cell_") else f"r_{c}") for c in [*right.columns, "cell_x", "cell_y"]))
-    met = a.join(b, ["cell_x", "cell_y"])
+    levels = lambda df: sorted(r[0] for r in df.select(_level(*(F.col(c) for c in BOX), cell).alias("v")).where("v IS NOT NULL").distinct().collect())
+    at = ["at_level", "at_x", "at_y"]
+    other = lambda df: df.select(*(F.col(c).alias(c if c in at else f"r_{c}") for c in df.columns))
+    up = _cells(left, cell, levels(right)).join(other(_cells(right, cell)), at)
+    down = _cells(left, cell).join(other(_cells(right, cell, levels(left), above=True)), at)
     exact = (F.col("xmin") <= F.col("r_xmax")) & (F.col("r_xmin") <= F.col("xmax")) & (F.col("ymin") <= F.col("r_ymax")) & (F.col("r_ymin") <= F.col("ymax"))
-    once = (F.col("cell_x") == F.floor(F.greatest("xmin", "r_xmin") / cell)) & (F.col("cell_y") == F.floor(F.greatest("ymin", "r_ymin") / cell))
-    return met.where(exact & once).drop("cell_x", "cell_y")
+    wide = F.pow(F.lit(2.0), F.col("at_level")) * cell
+    once = (F.col("at_x") == F.floor(F.greatest("xmin", "r_xmin") / wide)) & (F.col("at_y") == F.floor(F.greatest("ymin", "r_ymin") / wide))
+    return up.unionByName(down).where(exact & once).drop(*at)
 
 
 def overlap_area() -> Column:
@@ -169,10 +192,21 @@ def scenes_for_areas(scenes: DataFrame, areas: DataFrame, item: str = "scene_id"
 
 
 def candidates(footprints: DataFrame, scenes: DataFrame, min_overlap: float = 0.7) -> DataFrame:
-    """Footprint x scene pairs with the covered share of the footprint."""
-    area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    pairs = intersecting(footprints, scenes).withColumn("ratio", overlap_area() / area)
-    return pairs.where(F.col("ratio") >= min_overlap)
+    """Footprint x scene pairs with the covered share of the footprint.
+
+    Where both sides have a ``ring``, areas are those of the rings: scenes whose ring is not valid are left out, convex
+    ones clip the footprint, others go through trapezoids. Else they are those of the boxes.
+    """
+    if "ring" not in footprints.columns or "ring" not in scenes.columns:
+        area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+        return intersecting(footprints, scenes).withColumn("ratio", overlap_area() / area).where(F.col("ratio") >= min_overlap)
+    # rings are judged once, however often the join below reads them
+    fit = cut(polygons.with_bounds(scenes.where(polygons.valid(F.col("ring")))).withColumn("convex", polygons.convex(F.col("ring"))))
+    pairs = cut(intersecting(cut(polygons.with_bounds(footprints)), fit))
+    plain = pairs.where("r_convex").withColumn("_area", polygons.clipped_area(F.col("ring"), F.col("r_ring")))
+    other = pairs.where("NOT r_convex").withColumns({"_a": F.array("ring"), "_b": F.array("r_ring")})
+    both = plain.unionByName(polygons.with_shared_area(other, "_a", "_b", "_area").drop("_a", "_b"))
+    return cut(both.withColumn("ratio", F.col("_area") / geometry.area(F.col("ring"))).drop("_area", "r_convex")).where(F.col("ratio") >= min_overlap)
 
 
 def _best(pairs: DataFrame, footprints: DataFrame, item: str) -> DataFrame:
@@ -205,6 +239,14 @@ def first_region(footprints: DataFrame, regions: DataFrame, item: str = "image_i
     return footprints.select(item).join(hit, item, "left").select(item, F.coalesce("name", F.lit(default)).alias("name"))
 
 
+def chosen_footprints(scenes: DataFrame, ids: DataFrame, item: str = "scene_id") -> DataFrame:
+    """Scenes of the ids; the job fails if none of them is there."""
+    found = scenes.join(ids.select(item).distinct(), item, "left_semi")
+    if found.isEmpty():
+        raise ValueError(f"no scene has any of the given values of {item}")
+    return found
+
+
 def areas_by_vintage(areas: DataFrame, year: str = "year") -> DataFrame:
     """Areas grouped by the trend product they need; without a year by every product."""
     vintages = F.when(F.col(year).isNull(), F.array(*map(F.lit, (2019, 2020, 2022, 2024)))).otherwise(F.array(trend_vintage(F.col(year))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import pi
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: The ellipsoid of GPS, the scale of UTM, the radius of the cell grid (km).
 AXIS, FLATTENING, UTM_SCALE, RADIUS = 6378137.0, 1 / 298.257223563, 0.9996, 6378.137
@@ -34,14 +34,15 @@ def translate(ring: Column, dx: Column, dy: Column) -> Column:
     return F.transform(ring, lambda p: F.struct((p["x"] + dx).alias("x"), (p["y"] + dy).alias("y")))
 
 
-def valid(ring: Column) -> Column:
-    """Closed, of at least four points, and no two edges that cross."""
-    pairs = _pairs(ring)
-    side = lambda a, b, c: F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
-    cross = lambda p, q: (side(p["a"], p["b"], q["a"]) * side(p["a"], p["b"], q["b"]) < 0) & (side(q["a"], q["b"], p["a"]) * side(q["a"], q["b"], p["b"]) < 0)
-    crossing = F.exists(pairs, lambda p: F.exists(pairs, lambda q: cross(p, q)))
-    closed = (F.element_at(ring, 1)["x"] == F.element_at(ring, -1)["x"]) & (F.element_at(ring, 1)["y"] == F.element_at(ring, -1)["y"])
-    return F.coalesce((F.size(ring) >= 4) & closed & ~crossing, F.lit(False))
+def crop(pixels: DataFrame, ring: Column, values: list[str] | None = None) -> DataFrame:
+    """Cells of a ring's box; those whose centre lies outside the ring are left out, or, if ``values`` are named, stay
+    with NULL in them. The box is a filter on ``y`` and ``x`` that reaches the scan."""
+    at = lambda f, k: f(F.transform(ring, lambda p: p[k]))
+    inside = contains(ring, F.col("x") + 0.5, F.col("y") + 0.5)
+    near = pixels
+    for c in ("x", "y"):
+        near = near.where((F.col(c) + 0.5 >= at(F.array_min, c)) & (F.col(c) + 0.5 <= at(F.array_max, c)))
+    return near.where(inside) if values is None else near.withColumns({v: F.when(inside, F.col(v)) for v in values})
 
 
 def utm_zone(lat: Column, lon: Column) -> Column:
@@ -113,7 +114,7 @@ def grid_index(name: Column) -> tuple[Column, Column]:
 
 
 def grid_rows(spark: SparkSession, d: float) -> DataFrame:
-    """Rows of a grid of cells of ``d`` km: ``row, lat, n_cols, row_name``; the equator is 0U."""
+    """Rows of a grid of cells of ``d`` km: ``row, lat, height, n_cols, row_name``; the equator is 0U."""
     from math import ceil
 
     n = ceil(pi * RADIUS / d)
@@ -122,7 +123,7 @@ def grid_rows(spark: SparkSession, d: float) -> DataFrame:
     zero = n // 2 if n % 2 == 0 else n // 2 + 1
     row = F.col("i") - zero
     cols = F.greatest(F.ceil(F.cos(F.radians(lat)) * (2 * pi * RADIUS / d)).cast("int"), F.lit(1))
-    return rows.select(row.alias("row"), lat.alias("lat"), cols.alias("n_cols"), F.concat(F.abs(row), F.when(row < 0, "D").otherwise("U")).alias("row_name"))
+    return rows.select(row.alias("row"), lat.alias("lat"), F.lit(180.0 / n).alias("height"), cols.alias("n_cols"), F.concat(F.abs(row), F.when(row < 0, "D").otherwise("U")).alias("row_name"))
 
 
 def grid_row_of(lat: Column, d: float) -> Column:
@@ -139,17 +140,24 @@ def grid_col_of(lon: Column, n_cols: Column) -> Column:
 
 
 def grid_cells(rows: DataFrame) -> DataFrame:
-    """Cells of grid rows: ``row, col, name, lat, lon``; the prime meridian is 0L."""
+    """Cells of grid rows: ``row, col, name, lat, lon, height, width``; the prime meridian is 0L."""
     half = F.floor(F.col("n_cols") / 2).cast("int")
     cells = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_cols") - 1)))
     col = F.col("k") - half
     name = F.concat("row_name", F.abs(col), F.when(col <= 0, "L").otherwise("R"))
-    return cells.select("row", col.alias("col"), name.alias("name"), "lat", (F.col("k") * (F.lit(360.0) / F.col("n_cols")) - 180.0).alias("lon"))
+    width = F.lit(360.0) / F.col("n_cols")
+    return cells.select("row", col.alias("col"), name.alias("name"), "lat", (F.col("k") * width - 180.0).alias("lon"), "height", width.alias("width"))
 
 
-def grid_within(cells: DataFrame, south: float, west: float, north: float, east: float, pad: float) -> DataFrame:
-    """Cells whose south-west corner lies in the bounds, padded to south and west by a cell."""
-    return cells.where(F.col("lat").between(south - pad, north) & F.col("lon").between(west - pad, east))
+def grid_within(cells: DataFrame, south: float, west: float, north: float, east: float, ring: Column | None = None) -> DataFrame:
+    """Cells whose south-west corner lies in the bounds, padded to the south by a cell's height and to the west by the
+    width of the cells of its row; with a ring, those of them that have a corner inside it."""
+    lat, lon, up, right = (F.col(c) for c in ("lat", "lon", "height", "width"))
+    near = cells.where(((lat >= F.lit(south) - up) & (lat <= north)) & ((lon >= F.lit(west) - right) & (lon <= east)))
+    if ring is None:
+        return near
+    corners = [contains(ring, lon + dx, lat + dy) for dx in (0.0, right) for dy in (0.0, up)]
+    return near.where(corners[0] | corners[1] | corners[2] | corners[3])
 
 
 def tile_extent(tiles: DataFrame) -> DataFrame:
@@ -158,19 +166,46 @@ def tile_extent(tiles: DataFrame) -> DataFrame:
     return tiles.select("tile_id", F.least("x0", x1).alias("xmin"), F.least("y0", y1).alias("ymin"), F.greatest("x0", x1).alias("xmax"), F.greatest("y0", y1).alias("ymax"))
 
 
+def scanlines(rings: Column) -> Column:
+    """``y, x0, x1`` of the runs of cells (``x1`` not included) whose centres lie in a polygon, by row.
+
+    Each edge crosses the centre lines of its own rows; sorted by row and place, every second crossing ends a run. All
+    rings count, so holes are left out.
+    """
+    cell = lambda v: F.ceil(v - 0.5).cast("int")  # noqa: E731  first cell whose centre is not before v
+
+    def crossings(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        first, last = cell(F.least(a["y"], b["y"])), cell(F.greatest(a["y"], b["y"])) - 1
+        rows = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+        at = lambda y: (b["x"] - a["x"]) * (y + 0.5 - a["y"]) / (b["y"] - a["y"]) + a["x"]
+        return F.transform(rows, lambda y: F.struct(y.alias("y"), at(y).alias("x")))
+
+    every = F.sort_array(F.flatten(F.transform(F.flatten(F.transform(rings, _pairs)), crossings)))
+    pairs = F.when(F.size(every) > 1, F.sequence(F.lit(1), F.size(every) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    run = lambda c, i: F.struct(F.element_at(c, i)["y"].alias("y"), cell(F.element_at(c, i)["x"]).alias("x0"), cell(F.element_at(c, i + 1)["x"]).alias("x1"))
+    return F.filter(F.transform(pairs, lambda i: run(every, i)), lambda r: r["x0"] < r["x1"])
+
+
+def polygon_runs(labels: DataFrame) -> DataFrame:
+    """``tile_id, y, x0, x1`` of the cells in each polygon of ``tile_id, rings`` (cell coordinates), one row for a run."""
+    return labels.select("tile_id", F.explode(scanlines(F.col("rings"))).alias("r")).select("tile_id", "r.*")
+
+
 def rasterise(pixels: DataFrame, labels: DataFrame, extent: str, quality: str) -> DataFrame:
     """1 in a label polygon, 0 outside; 2 (to be ignored) outside the extent and where quality is not 2.
 
-    ``labels`` has ``tile_id, ring`` in cell coordinates. Rings meet the rows and columns of their bounding box by an
-    equi-join on cells; the centre decides.
+    ``labels`` has ``tile_id`` and ``ring``, or ``rings`` of polygons with holes, in cell coordinates; a cell's centre
+    decides. Polygons become runs of rows, and a cell is inside if more runs of its row have begun than ended: neither a
+    polygon's box nor its inside is made cell by cell.
     """
-    low = lambda k: F.array_min(F.transform("ring", lambda p: p[k]))
-    high = lambda k: F.array_max(F.transform("ring", lambda p: p[k]))
-    rows = labels.withColumn("y", F.explode(F.sequence(F.floor(low("y")).cast("int"), F.ceil(high("y")).cast("int"))))
-    cells = rows.withColumn("x", F.explode(F.sequence(F.floor(low("x")).cast("int"), F.ceil(high("x")).cast("int"))))
-    inside = cells.where(contains(F.col("ring"), F.col("x") + 0.5, F.col("y") + 0.5)).select("tile_id", "y", "x").distinct().withColumn("_in", F.lit(1))
-    joined = pixels.join(inside, ["tile_id", "y", "x"], "left")
-    return joined.withColumn("label", F.when(~F.col(extent) | (F.col(quality) != 2), 2).otherwise(F.coalesce("_in", F.lit(0)))).drop("_in")
+    rings = labels if "rings" in labels.columns else labels.withColumn("rings", F.array("ring"))
+    ends = F.array(F.struct(F.col("x0").alias("x"), F.lit(1).alias("_d")), F.struct(F.col("x1").alias("x"), F.lit(-1).alias("_d")))
+    marks = polygon_runs(rings).select("tile_id", "y", F.explode(ends).alias("e")).groupBy("tile_id", "y", "e.x").agg(F.sum("e._d").alias("_d"))
+    row = Window.partitionBy("tile_id", "y").orderBy("x", "_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = pixels.withColumns({"_cell": F.lit(1), "_d": F.lit(0).cast("long")}).unionByName(marks.withColumn("_cell", F.lit(0)), allowMissingColumns=True)
+    inside = both.withColumn("_in", F.sum("_d").over(row)).where("_cell = 1")
+    return inside.withColumn("label", F.when(~F.col(extent) | (F.col(quality) != 2), 2).otherwise((F.col("_in") > 0).cast("int"))).drop("_in", "_cell", "_d")
 
 
 def resample(source: DataFrame, targets: DataFrame, value: str, scale: float, shift_x: float, shift_y: float, cubic: bool = False) -> DataFrame:

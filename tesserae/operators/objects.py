@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -14,32 +15,97 @@ from tesserae.functions.storage import cut
 TILE = "tile_id"
 
 
-def _runs(cells: DataFrame) -> DataFrame:
-    """Set cells with the run of their row: ``x0, x1, node``."""
-    row = Window.partitionBy(TILE, "y").orderBy("x")
-    run = Window.partitionBy(TILE, "y", "_g")
-    found = cells.withColumn("_g", F.col("x") - F.row_number().over(row)).withColumns({"x0": F.min("x").over(run), "x1": F.max("x").over(run)}).drop("_g")
-    return found.withColumn("node", F.struct(TILE, "y", "x0"))  # tiles of any type; order is that of the raster
-
-
-def label(pixels: DataFrame, mask: str, neighbours: int = 8, bucket: int = 64) -> DataFrame:
+def merged(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest node that each of ``n`` nodes is joined with by the edges ``a``-``b``."""
+    root = np.arange(n)
+    while True:
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+
+
+def block_roots(y: np.ndarray, x: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """First cell in raster order (``y, x``) of each cell's component among these cells."""
+    order = np.lexsort((x, y))
+    y, x = y[order], x[order]
+    start = np.flatnonzero(np.r_[True, (y[1:] != y[:-1]) | (x[1:] != x[:-1] + 1)])
+    end = np.r_[start[1:], len(y)] - 1
+    wide = int(x.max()) - int(x.min()) + 4  # rows lie apart by more than a run reaches
+    row, x0, x1 = y[start], x[start] - x.min() + 1, x[end] - x.min() + 1
+    left, right = row * wide + x0, row * wide + x1
+    first = np.searchsorted(right, left + wide - reach)
+    many = np.maximum(0, np.searchsorted(left, right + wide + reach, "right") - first)
+    upper = np.repeat(np.arange(len(start)), many)
+    lower = np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
+    root = start[merged(len(start), upper, lower)]
+    of = np.empty(len(y), np.int64)
+    of[order] = np.repeat(root, end - start + 1)
+    return y[of], x[of]
+
+
+def _in_block(reach: int):
+    def run(cells: pa.Table) -> pa.Table:
+        y, x = (cells.column(c).to_numpy() for c in ("y", "x"))
+        ry, rx = block_roots(y.astype(np.int64), x.astype(np.int64), reach)
+        kinds = cells.schema.field("y").type, cells.schema.field("x").type
+        return cells.select([TILE, "y", "x"]).append_column("ry", pa.array(ry).cast(kinds[0])).append_column("rx", pa.array(rx).cast(kinds[1]))
+
+    return run
+
+
+def _seams(cells: DataFrame, block: int, reach: int) -> DataFrame:
+    """Components of blocks that touch across a seam: ``tile_id, u, v`` as first cells ``y, x``."""
+    edge = lambda c: F.pmod(F.col(c), F.lit(block)) == block - 1
+    side = range(-reach, reach + 1)
+    step = lambda dy, dx: F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x"))
+    over = F.concat(
+        F.when(edge("x"), F.array(*(step(d, 1) for d in side))).otherwise(F.array().cast("array<struct<y:int,x:int>>")),
+        F.when(edge("y"), F.array(*(step(1, d) for d in side))).otherwise(F.array().cast("array<struct<y:int,x:int>>")),
+    )
+    root = F.struct(F.col("ry").alias("y"), F.col("rx").alias("x"))
+    near = cells.where(edge("x") | edge("y")).select(TILE, root.alias("u"), F.explode(over).alias("to")).select(TILE, "u", "to.y", "to.x")
+    first = lambda c: F.pmod(F.col(c), F.lit(block)) == 0
+    far = cells.where(first("x") | first("y")).select(TILE, "y", "x", root.alias("v"))
+    return near.join(far, [TILE, "y", "x"]).where("u <> v").select(TILE, "u", "v").distinct()
+
+
+def _joined(cells: DataFrame, seams: DataFrame) -> DataFrame:
+    """``cells`` with the first cell of their component over all blocks."""
+    of = lambda c: seams.select(TILE, F.col(c).alias("r"))
+    nodes = cut(of("u").union(of("v")).distinct().withColumn("id", F.monotonically_increasing_id()))  # fixed once it is written
+    edges = seams.join(nodes.select(TILE, F.col("r").alias("u"), F.col("id").alias("a")), [TILE, "u"]).join(nodes.select(TILE, F.col("r").alias("v"), F.col("id").alias("b")), [TILE, "v"])
+    found = nodes.join(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), F.col("id") == F.col("node"))
+    least = found.groupBy("component").agg(F.min("r").alias("to"))
+    moved = found.join(least, "component").where("r <> to").select(TILE, F.col("r.y").alias("ry"), F.col("r.x").alias("rx"), "to")
+    both = cells.join(moved, [TILE, "ry", "rx"], "left")
+    return both.select(TILE, "y", "x", F.coalesce("to.y", "ry").alias("ry"), F.coalesce("to.x", "rx").alias("rx"))
+
+
+def label(pixels: DataFrame, mask: str, neighbours: int = 8, block: int = 256) -> DataFrame:
     """``tile_id, y, x, region_id`` of the set cells; regions of a tile are numbered in raster order from 1.
 
-    Cells become runs of their row; runs of following rows meet in buckets of x; runs are joined by connected
-    components over all tiles at once. The labels are written once, however often they are used.
+    Components of square blocks of ``block`` cells come first, each block in one task; only those that touch across a
+    seam are nodes of the rounds that join them over all tiles at once. Tile ids may be of any type. The labels are
+    written once, however often they are used.
     """
-    cells = _runs(pixels.where(F.col(mask)).select(TILE, "y", "x"))
     reach = 1 if neighbours == 8 else 0
-    runs = cells.select(TILE, "y", "x0", "x1", "node").distinct()
-    spread = F.explode(F.sequence(F.floor((F.col("x0") - reach) / bucket), F.floor((F.col("x1") + reach) / bucket)))
-    upper = runs.select(TILE, (F.col("y") + 1).alias("y"), "x0", "x1", F.col("node").alias("u")).withColumn("b", spread)
-    lower = runs.select(TILE, "y", F.col("x0").alias("l0"), F.col("x1").alias("l1"), F.col("node").alias("v")).withColumn("b", F.explode(F.sequence(F.floor(F.col("l0") / bucket), F.floor(F.col("l1") / bucket))))
-    edges = upper.join(lower, [TILE, "y", "b"]).where((F.col("x0") <= F.col("l1") + reach) & (F.col("l0") <= F.col("x1") + reach)).select("u", "v")
-    joined = cells.join(components(edges), "node", "left").withColumn("root", F.coalesce("component", "node"))
-    roots = joined.select(TILE, "root").distinct()
-    # a component's smallest node is its first cell in raster order
-    numbered = roots.withColumn("region_id", F.row_number().over(Window.partitionBy(TILE).orderBy("root")))
-    return cut(joined.join(numbered, [TILE, "root"]).select(TILE, "y", "x", "region_id"))
+    cells = pixels.where(F.col(mask)).select(TILE, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"))
+    kind = cells.schema[TILE].dataType.simpleString()
+    blocks = cells.groupBy(TILE, F.floor(F.col("y") / block).alias("_by"), F.floor(F.col("x") / block).alias("_bx"))
+    found = cut(blocks.applyInArrow(_in_block(reach), f"{TILE} {kind}, y int, x int, ry int, rx int"))
+    seams = cut(_seams(found, block, reach))
+    if not seams.isEmpty():
+        found = _joined(found, seams)
+    roots = found.where("y = ry AND x = rx").select(TILE, "ry", "rx")
+    numbered = roots.withColumn("region_id", F.row_number().over(Window.partitionBy(TILE).orderBy("ry", "rx")))
+    return cut(found.join(numbered, [TILE, "ry", "rx"]).select(TILE, "y", "x", "region_id"))
 
 
 def sizes(labels: DataFrame) -> DataFrame:
@@ -54,11 +120,15 @@ def remove_small(pixels: DataFrame, mask: str, least: int, neighbours: int = 4)
 
 
 def remove_touching(pixels: DataFrame, mask: str, extent: str) -> DataFrame:
-    """The mask without objects that have a cell, or an 8-neighbour of one, outside the valid extent."""
-    found = label(pixels.withColumn("_m", F.col(mask) | ~F.col(extent)), "_m", 8)
-    cells = found.join(pixels.select(TILE, "y", "x", extent), [TILE, "y", "x"])
-    bad = cells.where(~F.col(extent)).select(TILE, "region_id").distinct()
-    kept = cells.join(bad, [TILE, "region_id"], "left_anti").select(TILE, "y", "x", F.lit(True).alias("_kept"))
+    """The mask without objects that have a cell, or an 8-neighbour of one, outside the valid extent.
+
+    Objects alone are labelled; what lies outside only meets the neighbours of their cells.
+    """
+    found = label(pixels.withColumn("_m", F.col(mask) & F.col(extent)), "_m", 8)
+    near = F.explode(F.array(*(F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dy or dx)))
+    outside = pixels.where(~F.col(extent)).select(TILE, "y", "x")
+    bad = found.select(TILE, "region_id", near.alias("n")).select(TILE, "region_id", "n.y", "n.x").join(outside, [TILE, "y", "x"], "left_semi").select(TILE, "region_id").distinct()
+    kept = found.join(bad, [TILE, "region_id"], "left_anti").select(TILE, "y", "x", F.lit(True).alias("_kept"))
     return pixels.join(kept, [TILE, "y", "x"], "left").withColumn(mask, F.coalesce("_kept", F.lit(False))).drop("_kept")
 
 

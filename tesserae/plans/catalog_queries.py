@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.operators import catalog, volume
+from tesserae.operators import catalog, geometry, volume
 from tesserae.plans.base import query, r6
 from tesserae.sources import products
 from tesserae.sources.adapters import cte, load, table
@@ -206,6 +206,38 @@ def f7_match_scenes(spark, sf_dir):
     return m.select("image_id", "scene_id", r6("ratio").alias("ratio"), r6("score").alias("score"))
 
 
+#: Scenes as boxes that lean by whole units; every seventh outline crosses itself and is left out.
+_LEANING = f"{cte('footprints', 'scenes')}, g AS (SELECT *, scene_id % 21 - 10 AS lean FROM scenes WHERE scene_id % 7 <> 0), "
+
+
+def _leaning(df):
+    x0, y0, x1, y1, lean = (F.col(c).cast("double") for c in ("xmin", "ymin", "xmax", "ymax", "lean"))
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    leaning = F.array(point(x0, y0), point(x1, y0), point(x1 + lean, y1), point(x0 + lean, y1), point(x0, y0))
+    crossed = F.array(point(x0, y0), point(x1, y1), point(x1, y0), point(x0, y1), point(x0, y0))
+    return df.withColumn("lean", F.col("scene_id") % 21 - 10).withColumn("ring", F.when(F.col("scene_id") % 7 == 0, crossed).otherwise(leaning)).drop("lean", "xmin", "ymin", "xmax", "ymax")
+
+
+@query(
+    _LEANING + "m AS (SELECT f.image_id, f.xmin AS fx0, f.xmax AS fx1, f.ymin AS fy0, f.ymax AS fy1, f.day, g.scene_id, g.cloud, g.ts, g.xmin AS sx0, g.xmax AS sx1, g.ymin AS sy0, g.ymax AS sy1, g.lean / (g.ymax - g.ymin) AS k FROM footprints f JOIN g ON g.cloud <= 20 "
+    "AND least(g.xmin, g.xmin + g.lean) <= f.xmax AND f.xmin <= greatest(g.xmax, g.xmax + g.lean) AND g.ymin <= f.ymax AND f.ymin <= g.ymax), "
+    "b AS (SELECT *, greatest(fy0, sy0)::DOUBLE AS lo, least(fy1, sy1)::DOUBLE AS hi FROM m), "
+    "h AS (SELECT *, list_sort(list_distinct(list_transform([lo, hi, sy0 + (fx0 - sx0) / nullif(k, 0), sy0 + (fx0 - sx1) / nullif(k, 0), sy0 + (fx1 - sx0) / nullif(k, 0), sy0 + (fx1 - sx1) / nullif(k, 0)], lambda v: least(greatest(coalesce(v, lo), lo), hi)))) AS ys FROM b), "
+    "p AS (SELECT *, unnest(list_zip(ys[:-2], ys[2:])) AS z FROM h WHERE len(ys) > 1), "
+    "a AS (SELECT image_id, scene_id, cloud, day, ts, (fx1 - fx0) * (fy1 - fy0) AS own, sum((z[2] - z[1]) * greatest(0, least(fx1, sx1 + k * ((z[1] + z[2]) / 2 - sy0)) - greatest(fx0, sx0 + k * ((z[1] + z[2]) / 2 - sy0)))) AS area FROM p GROUP BY ALL), "
+    "c AS (SELECT *, area / own AS ratio, abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01' + to_days(day))) / 1e6 AS seconds FROM a), "
+    "s AS (SELECT *, power((100 - cloud) / 5, 2) + power((100 - ratio * 100) / 5, 2) + power(seconds / (2 * 86400), 2) AS score FROM c WHERE ratio >= 0.5 AND seconds <= 7 * 86400), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score, scene_id) AS n FROM s) "
+    "SELECT f.image_id, n.scene_id, round(n.ratio, 6) AS ratio, round(n.score, 4) AS score FROM footprints f LEFT JOIN n ON n.image_id = f.image_id AND n.n = 1"
+)
+def f7_match_scenes_by_rings(spark, sf_dir):
+    """Scenes whose outlines lean, matched by the share of the footprint that they cover."""
+    f = footprints(spark, sf_dir).withColumn("ts", F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(day)"))
+    f = f.withColumn("ring", geometry.box_ring(*(F.col(c) for c in catalog.BOX)))
+    m = catalog.match_scenes(f, _leaning(scenes(spark, sf_dir)), min_overlap=0.5)
+    return m.select("image_id", "scene_id", r6("ratio").alias("ratio"), r6("score", 4).alias("score"))
+
+
 def _match_sql(on: str) -> str:
     return (
         f"{_SF}, c AS (SELECT f.image_id, s.scene_id, {_RATIO} AS ratio FROM footprints f JOIN scenes s ON {_MEET} AND {on}), "
@@ -266,7 +298,7 @@ def f17_areas_by_vintage(spark, sf_dir):
 @query(f"{_S} SELECT scene_id, xmin, ymin, xmax, ymax, year FROM scenes WHERE scene_id IN (SELECT c_custkey FROM customer WHERE c_nationkey = 5)")
 def f19_chosen_footprints(spark, sf_dir):
     chosen = table(spark, sf_dir, "customer").where("c_nationkey = 5").select(F.col("c_custkey").alias("scene_id"))
-    return scenes(spark, sf_dir).join(chosen, "scene_id", "left_semi").select("scene_id", "xmin", "ymin", "xmax", "ymax", "year")
+    return catalog.chosen_footprints(scenes(spark, sf_dir), chosen).select("scene_id", "xmin", "ymin", "xmax", "ymax", "year")
 
 
 @query(f"{_S} SELECT grid_code, count(*) AS n, count(*) * 100.0::DOUBLE AS km2, CAST(count(*) * 1000000 AS BIGINT) AS pixels, round(count(*) * 1000000.0 * 8 / 1e9, 6) AS gb FROM scenes GROUP BY grid_code")

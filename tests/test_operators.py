@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.functions.graph import components
-from tesserae.operators import bands, catalog, codecs, coreg, focal, geometry, indices, metrics, objects, patches, runs, splits, volume
+from tesserae.operators import bands, catalog, codecs, coreg, focal, geometry, indices, metrics, objects, patches, polygons, runs, splits, volume
 from tesserae.sources import products
 from tesserae.streaming import ingest
 
@@ -208,7 +208,7 @@ def test_ring_validity_and_area(spark):
     df = spark.range(1)
     box = geometry.box_ring(F.lit(0), F.lit(0), F.lit(3), F.lit(2))
     bow = F.array(*(F.element_at(box, k) for k in (1, 2, 4, 3, 1)))
-    got = df.select(geometry.valid(box).alias("a"), geometry.valid(bow).alias("b"), geometry.valid(F.slice(box, 1, 4)).alias("c"), geometry.area(box).alias("d")).first()
+    got = df.select(polygons.valid(box).alias("a"), polygons.valid(bow).alias("b"), polygons.valid(F.slice(box, 1, 4)).alias("c"), geometry.area(box).alias("d")).first()
     assert tuple(got) == (True, False, False, 6.0)
 
 

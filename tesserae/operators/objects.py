@@ -8,6 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tesserae.functions.graph import components
 from tesserae.functions.storage import cut
@@ -97,9 +98,9 @@ def label(pixels: DataFrame, mask: str, neighbours: int = 8, block: int = 256) -
     """
     reach = 1 if neighbours == 8 else 0
     cells = pixels.where(F.col(mask)).select(TILE, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"))
-    kind = cells.schema[TILE].dataType.simpleString()
+    schema = StructType([StructField(TILE, cells.schema[TILE].dataType), *(StructField(c, IntegerType()) for c in ("y", "x", "ry", "rx"))])
     blocks = cells.groupBy(TILE, F.floor(F.col("y") / block).alias("_by"), F.floor(F.col("x") / block).alias("_bx"))
-    found = cut(blocks.applyInArrow(_in_block(reach), f"{TILE} {kind}, y int, x int, ry int, rx int"))
+    found = cut(blocks.applyInArrow(_in_block(reach), schema))
     seams = cut(_seams(found, block, reach))
     if not seams.isEmpty():
         found = _joined(found, seams)

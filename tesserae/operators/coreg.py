@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-TILE = "tile_id"
-
+from tesserae.functions.storage import cut
+from tesserae.operators.geometry import translate
 
-def shift_table(spark: SparkSession, most: int) -> DataFrame:
-    """All shifts up to ``most`` cells: (2 most + 1)^2 rows, whatever the data."""
-    side = spark.range(-most, most + 1)
-    return side.select(F.col("id").cast("int").alias("sx")).crossJoin(side.select(F.col("id").cast("int").alias("sy")))
+TILE = "tile_id"
 
 
 def spiral(spark: SparkSession, steps: int, inside: Callable[[int, int], bool] = lambda dx, dy: True) -> DataFrame:
@@ -59,40 +59,84 @@ def in_window(cells: DataFrame, windows: DataFrame) -> DataFrame:
     return near.where((y >= 0) & (y < F.col("rows")) & (x >= 0) & (x < F.col("cols"))).select(cells.columns)
 
 
-def score_surface(reference: DataFrame, target: DataFrame, value: str, most: int) -> DataFrame:
-    """``tile_id, sx, sy, score``: correlation of the reference with the target moved by every shift.
-
-    Take the reference ``in_window``: each of its cells meets (2 most + 1)^2 of the target.
+def _sums(block: int, most: int, keys: int):
+    """Sums of one block of the reference with the target moved by every shift."""
+
+    def run(cells: pa.Table) -> pa.Table:
+        y, x, role, v = (cells.column(c).to_numpy() for c in ("y", "x", "_role", "_v"))
+        v = v.astype(float)
+        y0, x0 = cells.column("_by")[0].as_py() * block, cells.column("_bx")[0].as_py() * block
+        own, other = np.full((block, block), np.nan), np.full((block + 2 * most,) * 2, np.nan)
+        own[y[role == 0] - y0, x[role == 0] - x0] = v[role == 0]
+        other[y[role == 1] - y0 + most, x[role == 1] - x0 + most] = v[role == 1]
+        rows, cols = (np.flatnonzero(np.isfinite(own).any(i)) for i in (1, 0))
+        found = []
+        if len(rows):
+            top, left = rows[0], cols[0]
+            own = own[top : rows[-1] + 1, left : cols[-1] + 1]
+            for sy in range(-most, most + 1):
+                for sx in range(-most, most + 1):
+                    part = other[top + most + sy :, left + most + sx :][: own.shape[0], : own.shape[1]]
+                    both = np.isfinite(own) & np.isfinite(part)
+                    r, t = own[both], part[both]
+                    if len(r):
+                        found.append((sx, sy, len(r), r.sum(), t.sum(), (r * r).sum(), (t * t).sum(), (r * t).sum()))
+        names = cells.column_names[:keys]
+        columns = [pa.concat_arrays([cells.column(c).combine_chunks().slice(0, 1)] * len(found)) if found else cells.column(c).combine_chunks().slice(0, 0) for c in names]
+        numbers = [pa.array([f[i] for f in found], t) for i, t in enumerate([pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 5])]
+        return pa.table([*columns, *numbers], names=[*names, *SUMS])
+
+    return run
+
+
+SUMS = ("sx", "sy", "n", "r", "t", "rr", "tt", "rt")
+
+
+def score_surface(reference: DataFrame, target: DataFrame, value: str, most: int, by: Sequence[str] = (TILE,), block: int = 128) -> DataFrame:
+    """``by, sx, sy, score``: correlation of the reference with the target moved by every shift up to ``most`` cells.
+
+    Take the reference ``in_window``. Both go to square blocks of the reference, the target with a border of ``most``
+    cells; a block gives the sums of all its shifts in one pass, so the shuffle has each cell once (the target's
+    near a seam up to four times) and a row for each block and shift.
     """
-    shifts = F.broadcast(shift_table(reference.sparkSession, most))
-    moved = reference.select(TILE, "y", "x", F.col(value).alias("_r")).join(shifts).withColumns({"_y": F.col("y") + F.col("sy"), "_x": F.col("x") + F.col("sx")})
-    other = target.select(TILE, F.col("y").alias("_y"), F.col("x").alias("_x"), F.col(value).alias("_t"))
-    return moved.join(other, [TILE, "_y", "_x"]).groupBy(TILE, "sx", "sy").agg(F.corr("_r", "_t").alias("score"))
-
-
-def peak(surface: DataFrame) -> DataFrame:
+    keys = list(by)
+    at = lambda c, d=0: F.floor((F.col(c) + d) / block)
+    cells = lambda df, role: df.select(*keys, F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.lit(role).alias("_role"), F.col(value).cast("double").alias("_v"))
+    own = cells(reference, 0).withColumns({"_by": at("y"), "_bx": at("x")})
+    near = cells(target, 1).withColumn("_by", F.explode(F.sequence(at("y", -most), at("y", most)))).withColumn("_bx", F.explode(F.sequence(at("x", -most), at("x", most))))
+    place = [*keys, "_by", "_bx"]
+    both = own.unionByName(near.join(own.select(*place).distinct(), place, "left_semi"))
+    numbers = [StructField(c, IntegerType() if c in ("sx", "sy") else LongType() if c == "n" else DoubleType()) for c in SUMS]
+    sums = both.groupBy(*place).applyInArrow(_sums(block, most, len(keys)), StructType([*(StructField(c, both.schema[c].dataType) for c in keys), *numbers]))
+    total = sums.groupBy(*keys, "sx", "sy").agg(*(F.sum(c).alias(c) for c in SUMS[2:]))
+    n, r, t = F.col("n"), F.col("r"), F.col("t")
+    spread = (F.col("rr") - r * r / n) * (F.col("tt") - t * t / n)
+    return total.select(*keys, "sx", "sy", F.when(spread > 0, (F.col("rt") - r * t / n) / F.sqrt(spread)).alias("score"))
+
+
+def peak(surface: DataFrame, by: Sequence[str] = (TILE,)) -> DataFrame:
     """``x_offset, y_offset`` with parts of a cell (three places) and ``shift_reliability`` (0 to 100)."""
-    best = surface.where("score IS NOT NULL").groupBy(TILE).agg(F.max_by(F.struct("sx", "sy", "score"), F.struct("score", -F.abs("sx") - F.abs("sy"), "sx", "sy")).alias("b"))
-    near = surface.join(best.select(TILE, F.col("b.sx").alias("bx"), F.col("b.sy").alias("by"), F.col("b.score").alias("bs")), TILE)
+    best = surface.where("score IS NOT NULL").groupBy(*by).agg(F.max_by(F.struct("sx", "sy", "score"), F.struct("score", -F.abs("sx") - F.abs("sy"), "sx", "sy")).alias("b"))
+    near = surface.join(best.select(*by, F.col("b.sx").alias("bx"), F.col("b.sy").alias("by"), F.col("b.score").alias("bs")), list(by))
     at = lambda dx, dy: F.max(F.when((F.col("sx") == F.col("bx") + dx) & (F.col("sy") == F.col("by") + dy), F.col("score")))
     inside = (F.abs(F.col("sx") - F.col("bx")) <= 1) & (F.abs(F.col("sy") - F.col("by")) <= 1)
-    facts = near.groupBy(TILE, "bx", "by", "bs").agg(
+    facts = near.groupBy(*by, "bx", "by", "bs").agg(
         at(-1, 0).alias("l"), at(1, 0).alias("r"), at(0, -1).alias("u"), at(0, 1).alias("d"),
         F.avg(F.when(~inside, F.col("score"))).alias("m"), F.stddev_pop(F.when(~inside, F.col("score"))).alias("s"), F.avg(F.when(inside, F.col("score"))).alias("p"),
     )
     part = lambda lo, hi: F.coalesce(F.signum(F.col(hi) - F.col(lo)) * F.try_divide(F.greatest(lo, hi), F.col("bs") + F.greatest(lo, hi)), F.lit(0.0))
     trust = F.lit(100.0) - F.try_divide((F.col("m") + F.col("s") * 2) * 100, F.col("p"))
-    return facts.select(TILE, F.round(F.col("bx") + part("l", "r"), 3).alias("x_offset"), F.round(F.col("by") + part("u", "d"), 3).alias("y_offset"), F.greatest(F.least(F.coalesce(trust, F.lit(0.0)), F.lit(100.0)), F.lit(0.0)).alias("shift_reliability"))
+    return facts.select(*by, F.round(F.col("bx") + part("l", "r"), 3).alias("x_offset"), F.round(F.col("by") + part("u", "d"), 3).alias("y_offset"), F.greatest(F.least(F.coalesce(trust, F.lit(0.0)), F.lit(100.0)), F.lit(0.0)).alias("shift_reliability"))
 
 
-def similarity(pairs: DataFrame, a: str, b: str, half: int = 3) -> DataFrame:
+def similarity(pairs: DataFrame, a: str, b: str, half: int = 3, by: Sequence[str] = (TILE,)) -> DataFrame:
     """Structural similarity of two bands of each tile, scaled to [0, 1] first, over windows of 2 half + 1 cells."""
-    ends = pairs.groupBy(TILE).agg(*(f(c).alias(f"{name}_{side}") for side, c in (("a", a), ("b", b)) for name, f in (("low", F.min), ("high", F.max))))
+    ends = pairs.groupBy(*by).agg(*(f(c).alias(f"{name}_{side}") for side, c in (("a", a), ("b", b)) for name, f in (("low", F.min), ("high", F.max))))
     unit = lambda c, side: F.try_divide(F.col(c) - F.col(f"low_{side}"), F.col(f"high_{side}") - F.col(f"low_{side}"))
-    scaled = pairs.join(ends, TILE).select(TILE, "y", "x", unit(a, "a").alias("a"), unit(b, "b").alias("b"))
+    scaled = pairs.join(ends, list(by)).select(*by, "y", "x", unit(a, "a").alias("a"), unit(b, "b").alias("b"))
     scaled = scaled.withColumns({"aa": F.col("a") * F.col("a"), "bb": F.col("b") * F.col("b"), "ab": F.col("a") * F.col("b")})
-    rows = Window.partitionBy(TILE, "y").orderBy("x").rangeBetween(-half, half)
-    cols = Window.partitionBy(TILE, "x").orderBy("y").rangeBetween(-half, half)
+    rows = Window.partitionBy(*by, "y").orderBy("x").rangeBetween(-half, half)
+    cols = Window.partitionBy(*by, "x").orderBy("y").rangeBetween(-half, half)
     names = ("a", "b", "aa", "bb", "ab")
     means = scaled.withColumns({f"_{c}": F.sum(c).over(rows) for c in names} | {"_n": F.count("a").over(rows)})
     k = (2 * half + 1) ** 2
@@ -102,7 +146,7 @@ def similarity(pairs: DataFrame, a: str, b: str, half: int = 3) -> DataFrame:
     va, vb, vab = (F.col("maa") - ma * ma) * norm, (F.col("mbb") - mb * mb) * norm, (F.col("mab") - ma * mb) * norm
     c1, c2 = 0.01**2, 0.03**2
     value = ((ma * mb * 2 + c1) * (vab * 2 + c2)) / ((ma * ma + mb * mb + c1) * (va + vb + c2))
-    return means.groupBy(TILE).agg(F.avg(value).alias("ssim"))
+    return means.groupBy(*by).agg(F.avg(value).alias("ssim"))
 
 
 def valid_offsets(offsets: DataFrame, most: float = 10.0, min_reliability: float = 30.0) -> DataFrame:
@@ -126,3 +170,46 @@ def align_tiles(tiles: DataFrame, offsets: DataFrame) -> DataFrame:
     moved = lambda c, o, r: F.round(F.col(c) + F.coalesce(o, F.lit(0.0)) * F.col(r), 3).alias(c)
     rest = [c for c in tiles.columns if c not in ("x0", "y0")]
     return tiles.join(offsets.select(TILE, "x_offset", "y_offset"), TILE, "left").select(*rest, moved("x0", F.col("x_offset"), "res_x"), moved("y0", F.col("y_offset"), "res_y"))
+
+
+def band_offsets(reference: DataFrame, target: DataFrame, bands: Sequence[str], width: int, height: int, size: int = 256, most: int = 10, max_masked: float = 0.01, usable: str = "usable") -> DataFrame:
+    """Offsets of all pairs of images at once, one row for each pair and band.
+
+    A pair is one ``tile_id`` of both tables, with cells ``y, x``, the bands and whether a cell is usable. Each pair has
+    a window of its own in which nothing is missing and little is masked in either image. Gives ``tile_id, band,
+    x_offset, y_offset, shift_reliability, ssim_before, ssim_after``.
+    """
+    at = [TILE, "y", "x"]
+    sided = lambda df, side: df.select(*at, F.col(usable).alias(f"{side}_ok"), F.greatest(*(F.col(c).isNull().cast("int") for c in bands), F.lit(0)).alias(f"{side}_gone"))
+    common = sided(reference, "r").join(sided(target, "t"), at)
+    windows = valid_window(common, width, height, size, F.col("r_ok") & F.col("t_ok"), max_masked, (F.col("r_gone") + F.col("t_gone")) > 0)
+    by = [TILE, "band"]
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("band"), F.col(c).cast("double").alias("value")) for c in bands)))
+    long = lambda df: df.select(*at, each.alias("b")).select(*at, "b.band", "b.value").where("value IS NOT NULL")
+    own, other = cut(long(in_window(reference, windows))), long(target)
+    found = cut(peak(cut(score_surface(own, other, "value", most, by)), by))
+    whole = found.select(*by, F.round("x_offset").cast("int").alias("_sx"), F.round("y_offset").cast("int").alias("_sy"))
+    moved = other.join(whole, by).select(*by, (F.col("y") - F.col("_sy")).alias("y"), (F.col("x") - F.col("_sx")).alias("x"), "value")
+
+    def alike(frame: DataFrame, name: str) -> DataFrame:
+        pairs = own.withColumnRenamed("value", "a").join(frame.select(*by, "y", "x", F.col("value").alias("b")), [*by, "y", "x"])
+        return similarity(pairs, "a", "b", by=by).withColumnRenamed("ssim", name)
+
+    return found.join(alike(other, "ssim_before"), by, "left").join(alike(moved, "ssim_after"), by, "left")
+
+
+def pair_offsets(offsets: DataFrame, most: float = 10.0, min_reliability: float = 30.0) -> DataFrame:
+    """One offset for each pair from those of its bands that are valid, with their mean reliability and gain; pairs
+    without a valid band are left out."""
+    fine = valid_offsets(offsets, most, min_reliability)
+    means = fine.groupBy(TILE).agg(F.avg("shift_reliability").alias("reliability"), F.avg(F.col("ssim_after") - F.col("ssim_before")).alias("ssim_improvement"))
+    return reduce_bands(fine, TILE).join(means, TILE)
+
+
+def align_labels(labels: DataFrame, tiles: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Label rings moved by minus the offset of their tile, in its units, with the offset, its reliability and gain; labels
+    of tiles without an offset stay, with an offset of 0."""
+    near = labels.join(tiles.select(TILE, "res_x", "res_y"), TILE).join(offsets.select(TILE, "x_offset", "y_offset", "reliability", "ssim_improvement"), TILE, "left")
+    dx, dy = (F.coalesce(o, F.lit(0.0)) * F.col(r) for o, r in (("x_offset", "res_x"), ("y_offset", "res_y")))
+    moved = near.withColumns({"x_offset": dx, "y_offset": dy})
+    return moved.withColumn("ring", translate(F.col("ring"), -F.col("x_offset"), -F.col("y_offset"))).drop("res_x", "res_y")

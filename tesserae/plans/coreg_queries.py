@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tesserae.functions.storage import shared_dir
-from tesserae.operators import catalog, coreg
+from tesserae.operators import catalog, coreg, geometry
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6
 from tesserae.sources import products
 from tesserae.sources.adapters import HEIGHT, WIDTH, cte, load, table
@@ -119,6 +119,22 @@ def l8_l9_align_tiles(spark, sf_dir):
     return coreg.align_tiles(tiles, r).select("tile_id", "x0", "y0")
 
 
+@query(f"{_P} SELECT DISTINCT tile_id, CAST(3 AS BIGINT) AS bands, CAST(tile_id * 3 % 7 - 3 AS INT) AS x_shift, CAST(tile_id % 5 - 2 AS INT) AS y_shift, true AS better, CAST(tile_id * 3 % 7 - 3 AS INT) AS label_cells FROM pixels")
+def l8_l9_offsets_of_pairs(spark, sf_dir):
+    """Every tile against itself moved by a shift of its own: what is estimated from the cells, and how far labels move."""
+    p, tile = pixels(spark, sf_dir), F.col("tile_id")
+    bump = F.exp(-(F.pow(F.col("x") - 25 - tile % 3, 2) + F.pow(F.col("y") - 15, 2)) / 4) * 1000
+    seen = p.select(*CELL, *((bump * k + F.col(f"{b}_dn") / 200).alias(b) for k, b in enumerate(("red", "green", "nir"), 1)), (~((F.col("s2_scl") == 0) & (F.col("x") < 10))).alias("usable"))
+    moved = seen.select("tile_id", (F.col("y") + tile % 5 - 2).alias("y"), (F.col("x") + tile * 3 % 7 - 3).alias("x"), *((F.col(b) * 1.1 + 5).alias(b) for b in ("red", "green", "nir")), "usable")
+    found = coreg.pair_offsets(coreg.band_offsets(seen, moved, ("red", "green", "nir"), WIDTH, HEIGHT, size=15, most=6))
+    tiles = p.select("tile_id").distinct().withColumns({"res_x": F.lit(10.0), "res_y": F.lit(-10.0)})
+    labels = tiles.select("tile_id", geometry.box_ring(F.lit(0), F.lit(0), F.lit(50), F.lit(40)).alias("ring"))
+    cells = F.round(-F.element_at("ring", 1)["x"] / 10).cast("int")
+    shifted = coreg.align_labels(labels, tiles, found).select("tile_id", cells.alias("label_cells"))
+    whole = lambda c: F.round(c).cast("int")
+    return found.join(shifted, "tile_id").select("tile_id", "bands", whole("x_offset").alias("x_shift"), whole("y_offset").alias("y_shift"), (F.col("ssim_improvement") >= 0).alias("better"), "label_cells")
+
+
 @query("SELECT c_custkey AS tile_id, 0.5::DOUBLE AS run_threshold, 'v2' AS run_model, true AS exported FROM customer")
 def a16_export_metadata(spark, sf_dir):
     m = products.with_metadata(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("tile_id")), {"threshold": 0.5, "model": "v2"})

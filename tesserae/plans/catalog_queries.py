@@ -228,14 +228,14 @@ def _leaning(df):
     "c AS (SELECT *, area / own AS ratio, abs(epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01' + to_days(day))) / 1e6 AS seconds FROM a), "
     "s AS (SELECT *, power((100 - cloud) / 5, 2) + power((100 - ratio * 100) / 5, 2) + power(seconds / (2 * 86400), 2) AS score FROM c WHERE ratio >= 0.5 AND seconds <= 7 * 86400), "
     "n AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score, scene_id) AS n FROM s) "
-    "SELECT f.image_id, n.scene_id, round(n.ratio, 6) AS ratio, round(n.score, 4) AS score FROM footprints f LEFT JOIN n ON n.image_id = f.image_id AND n.n = 1"
+    "SELECT f.image_id, n.scene_id, round(n.ratio, 9) AS ratio, round(n.score, 7) AS score FROM footprints f LEFT JOIN n ON n.image_id = f.image_id AND n.n = 1"
 )
 def f7_match_scenes_by_rings(spark, sf_dir):
     """Scenes whose outlines lean, matched by the share of the footprint that they cover."""
     f = footprints(spark, sf_dir).withColumn("ts", F.expr("TIMESTAMP '2024-01-01' + make_dt_interval(day)"))
     f = f.withColumn("ring", geometry.box_ring(*(F.col(c) for c in catalog.BOX)))
     m = catalog.match_scenes(f, _leaning(scenes(spark, sf_dir)), min_overlap=0.5)
-    return m.select("image_id", "scene_id", r6("ratio").alias("ratio"), r6("score", 4).alias("score"))
+    return m.select("image_id", "scene_id", r6("ratio", 9).alias("ratio"), r6("score", 7).alias("score"))
 
 
 def _match_sql(on: str) -> str:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesserae.functions.storage import shared_dir
-from tesserae.operators import catalog, coreg, geometry
+from tesserae.functions.storage import cut, shared_dir
+from tesserae.operators import catalog, coreg, geometry, patches
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6
-from tesserae.sources import products
+from tesserae.plans.patch_queries import _C as _PC, _KEPT, SIZE, _origins as patch_origins
+from tesserae.sources import products, training
 from tesserae.sources.adapters import HEIGHT, WIDTH, cte, load, table
 from tesserae.streaming import ingest
 
@@ -205,3 +206,74 @@ def n1s_windowed_counts(spark, sf_dir):
     q.awaitTermination()
     last = spark.read.parquet(f"{base}/out")
     return last.where(F.col("batch") == last.agg(F.max("batch")).first()[0]).select("day", "grid", "n")
+
+
+@query(f"{_P}, t AS (SELECT DISTINCT tile_id FROM pixels) SELECT CAST(tile_id AS BIGINT) AS scene_id, CASE WHEN tile_id % 3 = 0 THEN 'missing' ELSE 'complete' END AS status, CASE WHEN tile_id % 3 = 0 THEN 'nir' ELSE '' END AS missing FROM t")
+def n1s_tiles_from_bands(spark, sf_dir):
+    """Bands of tiles in four batches, with repeats; every third tile never gets its last band."""
+    import uuid
+
+    base = f"{shared_dir(spark).rstrip('/')}/bands-{uuid.uuid4().hex}"
+    tiles = pixels(spark, sf_dir).select(F.col("tile_id").cast("long").alias("scene_id")).distinct()
+    at = lambda day: F.lit(f"2024-03-{day:02d} 00:00:00").cast("timestamp")
+    part = lambda df, names, day: df.withColumn("band", F.explode(F.array(*map(F.lit, names)))).withColumn("ts", at(day))
+    last = tiles.where("scene_id % 3 <> 0")
+    batches = [part(tiles, ("blue", "green"), 1), part(tiles, ("red", "blue"), 2), part(last, ("nir", "nir"), 3), part(tiles.limit(1).select(F.lit(-1).cast("long").alias("scene_id")), ("red",), 30)]
+    for rows in batches:
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = ingest.scene_stream(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema, files_per_batch=1)
+    found = ingest.tiles_from_bands(stream, ("blue", "green", "red", "nir"), late="1 day", patience_ms=10 * 86_400_000)
+
+    def store(rows, number):
+        rows.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    found.writeStream.foreachBatch(store).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("batch")
+
+
+@query("SELECT CAST(event_id % 60 AS STRING) AS grid, count(*) AS n FROM events GROUP BY 1")
+def n1s_unique_scenes(spark, sf_dir):
+    """Scenes of a stream that brings each of them twice."""
+    import uuid
+
+    base = f"{shared_dir(spark).rstrip('/')}/unique-{uuid.uuid4().hex}"
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("scene_id"), F.col("ts").cast("timestamp").alias("ts"))
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = ingest.scene_stream(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema, files_per_batch=1)
+
+    def store(found, number):
+        found.write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    ingest.unique_scenes(stream, late="4000 days").writeStream.foreachBatch(store).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out").groupBy((F.col("scene_id") % 60).cast("string").alias("grid")).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"{_PC}, {_KEPT}, z AS (SELECT row_number() OVER (ORDER BY tile_id % 2, tile_id, patch_id) - 1 AS z_idx, tile_id, patch_id FROM k) SELECT z.z_idx, z.tile_id, z.patch_id, CAST(z.tile_id % 2 AS BIGINT) AS commit, "
+    "CAST(sum(coalesce(CASE WHEN c.red IS NOT NULL THEN c.red_dn END, 0) * (c.dy * 16 + c.dx)) AS BIGINT) AS red, CAST(sum(c.target * (c.dy * 16 + c.dx)) AS BIGINT) AS target FROM z JOIN c ON c.tile_id = z.tile_id AND c.patch_id = z.patch_id GROUP BY z.z_idx, z.tile_id, z.patch_id"
+)
+def g32_training_set(spark, sf_dir):
+    """The training set of all tiles in two commits, the second of which meets the first one's tiles again."""
+    import uuid
+
+    path = f"{shared_dir(spark).rstrip('/')}/training-{uuid.uuid4().hex}"
+    d = decoded(spark, sf_dir).select(*CELL, "nir", "target", F.round((F.col("red") + 0.1) * 10000).alias("red"))
+    tiles = d.select("tile_id").distinct()
+
+    def build(new, first):
+        cells = d.join(new, "tile_id", "left_semi")
+        origins = patch_origins(cells)
+        parts = patches.cut(cells, origins, SIZE)
+        kept = patches.training_patches(parts, ["red", "nir"], "target", SIZE, min_labelled=0.9)
+        meta = cut(patches.patch_metadata(kept, origins, first=first))
+        x, y = products.training_tables(parts, meta, ["red", "nir"], "target", SIZE)
+        state = F.when(F.col("n").isNull(), "empty").otherwise("ready").alias("status")
+        return {"x": x, "y": y, "metadata": meta, "items": new.join(meta.groupBy("tile_id").agg(F.count("*").alias("n")), "tile_id", "left").select("tile_id", state)}
+
+    training.append(tiles.where("tile_id % 2 = 0"), "tile_id", path, build)
+    training.append(tiles, "tile_id", path, build)
+    dot = lambda v: F.aggregate(F.transform(v, lambda a, i: a.cast("double") * i), F.lit(0.0), lambda s, a: s + a).cast("long")
+    x = training.read(spark, path, "x").where("band = 'red'").select("z_idx", dot("values").alias("red"))
+    y = training.read(spark, path, "y").select("z_idx", dot("values").alias("target"))
+    return training.read(spark, path, "metadata").select("z_idx", "tile_id", "patch_id", F.col("commit").cast("long").alias("commit")).join(x, "z_idx").join(y, "z_idx")

@@ -166,13 +166,29 @@ def boundary_iou(pixels: DataFrame, target: Column, predicted: Column, keep: Col
     return p.groupBy(*by).agg(F.coalesce(F.try_divide(inter, union), F.lit(0.0)).alias("boundary_iou"))
 
 
-def instance_boundary_iou(targets: DataFrame, predictions: DataFrame, steps: int = 1) -> DataFrame:
-    """``t, p, iou`` of the outlines of single instances: cells of an instance with a cell outside it within ``steps``."""
+def eroded_instances(labels: DataFrame, steps: int) -> DataFrame:
+    """Cells of instances all of whose neighbours within ``steps`` rows and columns are of the same instance.
 
-    def outline(labels: DataFrame) -> DataFrame:
-        near = labels.withColumn("_y", F.explode(F.sequence(F.col("y") - steps, F.col("y") + steps))).withColumn("_x", F.explode(F.sequence(F.col("x") - steps, F.col("x") + steps)))
-        own = labels.select(TILE, "region_id", F.col("y").alias("_y"), F.col("x").alias("_x"))
-        inner = near.join(own, [TILE, "region_id", "_y", "_x"]).groupBy(TILE, "region_id", "y", "x").agg(F.count("*").alias("n"))
-        return inner.where(F.col("n") < (2 * steps + 1) ** 2).select(TILE, "region_id", "y", "x")
+    Runs of a row are shortened by ``steps`` at both ends, then runs of what is left in a column: two windows over the
+    cells, whatever the width.
+    """
+
+    def shortened(cells: DataFrame, along: str, across: str) -> DataFrame:
+        line = [TILE, "region_id", across]
+        grouped = cells.withColumn("_g", F.col(along) - F.row_number().over(Window.partitionBy(*line).orderBy(along)))
+        run = Window.partitionBy(*line, "_g")
+        near = (F.col(along) - F.min(along).over(run) >= steps) & (F.max(along).over(run) - F.col(along) >= steps)
+        return grouped.withColumn("_near", near).where("_near").drop("_g", "_near")
+
+    return shortened(shortened(labels.select(TILE, "region_id", "y", "x"), "x", "y"), "y", "x")
 
+
+def instance_boundary_iou(targets: DataFrame, predictions: DataFrame, steps: int = 1, ratio: float | None = None, width: int = 0, height: int = 0) -> DataFrame:
+    """``t, p, iou`` of the outlines of single instances: cells of an instance with a cell outside it within ``steps``.
+
+    With a ``ratio`` the steps are that share of the diagonal of ``width`` x ``height`` cells (half-even, at least 1).
+    """
+    if ratio is not None:
+        steps = max(1, round(ratio * (width * width + height * height) ** 0.5))
+    outline = lambda labels: labels.join(eroded_instances(labels, steps), [TILE, "region_id", "y", "x"], "left_anti")
     return overlaps(outline(targets), outline(predictions)).select(TILE, "t", "p", "iou")

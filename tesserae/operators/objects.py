@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from tesserae.functions.graph import components
-from tesserae.functions.storage import cut
+from tesserae.functions.storage import cut, discard
+from tesserae.operators.geometry import contains
 
 TILE = "tile_id"
 
@@ -133,8 +135,28 @@ def remove_touching(pixels: DataFrame, mask: str, extent: str) -> DataFrame:
     return pixels.join(kept, [TILE, "y", "x"], "left").withColumn(mask, F.coalesce("_kept", F.lit(False))).drop("_kept")
 
 
-def zonal(labels: DataFrame, values: DataFrame, value: str) -> DataFrame:
-    """Least and most (truncated), mean, median, population deviation and count of each region."""
+def zonal(labels: DataFrame, values: DataFrame, value: str, more: Mapping[str, Callable[[pd.Series], float]] | None = None) -> DataFrame:
+    """Least and most (truncated), mean, median, population deviation and count of each region.
+
+    ``more`` adds statistics by functions of the user, name -> function of a region's values (missing ones left out);
+    such a function needs all values of a region in one task, which the others do not.
+    """
+    found = _statistics(labels, values, value)
+    if more:
+        given = labels.join(values.select(TILE, "y", "x", value), [TILE, "y", "x"]).where(F.col(value).isNotNull())
+        own = given.groupBy(TILE, "region_id").agg(*(F.pandas_udf(_number(f), "double")(F.col(value).cast("double")).alias(name) for name, f in more.items()))
+        found = found.join(own, [TILE, "region_id"], "left")
+    return found
+
+
+def _number(f: Callable[[pd.Series], float]) -> Callable:
+    def call(values: pd.Series) -> float:
+        return float(f(values))
+
+    return call
+
+
+def _statistics(labels: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return (
         labels.join(values.select(TILE, "y", "x", value), [TILE, "y", "x"])
         .groupBy(TILE, "region_id")
@@ -154,67 +176,166 @@ def outline_edges(labels: DataFrame) -> DataFrame:
     return alone.select(TILE, "region_id", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
 
 
-def _rings(edges: list[tuple[int, int, int, int]]) -> list[list[tuple[int, int]]]:
-    """Rings of one region; where two outlines touch at a corner, the walk turns so that they stay apart.
+def _walk(after: np.ndarray) -> Iterator[tuple[list[int], bool]]:
+    """Chains of edges by their successors (-1: none), and whether each is closed."""
+    follows = np.zeros(len(after), bool)
+    follows[after[after >= 0]] = True
+    left = np.ones(len(after), bool)
+    for start in [*np.flatnonzero(~follows).tolist(), *np.flatnonzero(follows).tolist()]:
+        if not left[start]:
+            continue
+        chain, e = [], start
+        while e >= 0 and left[e]:
+            left[e] = False
+            chain.append(e)
+            e = int(after[e])
+        yield chain, e == start
+
+
+def _turn(ax, ay, bx, by, cx, cy):  # noqa: ANN001
+    return (bx - ax) * (cy - by) - (by - ay) * (cx - bx)
+
 
-    A ring starts at its first corner in raster order, and has no corner on a straight line.
+def _block_paths(block: int):
+    """Outlines within one block: whole rings, paths that end at a seam, and edges on a seam, each by its corners."""
+
+    def run(cells: pa.Table) -> pa.Table:
+        y, x, region = (cells.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "region_id"))
+        y0, x0 = cells.column("_by")[0].as_py() * block, cells.column("_bx")[0].as_py() * block
+        grid = np.zeros((block + 2, block + 2), np.int64)
+        gy, gx = y - y0 + 1, x - x0 + 1
+        grid[gy, gx] = region
+        parts = []
+        for dy, dx, a, b in ((-1, 0, (0, 0), (1, 0)), (0, 1, (1, 0), (1, 1)), (1, 0, (1, 1), (0, 1)), (0, -1, (0, 1), (0, 0))):
+            on = np.flatnonzero(grid[gy + dy, gx + dx] != region)
+            outside = (gy[on] + dy < 1) | (gy[on] + dy > block) | (gx[on] + dx < 1) | (gx[on] + dx > block)
+            parts.append(np.c_[region[on], x[on] + a[0], y[on] + a[1], x[on] + b[0], y[on] + b[1], outside])
+        e = np.concatenate(parts)
+        r, ax, ay, bx, by, seam = e.T
+        starts: dict[tuple[int, int, int], list[int]] = {}
+        for k, at in enumerate(zip(r.tolist(), ax.tolist(), ay.tolist())):
+            starts.setdefault(at, []).append(k)
+        known = np.flatnonzero((seam == 0) & (bx > x0) & (bx < x0 + block) & (by > y0) & (by < y0 + block))
+        after = np.full(len(e), -1)
+        for k in known.tolist():
+            ends = starts[int(r[k]), int(bx[k]), int(by[k])]
+            after[k] = ends[0] if len(ends) == 1 else max(ends, key=lambda n: _turn(ax[k], ay[k], bx[k], by[k], bx[n], by[n]))
+        rows: list[tuple] = []
+        for chain, closed in _walk(after):
+            c = np.array(chain)
+            px, py = np.r_[ax[c], bx[c[-1]]], np.r_[ay[c], by[c[-1]]]
+            bend = np.r_[True, (np.diff(px)[1:] != np.diff(px)[:-1]) | (np.diff(py)[1:] != np.diff(py)[:-1]), True]
+            rows.append((int(r[c[0]]), closed, bool(seam[c[0]]), px[bend].tolist(), py[bend].tolist()))
+        tile = cells.column(TILE).combine_chunks()
+        columns = [pa.concat_arrays([tile.slice(0, 1)] * len(rows)) if rows else tile.slice(0, 0)]
+        kinds = (cells.schema.field("region_id").type, pa.bool_(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+        return pa.table([*columns, *(pa.array([x[i] for x in rows], t) for i, t in enumerate(kinds))], names=[TILE, "region_id", "closed", "seam", "px", "py"])
+
+    return run
+
+
+def _paths(labels: DataFrame, block: int) -> DataFrame:
+    """``tile_id, region_id, closed, px, py`` of outlines cut at the seams of blocks; edges between a region's own cells
+    on both sides of a seam are left out."""
+    kinds = [labels.schema[c] for c in (TILE, "region_id")]
+    corners = ArrayType(IntegerType())
+    schema = StructType([*(StructField(f.name, f.dataType) for f in kinds), StructField("closed", BooleanType()), StructField("seam", BooleanType()), StructField("px", corners), StructField("py", corners)])
+    at = {f"_b{c}": F.floor(F.col(c) / block) for c in ("y", "x")}
+    blocks = labels.select(TILE, "y", "x", "region_id").withColumns(at).groupBy(TILE, *at)
+    every = cut(blocks.applyInArrow(_block_paths(block), schema))
+    end = lambda at: F.struct(F.element_at("py", at).alias("y"), F.element_at("px", at).alias("x"))
+    low, high = F.least(end(1), end(2)), F.greatest(end(1), end(2))
+    alone = every.where("seam").groupBy(TILE, "region_id", low.alias("lo"), high.alias("hi")).agg(F.count("*").alias("n"), F.first("px").alias("px"), F.first("py").alias("py")).where("n = 1")
+    return every.where("NOT seam").drop("seam").unionByName(alone.select(TILE, "region_id", F.lit(False).alias("closed"), "px", "py"))
+
+
+def _ranked(after: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """``id, lead, rank`` of the members of cycles ``id -> next``: the least id leads, ranks go on from it.
+
+    Every member points at the one before it; pointers double until all reach the lead, so the rounds are the logarithm
+    of the longest cycle.
     """
-    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    ordered = sorted(edges, key=lambda e: (e[1], e[0], e[3], e[2]))
-    for ax, ay, bx, by in ordered:
-        out.setdefault((ax, ay), []).append((bx, by))
-
-    def after(a: tuple[int, int], b: tuple[int, int]) -> tuple[int, int]:
-        ends = out[b]
-        return ends[0] if len(ends) == 1 else max(ends, key=lambda c: (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]))
-
-    walked: set[tuple] = set()
-    rings = []
-    for ax, ay, bx, by in ordered:
-        a, b = (ax, ay), (bx, by)
-        ring = [a]
-        while (a, b) not in walked:
-            walked.add((a, b))
-            c = after(a, b)
-            if (c[0] - b[0], c[1] - b[1]) != (b[0] - a[0], b[1] - a[1]):
-                ring.append(b)
-            a, b = b, c
-        if len(ring) > 1:
-            rings.append(ring if ring[-1] == ring[0] else [*ring, ring[0]])
-    return rings
-
-
-def _trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rings of regions whose edges follow each other; a region at a time is held."""
-    corner = pa.list_(pa.struct([("x", pa.int32()), ("y", pa.int32())]))
-    names = ["tile_id", "region_id", "ring_id", "ring"]
-
-    def made(done: list[tuple], kinds: list[pa.DataType]) -> pa.RecordBatch:
-        rows = [(*key, k, [{"x": x, "y": y} for x, y in ring]) for key, edges in done for k, ring in enumerate(_rings(edges), 1)]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate([*kinds, pa.int32(), corner])], names=names)
-
-    held: list[tuple] = []
-    kinds: list[pa.DataType] = []
+    groups = components(after.select(F.col("id").alias("u"), F.col("next").alias("v")))
+    led = cut(after.join(groups, F.col("id") == F.col("node"), "left").select("id", "next", F.coalesce("component", "id").alias("lead")))
+    before = led.select(F.col("next").alias("id"), F.col("id").alias("to"), "lead")
+    start = F.col("id") == F.col("lead")
+    now = cut(before.select("id", "lead", F.when(start, F.col("id")).otherwise(F.col("to")).alias("to"), F.when(start, 0).otherwise(1).cast("long").alias("rank")))
+    for _ in range(max_rounds):
+        if now.where("to <> lead").isEmpty():
+            return now.select("id", "lead", "rank")
+        ahead = now.select(F.col("id").alias("to"), F.col("to").alias("_to"), F.col("rank").alias("_rank"))
+        old, now = now, cut(now.join(ahead, "to").select("id", "lead", F.col("_to").alias("to"), (F.col("rank") + F.col("_rank")).alias("rank")))
+        discard([old])
+    raise RuntimeError(f"ranks did not settle in {max_rounds} rounds")
+
+
+def _linked(paths: DataFrame) -> DataFrame:
+    """``tile_id, region_id, px, py``: rings from paths that end where others begin."""
+    open_ = cut(paths.withColumn("id", F.monotonically_increasing_id()))  # fixed once it is written
+    if open_.isEmpty():
+        return open_.select(TILE, "region_id", "px", "py")
+    at = lambda k: [F.element_at(c, k) for c in ("px", "py")]
+    ends = open_.select(TILE, "region_id", "id", *(c.alias(n) for c, n in zip([*at(-2), *at(-1)], ("ax", "ay", "bx", "by"))))
+    begins = open_.select(TILE, "region_id", F.col("id").alias("next"), *(c.alias(n) for c, n in zip([*at(1), *at(2)], ("bx", "by", "cx", "cy"))))
+    sign = lambda c: F.signum(c).cast("int")
+    met = ends.join(begins, [TILE, "region_id", "bx", "by"])
+    turn = sign(F.col("bx") - F.col("ax")) * sign(F.col("cy") - F.col("by")) - sign(F.col("by") - F.col("ay")) * sign(F.col("cx") - F.col("bx"))
+    after = cut(met.groupBy("id").agg(F.max_by("next", turn).alias("next")))
+    placed = open_.join(_ranked(after), "id")
+    part = F.struct("rank", *(F.slice(c, F.lit(1), F.size(c) - 1).alias(c) for c in ("px", "py")))
+    rings = placed.groupBy(TILE, "region_id", "lead").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    whole = lambda c: F.flatten(F.transform("parts", lambda s: s[c]))
+    joined = rings.select(TILE, "region_id", whole("px").alias("px"), whole("py").alias("py"))
+    close = lambda c: F.concat(c, F.slice(c, 1, 1))
+    return joined.select(TILE, "region_id", close("px").alias("px"), close("py").alias("py"))
+
+
+def _rounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rings that begin at their first corner in raster order and have no corner on a straight line, with their area."""
     for batch in batches:
-        kinds = [batch.schema.field(i).type for i in (0, 1)]
-        for tile, region, *edge in zip(*(c.to_pylist() for c in batch.columns)):
-            if not held or held[-1][0] != (tile, region):
-                if len(held) >= 500:
-                    yield made(held, kinds)
-                    held = []
-                held.append(((tile, region), []))
-            held[-1][1].append(tuple(edge))
-    if held:
-        yield made(held, kinds)
-
-
-def polygons(labels: DataFrame) -> DataFrame:
-    """``tile_id, region_id, ring_id, ring``: closed rings of pixel corners without vertices on straight lines."""
-    edges = outline_edges(labels)
-    kinds = {f.name: f.dataType.simpleString() for f in edges.schema}
-    schema = f"tile_id {kinds[TILE]}, region_id {kinds['region_id']}, ring_id int, ring array<struct<x:int,y:int>>"
-    dealt = edges.repartition(TILE, "region_id").sortWithinPartitions(TILE, "region_id")
-    return dealt.select(TILE, "region_id", "ax", "ay", "bx", "by").mapInArrow(_trace, schema)
+        xs, ys, areas = [], [], []
+        for px, py in zip(batch.column("px").to_pylist(), batch.column("py").to_pylist()):
+            x, y = np.array(px[:-1]), np.array(py[:-1])
+            bend = (x - np.roll(x, 1)) * (np.roll(y, -1) - y) != (y - np.roll(y, 1)) * (np.roll(x, -1) - x)
+            x, y = x[bend], y[bend]
+            k = -int(np.lexsort((x, y))[0])
+            x, y = np.roll(x, k), np.roll(y, k)
+            x, y = np.r_[x, x[:1]], np.r_[y, y[:1]]
+            areas.append(float((x[:-1] * y[1:] - x[1:] * y[:-1]).sum()) / 2)
+            xs.append(x.tolist())
+            ys.append(y.tolist())
+        lists = pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(xs, lists), pa.array(ys, lists), pa.array(areas, pa.float64())], names=["k", "px", "py", "signed"])
+
+
+def polygons(labels: DataFrame, block: int = 256) -> DataFrame:
+    """``tile_id, region_id, ring_id, ring, hole, outer``: closed rings of pixel corners without corners on straight lines,
+    the inside on their right.
+
+    Rings begin at their first corner in raster order and are numbered by it; ``hole`` rings lie in the ring that
+    ``outer`` numbers. Where two outlines touch at a corner they stay apart. Outlines are walked within square blocks;
+    what crosses seams is put together from paths by pointer doubling, so no task holds a region, only a ring as a row.
+    """
+    paths = cut(_paths(labels, block))
+    whole = paths.where("closed").select(TILE, "region_id", "px", "py").unionByName(_linked(paths.where("NOT closed").drop("closed")))
+    key = F.struct(TILE, "region_id").alias("k")
+    keyed = whole.select(key, "px", "py")
+    corners = ArrayType(IntegerType())
+    schema = StructType([StructField("k", keyed.schema["k"].dataType), StructField("px", corners), StructField("py", corners), StructField("signed", DoubleType())])
+    found = keyed.mapInArrow(_rounded, schema).select("k.*", "px", "py", "signed")
+    ring = F.zip_with("px", "py", lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    order = Window.partitionBy(TILE, "region_id").orderBy(F.element_at("py", 1), F.element_at("px", 1), F.col("signed").desc())
+    rings = cut(found.select(TILE, "region_id", ring.alias("ring"), (F.col("signed") < 0).alias("hole"), F.abs("signed").alias("area"), F.row_number().over(order).alias("ring_id")))
+    outer = rings.where("NOT hole").select(TILE, "region_id", F.col("ring_id").alias("outer"), F.col("ring").alias("around"), F.col("area").alias("outer_area"))
+    only = outer.groupBy(TILE, "region_id").agg(F.min("outer").alias("first"), F.count("*").alias("outers"))
+    holes = rings.where("hole").join(only, [TILE, "region_id"])
+    # a hole of a region with several outer rings is in the smallest that has the middle of its first cell
+    cell = [F.element_at("ring", 1)[c] + 0.5 for c in ("x", "y")]
+    near = holes.where("outers > 1").join(outer, [TILE, "region_id"]).where(contains(F.col("around"), *cell))
+    inside = near.groupBy(TILE, "region_id", "ring_id").agg(F.min_by("outer", "outer_area").alias("outer"))
+    single = holes.where("outers = 1").select(TILE, "region_id", "ring_id", F.col("first").alias("outer"))
+    named = rings.join(single.unionByName(inside), [TILE, "region_id", "ring_id"], "left")
+    return named.select(TILE, "region_id", "ring_id", "ring", "hole", F.coalesce("outer", "ring_id").alias("outer"))
 
 
 def vectorise(pixels: DataFrame, mask: str, value: str, neighbours: int = 8) -> DataFrame:

@@ -214,8 +214,8 @@ def g14_boundary_iou(spark, sf_dir):
     return metrics.boundary_iou(p, F.col("target") != 0, F.col("prob_a") > 0.05, F.col("s2_scl") != 0, WIDTH, HEIGHT, 1).withColumn("boundary_iou", r6("boundary_iou"))
 
 
-def _outline(name: str, of: str) -> str:
-    return f"{name} AS (SELECT a.tile_id, a.region_id, a.y, a.x FROM {of} a JOIN {of} n ON n.tile_id = a.tile_id AND n.region_id = a.region_id AND n.y BETWEEN a.y - 1 AND a.y + 1 AND n.x BETWEEN a.x - 1 AND a.x + 1 GROUP BY a.tile_id, a.region_id, a.y, a.x HAVING count(*) < 9)"
+def _outline(name: str, of: str, k: int = 1) -> str:
+    return f"{name} AS (SELECT a.tile_id, a.region_id, a.y, a.x FROM {of} a JOIN {of} n ON n.tile_id = a.tile_id AND n.region_id = a.region_id AND n.y BETWEEN a.y - {k} AND a.y + {k} AND n.x BETWEEN a.x - {k} AND a.x + {k} GROUP BY a.tile_id, a.region_id, a.y, a.x HAVING count(*) < {(2 * k + 1) ** 2})"
 
 
 @query(
@@ -226,6 +226,29 @@ def g15_instance_boundary_iou(spark, sf_dir):
     return metrics.instance_boundary_iou(_target(spark, sf_dir), _predicted(spark, sf_dir)).withColumn("iou", r6("iou"))
 
 
+_WIDE = "SELECT tile_id, y, x FROM pixels WHERE target <> 2 OR prob_a >= 0.05"
+_WIDE_PR = "SELECT tile_id, y, x FROM pixels WHERE prob_b >= 0.04"
+
+
+@query(
+    f"{_W}, {_walk('t', _WIDE)}, {_walk('q', _WIDE_PR)}, {_outline('ot', 't', 2)}, {_outline('oq', 'q', 2)}, i AS (SELECT t.tile_id, t.region_id AS t, q.region_id AS p, count(*) AS n FROM ot t JOIN oq q ON q.tile_id = t.tile_id AND q.y = t.y AND q.x = t.x GROUP BY t.tile_id, t.region_id, q.region_id) "
+    "SELECT i.tile_id, i.t, i.p, round(i.n / (a.n + b.n - i.n), 6) AS iou FROM i JOIN (SELECT tile_id, region_id, count(*) AS n FROM ot GROUP BY tile_id, region_id) a ON a.tile_id = i.tile_id AND a.region_id = i.t JOIN (SELECT tile_id, region_id, count(*) AS n FROM oq GROUP BY tile_id, region_id) b ON b.tile_id = i.tile_id AND b.region_id = i.p"
+)
+def g15_boundary_iou_by_diagonal(spark, sf_dir):
+    """Outlines of large instances, as wide as a share of the diagonal: two cells."""
+    p = pixels(spark, sf_dir).withColumns({"t": (F.col("target") != 2) | (F.col("prob_a") >= 0.05), "q": F.col("prob_b") >= 0.04})
+    found = metrics.instance_boundary_iou(objects.label(p, "t"), objects.label(p, "q"), ratio=0.03, width=WIDTH, height=HEIGHT)
+    return found.withColumn("iou", r6("iou"))
+
+
+@query(f"{_W}, {_walk('t', _T)} SELECT t.tile_id, t.region_id, round(median(v), 6) AS median, round(median(v), 6) AS own_median, CAST(max(v) - min(v) AS DOUBLE) AS spread FROM t JOIN (SELECT tile_id, y, x, CAST(trunc(prob_a * 100) AS INT) AS v FROM pixels) p ON p.tile_id = t.tile_id AND p.y = t.y AND p.x = t.x GROUP BY t.tile_id, t.region_id")
+def g1_user_statistics(spark, sf_dir):
+    """Statistics by functions of the user, beside the built-in ones."""
+    p = pixels(spark, sf_dir).withColumn("v", (F.col("prob_a") * 100).cast("int"))
+    z = objects.zonal(_target(spark, sf_dir), p, "v", {"own_median": lambda v: v.median(), "spread": lambda v: v.max() - v.min()})
+    return z.select("tile_id", "region_id", r6("median").alias("median"), r6("own_median").alias("own_median"), "spread")
+
+
 @query(
     f"{_P}, k AS (SELECT tile_id, sum(CASE WHEN target = 1 AND prob_a > 0.5 THEN 1 ELSE 0 END) AS tp, sum(CASE WHEN target <> 1 AND prob_a > 0.5 THEN 1 ELSE 0 END) AS fp, sum(CASE WHEN target = 1 AND NOT prob_a > 0.5 THEN 1 ELSE 0 END) AS fn, sum(CASE WHEN target <> 1 AND NOT prob_a > 0.5 THEN 1 ELSE 0 END) AS tn FROM pixels WHERE target <> 2 GROUP BY tile_id), "
     "c AS (SELECT *, (tp + tn) / (tp + fp + fn + tn) AS acc, ((tp + fp) * (tp + fn) + (fn + tn) * (fp + tn)) / ((tp + fp + fn + tn) * (tp + fp + fn + tn)) AS ch FROM k) "

@@ -130,3 +130,41 @@ def test_boxes_of_all_sizes(spark):
     assert catalog.intersecting(frame(a).limit(0), frame(b)).count() == 0
     with pytest.raises(ValueError):
         catalog.chosen_footprints(frame(a), frame(b).where("id > 9999"), "id")
+
+
+def test_rings_over_seams_and_nested_holes(spark):
+    """Outlines put together from blocks are those of one block; holes name the ring about them."""
+    rnd = random.Random(8)
+    art = {
+        "a": ["#########", "#.......#", "#.#####.#", "#.#...#.#", "#.#.#.#.#", "#.#...#.#", "#.#####.#", "#.......#", "#########"],
+        "b": ["###...", "#.#...", "###...", "...###", "...#.#", "...###"],  # two blocks with a hole each, joined at a corner
+        "c": ["".join(rnd.choice("##.") for _ in range(14)) for _ in range(11)],
+    }
+    cells = [(t, y, x, True) for t, rows in art.items() for y, row in enumerate(rows) for x, c in enumerate(row) if c == "#"]
+    labels = objects.label(spark.createDataFrame(cells, "tile_id string, y int, x int, m boolean"), "m")
+    plain = lambda block: sorted((r["tile_id"], r["region_id"], r["ring_id"], tuple((p["x"], p["y"]) for p in r["ring"]), r["hole"], r["outer"]) for r in objects.polygons(labels, block).collect())
+    want = plain(256)
+    assert plain(4) == want
+    signed = lambda ring: sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(ring, ring[1:])) / 2
+    count = {}
+    for r in labels.collect():
+        count[r["tile_id"], r["region_id"]] = count.get((r["tile_id"], r["region_id"]), 0) + 1
+    for key, n in count.items():
+        assert sum(signed(r[3]) for r in want if r[:2] == key) == n
+    assert all((signed(r[3]) < 0) == r[4] and (r[2] == r[5]) == (not r[4]) for r in want)
+    frames = [r for r in want if r[0] == "a"]
+    assert [(r[1], r[4]) for r in frames] == [(1, False), (1, True), (2, False), (2, True), (3, False)]
+    pair = {r[2]: r for r in want if r[0] == "b"}
+    holes = [r for r in pair.values() if r[4]]
+    assert len(pair) == 4 and [pair[h[5]][3][0] for h in holes] == [(0, 0), (3, 3)]
+
+
+def test_erosion_by_instance(spark):
+    from tesserae.operators import metrics
+
+    rnd = random.Random(9)
+    cells = {(y, x): 1 + (x > 12) for y in range(20) for x in range(25) if rnd.random() < 0.97}
+    df = spark.createDataFrame([(0, r, y, x) for (y, x), r in cells.items()], "tile_id int, region_id int, y int, x int")
+    for steps in (1, 2):
+        inner = {(y, x) for (y, x), r in cells.items() if all(cells.get((y + a, x + b)) == r for a in range(-steps, steps + 1) for b in range(-steps, steps + 1))}
+        assert {(r["y"], r["x"]) for r in metrics.eroded_instances(df, steps).collect()} == inner

@@ -11,7 +11,6 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"g13_instance_curve"}
 ORACLES = entry.base.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
@@ -31,7 +30,7 @@ def plain(v):
     return str(v.replace(tzinfo=None)) if isinstance(v, datetime.datetime) else repr(v)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(ORACLES)))
 def test_against_duckdb(spark, con, name):
     df = entry.base.QUERIES[name](spark, SF)
     columns = sorted(df.columns)

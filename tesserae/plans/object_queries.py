@@ -226,18 +226,17 @@ def g15_instance_boundary_iou(spark, sf_dir):
     return metrics.instance_boundary_iou(_target(spark, sf_dir), _predicted(spark, sf_dir)).withColumn("iou", r6("iou"))
 
 
-_WIDE = "SELECT tile_id, y, x FROM pixels WHERE target <> 2 OR prob_a >= 0.05"
-_WIDE_PR = "SELECT tile_id, y, x FROM pixels WHERE prob_b >= 0.04"
-
-
 @query(
-    f"{_W}, {_walk('t', _WIDE)}, {_walk('q', _WIDE_PR)}, {_outline('ot', 't', 2)}, {_outline('oq', 'q', 2)}, i AS (SELECT t.tile_id, t.region_id AS t, q.region_id AS p, count(*) AS n FROM ot t JOIN oq q ON q.tile_id = t.tile_id AND q.y = t.y AND q.x = t.x GROUP BY t.tile_id, t.region_id, q.region_id) "
+    f"{_P}, t AS (SELECT tile_id, y, x, 1 + x // 13 AS region_id FROM pixels WHERE prob_a >= 0.02), q AS (SELECT tile_id, y, x, 1 + (x + 3) // 13 AS region_id FROM pixels WHERE prob_b >= 0.02), {_outline('ot', 't', 2)}, {_outline('oq', 'q', 2)}, i AS (SELECT t.tile_id, t.region_id AS t, q.region_id AS p, count(*) AS n FROM ot t JOIN oq q ON q.tile_id = t.tile_id AND q.y = t.y AND q.x = t.x GROUP BY t.tile_id, t.region_id, q.region_id) "
     "SELECT i.tile_id, i.t, i.p, round(i.n / (a.n + b.n - i.n), 6) AS iou FROM i JOIN (SELECT tile_id, region_id, count(*) AS n FROM ot GROUP BY tile_id, region_id) a ON a.tile_id = i.tile_id AND a.region_id = i.t JOIN (SELECT tile_id, region_id, count(*) AS n FROM oq GROUP BY tile_id, region_id) b ON b.tile_id = i.tile_id AND b.region_id = i.p"
 )
 def g15_boundary_iou_by_diagonal(spark, sf_dir):
-    """Outlines of large instances, as wide as a share of the diagonal: two cells."""
-    p = pixels(spark, sf_dir).withColumns({"t": (F.col("target") != 2) | (F.col("prob_a") >= 0.05), "q": F.col("prob_b") >= 0.04})
-    found = metrics.instance_boundary_iou(objects.label(p, "t"), objects.label(p, "q"), ratio=0.03, width=WIDTH, height=HEIGHT)
+    """Outlines of large instances (bands of columns with gaps), as wide as a share of the diagonal: two cells."""
+    p = pixels(spark, sf_dir)
+    band = lambda x: (F.floor(x / 13) + 1).cast("int")
+    t = p.where("prob_a >= 0.02").select(*CELL, band(F.col("x")).alias("region_id"))
+    q = p.where("prob_b >= 0.02").select(*CELL, band(F.col("x") + 3).alias("region_id"))
+    found = metrics.instance_boundary_iou(t, q, ratio=0.03, width=WIDTH, height=HEIGHT)
     return found.withColumn("iou", r6("iou"))
 
 

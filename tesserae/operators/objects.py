@@ -201,7 +201,7 @@ def _block_paths(block: int):
 
     def run(cells: pa.Table) -> pa.Table:
         y, x, region = (cells.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "region_id"))
-        y0, x0 = cells.column("_by")[0].as_py() * block, cells.column("_bx")[0].as_py() * block
+        y0, x0 = cells.column("_by")[0].as_py() * block - 1, cells.column("_bx")[0].as_py() * block - 1
         grid = np.zeros((block + 2, block + 2), np.int64)
         gy, gx = y - y0 + 1, x - x0 + 1
         grid[gy, gx] = region
@@ -240,7 +240,7 @@ def _paths(labels: DataFrame, block: int) -> DataFrame:
     kinds = [labels.schema[c] for c in (TILE, "region_id")]
     corners = ArrayType(IntegerType())
     schema = StructType([*(StructField(f.name, f.dataType) for f in kinds), StructField("closed", BooleanType()), StructField("seam", BooleanType()), StructField("px", corners), StructField("py", corners)])
-    at = {f"_b{c}": F.floor(F.col(c) / block) for c in ("y", "x")}
+    at = {f"_b{c}": F.floor((F.col(c) + 1) / block) for c in ("y", "x")}  # a tile's border, at 0, is no seam
     blocks = labels.select(TILE, "y", "x", "region_id").withColumns(at).groupBy(TILE, *at)
     every = cut(blocks.applyInArrow(_block_paths(block), schema))
     end = lambda at: F.struct(F.element_at("py", at).alias("y"), F.element_at("px", at).alias("x"))

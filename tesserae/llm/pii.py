@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,6 +34,10 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}+"
 #: Terms that are sent whole to every executor at most; beyond that the joins shuffle.
 BROADCAST_TERMS = 50_000
+#: Code points of the pieces from which a text is put together again.
+PIECE = 1024
+#: Terms of a row from which on they are looked up by halving.
+MANY = 64
 
 
 def _digits(value: Column) -> Column:
@@ -72,17 +77,29 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
-def _before(lengths: Column, part: int = 128) -> Column:
-    """For each of some numbers the sum of those before it. Sums of parts keep the work near linear."""
-    add = lambda xs: F.aggregate(xs, F.lit(0), lambda a, b: a + b)
+def _running(values: Column, step: Callable[[Column, Column], Column] = add, part: int = 128) -> Column:
+    """For each of some numbers (0 at least) what ``step``, an associative function, makes of those before it: their sum.
+
+    Parts are taken together first, which keeps the work near linear.
+    """
+    whole = lambda xs: F.aggregate(xs, F.lit(0), step)
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
 
     def sums(parts: Column) -> Column:
-        starts = F.aggregate(F.transform(parts, lambda x: add(x)), begin, lambda s, v: F.struct((s["at"] + v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
-        return F.flatten(F.zip_with(parts, starts, lambda xs, start: F.transform(xs, lambda _, i: start + add(F.slice(xs, F.lit(1), i)))))
+        starts = F.aggregate(F.transform(parts, lambda x: whole(x)), begin, lambda s, v: F.struct(step(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+        return F.flatten(F.zip_with(parts, starts, lambda xs, start: F.transform(xs, lambda _, i: step(start, whole(F.slice(xs, F.lit(1), i))))))
+
+    return F.when(F.size(values) > 0, _let(_parts(values, part), sums)).otherwise(F.array().cast("array<int>"))
+
 
-    cut_up = lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / part).cast("int")), lambda i: F.slice(n, i * part + 1, F.lit(part)))
-    return F.when(F.size(lengths) > 0, _let(cut_up(lengths), sums)).otherwise(F.array().cast("array<int>"))
+def _parts(values: Column, part: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / part).cast("int")), lambda i: F.slice(values, i * part + 1, F.lit(part)))
+
+
+def _below(ordered: Column, value: Column) -> Column:
+    """How many of some ordered values are less than a value, by halving."""
+    steps = F.transform(F.sequence(F.ceil(F.log2(F.size(ordered) + F.lit(1))).cast("int"), F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2.0), k).cast("int"))
+    return F.aggregate(steps, F.lit(0), lambda at, n: F.when(F.get(ordered, at + n - 1) < value, at + n).otherwise(at))
 
 
 def _positions(matches: Column, gaps: Column, kind: str, keep: Callable[[Column], Column]) -> Column:
@@ -99,7 +116,7 @@ def _positions(matches: Column, gaps: Column, kind: str, keep: Callable[[Column]
         return F.filter(F.transform(pairs, span), lambda s: keep(s))
 
     pairs = F.zip_with(matches, F.slice(gaps, F.lit(1), F.size(matches)), lambda v, g: F.struct(v.alias("value"), F.length(g).alias("gap"), (F.length(g) + F.length(v)).alias("both")))
-    return _let(pairs, lambda p: _let(_before(F.transform(p, lambda x: x["both"])), lambda b: placed(p, b)))
+    return _let(pairs, lambda p: _let(_running(F.transform(p, lambda x: x["both"])), lambda b: placed(p, b)))
 
 
 def _spans_of(text: Column, kind: str, pattern: str, near: int) -> Column:
@@ -196,16 +213,31 @@ def revealing_terms(found: DataFrame, window: int = 8, least: int = 2, support:
 
 
 def _sanitised(text: Column, spans: Column) -> Column:
-    """The text with each span replaced; overlapping spans are one."""
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        fresh = F.concat(state["out"], gap, F.when(s["kind"] == "term", s["value"]).otherwise(F.concat(F.lit("<"), s["kind"], F.lit(">"))))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"))
+    """The text with each span replaced; overlapping spans are one. Near linear in the text and in its spans."""
+    size = lambda xs: F.size(xs) * PIECE
+
+    def between(pieces: Column, start: Column, end: Column) -> Column:
+        """Code points of the text from ``start`` to ``end``, from the pieces that they are in."""
+        first, last = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+        piece = lambda i: F.coalesce(F.get(pieces, i), F.lit(""))
+        tail = F.substring(piece(first), start % PIECE + 1, F.lit(PIECE))
+        return F.when(first == last, F.substring(piece(first), start % PIECE + 1, end - start)).otherwise(
+            F.concat(tail, F.array_join(F.slice(pieces, first + 2, last - first - 1), ""), F.substring(piece(last), F.lit(1), end % PIECE))
+        )
+
+    def replaced(pieces: Column, ordered: Column, done: Column) -> Column:
+        """``done`` is for each span the end of those before it."""
+        placed = F.zip_with(ordered, done, lambda s, at: F.struct(s.alias("s"), at.alias("at")))
+        mark = lambda s: F.when(s["kind"] == "term", s["value"]).otherwise(F.concat(F.lit("<"), s["kind"], F.lit(">")))
+        out = F.transform(F.filter(placed, lambda x: x["s"]["start"] >= x["at"]), lambda x: F.concat(between(pieces, x["at"], x["s"]["start"]), mark(x["s"])))
+        end = F.greatest(F.element_at(done, -1), F.element_at(ordered, -1)["end"])
+        return F.array_join(F.concat(out, F.array(between(pieces, end, size(pieces)))), "")
 
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["value"].alias("value"))))
-    done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text) - s["at"])))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0))
+    ends = lambda xs: _running(F.transform(xs, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    whole = _let(pieces, lambda p: _let(ordered, lambda o: _let(ends(o), lambda e: replaced(p, o, e))))
+    return F.when(F.size(spans) == 0, text).otherwise(whole)
 
 
 def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = 8, least: int = 2, support: int = 3, generalise: float = 0.8, remove: float = 0.95) -> DataFrame:
@@ -231,14 +263,27 @@ def sanitise(docs: DataFrame, text: str = "text", key: str = "doc_id", window: i
     plain = lambda c: F.transform(c, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     joined = joined.withColumns({f"spans_{k}": plain(F.col(f"spans_{k}")) for k in ALL}).withColumn("_base", F.concat(*(F.col(f"spans_{k}") for k in ALL)))
 
-    def terms_of(base: Column) -> Column:
-        free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
-        keep = lambda s: F.when(F.map_contains_key(F.col("hits"), F.lower(s["value"])), free(s)).otherwise(False)
+    def terms_of(starts: Column, reach: Column, keys: Column, values: Column) -> Column:
+        """``starts`` of the spans in order, ``reach``: the furthest end of as many of them; terms in order with what replaces them."""
+        term = lambda s: F.lower(s["value"])
+        few = F.size(keys) <= MANY
+        free = lambda s: F.get(reach, _below(starts, s["end"])) <= s["start"]
+        hit = lambda s: F.when(few, F.array_contains(keys, term(s))).otherwise(F.coalesce(F.get(keys, _below(keys, term(s))) == term(s), F.lit(False)))
+        keep = lambda s: F.when(hit(s), free(s)).otherwise(False)
+        by = lambda s: F.when(few, F.col("hits")[term(s)]).otherwise(F.get(values, _below(keys, term(s))))
         found = _let(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda m: _positions(m, F.split("text", TERM, -1), "term", keep))
-        return F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.col("hits")[F.lower(s["value"])].alias("value")))
+        return F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), by(s).alias("value")))
+
+    def with_spans(base: Column, terms: Column) -> Column:
+        ends = F.transform(base, lambda s: s["end"])
+        reach = F.concat(_running(ends, lambda a, b: F.greatest(a, b)), F.array(F.coalesce(F.array_max(ends), F.lit(0))))
+        part = lambda xs, name: F.transform(xs, lambda x: x[name])
+        return _let(part(base, "start"), lambda b: _let(reach, lambda r: _let(part(terms, "key"), lambda k: _let(part(terms, "value"), lambda v: terms_of(b, r, k, v)))))
 
+    by_start = F.array_sort(F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    found_terms = _let(by_start, lambda b: _let(F.array_sort(F.map_entries("hits")), lambda t: with_spans(b, t)))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
-    out = joined.withColumn("spans_term", F.when(F.col("hits").isNotNull(), _let(F.col("_base"), terms_of)).otherwise(none))
+    out = joined.withColumn("spans_term", F.when(F.col("hits").isNotNull(), found_terms).otherwise(none))
     out = out.withColumn("sanitised", _sanitised(F.col("text"), F.concat("_base", F.col("spans_term"))))
     return out.select(F.col("key").alias(key), "text", *(f"spans_{k}" for k in (*ALL, "term")), "sanitised")
 

@@ -82,6 +82,45 @@ def test_pii_of_many_matches_in_one_text(spark):
     assert row["s"] == base_spans(text) and row["n"] == len(" ".join(["<email> <ip>"] * 5_000))
 
 
+def replaced(text, spans):
+    """The text with each span replaced, by hand; ``spans`` are start, end, kind, value."""
+    out, at = [], 0
+    for start, end, kind, value in sorted(spans):
+        if start >= at:
+            out += [text[at:start], value if kind == "term" else f"<{kind}>"]
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_pii_replaces_spans_that_overlap_and_cross_pieces(spark):
+    rnd = random.Random(36)
+    rows = []
+    for i in range(200):
+        text = "".join(rnd.choice("aéb 😀\n") for _ in range(rnd.choice([0, 5, 1023, 1024, 1025, 2048, 5000])))
+        starts = [rnd.randrange(len(text)) for _ in range(rnd.choice([0, 1, 3, 400]))] if text else []
+        rows.append((i, text, [(a, min(len(text), a + rnd.choice([1, 3, 2000])), rnd.choice(["term", "ip"]), f"X{rnd.randrange(3)}") for a in starts]))
+    table = spark.createDataFrame(rows, "i int, text string, spans array<struct<start: int, end: int, kind: string, value: string>>")
+    got = table.select("i", pii._sanitised(F.col("text"), F.col("spans")).alias("out")).collect()
+    assert all(r["out"] == replaced(*rows[r["i"]][1:]) for r in got) and len(got) == 200
+
+
+@pytest.mark.parametrize("many", [64, 0])
+def test_pii_terms_in_a_text_of_many_matches(spark, monkeypatch, many):
+    monkeypatch.setattr(pii, "MANY", many)
+    rnd = random.Random(37)
+    names = ["Zanzibarius", "Quixotenberg", "Übermannsen"]
+    texts = [words(rnd, 60) for _ in range(60)]
+    for k in range(18):
+        texts[k] += f" {words(rnd, 4)} {names[k % 3]} wrote from boss{k % 3}@corp.example about {words(rnd, 5)}"
+    texts[50] = " ".join(f"{names[k % 3]} user{k}@mail.example.com x@{names[k % 3]}.example" for k in range(3_000))
+    row = {r["doc_id"]: r for r in pii.sanitise(docs(spark, texts)).collect()}[50]
+    taken = {i for k in pii.ALL for s in row[f"spans_{k}"] for i in range(s["start"], s["end"])}
+    free = [m.span() for m in re.finditer("|".join(names), texts[50]) if taken.isdisjoint(range(*m.span()))]
+    assert [(s["start"], s["end"]) for s in row["spans_term"]] == free and len(free) == 4_000  # "Ü" is in no address
+    every = [(s["start"], s["end"], s["kind"], s["value"]) for k in (*pii.ALL, "term") for s in row[f"spans_{k}"]]
+    assert row["sanitised"] == replaced(texts[50], every)
+
+
 def test_pii_counts_rows_once(spark):
     rnd = random.Random(35)
     texts = [words(rnd, 40) + " contact us" for _ in range(80)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from math import pi
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -54,6 +56,38 @@ def utm_zone(lat: Column, lon: Column) -> Column:
     return (F.when(lat >= 0, 32600).otherwise(32700) + zone).cast("int")
 
 
+#: What makes two tiles the same grid.
+GRID = ("crs", "x0", "y0", "res_x", "res_y", "width", "height")
+
+
+def same_grid(grid: DataFrame, other: DataFrame, tile: str = "tile_id") -> None:
+    """Fails if a tile that both tables have (a row each) differs in a column of ``GRID``; nulls equal nulls."""
+    pairs = grid.select(tile, *GRID).join(other.select(tile, *(F.col(c).alias(f"r_{c}") for c in GRID)), tile)
+    differs = reduce(lambda a, b: a | b, (~F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in GRID))
+    bad = pairs.where(differs).select(tile).limit(3).collect()
+    if bad:
+        raise ValueError(f"tiles on another grid: {sorted(r[0] for r in bad)}")
+
+
+def assemble(base: DataFrame, grid: DataFrame, layers: Sequence[tuple[DataFrame, DataFrame]], fill: dict | None = None, cell: Sequence[str] = ("tile_id", "y", "x")) -> DataFrame:
+    """Every cell of ``base`` with the columns of each layer, NULL where a layer has no such cell, or its ``fill``.
+
+    A layer comes with its tiles' grids; it has one row a cell at most, and may lack tiles, but those that it has must
+    be on the grid of ``base``, or the job fails. Without layers ``base`` comes back. All joins are on the cell, so
+    one exchange of ``base`` serves them. Columns that two layers share fail, as neither can be told from the other.
+    """
+    names = [c for c in base.columns if c not in cell]
+    for cells, other in layers:
+        fresh = [c for c in cells.columns if c not in cell]
+        if both := sorted(set(names) & set(fresh)):
+            raise ValueError(f"columns of several layers: {both}")
+        names += fresh
+        same_grid(grid, other, cell[0])
+    for cells, _ in layers:
+        base = base.join(cells, list(cell), "left")
+    return base.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in (fill or {}).items()})
+
+
 def to_utm(lat: Column, lon: Column, epsg: Column) -> tuple[Column, Column]:
     """Easting and northing by Krueger's series to the third order."""
     n = FLATTENING / (2 - FLATTENING)

@@ -50,7 +50,7 @@ def e6_true_north(spark, sf_dir):
     t = focal.terrain(pixels(spark, sf_dir).select(*CELL, "dem"))
     placed = t.withColumns({"px": F.col("x") + F.col("tile_id") * 50 + 1, "py": F.col("y") + 1})
     c = focal.sun_correction(placed, "px", "py")
-    return t.join(F.broadcast(c), "tile_id").select(*CELL, r6(focal.true_north(F.col("aspect"), F.col("correction")), 4).alias("aspect"))  # one row a tile
+    return t.join(c, "tile_id").select(*CELL, r6(focal.true_north(F.col("aspect"), F.col("correction")), 4).alias("aspect"))
 
 
 def _disk(r: int, inner: int = 0) -> str:

@@ -22,10 +22,11 @@ def f1_merge_on_grid(spark, sf_dir):
 @query(f"{DECODED}, t AS (SELECT tile_id, y, x, dem FROM decoded WHERE x < 40), c AS (SELECT tile_id, y, x, s2_scl AS trend FROM decoded WHERE y < 20) SELECT d.tile_id, d.y, d.x, round(d.red, 6) AS red, t.dem, coalesce(c.trend, 0) AS trend FROM decoded d LEFT JOIN t ON t.tile_id = d.tile_id AND t.y = d.y AND t.x = d.x LEFT JOIN c ON c.tile_id = d.tile_id AND c.y = d.y AND c.x = d.x")
 def f2_assemble_features(spark, sf_dir):
     d = decoded(spark, sf_dir)
+    tiles = d.select("tile_id").distinct()
+    grid = tiles.select("tile_id", F.lit("EPSG:32632").alias("crs"), (F.col("tile_id") * 500.0).alias("x0"), F.lit(4.5e6).alias("y0"), F.lit(10.0).alias("res_x"), F.lit(-10.0).alias("res_y"), F.lit(50).alias("width"), F.lit(50).alias("height"))
     terrain = d.where("x < 40").select(*CELL, "dem")
     trend = d.where("y < 20").select(*CELL, F.col("s2_scl").alias("trend"))
-    joined = d.select(*CELL, r6("red").alias("red")).join(terrain, list(CELL), "left").join(trend, list(CELL), "left")
-    return joined.withColumn("trend", F.coalesce("trend", F.lit(0)))
+    return geometry.assemble(d.select(*CELL, r6("red").alias("red")), grid, [(terrain, grid), (trend, grid)], {"trend": 0})
 
 
 @query(f"{_P} SELECT t.tile_id, t.y, t.x, s.dem FROM pixels t LEFT JOIN pixels s ON s.tile_id = t.tile_id AND s.y = CAST(floor(t.y * 0.5 + 0.25 + 0.5) AS INT) AND s.x = CAST(floor(t.x * 0.5 + 3.25 + 0.5) AS INT)")

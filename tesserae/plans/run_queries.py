@@ -124,6 +124,17 @@ def h10_region_folds(spark, sf_dir):
     return c.groupBy("c_nationkey").agg(F.count_distinct("fold").cast("int").alias("folds"), F.count("*").alias("n"))
 
 
+@query(
+    "WITH g AS (SELECT c_custkey % 50 AS region, sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS w FROM customer GROUP BY 1), k AS (SELECT w, row_number() OVER (ORDER BY w DESC) - 1 AS k FROM g) "
+    "SELECT CAST(k % 5 AS INT) AS fold, count(*) AS regions, CAST(sum(w) AS BIGINT) AS positives FROM k GROUP BY 1"
+)
+def h10_region_stratified_folds(spark, sf_dir):
+    """Whole regions, dealt by how many positives they have, so that folds have nearly as many."""
+    c = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 50).alias("region"), (F.col("c_acctbal") > 0).alias("positive"))
+    c = splits.group_folds(c, "region", 5, stratum=F.col("positive"))
+    return c.groupBy("fold").agg(F.count_distinct("region").alias("regions"), F.count_if("positive").alias("positives"))
+
+
 @query("SELECT least(count(*), 100) AS n FROM orders")
 def h11_subsample(spark, sf_dir):
     return splits.subsample(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 100).agg(F.count("*").alias("n"))

@@ -177,6 +177,8 @@ def test_splits_and_folds(spark):
     assert {r["part"]: r["count"] for r in s.groupBy("part").count().collect()} == {"train": 72, "test": 31}
     assert splits.group_folds(meta, "g", 3).groupBy("g").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
     assert splits.stratified_folds(meta, "id", "g", 5).groupBy("g", "fold").count().agg(F.max("count") - F.min("count")).first()[0] <= 1
+    dealt = splits.group_folds(meta, "g", 3, stratum=~F.col("is_empty")).groupBy("fold").agg(F.count_distinct("g").alias("g"), F.count_if(~F.col("is_empty")).alias("n")).collect()
+    assert sorted(r["g"] for r in dealt) == [2, 2, 3] and sum(r["n"] for r in dealt) == 68
     assert splits.no_split(meta).count() == 206
     with pytest.raises(ValueError):
         splits.select_bands(meta, ["id"], ["none"])
@@ -348,3 +350,19 @@ def test_a_scene_twice_in_a_batch(spark, tmp_path):
     schema = spark.read.parquet(f"{tmp_path}/in").schema
     ingest.ingest(ingest.scene_stream(spark, f"{tmp_path}/in", schema), lambda rows: rows, f"{tmp_path}/out", f"{tmp_path}/ledger", f"{tmp_path}/state")
     assert sorted(r["scene_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]
+
+
+def test_assembling_features_checks_grids(spark):
+    grid = spark.createDataFrame([(1, None, 0.0, 0.0, 10.0, -10.0, 2, 2), (2, "a", 20.0, 0.0, 10.0, -10.0, 2, 2)], "tile_id int, crs string, x0 double, y0 double, res_x double, res_y double, width int, height int")
+    base = spark.createDataFrame([(t, y, x, 0.5) for t in (1, 2) for y in (0, 1) for x in (0, 1)], "tile_id int, y int, x int, red double")
+    dem = base.where("tile_id = 1 AND x = 0").withColumnRenamed("red", "dem")
+    trend = base.where("y = 0").select("tile_id", "y", "x", F.lit(7).alias("trend"))
+    got = geometry.assemble(base, grid, [(dem, grid.where("tile_id = 1")), (trend, grid)], {"trend": 0})
+    assert got.columns == ["tile_id", "y", "x", "red", "dem", "trend"] and got.count() == 8
+    assert got.where("dem IS NULL").count() == 6 and got.agg(F.sum("trend")).first()[0] == 28 and got.where("trend IS NULL").count() == 0
+    assert geometry.assemble(base, grid, []).count() == 8
+    for column, value in (("x0", F.lit(5.0)), ("crs", F.lit("b")), ("width", F.lit(None).cast("int"))):
+        with pytest.raises(ValueError, match="another grid"):
+            geometry.assemble(base, grid, [(dem, grid.withColumn(column, value))])
+    with pytest.raises(ValueError, match="several layers"):
+        geometry.assemble(base, grid, [(dem, grid), (dem, grid)])

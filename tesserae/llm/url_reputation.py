@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tesserae.functions.storage import cut
 from tesserae.llm.joins import spread
 
 
@@ -74,7 +75,7 @@ def host_reputation(outcomes: DataFrame, z: float = 1.0, suffixes: Sequence[str]
     overall values for what is in none of them. A level's strength is estimated from the spread of its groups.
     """
     suffix, domain = host_levels(F.col("host"), suffixes)
-    seen = (
+    seen = cut(
         outcomes.where(F.col("bad").isNotNull() & F.col("host").isNotNull())
         .groupBy("host")
         .agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
@@ -86,7 +87,7 @@ def host_reputation(outcomes: DataFrame, z: float = 1.0, suffixes: Sequence[str]
     domains = seen.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     k_suffix = _strength(by_suffix.withColumns({"parent_n": F.lit(float(max(1, total["n"]))), "parent_bad": F.lit(float(total["bad"]))}), "all")
     above = lambda t, key: t.select(key, F.col("n").alias("parent_n"), F.col("bad").alias("parent_bad"))
-    k_domain = _strength(domains.join(above(by_suffix, "suffix"), "suffix"), "suffix")
+    k_domain = _strength(spread(domains, above(by_suffix, "suffix"), ["suffix"]), "suffix")
     k_host = _strength(seen.join(above(domains, "domain"), "domain"), "domain")
 
     def posterior(t: DataFrame, prior: Column, k: float) -> DataFrame:
@@ -96,7 +97,7 @@ def host_reputation(outcomes: DataFrame, z: float = 1.0, suffixes: Sequence[str]
 
     by_suffix = posterior(by_suffix, F.lit(mean), k_suffix)
     prior = lambda t, key: t.select(key, F.col("mean").alias("prior"))
-    domains = posterior(domains.join(prior(by_suffix, "suffix"), "suffix"), F.col("prior"), k_domain)
+    domains = posterior(spread(domains, prior(by_suffix, "suffix"), ["suffix"]), F.col("prior"), k_domain)
     hosts = posterior(seen.join(prior(domains, "domain"), "domain"), F.col("prior"), k_host)
     return by_suffix, domains, hosts, {"mean": mean, "bound": mean - z * (mean * (1 - mean) / (total["n"] + 3)) ** 0.5}
 
@@ -127,11 +128,9 @@ def judge(
     by_suffix, domains, hosts, overall = host_reputation(outcomes, suffixes=suffixes)
     suffix, domain = host_levels(F.col("host"), suffixes)
     known = parts.select("host").distinct().withColumns({"suffix": suffix, "domain": domain})
-    best = (
-        known.join(hosts.select("host", F.col("bound").alias("by_host")), "host", "left")
-        .join(domains.select("domain", F.col("bound").alias("by_domain")), "domain", "left")
-        .join(by_suffix.select("suffix", F.col("bound").alias("by_suffix")), "suffix", "left")
-        .select("host", F.coalesce("by_host", "by_domain", "by_suffix", F.lit(overall["bound"])).alias("bound"))
+    placed = known.join(hosts.select("host", F.col("bound").alias("by_host")), "host", "left").join(domains.select("domain", F.col("bound").alias("by_domain")), "domain", "left")
+    best = spread(placed, by_suffix.select("suffix", F.col("bound").alias("by_suffix")), ["suffix"], "left").select(
+        "host", F.coalesce("by_host", "by_domain", "by_suffix", F.lit(overall["bound"])).alias("bound")
     )
     return spread(parts, best, ["host"], "left").select(
         F.col("page_key").alias(key),

@@ -83,7 +83,10 @@ def train(samples: list[bytes], labels: list[int], dict_bytes: int = 48 << 10) -
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", max_rows: int = 1500) -> QualityModel:
-    """Train on at most about ``max_rows`` labelled rows of each class, chosen by a hash of the key."""
+    """Train on at most about ``max_rows`` labelled rows of each class, chosen by a hash of the key.
+
+    A key with several labels counts once, with the greatest; labels other than 0 and 1, and null keys, do not count.
+    """
     known = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("key")).agg(F.max(label).alias("label"))
     chosen = None
     for k in (0, 1):

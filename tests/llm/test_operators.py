@@ -1,12 +1,14 @@
 """Each operator against brute force on small tables, with nulls, empty and repeated rows, and clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tesserae.llm import bpe, decontaminate, langid, line_templates, pii, quality_model, repetition, simhash, suffix_dedup, url_reputation
@@ -437,6 +439,59 @@ def test_quality_model(spark):
     assert all(r["score"] > 0.5 for r in quality_model.score(docs(spark, texts), one).collect())
 
 
+def test_language_scores_by_plain_sums(spark):
+    rnd = random.Random(15)
+    texts = [" ".join(rnd.choice(FR if k % 2 else DE) for _ in range(rnd.randint(3, 40))) for k in range(80)]
+    lang = {k: "fr" if k % 2 else "de" for k in range(80)}
+    model = langid.fit(docs(spark, texts, lang))
+    got = {r["doc_id"]: r for r in langid.identify(docs(spark, texts), model).collect()}
+    for k, text in enumerate(texts):
+        z = [0.0] * len(model.languages)
+        ids = langid.subwords(text, len(model.logits)).tolist()
+        for i in ids:
+            z = [a + b for a, b in zip(z, model.logits[i].tolist())]
+        power = [math.exp(a / len(ids) / model.temperature) for a in z]
+        best = max(range(len(z)), key=lambda j: power[j])
+        assert got[k]["lang_pred"] == model.languages[best] and abs(got[k]["score"] - power[best] / sum(power)) < 1e-9
+        assert got[k]["accepted"] == (got[k]["score"] >= model.accept)
+
+
+def test_quality_scores_by_plain_sizes_and_several_labels(spark):
+    rnd = random.Random(16)
+    texts = [words(rnd, 60) if k % 2 else words(rnd, 60).upper() for k in range(80)] + ["", None, words(rnd, 30_000)]
+    table = docs(spark, texts)
+    labels = [(k, k % 2) for k in range(80)]
+    model = quality_model.fit(table, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r["doc_id"]: r for r in quality_model.score(table, model).collect()}
+    for k, text in enumerate(texts):
+        data, sizes = (text or "").encode(), []
+        for known in (model.good, model.bad):
+            sizes.append(sum(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(known), write_content_size=False, write_dict_id=False).compress(data[at : at + quality_model.PART])) for at in range(0, len(data), quality_model.PART)))
+        diff = (sizes[1] - sizes[0]) / sum(sizes) if data else 0.0
+        assert abs(got[k]["size_difference"] - diff) < 0.02
+        x = max(-30, min(30, model.slope * got[k]["size_difference"] + model.offset))
+        assert abs(got[k]["score"] - 1 / (1 + math.exp(-x))) < 1e-9
+    more = spark.createDataFrame([*labels, (1, 0), (3, 0), (3, 1), (5, 7), (None, 0)], "doc_id long, quality int")
+    assert quality_model.fit(table, more) == model  # the greatest label of a key counts
+
+
+def test_url_reputation_of_repeated_rows_and_long_urls(spark):
+    long = "http://" + "a." * 50_000 + "net/" + "x/" * 100_000
+    rows = [(1, "http://one.org/a"), (1, "http://one.org/a"), (1, "http://two.org"), (None, "http://one.org/a"), (2, long), (2, long + "?q")]
+    outcomes = spark.createDataFrame([("one.org", 1)] * 50 + [("two.org", 0)] * 50, "host string, bad int")
+    got = url_reputation.judge(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES, outcomes).collect()
+    assert len(got) == 6 and sum(r["page_id"] is None for r in got) == 1
+    assert sorted(r["verdict"] for r in got if r["host"] == "one.org") == ["block"] * 3 and [r["verdict"] for r in got if r["host"] == "two.org"] == ["allow"]
+    assert {(r["host"], r["path"]) for r in got if r["page_id"] == 2} == {url_brute(long)}
+
+
+def test_repetition_of_a_long_text(spark):
+    base = [f"w{k}" for k in range(150_000)]
+    text = " ".join(base + base[1_000:1_040] + ["end"])
+    row = repetition.repetition(docs(spark, [text])).first()
+    assert (row["n_words"], row["n_repeat_words"], row["n_covered"], row["longest_repeat"]) == (150_041, 80, 80, 40) and row["kept"]
+
+
 def covered_brute(w, n):
     places = {}
     for i in range(len(w) - n + 1):

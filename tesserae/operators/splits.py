@@ -32,7 +32,7 @@ def split_random(meta: DataFrame, key: str, train_share: float, positive: Column
     raise AssertionError
 
 
-def _head(meta: DataFrame, key: str, keep: int, seed: int) -> DataFrame:
+def _head(meta: DataFrame, key: str, keep: int, seed: int, name: str = "part") -> DataFrame:
     buckets = 1024
     h = _order(seed, key)
     rows = meta.withColumns({"_h": h, "_b": F.shiftrightunsigned(h, 54)})
@@ -40,7 +40,7 @@ def _head(meta: DataFrame, key: str, keep: int, seed: int) -> DataFrame:
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     assert buckets == 1024  # the window above has one row for each bucket
     placed = rows.join(F.broadcast(before), "_b").withColumn("_k", F.col("_before") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
-    return placed.withColumn("part", F.when(F.col("_k") <= keep, "train").otherwise("test")).drop("_h", "_b", "_before", "_k")
+    return placed.withColumn(name, F.when(F.col("_k") <= keep, "train").otherwise("test")).drop("_h", "_b", "_before", "_k")
 
 
 def no_split(meta: DataFrame) -> DataFrame:
@@ -80,7 +80,8 @@ def group_folds(meta: DataFrame, group: str, k: int, seed: int = 0, stratum: Col
 
 
 def subsample(meta: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    return meta.orderBy(_order(seed, key), key).limit(n)
+    """The first ``n`` rows in hash order, or all if there are fewer; placed as by ``split_random``, not in one task."""
+    return _head(meta, key, n, seed, "_part").where(F.col("_part") == "train").drop("_part")
 
 
 def select_bands(df: DataFrame, keys: Sequence[str], bands: Sequence[str]) -> DataFrame:

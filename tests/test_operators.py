@@ -179,6 +179,12 @@ def test_splits_and_folds(spark):
     assert splits.stratified_folds(meta, "id", "g", 5).groupBy("g", "fold").count().agg(F.max("count") - F.min("count")).first()[0] <= 1
     dealt = splits.group_folds(meta, "g", 3, stratum=~F.col("is_empty")).groupBy("fold").agg(F.count_distinct("g").alias("g"), F.count_if(~F.col("is_empty")).alias("n")).collect()
     assert sorted(r["g"] for r in dealt) == [2, 2, 3] and sum(r["n"] for r in dealt) == 68
+    parts = splits.split_by_value(meta, "g", [1])
+    some = splits.subsample(parts, "id", 40)
+    ids = {r["id"] for r in some.collect()}
+    assert len(ids) == 40 == some.count() and some.columns == parts.columns
+    assert ids == {r["id"] for r in splits.subsample(parts.repartition(7), "id", 40).collect()} < {r["id"] for r in splits.subsample(parts, "id", 41).collect()}
+    assert splits.subsample(parts, "id", 500).count() == 103 and splits.subsample(parts, "id", 0).count() == 0 and splits.subsample(parts.limit(0), "id", 5).count() == 0
     assert splits.no_split(meta).count() == 206
     with pytest.raises(ValueError):
         splits.select_bands(meta, ["id"], ["none"])

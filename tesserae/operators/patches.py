@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tesserae.functions.rank import numbered
@@ -28,10 +28,19 @@ def origins(tiles: DataFrame, size: int, overlap: int, height: str = "height", w
 
 
 def cut(pixels: DataFrame, patches: DataFrame, size: int) -> DataFrame:
-    """Cells of each patch, with their place in it (``dy, dx``): an equi-join on candidate cells."""
-    cells = patches.withColumn("dy", F.explode(F.sequence(F.lit(0), F.lit(size - 1)))).withColumn("dx", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
-    cells = cells.withColumns({"y": F.col("y0") + F.col("dy"), "x": F.col("x0") + F.col("dx")})
-    return cells.join(pixels, [TILE, "y", "x"])
+    """Cells of each patch, with their place in it (``dy, dx``).
+
+    Cells and patches meet in blocks as wide as a patch, of which a patch touches four at most. Both sides are dealt over
+    tasks by the hint: Spark takes exploded rows for as small as what they are made of, and would broadcast them.
+    """
+    block = lambda c: F.floor(F.col(c) / size)
+    along = lambda c: F.explode(F.sequence(block(f"{c}0"), F.floor((F.col(f"{c}0") + (size - 1)) / size)))
+    near = patches.withColumn("_by", along("y")).withColumn("_bx", along("x"))
+    inner = pixels.withColumns({"_by": block("y"), "_bx": block("x")})
+    both = near.join(inner.hint("merge"), [TILE, "_by", "_bx"])
+    both = both.where(F.col("y").between(F.col("y0"), F.col("y0") + (size - 1)) & F.col("x").between(F.col("x0"), F.col("x0") + (size - 1)))
+    own, rest = [[c for c in df.columns if c not in (TILE, "y", "x")] for df in (patches, pixels)]
+    return both.select(TILE, "y", "x", *own, (F.col("y") - F.col("y0")).alias("dy"), (F.col("x") - F.col("x0")).alias("dx"), *rest)
 
 
 def soft_margin(size: int, overlap: int) -> Column:
@@ -75,16 +84,26 @@ def logistic(weights: Mapping[str, float], bias: float) -> Column:
 
 
 def score_patches(cells: DataFrame, bands: Sequence[str], scorer: Callable[[np.ndarray], np.ndarray], size: int) -> DataFrame:
-    """Score whole patches with a function of an array (bands, size, size); patches without any value score 0."""
+    """Score whole patches with a function of an array (bands, size, size); patches without any value score 0.
+
+    Neighbouring patches of a tile share a group, up to 65,536 cells, as a group costs far more than a small patch.
+    """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        stack = np.full((len(bands), size, size), np.nan)
-        stack[:, rows["dy"], rows["dx"]] = rows[list(bands)].to_numpy(float).T
-        out = np.zeros((size, size)) if np.isnan(stack).all() else scorer(np.nan_to_num(stack))
-        return rows[[TILE, "patch_id", "dy", "dx", "y", "x"]].assign(p=out[rows["dy"], rows["dx"]])
+    def run(rows: pa.Table) -> pa.Table:
+        dy, dx = (rows.column(c).to_numpy() for c in ("dy", "dx"))
+        ids, of = np.unique(rows.column("patch_id").to_numpy(), return_inverse=True)
+        stacks, out = np.full((len(ids), len(bands), size, size), np.nan), np.zeros((len(ids), size, size))
+        for i in range(len(bands)):
+            stacks[of, i, dy, dx] = rows.column(f"_v{i}").to_numpy()
+        for k, stack in enumerate(stacks):
+            if not np.isnan(stack).all():
+                out[k] = scorer(np.nan_to_num(stack))
+        return rows.select([TILE, "patch_id", "dy", "dx", "y", "x"]).append_column("p", pa.array(out[of, dy, dx], pa.float64(), from_pandas=True))
 
     kind = cells.schema[TILE].dataType.simpleString()
-    return cells.groupBy(TILE, "patch_id").applyInPandas(run, f"{TILE} {kind}, patch_id int, dy int, dx int, y int, x int, p double")
+    whole = cells.select(TILE, *(F.col(c).cast("int").alias(c) for c in ("patch_id", "dy", "dx", "y", "x")), *(F.col(b).cast("double").alias(f"_v{i}") for i, b in enumerate(bands)))
+    groups = whole.groupBy(TILE, F.floor(F.col("patch_id") / max(1, 65536 // size**2)).alias("_group"))
+    return groups.applyInArrow(run, f"{TILE} {kind}, patch_id int, dy int, dx int, y int, x int, p double")
 
 
 def ensemble(pixels: DataFrame, models: Sequence[str], keep: bool = False) -> DataFrame:

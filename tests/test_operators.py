@@ -372,3 +372,33 @@ def test_assembling_features_checks_grids(spark):
             geometry.assemble(base, grid, [(dem, grid.withColumn(column, value))])
     with pytest.raises(ValueError, match="several layers"):
         geometry.assemble(base, grid, [(dem, grid), (dem, grid)])
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def some_tiles(spark, n=3, height=30, width=50):
+    cells = spark.range(n).selectExpr("cast(id as int) AS tile_id").withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
+    return cells.withColumn("v", F.col("tile_id") * 10000 + F.col("y") * 100 + F.col("x"))
+
+
+@pytest.mark.parametrize("size, overlap", [(16, 4), (7, 6), (5, 0)])
+def test_patches_are_cut_without_a_broadcast(spark, size, overlap):
+    tiles = some_tiles(spark, 2, 18, 21)
+    o = patches.origins(tiles.select("tile_id").distinct().withColumns({"height": F.lit(18), "width": F.lit(21)}), size, overlap)
+    cells = patches.cut(tiles, o, size)
+    assert "BroadcastExchange" not in plan_of(cells)
+    want = {(r["tile_id"], r["patch_id"], r["y0"] + dy, r["x0"] + dx, dy, dx, r["tile_id"] * 10000 + (r["y0"] + dy) * 100 + r["x0"] + dx) for r in o.collect() for dy in range(size) for dx in range(size)}
+    got = [tuple(r) for r in cells.select("tile_id", "patch_id", "y", "x", "dy", "dx", "v").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_patches_are_scored_in_groups_of_several(spark):
+    tiles = some_tiles(spark, 3, 18, 21).withColumn("v", F.when(F.col("tile_id") != 2, F.col("v")))
+    o = patches.origins(tiles.select("tile_id").distinct().withColumns({"height": F.lit(18), "width": F.lit(21)}), 8, 3)
+    scored = patches.score_patches(patches.cut(tiles, o, 8), ["v"], lambda a: a[0] - a[0].min(), 8)
+    assert "FlatMapGroupsInPandas" not in plan_of(scored)
+    got = {tuple(r) for r in scored.select("tile_id", "patch_id", "dy", "dx", "p").collect()}
+    assert got == {(r["tile_id"], r["patch_id"], dy, dx, 0.0 if r["tile_id"] == 2 else 100.0 * dy + dx) for r in o.collect() for dy in range(8) for dx in range(8)}

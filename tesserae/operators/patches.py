@@ -62,19 +62,19 @@ def blend(scored: DataFrame, size: int, overlap: int, value: str = "p") -> DataF
     return scored.withColumn("_w", soft_margin(size, overlap)).groupBy(TILE, "y", "x").agg((F.sum(F.col(value) * F.col("_w")) / F.when(total == 0, 1.0).otherwise(total)).alias(value))
 
 
-def reflect_index(i: Column, n: int) -> Column:
-    """Index inside 0..n-1 of an index beyond the sides, mirrored about the first and last cell."""
+def mirrored(i: Column, n: int, pad: int) -> Column:
+    """Indices from -pad to n + pad - 1 that mirror index ``i`` of 0..n-1 about the first and last cell, itself included."""
     period = 2 * (n - 1)
-    m = F.pmod(i, F.lit(period))
-    return F.least(m, period - m)
+    turns = range(-(pad // period) - 1, pad // period + 2)
+    every = F.array_distinct(F.array(*(i * sign + k * period for k in turns for sign in (1, -1))))
+    return F.filter(every, lambda v: v.between(-pad, n + pad - 1))
 
 
 def pad_reflect(pixels: DataFrame, pad: int, width: int, height: int) -> DataFrame:
-    """Tiles with ``pad`` mirrored cells on each side; coordinates run from -pad."""
-    base = pixels.select(TILE).distinct().withColumn("y", F.explode(F.sequence(F.lit(-pad), F.lit(height + pad - 1)))).withColumn("x", F.explode(F.sequence(F.lit(-pad), F.lit(width + pad - 1))))
-    base = base.withColumns({"_y": reflect_index(F.col("y"), height), "_x": reflect_index(F.col("x"), width)})
-    inner = pixels.withColumnsRenamed({"y": "_y", "x": "_x"})
-    return base.join(inner, [TILE, "_y", "_x"]).drop("_y", "_x")
+    """Tiles with ``pad`` mirrored cells on each side; coordinates run from -pad. Each cell makes its own copies."""
+    inner = pixels.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1))
+    wide = inner.withColumn("y", F.explode(mirrored(F.col("y"), height, pad))).withColumn("x", F.explode(mirrored(F.col("x"), width, pad)))
+    return wide.select(TILE, "y", "x", *(c for c in pixels.columns if c not in (TILE, "y", "x")))
 
 
 def logistic(weights: Mapping[str, float], bias: float) -> Column:

@@ -402,3 +402,13 @@ def test_patches_are_scored_in_groups_of_several(spark):
     assert "FlatMapGroupsInPandas" not in plan_of(scored)
     got = {tuple(r) for r in scored.select("tile_id", "patch_id", "dy", "dx", "p").collect()}
     assert got == {(r["tile_id"], r["patch_id"], dy, dx, 0.0 if r["tile_id"] == 2 else 100.0 * dy + dx) for r in o.collect() for dy in range(8) for dx in range(8)}
+
+
+@pytest.mark.parametrize("pad", [3, 11])
+def test_padding_needs_no_join(spark, pad):
+    v = np.arange(24).reshape(4, 6)
+    padded = patches.pad_reflect(grid(spark, v), pad, 6, 4)
+    assert "Join" not in plan_of(padded)
+    got = [tuple(r) for r in padded.select("y", "x", "v").collect()]
+    want = np.pad(v, pad, mode="reflect")
+    assert len(got) == want.size and all(want[y + pad, x + pad] == n for y, x, n in got)

@@ -135,10 +135,10 @@ def patch_metadata(kept: DataFrame, patches: DataFrame, first: int = 0, samples:
 
     ``samples`` adds ``region`` and ``sample_id`` of each tile, ``size`` the extent of the patch in cells.
     """
-    joined = kept.join(patches, [TILE, "patch_id"])
+    joined = kept.join(patches.hint("merge"), [TILE, "patch_id"])
     more: list[Column | str] = []
     if samples is not None:
-        joined = joined.join(samples.select(TILE, "region", "sample_id"), TILE, "left")
+        joined = joined.join(samples.select(TILE, "region", "sample_id").hint("merge"), TILE, "left")
         more += ["region", "sample_id"]
     if size is not None:
         x, y = F.col("x0"), F.col("y0")

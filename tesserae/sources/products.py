@@ -89,7 +89,7 @@ def number_rows(new: DataFrame, old: DataFrame | None, order: str) -> DataFrame:
 
 def training_tables(cells: DataFrame, kept: DataFrame, bands: Sequence[str], label: str, size: int) -> tuple[DataFrame, DataFrame]:
     """``x`` (z_idx, band, values) and ``y`` (z_idx, values) of the kept patches; missing values are 0."""
-    rows = cells.join(kept.select("z_idx", TILE, "patch_id"), [TILE, "patch_id"]).withColumn("_i", F.col("dy") * size + F.col("dx"))
+    rows = cells.join(kept.select("z_idx", TILE, "patch_id").hint("merge"), [TILE, "patch_id"]).withColumn("_i", F.col("dy") * size + F.col("dx"))
     ordered = lambda v: F.transform(F.array_sort(F.collect_list(F.struct("_i", v.alias("v")))), lambda s: s["v"])
     x = rows.select("z_idx", "_i", *(F.coalesce(F.col(b).cast("float"), F.lit(0.0).cast("float")).alias(b) for b in bands)).unpivot(["z_idx", "_i"], list(bands), "band", "v")
     return x.groupBy("z_idx", "band").agg(ordered(F.col("v")).alias("values")), rows.groupBy("z_idx").agg(ordered(F.col(label).cast("byte")).alias("values"))

@@ -412,3 +412,15 @@ def test_padding_needs_no_join(spark, pad):
     got = [tuple(r) for r in padded.select("y", "x", "v").collect()]
     want = np.pad(v, pad, mode="reflect")
     assert len(got) == want.size and all(want[y + pad, x + pad] == n for y, x, n in got)
+
+
+def test_training_rows_are_joined_without_a_broadcast_of_patches(spark):
+    tiles = some_tiles(spark, 2, 18, 21).withColumn("label", F.col("x") % 2)
+    o = patches.origins(tiles.select("tile_id").distinct().withColumns({"height": F.lit(18), "width": F.lit(21)}), 8, 3)
+    cells = patches.cut(tiles, o, 8)
+    samples = spark.createDataFrame([(0, 5, 50)], "tile_id int, region int, sample_id int")
+    meta = patches.patch_metadata(patches.training_patches(cells, ["v"], "label", 8), o, samples=samples)
+    x, y = products.training_tables(cells, meta, ["v"], "label", 8)
+    # the ranges of the running numbers are a table of bounded size: one broadcast in each
+    assert [plan_of(df).split("== Initial Plan ==")[0].count("BroadcastHashJoin") for df in (meta, x, y)] == [1, 1, 1]
+    assert meta.count() == o.count() == y.count() and {r["region"] for r in meta.collect()} == {5, None}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tesserae.functions.storage import cut
 from tesserae.operators import geometry, polygons
@@ -187,50 +187,80 @@ def overlap_area() -> Column:
 
 
 def scenes_for_areas(scenes: DataFrame, areas: DataFrame, item: str = "scene_id") -> DataFrame:
-    """Scenes that meet any area, each once."""
-    return intersecting(scenes, areas.select(*BOX)).select(*scenes.columns).dropDuplicates([item])
+    """Scenes that meet any area, each once. Boxes are matched once, however many rows share them."""
+    met = intersecting(scenes.select(*BOX).distinct(), areas.select(*BOX).distinct()).select(*BOX).distinct()
+    return scenes.join(met, list(BOX), "left_semi").dropDuplicates([item])
 
 
-def candidates(footprints: DataFrame, scenes: DataFrame, min_overlap: float = 0.7) -> DataFrame:
-    """Footprint x scene pairs with the covered share of the footprint.
+def _shape(footprints: DataFrame, scenes: DataFrame) -> list[str]:
+    """What two rows must share to cover the same area: their rings if both sides have them, else their boxes."""
+    return ["ring"] if "ring" in footprints.columns and "ring" in scenes.columns else list(BOX)
 
-    Where both sides have a ``ring``, areas are those of the rings: scenes whose ring is not valid are left out, convex
-    ones clip the footprint, others go through trapezoids. Else they are those of the boxes.
+
+def _covered(footprints: DataFrame, scenes: DataFrame, shape: Sequence[str]) -> DataFrame:
+    """``ratio`` of each pair of different shapes that meet; columns of scenes come with the prefix ``r_``.
+
+    Scenes whose ring is not valid are left out, convex ones clip the footprint, others go through trapezoids.
     """
-    if "ring" not in footprints.columns or "ring" not in scenes.columns:
+    own, other = (cut(df.select(*shape).distinct()) for df in (footprints, scenes))
+    if list(shape) == list(BOX):
         area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-        return intersecting(footprints, scenes).withColumn("ratio", overlap_area() / area).where(F.col("ratio") >= min_overlap)
+        return intersecting(own, other).withColumn("ratio", overlap_area() / area)
     # rings are judged once, however often the join below reads them
-    fit = cut(polygons.with_bounds(scenes.where(polygons.valid(F.col("ring")))).withColumn("convex", polygons.convex(F.col("ring"))))
-    pairs = cut(intersecting(cut(polygons.with_bounds(footprints)), fit))
+    fit = cut(polygons.with_bounds(other.where(polygons.valid(F.col("ring")))).withColumn("convex", polygons.convex(F.col("ring"))))
+    pairs = cut(intersecting(polygons.with_bounds(own), fit))
     plain = pairs.where("r_convex").withColumn("_area", polygons.clipped_area(F.col("ring"), F.col("r_ring")))
-    other = pairs.where("NOT r_convex").withColumns({"_a": F.array("ring"), "_b": F.array("r_ring")})
-    both = plain.unionByName(polygons.with_shared_area(other, "_a", "_b", "_area").drop("_a", "_b"))
-    return cut(both.withColumn("ratio", F.col("_area") / geometry.area(F.col("ring"))).drop("_area", "r_convex")).where(F.col("ratio") >= min_overlap)
+    other_pairs = pairs.where("NOT r_convex").withColumns({"_a": F.array("ring"), "_b": F.array("r_ring")})
+    both = plain.unionByName(polygons.with_shared_area(other_pairs, "_a", "_b", "_area").drop("_a", "_b"))
+    return both.select("ring", "r_ring", (F.col("_area") / geometry.area(F.col("ring"))).alias("ratio"))
+
+
+def candidates(footprints: DataFrame, scenes: DataFrame, min_overlap: float = 0.7, period: Sequence[str] = ()) -> DataFrame:
+    """Footprint x scene pairs with the covered share of the footprint, of equal ``period`` (columns of both).
+
+    Where both sides have a ``ring``, areas are those of the rings, else those of the boxes. Shapes are compared once,
+    however many rows share them, and only pairs of rows whose shapes share enough are made.
+    """
+    shape = _shape(footprints, scenes)
+    fit = cut(_covered(footprints, scenes, shape).where(F.col("ratio") >= min_overlap).select(*shape, *(f"r_{c}" for c in shape), "ratio"))
+    named = scenes.select(*(F.col(c).alias(f"r_{c}") for c in scenes.columns))
+    near = footprints.join(fit, list(shape))
+    same = [F.col(p) == F.col(f"r_{p}") for p in period]
+    return near.join(named, [near[f"r_{c}"].eqNullSafe(named[f"r_{c}"]) for c in shape] + same).drop(*(near[f"r_{c}"] for c in shape))
 
 
-def _best(pairs: DataFrame, footprints: DataFrame, item: str) -> DataFrame:
-    first = Window.partitionBy(item).orderBy("score", "r_scene_id")
-    best = pairs.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(item, F.col("r_scene_id").alias("scene_id"), "ratio", "score")
-    return footprints.select(item).join(best, item, "left")
+def _best(footprints: DataFrame, scenes: DataFrame, item: str, by: Sequence[str], of: Sequence[str], pairs: Callable[[DataFrame, DataFrame], DataFrame], score: Column) -> DataFrame:
+    """The scene of the lowest score, then id, of each footprint, from its ``pairs``; none: NULL.
+
+    Rows alike in their shape and in ``by`` (footprints) or ``of`` (scenes) have the same scores, so one row stands for
+    all such footprints, and of such scenes only the lowest id can be best.
+    """
+    shape = _shape(footprints, scenes)
+    alike, kind = list(dict.fromkeys([*shape, *by])), list(dict.fromkeys([*shape, *of]))
+    own = cut(footprints.select(*alike).distinct())
+    scored = pairs(own, cut(scenes.groupBy(*kind).agg(F.min("scene_id").alias("scene_id")))).withColumn("score", score)
+    key = F.struct("score", "r_scene_id")
+    best = cut(scored.groupBy(*alike).agg(F.min_by(F.struct(F.col("r_scene_id").alias("scene_id"), "ratio", "score"), key).alias("_b")))
+    rows, same = footprints.select(item, *alike), [footprints[c].eqNullSafe(best[c]) for c in alike]
+    return rows.join(best, same, "left").select(rows[item], "_b.scene_id", "_b.ratio", "_b.score")
 
 
 def match_scenes(footprints: DataFrame, scenes: DataFrame, item: str = "image_id", day_range: int = 7, max_cloud: int = 20, min_overlap: float = 0.7) -> DataFrame:
     """The best scene of each footprint by cloud, overlap and time (lowest score, then id); none: NULL."""
-    pairs = candidates(footprints, scenes.where(F.col("cloud") <= max_cloud), min_overlap)
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     seconds = F.abs(micros("r_ts") - micros("ts")) / 1e6
-    pairs = pairs.where(seconds <= day_range * 86400)
+    reach = max(day_range, 1) * 86400 * 10**6  # a footprint meets scenes of the stretches of time that its range touches
+    bin_ = lambda c, by=0: F.floor((micros(c) + by) / reach)
+    near = lambda f: f.withColumn("_bin", F.explode(F.sequence(bin_("ts", -reach), bin_("ts", reach))))
+    pairs = lambda f, s: candidates(near(f), s.withColumn("_bin", bin_("ts")), min_overlap, ["_bin"]).where(seconds <= day_range * 86400)
     score = F.pow((100 - F.col("r_cloud")) / 5, 2) + F.pow((100 - F.col("ratio") * 100) / 5, 2) + F.pow(seconds / (2 * 86400), 2)
-    return _best(pairs.withColumn("score", score), footprints, item)
+    return _best(footprints, scenes.where(F.col("cloud") <= max_cloud), item, ["ts"], ["ts", "cloud"], pairs, score)
 
 
 def match_mosaics(footprints: DataFrame, mosaics: DataFrame, period: Sequence[str], item: str = "image_id", min_overlap: float = 0.7) -> DataFrame:
     """The best mosaic of each footprint's own period (columns of both), by overlap alone."""
-    pairs = candidates(footprints, mosaics, min_overlap)
-    for p in period:
-        pairs = pairs.where(F.col(p) == F.col(f"r_{p}"))
-    return _best(pairs.withColumn("score", F.pow((100 - F.col("ratio") * 100) / 5, 2)), footprints, item)
+    pairs = lambda f, m: candidates(f, m, min_overlap, period)
+    return _best(footprints, mosaics, item, period, period, pairs, F.pow((100 - F.col("ratio") * 100) / 5, 2))
 
 
 def first_region(footprints: DataFrame, regions: DataFrame, item: str = "image_id", default: str = "No Region") -> DataFrame:

@@ -424,3 +424,24 @@ def test_training_rows_are_joined_without_a_broadcast_of_patches(spark):
     # the ranges of the running numbers are a table of bounded size: one broadcast in each
     assert [plan_of(df).split("== Initial Plan ==")[0].count("BroadcastHashJoin") for df in (meta, x, y)] == [1, 1, 1]
     assert meta.count() == o.count() == y.count() and {r["region"] for r in meta.collect()} == {5, None}
+
+
+@pytest.mark.parametrize("rings", [False, True])
+def test_copies_of_footprints_and_scenes_are_matched_once(spark, rings, monkeypatch):
+    f = spark.range(200).selectExpr("id AS image_id", "0 AS xmin", "0 AS ymin", "10 AS xmax", "10 AS ymax", "timestamp '2024-01-05' + make_dt_interval(cast(id % 2 as int)) AS ts", "id % 2 AS period")
+    s = spark.range(300).selectExpr("id + 1000 AS scene_id", "0 AS xmin", "0 AS ymin", "8 + cast(id % 3 as int) AS xmax", "10 AS ymax", "timestamp '2024-01-05' + make_dt_interval(cast(id % 4 as int)) AS ts", "5 AS cloud", "id % 2 AS period")
+    if rings:
+        f, s = (df.withColumn("ring", geometry.box_ring(*(F.col(c) for c in catalog.BOX))) for df in (f, s))
+    made, whole = [], catalog.candidates
+
+    def counted(*args):
+        made.append(whole(*args))
+        return made[-1]
+
+    monkeypatch.setattr(catalog, "candidates", counted)
+    got = {r["image_id"]: r["scene_id"] for r in catalog.match_scenes(f, s).collect()}
+    assert got == {i: 1000 + next(k for k in range(300) if k % 3 == 2 and k % 4 == i % 2) for i in range(200)}
+    got = {r["image_id"]: r["scene_id"] for r in catalog.match_mosaics(f, s, ["period"]).collect()}
+    assert got == {i: 1000 + next(k for k in range(300) if k % 3 == 2 and k % 2 == i % 2) for i in range(200)}
+    assert [df.count() <= 2 * 12 for df in made] == [True, True]  # 2 kinds of footprints, 12 of scenes
+    assert [df.count() for df in (catalog.scenes_for_areas(s, f), catalog.scenes_for_areas(s, f.where("false")))] == [300, 0]

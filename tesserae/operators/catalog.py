@@ -229,6 +229,14 @@ def candidates(footprints: DataFrame, scenes: DataFrame, min_overlap: float = 0.
     return near.join(named, [near[f"r_{c}"].eqNullSafe(named[f"r_{c}"]) for c in shape] + same).drop(*(near[f"r_{c}"] for c in shape))
 
 
+def count_candidates(footprints: DataFrame, scenes: DataFrame, item: str = "image_id", min_overlap: float = 0.7) -> DataFrame:
+    """``item, n``: how many scenes cover enough of each footprint, NULL if none; scenes are counted by shape."""
+    shape = _shape(footprints, scenes)
+    pairs = candidates(cut(footprints.select(*shape).distinct()), cut(scenes.groupBy(*shape).agg(F.count("*").alias("n"))), min_overlap)
+    counts = cut(pairs.groupBy(*shape).agg(F.sum("r_n").alias("n")))
+    return footprints.select(item, *shape).join(counts, list(shape), "left").select(item, "n")
+
+
 def _best(footprints: DataFrame, scenes: DataFrame, item: str, by: Sequence[str], of: Sequence[str], pairs: Callable[[DataFrame, DataFrame], DataFrame], score: Column) -> DataFrame:
     """The scene of the lowest score, then id, of each footprint, from its ``pairs``; none: NULL.
 

@@ -165,10 +165,10 @@ def a19_number_rows(spark, sf_dir):
 def g32_training_build(spark, sf_dir):
     """Footprints through matching, pixels and labels, with the state of each."""
     f = load(spark, sf_dir, "footprints")
-    pairs = catalog.candidates(f, load(spark, sf_dir, "scenes").where("cloud <= 20")).groupBy("image_id").agg(F.count("*").alias("n"))
+    pairs = catalog.count_candidates(f, load(spark, sf_dir, "scenes").where("cloud <= 20"))
     d = decoded(spark, sf_dir)
     tiles = d.groupBy(F.col("tile_id").cast("long").alias("image_id")).agg(F.count("*").alias("cells"), F.sum(((F.col("quality") == 2) & (F.col("target") == 1)).cast("long")).alias("positives"))
-    joined = f.select("image_id").join(pairs, "image_id", "left").join(tiles, "image_id", "left")
+    joined = pairs.join(tiles, "image_id", "left")
     status = F.when(F.col("n").isNull(), "no match").when(F.col("cells").isNull(), "no pixels").when(F.col("positives") == 0, "empty").otherwise("ready")
     return joined.select("image_id", status.alias("status"), F.coalesce("positives", F.lit(0)).alias("positives"))
 

@@ -444,4 +444,6 @@ def test_copies_of_footprints_and_scenes_are_matched_once(spark, rings, monkeypa
     got = {r["image_id"]: r["scene_id"] for r in catalog.match_mosaics(f, s, ["period"]).collect()}
     assert got == {i: 1000 + next(k for k in range(300) if k % 3 == 2 and k % 2 == i % 2) for i in range(200)}
     assert [df.count() <= 2 * 12 for df in made] == [True, True]  # 2 kinds of footprints, 12 of scenes
+    assert {(r["image_id"], r["n"]) for r in catalog.count_candidates(f, s).collect()} == {(i, 300) for i in range(200)}
+    assert made[2].count() == 3  # a row for each kind of scene
     assert [df.count() for df in (catalog.scenes_for_areas(s, f), catalog.scenes_for_areas(s, f.where("false")))] == [300, 0]

@@ -246,11 +246,12 @@ def resample(source: DataFrame, targets: DataFrame, value: str, scale: float, sh
     """Another grid's values at the target cells: nearest, or Keys' cubic over 4 x 4 neighbours.
 
     Target cell (x, y) lies at ``x * scale + shift_x`` of the source grid; neighbours outside give no weight.
+    The hint keeps the source, which is as large as the targets, from a broadcast by the size of its compressed file.
     """
     sx, sy = F.col("x") * scale + shift_x, F.col("y") * scale + shift_y
     if not cubic:
         near = targets.select("tile_id", "y", "x", F.floor(sx + 0.5).cast("int").alias("_x"), F.floor(sy + 0.5).cast("int").alias("_y"))
-        return near.join(source.select("tile_id", F.col("y").alias("_y"), F.col("x").alias("_x"), value), ["tile_id", "_y", "_x"], "left").drop("_x", "_y")
+        return near.join(source.select("tile_id", F.col("y").alias("_y"), F.col("x").alias("_x"), value).hint("merge"), ["tile_id", "_y", "_x"], "left").drop("_x", "_y")
 
     def weight(t: Column) -> Column:
         t = F.abs(t)
@@ -259,6 +260,6 @@ def resample(source: DataFrame, targets: DataFrame, value: str, scale: float, sh
     near = targets.select("tile_id", "y", "x", sx.alias("_sx"), sy.alias("_sy"))
     near = near.withColumn("_y", F.explode(F.sequence(F.floor("_sy") - 1, F.floor("_sy") + 2))).withColumn("_x", F.explode(F.sequence(F.floor("_sx") - 1, F.floor("_sx") + 2)))
     near = near.withColumn("_w", weight(F.col("_sx") - F.col("_x")) * weight(F.col("_sy") - F.col("_y")))
-    hit = near.join(source.select("tile_id", F.col("y").cast("long").alias("_y"), F.col("x").cast("long").alias("_x"), value), ["tile_id", "_y", "_x"])
+    hit = near.join(source.select("tile_id", F.col("y").cast("long").alias("_y"), F.col("x").cast("long").alias("_x"), value).hint("merge"), ["tile_id", "_y", "_x"])
     total = F.sum("_w")
     return hit.groupBy("tile_id", "y", "x").agg(F.try_divide(F.sum(F.col("_w") * F.col(value)), total).alias(value))

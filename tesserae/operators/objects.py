@@ -15,6 +15,9 @@ from tesserae.functions.graph import components
 from tesserae.functions.storage import cut, discard
 from tesserae.operators.geometry import contains
 
+# Joins of cells, regions and rings have a hint: tables from ``cut`` are far smaller as files than as rows, so Spark would
+# broadcast millions of them.
+
 TILE = "tile_id"
 
 
@@ -76,7 +79,7 @@ def _seams(cells: DataFrame, block: int, reach: int) -> DataFrame:
     near = cells.where(edge("x") | edge("y")).select(TILE, root.alias("u"), F.explode(over).alias("to")).select(TILE, "u", "to.y", "to.x")
     first = lambda c: F.pmod(F.col(c), F.lit(block)) == 0
     far = cells.where(first("x") | first("y")).select(TILE, "y", "x", root.alias("v"))
-    return near.join(far, [TILE, "y", "x"]).where("u <> v").select(TILE, "u", "v").distinct()
+    return near.join(far.hint("merge"), [TILE, "y", "x"]).where("u <> v").select(TILE, "u", "v").distinct()
 
 
 def _joined(cells: DataFrame, seams: DataFrame) -> DataFrame:
@@ -87,7 +90,7 @@ def _joined(cells: DataFrame, seams: DataFrame) -> DataFrame:
     found = nodes.join(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), F.col("id") == F.col("node"))
     least = found.groupBy("component").agg(F.min("r").alias("to"))
     moved = found.join(least, "component").where("r <> to").select(TILE, F.col("r.y").alias("ry"), F.col("r.x").alias("rx"), "to")
-    both = cells.join(moved, [TILE, "ry", "rx"], "left")
+    both = cells.join(moved.hint("merge"), [TILE, "ry", "rx"], "left")
     return both.select(TILE, "y", "x", F.coalesce("to.y", "ry").alias("ry"), F.coalesce("to.x", "rx").alias("rx"))
 
 
@@ -108,7 +111,7 @@ def label(pixels: DataFrame, mask: str, neighbours: int = 8, block: int = 256) -
         found = _joined(found, seams)
     roots = found.where("y = ry AND x = rx").select(TILE, "ry", "rx")
     numbered = roots.withColumn("region_id", F.row_number().over(Window.partitionBy(TILE).orderBy("ry", "rx")))
-    return cut(found.join(numbered, [TILE, "ry", "rx"]).select(TILE, "y", "x", "region_id"))
+    return cut(found.join(numbered.hint("merge"), [TILE, "ry", "rx"]).select(TILE, "y", "x", "region_id"))
 
 
 def sizes(labels: DataFrame) -> DataFrame:
@@ -143,9 +146,9 @@ def zonal(labels: DataFrame, values: DataFrame, value: str, more: Mapping[str, C
     """
     found = _statistics(labels, values, value)
     if more:
-        given = labels.join(values.select(TILE, "y", "x", value), [TILE, "y", "x"]).where(F.col(value).isNotNull())
+        given = labels.join(values.select(TILE, "y", "x", value).hint("merge"), [TILE, "y", "x"]).where(F.col(value).isNotNull())
         own = given.groupBy(TILE, "region_id").agg(*(F.pandas_udf(_number(f), "double")(F.col(value).cast("double")).alias(name) for name, f in more.items()))
-        found = found.join(own, [TILE, "region_id"], "left")
+        found = found.join(own.hint("merge"), [TILE, "region_id"], "left")
     return found
 
 
@@ -158,7 +161,7 @@ def _number(f: Callable[[pd.Series], float]) -> Callable:
 
 def _statistics(labels: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return (
-        labels.join(values.select(TILE, "y", "x", value), [TILE, "y", "x"])
+        labels.join(values.select(TILE, "y", "x", value).hint("merge"), [TILE, "y", "x"])
         .groupBy(TILE, "region_id")
         .agg(F.min(value).cast("int").alias("min"), F.max(value).cast("int").alias("max"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_pop(value).alias("std"), F.count("*").alias("npixel"))
     )
@@ -328,20 +331,20 @@ def polygons(labels: DataFrame, block: int = 256) -> DataFrame:
     rings = cut(found.select(TILE, "region_id", ring.alias("ring"), (F.col("signed") < 0).alias("hole"), F.abs("signed").alias("area"), F.row_number().over(order).alias("ring_id")))
     outer = rings.where("NOT hole").select(TILE, "region_id", F.col("ring_id").alias("outer"), F.col("ring").alias("around"), F.col("area").alias("outer_area"))
     only = outer.groupBy(TILE, "region_id").agg(F.min("outer").alias("first"), F.count("*").alias("outers"))
-    holes = rings.where("hole").join(only, [TILE, "region_id"])
+    holes = rings.where("hole").join(only.hint("merge"), [TILE, "region_id"])
     # a hole of a region with several outer rings is in the smallest that has the middle of its first cell
     cell = [F.element_at("ring", 1)[c] + 0.5 for c in ("x", "y")]
-    near = holes.where("outers > 1").join(outer, [TILE, "region_id"]).where(contains(F.col("around"), *cell))
+    near = holes.where("outers > 1").join(outer.hint("merge"), [TILE, "region_id"]).where(contains(F.col("around"), *cell))
     inside = near.groupBy(TILE, "region_id", "ring_id").agg(F.min_by("outer", "outer_area").alias("outer"))
     single = holes.where("outers = 1").select(TILE, "region_id", "ring_id", F.col("first").alias("outer"))
-    named = rings.join(single.unionByName(inside), [TILE, "region_id", "ring_id"], "left")
+    named = rings.join(single.unionByName(inside).hint("merge"), [TILE, "region_id", "ring_id"], "left")
     return named.select(TILE, "region_id", "ring_id", "ring", "hole", F.coalesce("outer", "ring_id").alias("outer"))
 
 
 def vectorise(pixels: DataFrame, mask: str, value: str, neighbours: int = 8) -> DataFrame:
     """Regions with rings and zonal statistics, one row for each ring."""
     found = label(pixels, mask, neighbours)
-    return polygons(found).join(zonal(found, pixels, value), [TILE, "region_id"])
+    return polygons(found).join(zonal(found, pixels, value).hint("merge"), [TILE, "region_id"])
 
 
 def polygon_products(pixels: DataFrame, subsets: Mapping[str, tuple[str, str]], extent: str | None = None) -> DataFrame:

@@ -447,3 +447,13 @@ def test_copies_of_footprints_and_scenes_are_matched_once(spark, rings, monkeypa
     assert {(r["image_id"], r["n"]) for r in catalog.count_candidates(f, s).collect()} == {(i, 300) for i in range(200)}
     assert made[2].count() == 3  # a row for each kind of scene
     assert [df.count() for df in (catalog.scenes_for_areas(s, f), catalog.scenes_for_areas(s, f.where("false")))] == [300, 0]
+
+
+def test_cells_are_resampled_and_measured_without_a_broadcast(spark):
+    tiles = some_tiles(spark, 2, 6, 6).withColumn("m", (F.col("x") + F.col("y")) % 2 == 0)
+    cells = tiles.select("tile_id", "y", "x")
+    for cubic in (False, True):
+        assert "BroadcastHashJoin" not in plan_of(geometry.resample(tiles.drop("m"), cells, "v", 1.0, 0.0, 0.0, cubic=cubic))
+    found = objects.label(tiles, "m")
+    assert "BroadcastHashJoin" not in plan_of(objects.zonal(found, tiles, "v"))
+    assert "BroadcastHashJoin" not in plan_of(objects.vectorise(tiles, "m", "v"))

@@ -216,9 +216,10 @@ def scanlines(rings: Column) -> Column:
         return F.transform(rows, lambda y: F.struct(y.alias("y"), at(y).alias("x")))
 
     every = F.sort_array(F.flatten(F.transform(F.flatten(F.transform(rings, _pairs)), crossings)))
-    pairs = F.when(F.size(every) > 1, F.sequence(F.lit(1), F.size(every) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    pairs = lambda c: F.when(F.size(c) > 1, F.sequence(F.lit(1), F.size(c) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
     run = lambda c, i: F.struct(F.element_at(c, i)["y"].alias("y"), cell(F.element_at(c, i)["x"]).alias("x0"), cell(F.element_at(c, i + 1)["x"]).alias("x1"))
-    return F.filter(F.transform(pairs, lambda i: run(every, i)), lambda r: r["x0"] < r["x1"])
+    runs = F.element_at(F.transform(F.array(every), lambda c: F.transform(pairs(c), lambda i: run(c, i))), 1)  # crossings are made once
+    return F.filter(runs, lambda r: r["x0"] < r["x1"])
 
 
 def polygon_runs(labels: DataFrame) -> DataFrame:
@@ -231,11 +232,11 @@ def rasterise(pixels: DataFrame, labels: DataFrame, extent: str, quality: str) -
 
     ``labels`` has ``tile_id`` and ``ring``, or ``rings`` of polygons with holes, in cell coordinates; a cell's centre
     decides. Polygons become runs of rows, and a cell is inside if more runs of its row have begun than ended: neither a
-    polygon's box nor its inside is made cell by cell.
+    polygon's box nor its inside is made cell by cell. Equal polygons of a tile are walked once.
     """
     rings = labels if "rings" in labels.columns else labels.withColumn("rings", F.array("ring"))
     ends = F.array(F.struct(F.col("x0").alias("x"), F.lit(1).alias("_d")), F.struct(F.col("x1").alias("x"), F.lit(-1).alias("_d")))
-    marks = polygon_runs(rings).select("tile_id", "y", F.explode(ends).alias("e")).groupBy("tile_id", "y", "e.x").agg(F.sum("e._d").alias("_d"))
+    marks = polygon_runs(rings.select("tile_id", "rings").distinct()).select("tile_id", "y", F.explode(ends).alias("e")).groupBy("tile_id", "y", "e.x").agg(F.sum("e._d").alias("_d"))
     row = Window.partitionBy("tile_id", "y").orderBy("x", "_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     both = pixels.withColumns({"_cell": F.lit(1), "_d": F.lit(0).cast("long")}).unionByName(marks.withColumn("_cell", F.lit(0)), allowMissingColumns=True)
     inside = both.withColumn("_in", F.sum("_d").over(row)).where("_cell = 1")

@@ -457,3 +457,13 @@ def test_cells_are_resampled_and_measured_without_a_broadcast(spark):
     found = objects.label(tiles, "m")
     assert "BroadcastHashJoin" not in plan_of(objects.zonal(found, tiles, "v"))
     assert "BroadcastHashJoin" not in plan_of(objects.vectorise(tiles, "m", "v"))
+
+
+def test_equal_polygons_are_walked_once(spark, monkeypatch):
+    tiles = some_tiles(spark, 1, 6, 6).withColumns({"extent": F.lit(True), "quality": F.lit(2)})
+    labels = spark.range(50).select(F.lit(0).alias("tile_id"), geometry.box_ring(F.lit(1), F.lit(1), F.lit(4), F.lit(3) + F.col("id") % 2).alias("ring"))
+    walked, whole = [], geometry.polygon_runs
+    monkeypatch.setattr(geometry, "polygon_runs", lambda df: walked.append(df) or whole(df))
+    got = {(r["y"], r["x"]) for r in geometry.rasterise(tiles, labels, "extent", "quality").where("label = 1").collect()}
+    assert got == {(y, x) for y in range(1, 4) for x in range(1, 4)}
+    assert walked[0].count() == 2

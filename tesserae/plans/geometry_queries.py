@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tesserae.functions.storage import cut
 from tesserae.operators import catalog, geometry, polygons
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6
 from tesserae.sources.adapters import cte, load, table
@@ -117,10 +118,12 @@ def k3_k4_polygon_intersection(spark, sf_dir):
     bent = F.array(F.array(point(x, 0), point(x + 30, 0), point(x + 30, 350), point(x + 15, 350), point(x + 15, 700), point(x, 700), point(x, 0)))
     regions = table(spark, sf_dir, "nation").select(k.alias("key"), F.when(k % 2 == 0, holed).otherwise(bent).alias("polygon"))
     regions = polygons.with_bounds(regions.withColumn("outer", F.element_at("polygon", 1)), "outer").drop("outer")
-    own = load(spark, sf_dir, "footprints").withColumn("polygon", F.array(geometry.box_ring(*(F.col(c) for c in catalog.BOX))))
-    pairs = catalog.intersecting(own, regions).select("image_id", F.col("r_key").alias("region_key"), "polygon", "r_polygon")
+    footprints, box = load(spark, sf_dir, "footprints"), list(catalog.BOX)
+    own = footprints.select(*box).distinct().withColumn("polygon", F.array(geometry.box_ring(*(F.col(c) for c in box))))  # equal boxes are compared once
+    pairs = catalog.intersecting(own, regions).select(*box, F.col("r_key").alias("region_key"), "polygon", "r_polygon")
     found = polygons.with_shared_area(pairs, "polygon", "r_polygon", "area")
-    return found.select("image_id", "region_key", r6("area").alias("area"), polygons.meet(F.col("polygon"), F.col("r_polygon")).alias("meets"))
+    found = found.select(*box, "region_key", r6("area").alias("area"), polygons.meet(F.col("polygon"), F.col("r_polygon")).alias("meets"))
+    return footprints.join(cut(found), box).select("image_id", "region_key", "area", "meets")
 
 
 @query(f"{_F} SELECT image_id, (xmax - xmin) * (ymax - ymin) * 1.0::DOUBLE AS area, (xmin + 3) > xmin AND xmin + 3 < xmax AND ymin + 25 < ymax AS inside FROM footprints")

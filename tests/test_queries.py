@@ -43,3 +43,12 @@ def test_against_duckdb(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="the driver's tables are not here")
+def test_equal_footprints_are_intersected_once(spark, monkeypatch):
+    from tesserae.operators import polygons
+
+    given, whole = [], polygons.with_shared_area
+    monkeypatch.setattr(polygons, "with_shared_area", lambda pairs, *a: given.append(pairs) or whole(pairs, *a))
+    assert entry.base.QUERIES["k3_k4_polygon_intersection"](spark, "/root/testdata/sf0.1").count() > given[0].count() == given[0].distinct().count()

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tesserae.functions.rank import numbered
 from tesserae.functions.storage import cut
 from tesserae.operators import geometry, polygons
 
@@ -186,6 +187,34 @@ def overlap_area() -> Column:
     return F.greatest(w, F.lit(0)) * F.greatest(h, F.lit(0))
 
 
+#: Rows of one box that stand in a block at most.
+BLOCK = 4096
+
+
+def _blocks(rows: DataFrame, name: str) -> DataFrame:
+    """Box and ``name``: its rows' other columns as an array, in blocks of at most ``BLOCK`` rows of one box."""
+    rest = [c for c in rows.columns if c not in BOX]
+    placed = numbered(rows, [*BOX, *rest], "_z")
+    return cut(placed.groupBy(*BOX, F.floor(F.col("_z") / BLOCK).alias("_block")).agg(F.collect_list(F.struct(*rest)).alias(name)).drop("_block"))
+
+
+def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair of rows whose boxes share area or an edge, with the shared ``area``; no boxes, and columns of ``right``
+    come with the prefix ``r_``.
+
+    Different boxes are compared once, then meet the rows that have them, in blocks. The pairs of blocks, each of
+    ``BLOCK`` squared rows at most, are dealt over all tasks, and rows are made only there: what is made is the result.
+    """
+    own, other = _blocks(left, "_own"), _blocks(right, "_other").withColumnsRenamed({c: f"r_{c}" for c in BOX})
+    boxes = other.select(*(F.col(f"r_{c}").alias(c) for c in BOX)).distinct()
+    met = intersecting(own.select(*BOX).distinct(), boxes).withColumn("area", overlap_area())
+    pairs = met.join(own.hint("merge"), list(BOX)).join(other.hint("merge"), [f"r_{c}" for c in BOX]).select("_own", "_other", "area")
+    dealt = pairs.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a number: pairs are few and small, their rows are not
+    mine, theirs = ([c for c in df.columns if c not in BOX] for df in (left, right))
+    rows = dealt.select(F.explode("_own").alias("_own"), "_other", "area").select("_own", F.explode("_other").alias("_other"), "area")
+    return rows.select(*(F.col(f"_own.{c}") for c in mine), *(F.col(f"_other.{c}").alias(f"r_{c}") for c in theirs), "area")
+
+
 def scenes_for_areas(scenes: DataFrame, areas: DataFrame, item: str = "scene_id") -> DataFrame:
     """Scenes that meet any area, each once. Boxes are matched once, however many rows share them."""
     met = intersecting(scenes.select(*BOX).distinct(), areas.select(*BOX).distinct()).select(*BOX).distinct()

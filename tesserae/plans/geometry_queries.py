@@ -135,8 +135,9 @@ def k3_k4_area_and_contains(spark, sf_dir):
 
 @query(f"{cte('footprints', 'scenes')} SELECT f.image_id, s.scene_id, (least(f.xmax, s.xmax) - greatest(f.xmin, s.xmin)) * (least(f.ymax, s.ymax) - greatest(f.ymin, s.ymin)) AS area FROM footprints f JOIN scenes s ON s.xmin <= f.xmax AND f.xmin <= s.xmax AND s.ymin <= f.ymax AND f.ymin <= s.ymax")
 def k3_intersection_area(spark, sf_dir):
-    pairs = catalog.intersecting(load(spark, sf_dir, "footprints"), load(spark, sf_dir, "scenes"))
-    return pairs.select("image_id", F.col("r_scene_id").alias("scene_id"), catalog.overlap_area().alias("area"))
+    footprints, scenes = load(spark, sf_dir, "footprints"), load(spark, sf_dir, "scenes")
+    pairs = catalog.overlaps(footprints.select("image_id", *catalog.BOX), scenes.select("scene_id", *catalog.BOX))
+    return pairs.select("image_id", F.col("r_scene_id").alias("scene_id"), "area")
 
 
 @query(f"{_F} SELECT image_id, xmin + 2.5::DOUBLE AS xmin, ymax - 1.5::DOUBLE AS ymax FROM footprints")

@@ -132,6 +132,24 @@ def test_boxes_of_all_sizes(spark):
         catalog.chosen_footprints(frame(a), frame(b).where("id > 9999"), "id")
 
 
+def test_overlaps_compare_equal_boxes_once(spark, monkeypatch):
+    rnd = random.Random(9)
+    kinds = [(x, y, x + rnd.choice([0, 10, 250]), y + rnd.choice([0, 20, 90])) for x, y in ((rnd.randrange(300), rnd.randrange(300)) for _ in range(9))]
+    rows = lambda n: [(k if k % 7 else None, *kinds[0 if k < n / 2 else rnd.randrange(9)]) for k in range(n)] + [(n, None, 0, 1, 1)]
+    a, b = rows(60), rows(90)
+    frame = lambda rows: spark.createDataFrame(rows, "id long, xmin int, ymin int, xmax int, ymax int")
+    side = lambda p, q, i: min(p[i + 2], q[i + 2]) - max(p[i], q[i])
+    both = [(p, q, side(p, q, 1), side(p, q, 2)) for p in a for q in b if None not in (*p[1:], *q[1:])]
+    given, whole = [], catalog.intersecting
+    monkeypatch.setattr(catalog, "intersecting", lambda *tables: given.extend(tables) or whole(*tables))
+    monkeypatch.setattr(catalog, "BLOCK", 16)
+    key = lambda r: tuple((v is None, v or 0) for v in r)
+    found = catalog.overlaps(frame(a), frame(b))
+    assert found.columns == ["id", "r_id", "area"]
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(((p[0], q[0], w * h) for p, q, w, h in both if w >= 0 and h >= 0), key=key)
+    assert [df.where("xmin IS NOT NULL").count() <= len(set(kinds)) for df in given] == [True, True]
+
+
 def test_rings_over_seams_and_nested_holes(spark):
     """Outlines put together from blocks are those of one block; holes name the ring about them."""
     rnd = random.Random(8)

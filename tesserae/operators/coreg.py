@@ -44,19 +44,19 @@ def valid_window(cells: DataFrame, width: int, height: int, size: int, usable: C
     y0, x0 = height // 2 - size // 2, width // 2 - size // 2
     inside = lambda dx, dy: 0 <= x0 + dx <= width - size and 0 <= y0 + dy <= height - size
     table = spiral(cells.sparkSession, steps, inside).select("step", (F.col("dy") + y0).alias("y"), (F.col("dx") + x0).alias("x"))
-    good = scored.where((F.col("there") == size * size) & (F.col("gone") == 0) & (F.col("masked") <= max_masked * size * size))
-    hit = good.join(F.broadcast(table), ["y", "x"]).groupBy(TILE).agg(F.min_by(F.struct("step", F.col("y").alias("y0"), F.col("x").alias("x0")), "step").alias("b"))
-    every = cells.select(TILE).distinct().join(hit, TILE, "left")
+    good = (F.col("there") == size * size) & (F.col("gone") == 0) & (F.col("masked") <= max_masked * size * size)
+    placed = scored.join(F.broadcast(table), ["y", "x"], "left")  # every cell stays, and with it every tile
+    every = placed.groupBy(TILE).agg(F.min_by(F.struct("step", F.col("y").alias("y0"), F.col("x").alias("x0")), F.when(good, F.col("step"))).alias("b"))
     found = F.col("b").isNotNull()
     side = lambda whole: F.when(found, size).otherwise(whole)
     return every.select(TILE, "b.step", F.coalesce("b.y0", F.lit(0)).alias("y0"), F.coalesce("b.x0", F.lit(0)).alias("x0"), side(height).alias("rows"), side(width).alias("cols"))
 
 
-def in_window(cells: DataFrame, windows: DataFrame) -> DataFrame:
-    """Cells inside their tile's window of ``valid_window``."""
+def in_window(cells: DataFrame, windows: DataFrame, margin: int = 0) -> DataFrame:
+    """Cells inside their tile's window of ``valid_window``, or at most ``margin`` cells outside."""
     near = cells.join(windows.select(TILE, "y0", "x0", "rows", "cols"), TILE)
     y, x = F.col("y") - F.col("y0"), F.col("x") - F.col("x0")
-    return near.where((y >= 0) & (y < F.col("rows")) & (x >= 0) & (x < F.col("cols"))).select(cells.columns)
+    return near.where((y >= -margin) & (y < F.col("rows") + margin) & (x >= -margin) & (x < F.col("cols") + margin)).select(cells.columns)
 
 
 def _sums(block: int, most: int, keys: int):
@@ -70,20 +70,26 @@ def _sums(block: int, most: int, keys: int):
         own[y[role == 0] - y0, x[role == 0] - x0] = v[role == 0]
         other[y[role == 1] - y0 + most, x[role == 1] - x0 + most] = v[role == 1]
         rows, cols = (np.flatnonzero(np.isfinite(own).any(i)) for i in (1, 0))
-        found = []
+        found = [np.empty((0, len(SUMS)))]
         if len(rows):
             top, left = rows[0], cols[0]
             own = own[top : rows[-1] + 1, left : cols[-1] + 1]
-            for sy in range(-most, most + 1):
-                for sx in range(-most, most + 1):
-                    part = other[top + most + sy :, left + most + sx :][: own.shape[0], : own.shape[1]]
-                    both = np.isfinite(own) & np.isfinite(part)
-                    r, t = own[both], part[both]
-                    if len(r):
-                        found.append((sx, sy, len(r), r.sum(), t.sum(), (r * r).sum(), (t * t).sum(), (r * t).sum()))
+            height, width = own.shape
+            there = np.isfinite(own).ravel()
+            r = np.where(there, own.ravel(), 0.0)
+            ours = np.stack([there, r, r * r], axis=1)
+            for sy in range(-most, most + 1):  # the shifts of one row at once
+                strip = other[top + most + sy :][:height, left : left + width + 2 * most]
+                parts = np.lib.stride_tricks.sliding_window_view(strip, width, axis=1).transpose(1, 0, 2).reshape(2 * most + 1, -1)
+                seen = np.isfinite(parts)
+                t = np.where(seen, parts, 0.0)
+                (n, sr, srr), (st, srt, _), stt = (seen @ ours).T, (t @ ours).T, t * t @ ours[:, 0]
+                sums = np.stack([np.arange(-most, most + 1), np.full(2 * most + 1, sy), n, sr, st, srr, stt, srt], axis=1)
+                found.append(sums[n > 0])
+        found = np.concatenate(found)
         names = cells.column_names[:keys]
-        columns = [pa.concat_arrays([cells.column(c).combine_chunks().slice(0, 1)] * len(found)) if found else cells.column(c).combine_chunks().slice(0, 0) for c in names]
-        numbers = [pa.array([f[i] for f in found], t) for i, t in enumerate([pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 5])]
+        columns = [cells.column(c).combine_chunks().take(pa.array(np.zeros(len(found), int))) for c in names]
+        numbers = [pa.array(found[:, i]).cast(t) for i, t in enumerate([pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 5])]
         return pa.table([*columns, *numbers], names=[*names, *SUMS])
 
     return run
@@ -181,21 +187,23 @@ def band_offsets(reference: DataFrame, target: DataFrame, bands: Sequence[str],
     """
     at = [TILE, "y", "x"]
     sided = lambda df, side: df.select(*at, F.col(usable).alias(f"{side}_ok"), F.greatest(*(F.col(c).isNull().cast("int") for c in bands), F.lit(0)).alias(f"{side}_gone"))
-    common = sided(reference, "r").join(sided(target, "t"), at)
-    windows = valid_window(common, width, height, size, F.col("r_ok") & F.col("t_ok"), max_masked, (F.col("r_gone") + F.col("t_gone")) > 0)
+    common = sided(reference, "r").join(sided(target, "t").hint("merge"), at)  # as large as the images, however small their files
+    windows = cut(valid_window(common, width, height, size, F.col("r_ok") & F.col("t_ok"), max_masked, (F.col("r_gone") + F.col("t_gone")) > 0))
     by = [TILE, "band"]
     each = F.explode(F.array(*(F.struct(F.lit(c).alias("band"), F.col(c).cast("double").alias("value")) for c in bands)))
     long = lambda df: df.select(*at, each.alias("b")).select(*at, "b.band", "b.value").where("value IS NOT NULL")
-    own, other = cut(long(in_window(reference, windows))), long(target)
-    found = cut(peak(cut(score_surface(own, other, "value", most, by)), by))
-    whole = found.select(*by, F.round("x_offset").cast("int").alias("_sx"), F.round("y_offset").cast("int").alias("_sy"))
-    moved = other.join(whole, by).select(*by, (F.col("y") - F.col("_sy")).alias("y"), (F.col("x") - F.col("_sx")).alias("x"), "value")
-
-    def alike(frame: DataFrame, name: str) -> DataFrame:
-        pairs = own.withColumnRenamed("value", "a").join(frame.select(*by, "y", "x", F.col("value").alias("b")), [*by, "y", "x"])
-        return similarity(pairs, "a", "b", by=by).withColumnRenamed("ssim", name)
-
-    return found.join(alike(other, "ssim_before"), by, "left").join(alike(moved, "ssim_after"), by, "left")
+    own = cut(long(in_window(reference, windows)))
+    surface = score_surface(own, long(in_window(target, windows, most)), "value", most, by)
+    found = cut(peak(cut(surface), by))
+    # each cell of the target goes to its own place and to the one it is moved to, if that is in the window
+    of = lambda c, axis: F.max(F.when(F.col("band") == c, F.round(f"{axis}_offset").cast("int"))).alias(f"_s{axis}_{c}")
+    shifts = found.groupBy(TILE).agg(*(of(c, axis) for c in bands for axis in "yx"))
+    place = lambda c, moved: F.struct(F.lit(c).alias("band"), F.lit(moved).alias("moved"), *((F.col(k) - (F.col(f"_s{k}_{c}") if moved else 0)).alias(k) for k in "yx"), F.col(c).cast("double").alias("b"))
+    placed = target.join(shifts, TILE).select(TILE, F.explode(F.array(*(place(c, moved) for c in bands for moved in (False, True)))).alias("p")).select(TILE, "p.*").where("b IS NOT NULL")
+    pairs = own.withColumnRenamed("value", "a").join(in_window(placed, windows).hint("merge"), [*by, "y", "x"])
+    alike = similarity(pairs, "a", "b", by=[*by, "moved"])
+    ssim = lambda moved: F.max(F.when(F.col("moved") == moved, F.col("ssim")))
+    return found.join(alike.groupBy(*by).agg(ssim(False).alias("ssim_before"), ssim(True).alias("ssim_after")), by, "left")
 
 
 def pair_offsets(offsets: DataFrame, most: float = 10.0, min_reliability: float = 30.0) -> DataFrame:

@@ -236,6 +236,39 @@ def test_known_shift_is_recovered(spark):
     assert abs(r["x_offset"] + 3) < 0.5 and abs(r["y_offset"] - 2) < 0.5 and 0 < r["shift_reliability"] <= 100
 
 
+def test_offsets_take_the_target_near_the_window_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    a = rng.random((40, 60))
+    df = grid(spark, a).withColumns({"w": F.col("v") * 2, "usable": F.lit(True)})
+    moved = df.select("tile_id", (F.col("y") + 2).alias("y"), (F.col("x") - 1).alias("x"), "v", "w", "usable")
+    given, whole, judged, alike = [], coreg.score_surface, [], coreg.similarity
+    monkeypatch.setattr(coreg, "score_surface", lambda own, other, *args: given.append((own, other)) or whole(own, other, *args))
+    monkeypatch.setattr(coreg, "similarity", lambda pairs, *args, **more: judged.append(pairs) or alike(pairs, *args, **more))
+    got = coreg.band_offsets(df, moved, ("v", "w"), 60, 40, size=11, most=3).collect()
+    own, other = given[0]
+    assert own.count() == 2 * 11 * 11 and other.count() == 2 * 17 * 17
+    assert len(judged) == 1 and judged[0].count() == 2 * 2 * 11 * 11
+    window = coreg.valid_window(df, 60, 40, 11, F.col("usable"))
+    here = coreg.in_window(df, window).select("tile_id", "y", "x", F.col("v").alias("a"))
+    before = alike(here.join(moved.select("tile_id", "y", "x", F.col("v").alias("b")), ["tile_id", "y", "x"]), "a", "b").first()["ssim"]
+    assert sorted((r["band"], round(r["x_offset"]), round(r["y_offset"])) for r in got) == [("v", -1, 2), ("w", -1, 2)]
+    assert all(abs(r["ssim_before"] - before) < 1e-9 and abs(r["ssim_after"] - 1) < 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("block", [5, 128])
+def test_scores_of_all_shifts_with_gaps(spark, block):
+    rng = np.random.default_rng(7)
+    a, b = rng.random((9, 12)), rng.random((14, 16))
+    a[rng.random(a.shape) < 0.2] = b[rng.random(b.shape) < 0.2] = np.nan
+    cells = lambda v, y0, x0: grid(spark, v).select("tile_id", (F.col("y") + y0).alias("y"), (F.col("x") + x0).alias("x"), "v")
+    got = {(r["sx"], r["sy"]): r["score"] for r in coreg.score_surface(cells(a, 0, 0), cells(b, -3, 2), "v", 4, block=block).collect()}
+    for sy in range(-4, 5):
+        for sx in range(-4, 5):
+            both = [(a[y, x], b[y + sy + 3, x + sx - 2]) for y in range(9) for x in range(12) if 0 <= y + sy + 3 < 14 and 0 <= x + sx - 2 < 16]
+            r, t = np.array([p for p in both if np.isfinite(p).all()]).T
+            assert abs(got[sx, sy] - np.corrcoef(r, t)[0, 1]) < 1e-9
+
+
 def test_products_and_ledger(spark, tmp_path):
     df = grid(spark, np.arange(12).reshape(3, 4) / 12, "probabilities")
     with pytest.raises(ValueError):

@@ -267,7 +267,7 @@ def g32_training_set(spark, sf_dir):
         parts = patches.cut(cells, origins, SIZE)
         kept = patches.training_patches(parts, ["red", "nir"], "target", SIZE, min_labelled=0.9)
         meta = cut(patches.patch_metadata(kept, origins, first=first))
-        x, y = products.training_tables(parts, meta, ["red", "nir"], "target", SIZE)
+        x, y = products.split_values(cut(products.patch_values(parts, meta, ["red", "nir"], "target", SIZE)), ["red", "nir"])
         state = F.when(F.col("n").isNull(), "empty").otherwise("ready").alias("status")
         return {"x": x, "y": y, "metadata": meta, "items": new.join(meta.groupBy("tile_id").agg(F.count("*").alias("n")), "tile_id", "left").select("tile_id", state)}
 

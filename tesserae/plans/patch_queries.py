@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from tesserae.functions.storage import cut
 from tesserae.operators import patches
 from tesserae.plans.base import CELL, DECODED, decoded, pixels, query, r6
 from tesserae.sources import products
@@ -112,7 +113,7 @@ def a19_training_tables(spark, sf_dir):
     cells, o, kept = _kept(spark, sf_dir)
     cells = cells.withColumn("red", F.round((F.col("red") + 0.1) * 10000))
     meta = patches.patch_metadata(kept, o)
-    x, y = products.training_tables(cells, meta, ["red"], "target", SIZE)
+    x, y = products.split_values(cut(products.patch_values(cells, meta, ["red"], "target", SIZE)), ["red"])
     dot = lambda v: F.aggregate(F.transform(v, lambda a, i: a.cast("double") * i), F.lit(0.0), lambda s, a: s + a)
     both = x.select("z_idx", F.size("values").cast("long").alias("n"), dot("values").cast("long").alias("red")).join(y.select("z_idx", dot("values").cast("long").alias("target")), "z_idx")
     return both

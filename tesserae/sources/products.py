@@ -87,9 +87,24 @@ def number_rows(new: DataFrame, old: DataFrame | None, order: str) -> DataFrame:
     return numbered(new, [order], "z_idx", first)
 
 
+def patch_values(cells: DataFrame, kept: DataFrame, bands: Sequence[str], label: str, size: int) -> DataFrame:
+    """``z_idx`` and the cells of each kept patch in order, an array of ``size`` squared; missing values of bands are 0."""
+    rows = cells.join(kept.select("z_idx", TILE, "patch_id").hint("merge"), [TILE, "patch_id"])
+    values = [F.coalesce(F.col(b).cast("float"), F.lit(0.0).cast("float")).alias(f"v{i}") for i, b in enumerate(bands)]
+    cell = F.struct((F.col("dy") * size + F.col("dx")).alias("i"), F.col(label).cast("byte").alias("label"), *values)
+    return rows.groupBy("z_idx").agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+
+
+def split_values(patches: DataFrame, bands: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``x`` and ``y`` of ``training_tables`` from ``patch_values``."""
+    of = lambda name: F.transform("cells", lambda c: c[name]).alias("values")
+    each = F.explode(F.array(*(F.struct(F.lit(b).alias("band"), of(f"v{i}")) for i, b in enumerate(bands))))
+    return patches.select("z_idx", each.alias("_x")).select("z_idx", "_x.*"), patches.select("z_idx", of("label"))
+
+
 def training_tables(cells: DataFrame, kept: DataFrame, bands: Sequence[str], label: str, size: int) -> tuple[DataFrame, DataFrame]:
-    """``x`` (z_idx, band, values) and ``y`` (z_idx, values) of the kept patches; missing values are 0."""
-    rows = cells.join(kept.select("z_idx", TILE, "patch_id").hint("merge"), [TILE, "patch_id"]).withColumn("_i", F.col("dy") * size + F.col("dx"))
-    ordered = lambda v: F.transform(F.array_sort(F.collect_list(F.struct("_i", v.alias("v")))), lambda s: s["v"])
-    x = rows.select("z_idx", "_i", *(F.coalesce(F.col(b).cast("float"), F.lit(0.0).cast("float")).alias(b) for b in bands)).unpivot(["z_idx", "_i"], list(bands), "band", "v")
-    return x.groupBy("z_idx", "band").agg(ordered(F.col("v")).alias("values")), rows.groupBy("z_idx").agg(ordered(F.col(label).cast("byte")).alias("values"))
+    """``x`` (z_idx, band, values) and ``y`` (z_idx, values) of the kept patches; missing values are 0.
+
+    Each of them gathers the cells; to have both from one pass, split stored ``patch_values``.
+    """
+    return split_values(patch_values(cells, kept, bands, label, size), bands)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.functions.graph import components
+from tesserae.functions import storage
 from tesserae.operators import bands, catalog, codecs, coreg, focal, geometry, indices, metrics, objects, patches, polygons, runs, splits, volume
 from tesserae.sources import products
 from tesserae.streaming import ingest
@@ -269,6 +270,16 @@ def test_scores_of_all_shifts_with_gaps(spark, block):
             assert abs(got[sx, sy] - np.corrcoef(r, t)[0, 1]) < 1e-9
 
 
+def test_both_training_tables_come_from_one_pass(spark):
+    cells = spark.createDataFrame([(1, p, y, x, None if x == y else float(p + 10 * y + x), p + x) for p in (0, 1, 2) for y in (1, 0) for x in (0, 1)], "tile_id int, patch_id int, dy int, dx int, v double, label int")
+    kept = spark.createDataFrame([(5, 1, 0), (6, 1, 2)], "z_idx long, tile_id int, patch_id int")
+    stored = storage.cut(products.patch_values(cells.withColumn("w", -F.col("v")), kept, ["v", "w"], "label", 2))
+    for x, y in (products.split_values(stored, ["v", "w"]), products.training_tables(cells.withColumn("w", -F.col("v")), kept, ["v", "w"], "label", 2)):
+        assert sorted(tuple(r) for r in x.collect()) == [(5, "v", [0.0, 1.0, 10.0, 0.0]), (5, "w", [0.0, -1.0, -10.0, 0.0]), (6, "v", [0.0, 3.0, 12.0, 0.0]), (6, "w", [0.0, -3.0, -12.0, 0.0])]
+        assert sorted(tuple(r) for r in y.collect()) == [(5, [0, 1, 0, 1]), (6, [2, 3, 2, 3])]
+    assert not any(word in plan_of(df) for df in products.split_values(stored, ["v", "w"]) for word in ("Join", "Exchange"))
+
+
 def test_products_and_ledger(spark, tmp_path):
     df = grid(spark, np.arange(12).reshape(3, 4) / 12, "probabilities")
     with pytest.raises(ValueError):

@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tesserae.functions.rank import numbered
 from tesserae.functions.storage import cut
 from tesserae.operators import geometry, polygons
 
@@ -189,13 +188,24 @@ def overlap_area() -> Column:
 
 #: Rows of one box that stand in a block at most.
 BLOCK = 4096
+#: Rows of either side in a tile at most: what one step of generated code makes of a tile waits in memory until it is taken.
+TILE = (4, 256)
+#: Rows that a task makes, about.
+TASK_ROWS = 1 << 25
 
 
 def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """Box and ``name``: its rows' other columns as an array, in blocks of at most ``BLOCK`` rows of one box."""
+    """Box, ``_block``, ``_n`` and ``name``: its rows' other columns as an array, in blocks of at most ``BLOCK`` rows of one box."""
     rest = [c for c in rows.columns if c not in BOX]
-    placed = numbered(rows, [*BOX, *rest], "_z")
-    return cut(placed.groupBy(*BOX, F.floor(F.col("_z") / BLOCK).alias("_block")).agg(F.collect_list(F.struct(*rest)).alias(name)).drop("_block"))
+    order = [*BOX, *rest]
+    # the numbers of a range follow its order, so the rows of a box share as few blocks as can be
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_block", F.floor(F.monotonically_increasing_id() / BLOCK))
+    return cut(placed.groupBy(*BOX, "_block").agg(F.count("*").alias("_n"), F.collect_list(F.struct(*rest)).alias(name)))
+
+
+def _slices(name: str, n: int) -> Column:
+    """A row for each ``n`` values of an array. The lambda keeps it out of generated code, so rows are passed on one by one."""
+    return F.explode(F.transform(F.sequence(F.lit(1), F.size(name), F.lit(n)), lambda i: F.slice(name, i, F.lit(n)))).alias(name)
 
 
 def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -203,16 +213,25 @@ def overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
     come with the prefix ``r_``.
 
     Different boxes are compared once, then meet the rows that have them, in blocks. The pairs of blocks, each of
-    ``BLOCK`` squared rows at most, are dealt over all tasks, and rows are made only there: what is made is the result.
+    ``BLOCK`` squared rows at most, are dealt over tasks, as many as the rows to be made ask for (counted first, one
+    number), and rows are made only there, by tiles: what is made is the result.
     """
-    own, other = _blocks(left, "_own"), _blocks(right, "_other").withColumnsRenamed({c: f"r_{c}" for c in BOX})
+    spark = left.sparkSession
+    own, other = _blocks(left, "_own"), _blocks(right, "_other")
+    other = other.select(*(F.col(c).alias(c if c == "_other" else f"r_{c}") for c in other.columns))
+    mine, theirs = list(BOX), [f"r_{c}" for c in BOX]
     boxes = other.select(*(F.col(f"r_{c}").alias(c) for c in BOX)).distinct()
-    met = intersecting(own.select(*BOX).distinct(), boxes).withColumn("area", overlap_area())
-    pairs = met.join(own.hint("merge"), list(BOX)).join(other.hint("merge"), [f"r_{c}" for c in BOX]).select("_own", "_other", "area")
-    dealt = pairs.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a number: pairs are few and small, their rows are not
-    mine, theirs = ([c for c in df.columns if c not in BOX] for df in (left, right))
-    rows = dealt.select(F.explode("_own").alias("_own"), "_other", "area").select("_own", F.explode("_other").alias("_other"), "area")
-    return rows.select(*(F.col(f"_own.{c}") for c in mine), *(F.col(f"_other.{c}").alias(f"r_{c}") for c in theirs), "area")
+    met = cut(intersecting(own.select(*BOX).distinct(), boxes).withColumn("area", overlap_area()))
+    sizes = met.join(own.groupBy(*mine).agg(F.sum("_n").alias("_n")), mine).join(other.groupBy(*theirs).agg(F.sum("r__n").alias("r__n")), theirs)
+    rows = sizes.agg(F.sum(F.col("_n") * F.col("r__n"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    pairs = met.join(own.hint("merge"), mine).join(other.hint("merge"), theirs)
+    dealt = pairs.repartition(tasks, *mine, *theirs, "_block", "r__block")  # a number: pairs are few and small, their rows are not
+    tiles = dealt.select("_own", _slices("_other", TILE[1]), "area").select(_slices("_own", TILE[0]), "_other", "area")
+    names = [[c for c in df.columns if c not in BOX] for df in (left, right)]
+    made = tiles.select(F.inline("_own").alias(*(f"_own_{c}" for c in names[0])), "_other", "area")
+    made = made.select(*(f"_own_{c}" for c in names[0]), F.inline("_other").alias(*(f"_other_{c}" for c in names[1])), "area")
+    return made.select(*(F.col(f"_own_{c}").alias(c) for c in names[0]), *(F.col(f"_other_{c}").alias(f"r_{c}") for c in names[1]), "area")
 
 
 def scenes_for_areas(scenes: DataFrame, areas: DataFrame, item: str = "scene_id") -> DataFrame:

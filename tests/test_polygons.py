@@ -150,6 +150,24 @@ def test_overlaps_compare_equal_boxes_once(spark, monkeypatch):
     assert [df.where("xmin IS NOT NULL").count() <= len(set(kinds)) for df in given] == [True, True]
 
 
+def test_overlaps_make_rows_by_tiles_in_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    """Two hot boxes: no pair of blocks is made in one step of generated code, and tasks grow with the rows to be made."""
+    monkeypatch.setattr(catalog, "TASK_ROWS", 200, raising=False)
+    monkeypatch.setattr(catalog, "BLOCK", 16)
+    monkeypatch.setattr(catalog, "TILE", (3, 5), raising=False)
+    frame = lambda n, x: spark.createDataFrame([(k, str(k) if k % 5 else None, x, 0, x + 10, 10) for k in range(n)], "id long, name string, xmin int, ymin int, xmax int, ymax int")
+    found = catalog.overlaps(frame(50, 0), frame(70, 4)).withColumn("task", F.spark_partition_id())
+    rows = found.collect()
+    name = lambda k: str(k) if k % 5 else None
+    assert sorted(tuple(r)[:-1] for r in rows if r["name"] and r["r_name"]) == sorted((p, name(p), q, name(q), 60) for p in range(50) for q in range(70) if name(p) and name(q))
+    assert sorted((r["id"], r["r_id"]) for r in rows) == [(p, q) for p in range(50) for q in range(70)]
+    assert len({r["task"] for r in rows}) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    steps = [line.lstrip(" +-:") for line in plan.splitlines() if "Generate explode(transform(" in line]
+    assert len(steps) == 2 and not any(line.startswith("*") for line in steps), plan
+    assert catalog.overlaps(frame(50, 0), frame(70, 400)).count() == 0
+
+
 def test_rings_over_seams_and_nested_holes(spark):
     """Outlines put together from blocks are those of one block; holes name the ring about them."""
     rnd = random.Random(8)
